@@ -18,7 +18,7 @@ from tidecast.functions.features import add_lags
 from tidecast.functions.time import ts_text
 from tidecast.operators import metrics as M
 from tidecast.operators import series as S
-from tidecast.operators.models import autoreg, fourier, naive
+from tidecast.operators.models import autoreg, fourier, global_ar, naive, samples
 from tidecast.plans import datasets as D
 from tidecast.plans import oracle as O
 from tidecast.plans.backtest import backtest, backtest_all, choose, leaderboard
@@ -558,3 +558,27 @@ def q_ar_forecast(spark, d):
 def choose_models(spark, d):
     bt = backtest_all(_hourly(spark, d), _leaderboard_models(), H)
     return choose(bt.forecast, "npts")
+
+
+@register("global_ar", FC_COLS, ["quantile", "value"])
+def q_global_ar(spark, d):
+    """M5: one pooled regression over all series (lags ≥ H, calendar, category)."""
+    hist = S.train_part(_hourly(spark, d), H)
+    cats = S.static_categories(hist, "item_id")
+    return global_ar.global_ar_forecast(hist, H, "1 hour", EVAL_QS, cats, M_SEASON)
+
+
+@register("sample_paths", ["model", "item_id", "step", "ts", "sample_id", "value"], ["value"])
+def q_sample_paths(spark, d):
+    """M6: 100 sample paths per series — seasonal naive + hashed residual draws."""
+    hist = S.train_part(_hourly(spark, d), H)
+    point = naive.seasonal_naive(hist, H, M_SEASON, "1 hour", ())
+    return samples.sample_paths(point, samples.residual_pool(hist, M_SEASON), 100, 42)
+
+
+@register("sample_path_quantiles", ["model", "item_id", "step", "q10", "q50", "q70", "q90", "mean", "n"],
+          ["q10", "q50", "q70", "q90", "mean"])
+def q_sample_path_quantiles(spark, d):
+    """M6 + A12: nearest-rank quantiles of the sample paths per forecast step."""
+    paths = q_sample_paths(spark, d)
+    return M.summarise_samples(paths, ["model", "item_id", "step"], "value", (0.1, 0.5, 0.7, 0.9))
