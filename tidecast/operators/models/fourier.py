@@ -44,15 +44,26 @@ def gram_pairs(names: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def gram_sums(history: DataFrame, freq: str = "1 hour",
-              seasonalities=DEFAULT_SEASONALITIES) -> DataFrame:
-    """One row per series: ``n``, ``abs_sum`` and every Gram entry ``g__<a>__<b>``."""
+              seasonalities=DEFAULT_SEASONALITIES, exact_target: bool = False) -> DataFrame:
+    """One row per series: ``n``, ``abs_sum`` and every Gram entry ``g__<a>__<b>``.
+
+    exact_target: targets are exact to the cent, so ``Σy`` and ``Σy²`` are summed in
+    DECIMAL — independent of summation order, hence of partitioning.
+    """
     d = design(F.col("ts"), F.col("step"), freq, seasonalities)
     names = [n for n, _, _ in d]
     x = history.filter(F.col("target").isNotNull()).select(
         "item_id", F.col("target").alias("y"), *[c.alias(n) for n, c, _ in d])
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.abs("y")).alias("abs_sum")]
+    cents = F.col("y").cast("decimal(18,2)")
     for a, b in gram_pairs(names):
-        aggs.append(F.sum(F.col(a) * F.col(b)).alias(f"g__{a}__{b}"))
+        if exact_target and (a, b) == ("const", "y"):
+            g = F.sum(cents).cast("double")
+        elif exact_target and (a, b) == ("y", "y"):
+            g = F.sum(cents * cents).cast("double")
+        else:
+            g = F.sum(F.col(a) * F.col(b))
+        aggs.append(g.alias(f"g__{a}__{b}"))
     return x.groupBy("item_id").agg(*aggs)
 
 

@@ -22,6 +22,7 @@ from tidecast.operators.models import autoreg, fourier, global_ar, naive, sample
 from tidecast.plans import datasets as D
 from tidecast.plans import oracle as O
 from tidecast.plans.backtest import backtest, backtest_all, choose, leaderboard
+from tidecast.session import materialize
 
 H, M_SEASON, CTX = 72, 24, 168
 TARGET_Q = 0.7
@@ -29,6 +30,10 @@ EVAL_QS = (0.1, 0.5, 0.9)
 MSIS_QS = (0.025, 0.1, 0.5, 0.9, 0.975)
 INTERVAL_QS = (0.05, 0.25, 0.5, 0.75, 0.95)
 
+# how a multi-branch query keeps its grid: "persist" (memory/disk, recomputed from
+# lineage if an executor is lost) or "checkpoint" (reliable copy in spark.checkpoint.dir)
+REUSE = "persist"
+
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[Builder, str | None]] = {}
 
@@ -70,6 +75,12 @@ def _hourly(spark, d):
     return D.events_hourly(spark, d)
 
 
+def _grid(spark, d):
+    """The hourly grid, computed once and checkpointed: queries that read it in several
+    branches (history, holdout, several models) then scan ``events`` only once."""
+    return materialize(D.events_hourly(spark, d), "events_hourly", REUSE)
+
+
 def _raw_hourly(spark, d):
     return D.events_cells(spark, d, "1 hour")
 
@@ -190,7 +201,7 @@ def q_sort_by_time(spark, d):
                               "step, ts, target FROM series"))
 def q_nest_unnest(spark, d):
     """Nest each series into one record, rename, and explode it back."""
-    nested = S.nest_target(_hourly(spark, d)).withColumnRenamed("item_id", "id")
+    nested = S.nest_target(_grid(spark, d)).withColumnRenamed("item_id", "id")
     nested = S.canonicalise(nested)
     long_ = S.unnest_target(nested, "1 hour")
     meta = nested.select("item_id", ts_text("start").alias("start_text"),
@@ -204,7 +215,7 @@ def q_nest_unnest(spark, d):
 def q_feature_channels(spark, d):
     """Hour-of-day and weekday channels, nested as dynamic_feat, unnested
     channel by channel and joined back onto the points."""
-    grid = _hourly(spark, d)
+    grid = _grid(spark, d)
     cov = S.calendar_covariates(grid)
     nested = S.nest_target(grid).join(S.nest_features(cov), "item_id")
     back = S.unnest_feature(nested, 0, "1 hour").unionByName(S.unnest_feature(nested, 1, "1 hour"))
@@ -219,7 +230,7 @@ def q_feature_channels(spark, d):
                   ") GROUP BY 1, 2"))
 def q_feature_mean(spark, d):
     """A4: feature sum over the predict set divided by the number of training series."""
-    grid = _hourly(spark, d)
+    grid = _grid(spark, d)
     n_train = grid.agg(F.count_distinct("item_id")).scalar()
     predict = S.filter_min_length(grid, H)
     out = S.mean_feature_across_series(S.calendar_covariates(predict), n_train)
@@ -254,7 +265,8 @@ def q_sum_across_series_strict(spark, d):
                   "JOIN dims d USING (item_id) JOIN means m USING (item_id)"))
 def q_group_multivariate(spark, d):
     """First 96 per-user hourly series aligned on one grid, gaps = series mean."""
-    return S.group_multivariate(D.events_cells(spark, d, "1 hour", "user_id"), 96, "1 hour", exact_money=True)
+    cells = materialize(D.events_cells(spark, d, "1 hour", "user_id"), "user_hourly_cells", REUSE)
+    return S.group_multivariate(cells, 96, "1 hour", exact_money=True)
 
 
 @register("label_boundaries", ["item_id", "ts", "target", "segment"], ["target"],
@@ -262,7 +274,7 @@ def q_group_multivariate(spark, d):
                               f"WHEN step < n_steps - {H} THEN 'test' ELSE 'predict' END AS segment FROM series"))
 def q_label_boundaries(spark, d):
     """Train ⊂ test ⊂ predict, marked on the longest set."""
-    grid = _hourly(spark, d)
+    grid = _grid(spark, d)
     return S.label_boundaries(grid, S.train_part(grid, 2 * H), S.train_part(grid, H))
 
 
@@ -282,7 +294,7 @@ def q_lags(spark, d):
           O.with_(O.hourly() + O.split() + [O.seasonal_naive()], "SELECT * FROM sn"))
 def q_seasonal_naive(spark, d):
     """M1: 72-hour seasonal-naive forecast (m = 24) from the history before the holdout."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     return naive.seasonal_naive(hist, H, M_SEASON, "1 hour", ())
 
 
@@ -290,16 +302,16 @@ def q_seasonal_naive(spark, d):
           O.with_(O.hourly() + O.split() + O.npts(EVAL_QS), "SELECT * FROM np"))
 def q_resample_quantiles(spark, d):
     """Kernel-weighted same-phase resampling, quantiles 0.1/0.5/0.9 + mean."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     return naive.kernel_resample(hist, H, CTX, M_SEASON, 0.5, "1 hour", EVAL_QS)
 
 
 @register("fourier_gram", ["item_id", "term_pair", "value"], ["value"], O.fourier_gram_sql())
 def q_fourier_gram(spark, d):
     """M3/M7: per-series Gram sums of [1, trend, daily and weekly Fourier terms, y]."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     names = [n for n, _, _ in fourier.design(F.col("ts"), F.col("step"), "1 hour")]
-    return fourier.gram_long(fourier.gram_sums(hist, "1 hour"), names)
+    return fourier.gram_long(fourier.gram_sums(hist, "1 hour", exact_target=True), names)
 
 
 @register("ar1_fit", ["item_id", "phi", "intercept", "n", "sigma"], ["phi", "intercept", "sigma"],
@@ -314,7 +326,7 @@ def q_fourier_gram(spark, d):
               "sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2)) END AS sigma FROM fit"))
 def q_ar1_fit(spark, d):
     """M4: AR(1) on 24-hour differences — slope, intercept, residual scale."""
-    return autoreg.fit_ar1(S.train_part(_hourly(spark, d), H), M_SEASON)
+    return autoreg.fit_ar1(S.train_part(_grid(spark, d), H), M_SEASON)
 
 
 # ----------------------------------------------------------------------------- B1, A5–A16
@@ -324,7 +336,7 @@ def q_ar1_fit(spark, d):
                   f"SELECT model, item_id, {O.POINT} FROM paired GROUP BY 1, 2"))
 def q_backtest_metrics(spark, d):
     """Flagship — B1/J2/A5–A7/A10: seasonal-naive backtest scored per series at q 0.7."""
-    bt = backtest(_hourly(spark, d), _sn, H)
+    bt = backtest(_grid(spark, d), _sn, H)
     return M.point_metrics(bt.paired(TARGET_Q))
 
 
@@ -336,7 +348,7 @@ def q_backtest_metrics(spark, d):
                   "FROM paired GROUP BY 1, 2) GROUP BY 1) s USING (model)"))
 def q_pooled_metrics(spark, d):
     """RMSE and MAE over all cells, sMAPE as the mean of item sMAPEs."""
-    bt = backtest(_hourly(spark, d), _sn, H)
+    bt = backtest(_grid(spark, d), _sn, H)
     return M.pooled_metrics(bt.paired(TARGET_Q))
 
 
@@ -344,7 +356,7 @@ def q_pooled_metrics(spark, d):
           O.with_(O.hourly() + O.split() + [O.seasonal_naive(), O.paired("sn")], O.summed()))
 def q_summed_metrics(spark, d):
     """Metrics of the series summed over items per step."""
-    bt = backtest(_hourly(spark, d), _sn, H)
+    bt = backtest(_grid(spark, d), _sn, H)
     return M.summed_series_metrics(bt.paired(TARGET_Q))
 
 
@@ -369,12 +381,12 @@ def _leaderboard_models():
                                      O.paired("fc")], O.summed()))
 def q_leaderboard(spark, d):
     """Four models backtested on one split, summed metrics per model."""
-    bt = backtest_all(_hourly(spark, d), _leaderboard_models(), H)
+    bt = backtest_all(_grid(spark, d), _leaderboard_models(), H)
     return leaderboard(bt, TARGET_Q)
 
 
 def _user_daily_metrics(spark, d):
-    bt = backtest(D.events_user_daily(spark, d),
+    bt = backtest(materialize(D.events_user_daily(spark, d), "events_user_daily", REUSE),
                   lambda h, n: naive.seasonal_naive(h, n, 7, "1 day", (TARGET_Q,)), 7)
     return M.point_metrics(bt.paired(TARGET_Q))
 
@@ -421,7 +433,7 @@ def q_metric_histogram(spark, d):
                   "FROM np GROUP BY 1, 2, 3, 4"))
 def q_prediction_intervals(spark, d):
     """50 % and 90 % intervals and the median per forecast step."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     return M.prediction_intervals(naive.kernel_resample(hist, H, CTX, M_SEASON, 0.5, "1 hour", INTERVAL_QS))
 
 
@@ -447,7 +459,7 @@ def q_sample_quantiles(spark, d):
                               "count(*) AS n_values FROM series GROUP BY 1, 2"))
 def q_describe_forecast(spark, d):
     """Each day of a series read as one 24-step sample path; count and shape."""
-    grid = _hourly(spark, d)
+    grid = _grid(spark, d)
     samples = grid.select(F.lit("daily_paths").alias("model"), "item_id",
                           (F.pmod("step", F.lit(24)) + 1).cast("int").alias("step"), "ts",
                           F.floor(F.col("step") / 24).cast("int").alias("sample_id"),
@@ -458,14 +470,14 @@ def q_describe_forecast(spark, d):
 # ----------------------------------------------------------------------------- E1–E9
 
 def _eval_backtest(spark, d, qs=MSIS_QS):
-    return backtest(_hourly(spark, d), _npts(qs), H)
+    return backtest(_grid(spark, d), _npts(qs), H)
 
 
 @register("seasonal_error", ["item_id", "seasonal_error"], ["seasonal_error"],
           O.with_(O.hourly() + O.split() + [O.seasonal_error()], "SELECT * FROM se"))
 def q_seasonal_error(spark, d):
     """Mean absolute 24-hour difference over each history."""
-    return M.seasonal_error(S.train_part(_hourly(spark, d), H), M_SEASON)
+    return M.seasonal_error(S.train_part(_grid(spark, d), H), M_SEASON)
 
 
 _EVAL = O.hourly() + O.split() + O.npts(MSIS_QS) + O.item_metrics_sql("np")
@@ -535,7 +547,7 @@ def q_agg_metrics(spark, d):
                   "SELECT item_id, step, ts, value FROM sn"))
 def q_median_forecast(spark, d):
     """Median of a 168-hour forecast past the end of the full series."""
-    fc = naive.seasonal_naive(_hourly(spark, d), 168, M_SEASON, "1 hour", (0.5,))
+    fc = naive.seasonal_naive(_grid(spark, d), 168, M_SEASON, "1 hour", (0.5,))
     return M.pick_quantile(fc, 0.5)
 
 
@@ -544,14 +556,14 @@ def q_median_forecast(spark, d):
 @register("fourier_forecast", FC_COLS, ["quantile", "value"])
 def q_fourier_forecast(spark, d):
     """M3: ridge trend + daily/weekly Fourier forecast with Gaussian quantiles."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     return fourier.fourier_forecast(hist, H, "1 hour", quantiles=EVAL_QS)
 
 
 @register("ar_forecast", FC_COLS, ["quantile", "value"])
 def q_ar_forecast(spark, d):
     """M4: seasonal AR(1) roll-forward, closed form."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     return autoreg.ar_forecast(hist, H, M_SEASON, None, "1 hour", EVAL_QS)
 
 
@@ -563,7 +575,7 @@ def choose_models(spark, d):
 @register("global_ar", FC_COLS, ["quantile", "value"])
 def q_global_ar(spark, d):
     """M5: one pooled regression over all series (lags ≥ H, calendar, category)."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     cats = S.static_categories(hist, "item_id")
     return global_ar.global_ar_forecast(hist, H, "1 hour", EVAL_QS, cats, M_SEASON)
 
@@ -571,7 +583,7 @@ def q_global_ar(spark, d):
 @register("sample_paths", ["model", "item_id", "step", "ts", "sample_id", "value"], ["value"])
 def q_sample_paths(spark, d):
     """M6: 100 sample paths per series — seasonal naive + hashed residual draws."""
-    hist = S.train_part(_hourly(spark, d), H)
+    hist = S.train_part(_grid(spark, d), H)
     point = naive.seasonal_naive(hist, H, M_SEASON, "1 hour", ())
     return samples.sample_paths(point, samples.residual_pool(hist, M_SEASON), 100, 42)
 

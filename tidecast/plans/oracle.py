@@ -181,7 +181,9 @@ def fourier_gram_sql() -> str:
     d = fourier_design()
     names = [n for n, _ in d]
     x = ", ".join(f"{e} AS {n}" for n, e in d)
-    sums = ", ".join(f"sum({a} * {b}) AS g__{a}__{b}" for a, b in gram_pairs(names))
+    exact = {("const", "y"): "CAST(sum(CAST(y AS DECIMAL(18,2))) AS DOUBLE)",
+             ("y", "y"): "CAST(sum(CAST(y AS DECIMAL(18,2)) * CAST(y AS DECIMAL(18,2))) AS DOUBLE)"}
+    sums = ", ".join(f"{exact.get((a, b), f'sum({a} * {b})')} AS g__{a}__{b}" for a, b in gram_pairs(names))
     unions = " UNION ALL ".join(f"SELECT item_id, '{a}__{b}' AS term_pair, g__{a}__{b} AS value FROM g"
                                 for a, b in gram_pairs(names))
     return with_(hourly() + split() + [

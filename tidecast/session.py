@@ -63,15 +63,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df: DataFrame, name: str, mode: str = "checkpoint") -> DataFrame:
-    """Cut lineage so later stages survive executor loss.
+def materialize(df: DataFrame, name: str = "stage", mode: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once and cut its lineage, so every later branch reads the stored
+    result instead of re-scanning the source, and a lost executor does not replay it.
 
+    ``persist`` keeps it in executor memory/disk (blocks lost with an executor are
+    recomputed from lineage — right for a small intermediate reused within one job);
     ``checkpoint`` uses reliable ``DataFrame.checkpoint`` into the shared folder;
     ``parquet`` writes a named table under ``<checkpoint dir>/tables/<name>`` and reads
-    it back (useful when another job reads the stage output too).
+    it back (useful when another job reads the stage output too).  Without a
+    configured ``spark.checkpoint.dir`` the frame is returned unchanged (still
+    correct, only recomputed per branch).
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
+    if mode == "persist":
+        from pyspark import StorageLevel
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+        return out
+    try:
+        root = ensure_checkpoint_dir(spark)
+    except RuntimeError:
+        return df
     if mode == "checkpoint":
         return df.checkpoint(eager=True)
     path = os.path.join(root, "tables", name)
