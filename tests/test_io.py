@@ -46,15 +46,18 @@ def test_csv_series_and_overrides(spark, tmp_path):
     assert dict(df.dtypes)["elec_value"] == "double"
 
 
-def test_publish_single_file_is_idempotent(spark, tmp_path):
+def test_publish_fixed_name_is_idempotent_and_parallel(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    out = K.publish_single_file(df, str(tmp_path / "exp"), "hour_elec.csv")
-    out2 = K.publish_single_file(df, str(tmp_path / "exp"), "hour_elec.csv")
-    assert out == out2 and os.path.isfile(out)
+    out = K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv")
+    out2 = K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv")
+    assert out == out2 and os.path.isdir(out)
     assert [f for f in os.listdir(tmp_path / "exp") if not f.startswith(".")] == ["hour_elec.csv"]
-    assert len(open(out).read().strip().splitlines()) == 101
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 4  # written by four tasks, not funnelled through one
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 100 and back.columns == ["id"]
     with pytest.raises(FileExistsError):
-        K.publish_single_file(df, str(tmp_path / "exp"), "hour_elec.csv", mode="error")
+        K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv", mode="error")
 
 
 def test_forecast_documents_roundtrip(spark, tmp_path):
@@ -66,6 +69,7 @@ def test_forecast_documents_roundtrip(spark, tmp_path):
     assert doc["quantiles"]["0.5"] == [1.0, 2.0, 3.0, 1.0] and doc["mean"] == [1.0, 2.0, 3.0, 1.0]
     rows = R.read_forecast_json(spark, path, "0.5").orderBy("step").collect()
     assert [r.value for r in rows] == [1.0, 2.0, 3.0, 1.0] and rows[0].step == 1
+    assert rows[0].ts == T0.replace(hour=6) and rows[3].ts == T0.replace(hour=9)
 
 
 def test_csv_sink_and_run_path(spark, tmp_path):

@@ -149,7 +149,9 @@ def with_reverse_rank(series: DataFrame, name: str = "rank_from_end") -> DataFra
     """1 for the last point of each series, 2 for the one before, ….
 
     Grid frames get it by arithmetic; raw frames by a per-series window ordered by
-    time (ties broken by ``target`` for determinism).
+    time (ties broken by ``target`` for determinism).  The raw form ranks a whole
+    series in one task, so :func:`holdout_split` and :func:`tail` use
+    :func:`last_n_threshold` instead.
     """
     if is_grid(series):
         return series.withColumn(name, F.col("n_steps") - F.col("step"))
@@ -157,15 +159,45 @@ def with_reverse_rank(series: DataFrame, name: str = "rank_from_end") -> DataFra
     return series.withColumn(name, F.row_number().over(w))
 
 
+def last_n_threshold(series: DataFrame, n: int, salts: int = 64) -> DataFrame:
+    """Per series, the ``(ts, target)`` key of its n-th most recent row (or its oldest
+    row when shorter than ``n``) — exact, and safe when one series is huge.
+
+    Two phases: rows are salted into ``salts`` buckets per series and each bucket keeps
+    its own n most recent rows (a window per ``(item, salt)``, so a hot series is spread
+    over ``salts`` tasks); the true last ``n`` are among those ``salts·n`` candidates,
+    which a second, bounded window ranks exactly.
+    """
+    key = F.struct(F.col("ts"), F.col("target"))
+    salted = series.select("item_id", "ts", "target",
+                           F.pmod(F.xxhash64("ts", "target"), F.lit(salts)).alias("_salt"))
+    w1 = Window.partitionBy("item_id", "_salt").orderBy(F.col("ts").desc(), F.col("target").desc())
+    cand = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
+    w2 = Window.partitionBy("item_id").orderBy(F.col("ts").desc(), F.col("target").desc())
+    ranked = cand.withColumn("_r2", F.row_number().over(w2)).filter(F.col("_r2") <= n)
+    return ranked.groupBy("item_id").agg(F.min(key).alias("_threshold"))
+
+
+def _last_n_flag(series: DataFrame, n: int) -> tuple[DataFrame, Column]:
+    """``series`` with a boolean column telling whether a row is among the last ``n``."""
+    if is_grid(series):
+        return series, (F.col("n_steps") - F.col("step")) <= n
+    th = last_n_threshold(series, n)
+    j = series.join(th, "item_id", "left")
+    return j, F.struct(F.col("ts"), F.col("target")) >= F.col("_threshold")
+
+
 def holdout_split(series: DataFrame, horizon: int) -> DataFrame:
     """Mark the last ``horizon`` points of each series ``holdout``, the rest ``train``.
 
-    A series of length ≤ horizon has no train rows, as slicing ``[:-H]`` gives.
+    A series of length ≤ horizon has no train rows, as slicing ``[:-H]`` gives.  Grid
+    frames decide by arithmetic; raw frames by a per-series threshold found with a
+    salted two-phase top-n (no series is ever ranked whole in one task).  Raw rows are
+    assumed unique per ``(item_id, ts)``, as :func:`regularise` requires.
     """
-    r = with_reverse_rank(series, "_r")
-    return (r.withColumn("split", F.when(F.col("_r") <= horizon, F.lit("holdout"))
-                                   .otherwise(F.lit("train")))
-             .drop("_r"))
+    df, last = _last_n_flag(series, horizon)
+    out = df.withColumn("split", F.when(last, F.lit("holdout")).otherwise(F.lit("train")))
+    return out.drop("_threshold")
 
 
 def train_part(grid: DataFrame, horizon: int) -> DataFrame:
@@ -182,8 +214,8 @@ def holdout_part(grid: DataFrame, horizon: int) -> DataFrame:
 
 def tail(series: DataFrame, n: int) -> DataFrame:
     """The last ``n`` points of every series (labels, plot context, truncation)."""
-    r = with_reverse_rank(series, "_r")
-    return r.filter(F.col("_r") <= n).drop("_r")
+    df, last = _last_n_flag(series, n)
+    return df.filter(last).drop("_threshold")
 
 
 truncate = tail

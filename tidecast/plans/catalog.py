@@ -594,3 +594,42 @@ def q_sample_path_quantiles(spark, d):
     """M6 + A12: nearest-rank quantiles of the sample paths per forecast step."""
     paths = q_sample_paths(spark, d)
     return M.summarise_samples(paths, ["model", "item_id", "step"], "value", (0.1, 0.5, 0.7, 0.9))
+
+
+# ----------------------------------------------------------------------------- daily, long history
+
+@register("orders_daily_series", ["item_id", "ts", "step", "n_steps", "target"], ["target"],
+          O.with_(O.orders_daily(), "SELECT item_id, ts, step, n_steps, target FROM series"))
+def q_orders_daily_series(spark, d):
+    """A1/F2 (daily): order value per priority and day, each series on its own span."""
+    return D.orders_daily(spark, d)
+
+
+@register("lineitem_daily_series", ["item_id", "ts", "step", "n_steps", "target"], ["target"],
+          O.with_(O.lineitem_daily(), "SELECT item_id, ts, step, n_steps, target FROM series"))
+def q_lineitem_daily_series(spark, d):
+    """A1/F2 (daily): shipped quantity per return flag and day."""
+    return D.lineitem_daily(spark, d)
+
+
+DAILY_H, DAILY_M = 28, 7
+
+
+@register("orders_daily_backtest", ["model", "item_id"] + POINT_COLS, POINT_DOUBLES,
+          O.with_(O.orders_daily() + O.split(DAILY_H) + [
+              O.seasonal_naive(DAILY_M, DAILY_H, "day"), O.paired("sn")],
+              f"SELECT model, item_id, {O.POINT} FROM paired GROUP BY 1, 2"))
+def q_orders_daily_backtest(spark, d):
+    """B1 on daily order value: 28-day weekly-seasonal-naive backtest per priority."""
+    grid = materialize(D.orders_daily(spark, d), "orders_daily", REUSE)
+    bt = backtest(grid, lambda h, n: naive.seasonal_naive(h, n, DAILY_M, "1 day", (TARGET_Q,)), DAILY_H)
+    return M.point_metrics(bt.paired(TARGET_Q))
+
+
+@register("global_ar_scheduled", FC_COLS, ["quantile", "value"])
+def q_global_ar_scheduled(spark, d):
+    """M5 with the scheduled preset (168 steps ahead) on the long daily order series:
+    lags 168, 175, 182 days, weekly season, fitted on all but the last 168 days."""
+    grid = materialize(D.orders_daily(spark, d), "orders_daily", REUSE)
+    hist = S.train_part(grid, 168)
+    return global_ar.global_ar_forecast(hist, 168, "1 day", EVAL_QS, None, DAILY_M)

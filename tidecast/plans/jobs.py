@@ -1,6 +1,6 @@
 """The scheduled forecast run as Spark jobs.
 
-export_table      source table → mapping → one published CSV                (B7)
+export_table      source table → mapping → CSV published under a fixed name (B7)
 generate_dataset  CSV → series grid → train/test split → JSON-lines records  (B2)
 fit               train records → pooled global model                        (B3)
 batch_score       test records → forecast past the end → forecast documents  (B4)
@@ -69,7 +69,7 @@ def export_table(spark: SparkSession, cfg: JobConfig, run_date, df: DataFrame |
         df = R.read_table(spark, db, tbl)
     if cfg.mappings:
         df = S.apply_mapping(df, cfg.mappings)
-    return K.publish_single_file(df, run_paths(cfg, run_date)["export"], "series.csv")
+    return K.publish_fixed_name(df, run_paths(cfg, run_date)["export"], "series.csv")
 
 
 # ----------------------------------------------------------------------------- B2
@@ -113,10 +113,9 @@ def batch_score(spark: SparkSession, cfg: JobConfig, model: GlobalARModel, test_
 # ----------------------------------------------------------------------------- B5
 def output_forecast(spark: SparkSession, cfg: JobConfig, doc_path: str) -> DataFrame:
     """Chosen quantile of each document → rows; written to the database when configured."""
-    rows = R.read_forecast_json(spark, doc_path, cfg.output_quantile)
+    rows = R.read_forecast_json(spark, doc_path, cfg.output_quantile, cfg.preset.freq)
     if cfg.jdbc_url:
-        K.write_forecast_jdbc(rows.withColumn("ts", F.lit(None).cast("timestamp_ntz")),
-                              cfg.jdbc_url, cfg.jdbc_table, **cfg.jdbc_props)
+        K.write_forecast_jdbc(rows, cfg.jdbc_url, cfg.jdbc_table, **cfg.jdbc_props)
     return rows
 
 

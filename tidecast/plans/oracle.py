@@ -202,3 +202,30 @@ def histogram_sql(src: str, metric: str) -> str:
     return (f"SELECT b.bucket, b.lo, b.hi, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM ({buckets}) b LEFT JOIN "
             f"(SELECT bkt AS bucket, count(*) AS n FROM (SELECT CASE {case} END AS bkt FROM {src}) "
             f"WHERE bkt IS NOT NULL GROUP BY 1) c ON c.bucket = b.bucket")
+
+
+def table_cells(table: str, item: str, ts: str, value: str, unit: str = "day",
+                name: str = "cells") -> tuple[str, str]:
+    return (name, f"SELECT CAST({item} AS VARCHAR) AS item_id, CAST(date_trunc('{unit}', {ts}) AS TIMESTAMP) AS ts, "
+                  f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) AS target FROM {table} GROUP BY 1, 2")
+
+
+def grid_series_span(unit: str = "day", src: str = "cells", name: str = "series",
+                     fill: str = "0.0") -> list[tuple[str, str]]:
+    """Each series on its own first..last grid (span='series')."""
+    return [
+        ("sbounds", f"SELECT item_id, min(ts) AS lo, CAST(date_diff('{unit}', min(ts), max(ts)) + 1 AS INTEGER) "
+                    f"AS n_steps FROM {src} GROUP BY 1"),
+        ("sgrid1", "SELECT item_id, lo, n_steps, CAST(unnest(range(0, n_steps)) AS INTEGER) AS step FROM sbounds"),
+        (name, f"SELECT g.item_id, CAST(g.lo + to_{unit}s(g.step) AS TIMESTAMP) AS ts, g.step, g.n_steps, "
+               f"coalesce(c.target, {fill}) AS target FROM sgrid1 g LEFT JOIN {src} c "
+               f"ON c.item_id = g.item_id AND c.ts = g.lo + to_{unit}s(g.step)"),
+    ]
+
+
+def orders_daily() -> list[tuple[str, str]]:
+    return [table_cells("orders", "o_orderpriority", "o_orderdate", "o_totalprice")] + grid_series_span("day")
+
+
+def lineitem_daily() -> list[tuple[str, str]]:
+    return [table_cells("lineitem", "l_returnflag", "l_shipdate", "l_quantity")] + grid_series_span("day")

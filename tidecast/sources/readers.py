@@ -11,6 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.time import add_steps
 from tidecast.operators.series import to_series
 
 # JSON-lines series record as written by the dataset stage / read by the notebook.
@@ -93,13 +94,18 @@ def read_series_json(spark: SparkSession, path: str, period: str | None = None)
                      F.coalesce("dynamic_feat", "feat_dynamic_real").alias("dynamic_feat"))
 
 
-def read_forecast_json(spark: SparkSession, path: str, quantile: str = "0.5") -> DataFrame:
-    """Forecast documents ``{"item_id"?, "quantiles": {"0.5": [...]}, "mean": [...]}``,
-    one per line → ``(item_id, step, value)`` for the chosen quantile key."""
-    df = spark.read.schema("item_id STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, mean ARRAY<DOUBLE>").json(path)
+def read_forecast_json(spark: SparkSession, path: str, quantile: str = "0.5",
+                       freq: str = "1 hour") -> DataFrame:
+    """Forecast documents ``{"item_id"?, "start"?, "quantiles": {"0.5": [...]}, …}``,
+    one per line → ``(item_id, step, ts, value)`` for the chosen quantile key
+    (``ts`` is NULL when a document carries no start)."""
+    df = spark.read.schema("item_id STRING, start STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, "
+                           "mean ARRAY<DOUBLE>").json(path)
     return (df.select(F.coalesce("item_id", F.lit("0")).alias("item_id"),
+                      F.col("start").cast("timestamp_ntz").alias("start"),
                       F.posexplode(F.col("quantiles")[quantile]).alias("pos", "value"))
-              .select("item_id", (F.col("pos") + 1).cast("int").alias("step"), "value"))
+              .select("item_id", (F.col("pos") + 1).cast("int").alias("step"),
+                      add_steps(F.col("start"), F.col("pos"), freq).alias("ts"), "value"))
 
 
 def run_path(base: str, run_date: date | datetime | str, style: str = "partition") -> str:
