@@ -2,8 +2,9 @@
 
 Frequencies are fixed lengths (minutes, hours, days, weeks), written either as in the
 workload (``'1H'``, ``'1D'``) or as interval text (``'1 hour'``).  All arithmetic goes
-through ``timestampdiff`` / ``timestampadd`` in microseconds, which keep NTZ values
-free of any session time zone.
+through ``timestampdiff`` / ``timestampadd`` in microseconds.  Spark evaluates those on
+NTZ values through the session zone, which tidecast pins to UTC (``SESSION_DEFAULTS``),
+so no daylight-saving gap or overlap can shift a grid.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def _c(x) -> Column:
 
 
 def to_micros(ts) -> Column:
-    """Microseconds since 1970-01-01 of an NTZ value, independent of the session zone."""
+    """Microseconds since 1970-01-01 of an NTZ value (session zone UTC)."""
     return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts))
 
 

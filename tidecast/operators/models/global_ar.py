@@ -20,6 +20,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -103,6 +104,9 @@ class GlobalARModel:
         train = frame.filter(~F.col("future") & F.col("target").isNotNull())
         for k in lags:
             train = train.filter(F.col(f"lag_{k}").isNotNull())
+        # three passes read it (encoder sizes, normal equations, residual sketch):
+        # keep the windowed feature rows instead of recomputing them each time
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
         enc = OneHotEncoder(inputCols=["hour", "dow", "cat"], outputCols=["hour_v", "dow_v", "cat_v"],
                             handleInvalid="keep")
         asm = VectorAssembler(inputCols=[f"lag_{k}" for k in lags] + ["hour_v", "dow_v", "cat_v"],
@@ -115,6 +119,7 @@ class GlobalARModel:
         qs = [float(q) for q in params.quantiles]
         row = resid.agg(F.percentile_approx("r", qs, 10000).alias("rq")).first()
         rq = list(row["rq"]) if row and row["rq"] is not None else [0.0] * len(qs)
+        train.unpersist()
         return cls(params, model, rq)
 
     # ------------------------------------------------------------------ predict

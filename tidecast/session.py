@@ -78,9 +78,9 @@ def materialize(df: DataFrame, name: str = "stage", mode: str = "checkpoint") ->
     spark = df.sparkSession
     if mode == "persist":
         from pyspark import StorageLevel
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
+        # lazy: the first action fills it; every later reader — in the same plan or
+        # not — scans the stored blocks instead of the source
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         root = ensure_checkpoint_dir(spark)
     except RuntimeError:
