@@ -132,3 +132,15 @@ def test_sample_paths_do_not_depend_on_partitioning(spark):
     p2 = samples.sample_paths(point.repartition(5), pool.repartition(3), 50, seed=7)
     assert p1.count() == 24 * 50
     assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
+
+
+def test_m7_configure_hook_replaces_by_name(spark):
+    from tidecast.functions.features import DAILY
+    got = fourier.configured((DAILY,), fourier.add_seasonality("weekly", 7, 3, 0.1))
+    assert [s.name for s in got] == ["daily", "weekly"] and got[1].prior_scale == 0.1
+    again = fourier.configured(got, fourier.add_seasonality("weekly", 7, 2, 1.0))
+    assert len(again) == 2 and again[1].order == 2
+    g = grid_df(spark, hourly_rows("a", [float(i % 24) for i in range(24 * 8)]))
+    fc = fourier.fourier_forecast(g, 24, seasonalities=(DAILY,),
+                                  configure=fourier.add_seasonality("weekly", 7, 3, 0.1), quantiles=(0.5,))
+    assert fc.count() == 24 * 2

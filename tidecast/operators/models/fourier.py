@@ -12,14 +12,14 @@ The fit is split the Spark way:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.functions.features import DEFAULT_SEASONALITIES, fourier_terms
+from tidecast.functions.features import DEFAULT_SEASONALITIES, Seasonality, fourier_terms
 from tidecast.functions.time import freq_days
 from tidecast.operators.models.base import future_steps, gaussian_rows
 
@@ -118,11 +118,33 @@ def fit_fourier(history: DataFrame, freq: str = "1 hour",
                          "item_id STRING, beta ARRAY<DOUBLE>, sigma DOUBLE")
 
 
+def configured(seasonalities=DEFAULT_SEASONALITIES,
+               configure: Callable[[list[Seasonality]], list[Seasonality]] | None = None) -> tuple:
+    """M7: let a user callback edit the seasonality list before the fit (add, replace or
+    drop terms); a term with an existing name replaces it."""
+    items = list(seasonalities)
+    if configure is not None:
+        items = list(configure(items))
+    merged: dict[str, Seasonality] = {}
+    for s in items:
+        merged[s.name] = s
+    return tuple(merged.values())
+
+
+def add_seasonality(name: str, period: float, fourier_order: int, prior_scale: float = 10.0):
+    """A ready-made M7 callback: ``configure=add_seasonality('weekly', 7, 3, 0.1)``."""
+    def configure(items: list[Seasonality]) -> list[Seasonality]:
+        return items + [Seasonality(name, period, fourier_order, prior_scale)]
+    return configure
+
+
 def fourier_forecast(history: DataFrame, horizon: int, freq: str = "1 hour",
                      seasonalities=DEFAULT_SEASONALITIES,
                      quantiles: Sequence[float] = (0.1, 0.5, 0.9),
-                     model: str = "fourier") -> DataFrame:
+                     model: str = "fourier",
+                     configure: Callable[[list[Seasonality]], list[Seasonality]] | None = None) -> DataFrame:
     """Trend + seasonality forecast with Gaussian quantiles from the fit's residual scale."""
+    seasonalities = configured(seasonalities, configure)
     coef = fit_fourier(history, freq, seasonalities)
     fut = future_steps(history, horizon, freq)
     abs_step = F.col("n_steps") - 1 + F.col("step")

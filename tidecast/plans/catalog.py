@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidecast.functions.features import add_lags
-from tidecast.functions.time import ts_text
+from tidecast.functions.time import format_run_id, ts_text
 from tidecast.operators import metrics as M
 from tidecast.operators import series as S
 from tidecast.operators.models import autoreg, fourier, global_ar, naive, samples
@@ -118,11 +118,16 @@ def q_hourly_series(spark, d):
     return _hourly(spark, d)
 
 
-@register("series_start", ["item_id", "start"], [],
-          O.with_([O.cells()], "SELECT item_id, min(ts) AS start FROM cells GROUP BY 1"))
+@register("series_start", ["item_id", "start", "start_day", "start_id"], [],
+          O.with_([O.cells()], "SELECT item_id, start, strftime(start, '%Y-%m-%d') AS start_day, "
+                               "strftime(start, '%Y-%m-%d-%H-%M-%S') AS start_id FROM "
+                               "(SELECT item_id, min(ts) AS start FROM cells GROUP BY 1)"))
 def q_series_start(spark, d):
-    """First time of each (ungridded) hourly series."""
-    return S.series_start(_raw_hourly(spark, d))
+    """First time of each (ungridded) hourly series, with its run-date and
+    run-id renderings (``yyyy-MM-dd``, ``yyyy-MM-dd-HH-mm-ss``)."""
+    st = S.series_start(_raw_hourly(spark, d))
+    return st.select("item_id", "start", format_run_id("start", False).alias("start_day"),
+                     format_run_id("start").alias("start_id"))
 
 
 @register("describe_series", ["n_series", "n_points", "min_length", "max_length"], [],
@@ -515,6 +520,15 @@ def q_weighted_quantile_loss(spark, d):
     return M.weighted_quantile_loss(M.quantile_metrics(bt.forecast, bt.holdout, EVAL_QS), im)
 
 
+@register("metric_projection", ["model", "item_id", "msis", "mase", "smape"], ["msis", "mase", "smape"],
+          O.with_(_EVAL, "SELECT model, item_id, msis, mase, smape FROM im"))
+def q_metric_projection(spark, d):
+    """The metric-versus-metric view (MSIS against MASE) and the per-series sMAPE."""
+    bt = _eval_backtest(spark, d)
+    return M.item_metrics(bt.forecast, bt.holdout, bt.history, M_SEASON).select(
+        "model", "item_id", "msis", "mase", "smape")
+
+
 _AGG_NAMES = ["MSE", "abs_error", "abs_target_sum", "abs_target_mean", "seasonal_error", "MASE", "MAPE",
               "sMAPE", "MSIS", "RMSE", "NRMSE", "ND"]
 
@@ -567,8 +581,16 @@ def q_ar_forecast(spark, d):
     return autoreg.ar_forecast(hist, H, M_SEASON, None, "1 hour", EVAL_QS)
 
 
-def choose_models(spark, d):
-    bt = backtest_all(_hourly(spark, d), _leaderboard_models(), H)
+@register("choose_model", FC_COLS, ["quantile", "value"],
+          O.with_(O.hourly() + O.split() + [O.seasonal_naive(24, name="sn24"),
+                                            O.seasonal_naive(168, name="sn168")]
+                  + O.npts(LB_QS) + [O.context_mean(),
+                                     ("fc", "SELECT * FROM sn24 UNION ALL SELECT * FROM sn168 UNION ALL "
+                                            "SELECT * FROM np UNION ALL SELECT * FROM cm")],
+                  "SELECT * FROM fc WHERE model = 'npts'"))
+def q_choose_model(spark, d):
+    """Pick one predictor's forecast by name out of the multi-model backtest."""
+    bt = backtest_all(_grid(spark, d), _leaderboard_models(), H)
     return choose(bt.forecast, "npts")
 
 
