@@ -144,3 +144,34 @@ def test_m7_configure_hook_replaces_by_name(spark):
     fc = fourier.fourier_forecast(g, 24, seasonalities=(DAILY,),
                                   configure=fourier.add_seasonality("weekly", 7, 3, 0.1), quantiles=(0.5,))
     assert fc.count() == 24 * 2
+
+
+def test_ar_p_matches_hand_recursion(spark):
+    import random
+    rnd = random.Random(5)
+    m, p = 24, 3
+    vals = [float(i % m) for i in range(m)]
+    d = [0.0, 0.0, 0.0]
+    for i in range(m, m * 12):
+        nd = 0.3 + 0.5 * d[-1] - 0.2 * d[-2] + 0.1 * d[-3] + rnd.gauss(0, 0.2)
+        d.append(nd)
+        vals.append(vals[i - m] + nd)
+    g = grid_df(spark, hourly_rows("a", vals))
+    beta = autoreg.fit_ar(g, p, m).first().beta
+    assert beta[1] == pytest.approx(0.5, abs=0.15) and beta[2] == pytest.approx(-0.2, abs=0.15)
+    fc = values(autoreg.ar_p_forecast(g, 50, p, m, quantiles=(0.5,)))
+    y = list(vals)
+    dd = [y[-k] - y[-k - m] for k in (3, 2, 1)]
+    for h in range(50):
+        nxt = beta[0] + sum(beta[1 + i] * dd[-1 - i] for i in range(p))
+        dd.append(nxt)
+        y.append(y[-m] + nxt)
+    assert fc == pytest.approx(y[-50:], rel=1e-9, abs=1e-9)
+
+
+def test_ar_p1_general_equals_closed_form(spark):
+    vals = [float((i * 5) % 13) + 0.01 * i for i in range(24 * 6)]
+    g = grid_df(spark, hourly_rows("a", vals))
+    a = values(autoreg.ar_forecast(g, 30, 24, quantiles=(0.5,)))
+    b = values(autoreg.ar_p_forecast(g, 30, 1, 24, quantiles=(0.5,)))
+    assert a == pytest.approx(b, rel=1e-6, abs=1e-6)

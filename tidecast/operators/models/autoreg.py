@@ -5,6 +5,9 @@
 needs no recursion: ``d̂(h) = c·(1−φ^h)/(1−φ) + φ^h·d_T`` in closed form, and
 ``ŷ(T+h) = y(T+h−(J+1)m) + Σ_{j=0..J} d̂(h−j·m)`` — the seasonal-naive base plus the
 summed differences, evaluated with ``aggregate`` over a short ``sequence`` in the JVM.
+
+AR(p) for p > 1 (``fit_ar``/``ar_p_forecast``) fits from per-series Gram sums and rolls
+the differences forward with ``aggregate`` over ``1..H`` carrying the last ``p`` values.
 """
 
 from __future__ import annotations
@@ -84,3 +87,70 @@ def ar_forecast(history: DataFrame, horizon: int, season_length: int = 24,
                    (F.col("y_base") + summed).alias("value"),
                    (F.col("sigma") * F.sqrt((n_terms + 1).cast("double"))).alias("sigma"))
     return gaussian_rows(out, model, quantiles)
+
+
+# ----------------------------------------------------------------------------- AR(p)
+
+def lagged_differences(history: DataFrame, p: int, season_length: int = 24,
+                       trunc_length: int | None = None) -> DataFrame:
+    """``(item_id, step, n_steps, d, d_lag1 … d_lagp)`` on the (truncated) history."""
+    h = history
+    if trunc_length:
+        h = h.filter(F.col("step") >= F.col("n_steps") - trunc_length)
+    w = Window.partitionBy("item_id").orderBy("step")
+    d = h.select("item_id", "step", "n_steps",
+                 (F.col("target") - F.lag("target", season_length).over(w)).alias("d"))
+    return d.select("*", *[F.lag("d", i).over(w).alias(f"d_lag{i}") for i in range(1, p + 1)])
+
+
+def fit_ar(history: DataFrame, p: int = 2, season_length: int = 24,
+           trunc_length: int | None = None, ridge: float = 1e-8) -> DataFrame:
+    """Per series ``beta = [c, φ1 … φp]`` (φ1 on the latest difference) and ``sigma``."""
+    from tidecast.operators.models import linear
+    d = lagged_differences(history, p, season_length, trunc_length)
+    names = ["const"] + [f"d_lag{i}" for i in range(1, p + 1)]
+    rows = d.withColumn("const", F.lit(1.0)).dropna(subset=["d"] + names[1:])
+    g = linear.gram_sums(rows, "item_id", names, "d")
+    return linear.solve(g, "item_id", names, [ridge] * len(names))
+
+
+def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: int = 24,
+                  trunc_length: int | None = None, freq: str = "1 hour",
+                  quantiles: Sequence[float] = (0.1, 0.5, 0.9), model: str | None = None) -> DataFrame:
+    """Seasonal AR(p): the differences roll forward by ``aggregate`` over ``1..H`` with the
+    last ``p`` values as state (all in the JVM), then integrate seasonally as AR(1) does."""
+    m = season_length
+    model = model or f"seasonal_ar{p}"
+    fit = fit_ar(history, p, m, trunc_length)
+    d = lagged_differences(history, p, m, trunc_length)
+    last = (d.filter((F.col("step") >= F.col("n_steps") - p) & F.col("d").isNotNull())
+             .groupBy("item_id")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "d"))), lambda x: x["d"]).alias("w0")))
+    per = fit.join(last, "item_id").filter(F.size("w0") == p)
+    phis = F.slice(F.col("beta"), 2, p)
+    c = F.col("beta")[0]
+    init = F.struct(F.col("w0").alias("w"), F.array().cast("array<double>").alias("out"))
+
+    def step(acc, _h):
+        nxt = c + F.aggregate(F.zip_with(phis, F.reverse(acc["w"]), lambda a, b: a * b),
+                              F.lit(0.0), lambda x, y: x + y)
+        window = F.concat(F.slice(acc["w"], 2, p - 1), F.array(nxt)) if p > 1 else F.array(nxt)
+        return F.struct(window.alias("w"), F.concat(acc["out"], F.array(nxt)).alias("out"))
+
+    dh = per.select("item_id", "sigma",
+                    F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step,
+                                lambda acc: acc["out"]).alias("dhat"))
+    n, stp = F.col("n_steps"), F.col("step")
+    base = (history.filter((n >= m) & (stp >= n - m))
+                   .withColumn("p", stp - (n - m)).filter(F.col("p") + 1 <= horizon)
+                   .select("item_id", "p", F.col("target").alias("y_base"), last_ts(freq).alias("t_end")))
+    j = (base.join(dh, "item_id")
+             .select("item_id", "y_base", "t_end", "p", "sigma", "dhat",
+                     F.explode(F.sequence(F.col("p") + 1, F.lit(horizon), F.lit(m))).alias("h")))
+    n_terms = F.floor((F.col("h") - F.col("p") - 1) / F.lit(m)).cast("int")
+    summed = F.aggregate(F.sequence(F.lit(0), n_terms), F.lit(0.0),
+                         lambda acc, jj: acc + F.element_at(F.col("dhat"), (F.col("h") - jj * F.lit(m)).cast("int")))
+    out = j.select("item_id", F.col("h").alias("step"), add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"),
+                   (F.col("y_base") + summed).alias("value"),
+                   (F.col("sigma") * F.sqrt((n_terms + 1).cast("double"))).alias("sigma"))
+    return gaussian_rows(out, model, quantiles)

@@ -594,6 +594,13 @@ def q_choose_model(spark, d):
     return choose(bt.forecast, "npts")
 
 
+@register("ar2_forecast", FC_COLS, ["quantile", "value"])
+def q_ar2_forecast(spark, d):
+    """M4 with p = 2: seasonal AR(2) from Gram sums, rolled forward in the JVM."""
+    hist = S.train_part(_grid(spark, d), H)
+    return autoreg.ar_p_forecast(hist, H, 2, M_SEASON, None, "1 hour", EVAL_QS)
+
+
 @register("global_ar", FC_COLS, ["quantile", "value"])
 def q_global_ar(spark, d):
     """M5: one pooled regression over all series (lags ≥ H, calendar, category)."""
