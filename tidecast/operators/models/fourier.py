@@ -4,8 +4,8 @@ The fit is split the Spark way:
 
 1. one ``groupBy(item_id)`` computes the Gram sums ``Σ x_i x_j``, ``Σ x_i y``, ``Σ y²``
    (a partial aggregate, so a long series is summed in many tasks);
-2. ``mapInPandas`` solves the ``k×k`` ridge system of every series — one small row in,
-   one coefficient array out, batched through numpy, no grouping shuffle;
+2. ``linear.solve`` (``mapInPandas``) solves the ``k×k`` ridge system of every series —
+   one small row in, one coefficient array out, batched through numpy, no shuffle;
 3. the forecast is a dot product of the coefficient array with the future rows'
    features, all inside the JVM.
 """
@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.features import DEFAULT_SEASONALITIES, Seasonality, fourier_terms
 from tidecast.functions.time import freq_days
+from tidecast.operators.models import linear
 from tidecast.operators.models.base import future_steps, gaussian_rows
 
 # ridge weight of the intercept and trend (almost unpenalised)
@@ -38,9 +37,7 @@ def design(ts: Column, step: Column, freq: str,
 
 
 def gram_pairs(names: Sequence[str]) -> list[tuple[str, str]]:
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    pairs += [(a, "y") for a in names] + [("y", "y")]
-    return pairs
+    return linear.pairs(names)
 
 
 def gram_sums(history: DataFrame, freq: str = "1 hour",
@@ -75,47 +72,16 @@ def gram_long(gram: DataFrame, names: Sequence[str]) -> DataFrame:
                 .select("item_id", "e.term_pair", "e.value"))
 
 
-def _solver(names: list[str], penalties: list[float]):
-    k = len(names)
-    iu = [(i, j) for i in range(k) for j in range(i, k)]
-
-    def solve(batches):
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            g = np.zeros((m, k, k))
-            for i, j in iu:
-                v = pdf[f"g__{names[i]}__{names[j]}"].to_numpy(dtype=float)
-                g[:, i, j] = v
-                g[:, j, i] = v
-            xy = np.stack([pdf[f"g__{a}__y"].to_numpy(dtype=float) for a in names], axis=1)
-            yy = pdf["g__y__y"].to_numpy(dtype=float)
-            n = pdf["n"].to_numpy(dtype=float)
-            scale = np.where(pdf["abs_sum"].to_numpy(dtype=float) > 0,
-                             pdf["abs_sum"].to_numpy(dtype=float) / np.maximum(n, 1.0), 1.0)
-            xy_s = xy / scale[:, None]
-            yy_s = yy / (scale * scale)
-            a = g + np.diag(penalties)[None, :, :]
-            beta = np.linalg.solve(a, xy_s[:, :, None])[:, :, 0]
-            # residual sum of squares from the Gram sums: y'y − 2β'X'y + β'X'Xβ
-            rss = yy_s - 2 * np.einsum("mi,mi->m", beta, xy_s) + np.einsum("mi,mij,mj->m", beta, g, beta)
-            sigma = np.sqrt(np.maximum(rss, 0.0) / np.maximum(n, 1.0)) * scale
-            yield pd.DataFrame({"item_id": pdf["item_id"],
-                                "beta": list(beta * scale[:, None]),
-                                "sigma": sigma})
-    return solve
-
-
 def fit_fourier(history: DataFrame, freq: str = "1 hour",
                 seasonalities=DEFAULT_SEASONALITIES) -> DataFrame:
-    """Per-series coefficients ``(item_id, beta ARRAY<DOUBLE>, sigma)``."""
+    """Per-series coefficients ``(item_id, beta ARRAY<DOUBLE>, sigma)``; each series is
+    solved on ``y / mean|y|`` so the ridge penalties mean the same for every series."""
     d = design(F.col("ts"), F.col("step"), freq, seasonalities)
     names = [n for n, _, _ in d]
     penalties = [p for _, _, p in d]
     g = gram_sums(history, freq, seasonalities)
-    return g.mapInPandas(_solver(names, penalties),
-                         "item_id STRING, beta ARRAY<DOUBLE>, sigma DOUBLE")
+    g = g.withColumn("scale", F.col("abs_sum") / F.col("n"))
+    return linear.solve(g, "item_id", names, penalties, scale="scale", dof_correction=False)
 
 
 def configured(seasonalities=DEFAULT_SEASONALITIES,

@@ -29,8 +29,14 @@ def gram_sums(rows: DataFrame, key: str, names: Sequence[str], target: str = "y"
     return x.groupBy(key).agg(*aggs)
 
 
-def solve(gram: DataFrame, key: str, names: Sequence[str], penalties: Sequence[float]) -> DataFrame:
-    """``(key, beta ARRAY<DOUBLE>, sigma DOUBLE)``: ridge solution and residual RMS."""
+def solve(gram: DataFrame, key: str, names: Sequence[str], penalties: Sequence[float],
+          scale: str | None = None, dof_correction: bool = True) -> DataFrame:
+    """``(key, beta ARRAY<DOUBLE>, sigma DOUBLE)``: ridge solution and residual RMS.
+
+    scale: optional Gram column holding a per-series scale ``s``; the system is solved
+    for ``y/s`` (so the ridge penalty means the same for every series) and the
+    coefficients and ``sigma`` are returned in the original units.
+    """
     names = list(names)
     k = len(names)
     iu = [(i, j) for i in range(k) for j in range(i, k)]
@@ -49,10 +55,13 @@ def solve(gram: DataFrame, key: str, names: Sequence[str], penalties: Sequence[f
             xy = np.stack([pdf[f"g__{a}__y"].to_numpy(dtype=float) for a in names], axis=1)
             yy = pdf["g__y__y"].to_numpy(dtype=float)
             n = np.maximum(pdf["n"].to_numpy(dtype=float), 1.0)
+            s = pdf[scale].to_numpy(dtype=float) if scale else np.ones(m)
+            s = np.where(np.isfinite(s) & (s > 0), s, 1.0)
+            xy, yy = xy / s[:, None], yy / (s * s)
             beta = np.linalg.solve(g + pen[None, :, :], xy[:, :, None])[:, :, 0]
             rss = yy - 2 * np.einsum("mi,mi->m", beta, xy) + np.einsum("mi,mij,mj->m", beta, g, beta)
-            dof = np.maximum(n - k, 1.0)
-            yield pd.DataFrame({key: pdf[key], "beta": list(beta),
-                                "sigma": np.sqrt(np.maximum(rss, 0.0) / dof)})
+            dof = np.maximum(n - k, 1.0) if dof_correction else n
+            yield pd.DataFrame({key: pdf[key], "beta": list(beta * s[:, None]),
+                                "sigma": np.sqrt(np.maximum(rss, 0.0) / dof) * s})
 
     return gram.mapInPandas(run, f"{key} STRING, beta ARRAY<DOUBLE>, sigma DOUBLE")
