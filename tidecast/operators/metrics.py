@@ -71,14 +71,21 @@ def point_metrics(paired: DataFrame, by: Sequence[str] = ("model", "item_id"),
 
 
 def pooled_metrics(paired: DataFrame, zero_pair: str = "nan") -> DataFrame:
-    """Per model: RMSE and MAE pooled over every cell, sMAPE as the mean of item sMAPEs."""
+    """Per model: RMSE and MAE pooled over every cell, sMAPE as the mean of item sMAPEs.
+
+    Two-level aggregation (items, then model) — per-item partial sums carry the pooled
+    parts up, so no join on the model key is needed.
+    """
     y, f = _yf()
-    per_item = point_metrics(paired, ("model", "item_id"), zero_pair)
-    pooled = paired.groupBy("model").agg(F.sqrt(F.avg((f - y) * (f - y))).alias("rmse"),
-                                         F.avg(F.abs(f - y)).alias("mae"),
-                                         F.avg(y).alias("mean_y"))
-    smape = per_item.groupBy("model").agg(F.avg("smape").alias("smape"))
-    return pooled.join(smape, "model")
+    per_item = paired.groupBy("model", "item_id").agg(
+        F.sum((f - y) * (f - y)).alias("sse"), F.sum(F.abs(f - y)).alias("sae"),
+        F.sum(y).alias("sy"), F.count(F.lit(1)).alias("n"),
+        F.avg(smape_term(zero_pair)).alias("smape"))
+    return per_item.groupBy("model").agg(
+        F.sqrt(F.sum("sse") / F.sum("n")).alias("rmse"),
+        (F.sum("sae") / F.sum("n")).alias("mae"),
+        (F.sum("sy") / F.sum("n")).alias("mean_y"),
+        F.avg("smape").alias("smape"))
 
 
 def summed_series_metrics(paired: DataFrame, zero_pair: str = "nan",
@@ -161,17 +168,19 @@ def quantile_metrics(forecast: DataFrame, holdout: DataFrame,
     q = F.col("quantile")
     return (j.groupBy("model", "item_id", "quantile")
              .agg((2 * F.sum(F.abs((f - y) * ((y <= f).cast("double") - q)))).alias("quantile_loss"),
-                  F.avg((y < f).cast("double")).alias("coverage")))
+                  F.avg((y < f).cast("double")).alias("coverage"),
+                  F.sum(F.abs(y)).alias("abs_target_sum")))
 
 
-def weighted_quantile_loss(qm: DataFrame, im: DataFrame) -> DataFrame:
-    """Per (model, quantile): Σ quantile loss ÷ Σ|y| over items."""
-    ql = qm.groupBy("model", "quantile").agg(F.sum("quantile_loss").alias("ql"),
-                                             F.avg("coverage").alias("coverage"))
-    den = im.groupBy("model").agg(F.sum("abs_target_sum").alias("den"))
-    return (ql.join(den, "model")
-              .select("model", "quantile", ratio(F.col("ql"), F.col("den")).alias("wql"),
-                      "coverage"))
+def weighted_quantile_loss(qm: DataFrame) -> DataFrame:
+    """Per (model, quantile): Σ quantile loss ÷ Σ|y| over items.
+
+    Each quantile row carries its item's Σ|y|, so one aggregate gives both sums.
+    """
+    return (qm.groupBy("model", "quantile")
+              .agg(F.sum("quantile_loss").alias("ql"), F.sum("abs_target_sum").alias("den"),
+                   F.avg("coverage").alias("coverage"))
+              .select("model", "quantile", ratio(F.col("ql"), F.col("den")).alias("wql"), "coverage"))
 
 
 def agg_metrics(im: DataFrame, qm: DataFrame) -> DataFrame:
@@ -197,7 +206,7 @@ def agg_metrics(im: DataFrame, qm: DataFrame) -> DataFrame:
                                                            F.col(n).cast("double").alias("value"))
                                                  for n in names])).alias("m"))
     base = base.select("model", "m.metric", "m.value")
-    wq = weighted_quantile_loss(qm, im)
+    wq = weighted_quantile_loss(qm)
     per_q = wq.select("model", F.explode(F.array(
         F.struct(F.concat(F.lit("wQuantileLoss["), F.col("quantile").cast("string"), F.lit("]")).alias("metric"),
                  F.col("wql").alias("value")),

@@ -516,8 +516,7 @@ def q_coverage(spark, d):
 def q_weighted_quantile_loss(spark, d):
     """Quantile loss weighted by Σ|y| per quantile."""
     bt = _eval_backtest(spark, d)
-    im = M.item_metrics(bt.forecast, bt.holdout, bt.history, M_SEASON)
-    return M.weighted_quantile_loss(M.quantile_metrics(bt.forecast, bt.holdout, EVAL_QS), im)
+    return M.weighted_quantile_loss(M.quantile_metrics(bt.forecast, bt.holdout, EVAL_QS))
 
 
 @register("metric_projection", ["model", "item_id", "msis", "mase", "smape"], ["msis", "mase", "smape"],
