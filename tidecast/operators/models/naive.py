@@ -55,7 +55,7 @@ def context_mean(history: DataFrame, horizon: int, context_length: int = 168,
 def kernel_resample(history: DataFrame, horizon: int, context_length: int = 168,
                     season_length: int = 24, decay: float = 0.5, freq: str = "1 hour",
                     quantiles: Sequence[float] = (0.1, 0.5, 0.9),
-                    model: str = "npts") -> DataFrame:
+                    model: str = "resample") -> DataFrame:
     """Non-parametric forecast from the past values of the same phase (M2).
 
     Candidates for a step are the context values whose position has the same phase

@@ -24,6 +24,8 @@ from tidecast.plans import oracle as O
 from tidecast.plans.backtest import backtest, backtest_all, choose, leaderboard
 from tidecast.session import materialize
 
+# Fixed values of the workload: 72-hour horizon, 24-hour season, one week of context,
+# scored at the 0.7 quantile, evaluator quantiles 0.1/0.5/0.9, 100 sample paths.
 H, M_SEASON, CTX = 72, 24, 168
 TARGET_Q = 0.7
 EVAL_QS = (0.1, 0.5, 0.9)
@@ -93,7 +95,7 @@ def _sn(hist, h):
     return naive.seasonal_naive(hist, h, M_SEASON, "1 hour", (TARGET_Q,))
 
 
-def _npts(qs):
+def _resample(qs):
     return lambda hist, h: naive.kernel_resample(hist, h, CTX, M_SEASON, 0.5, "1 hour", qs)
 
 
@@ -304,7 +306,7 @@ def q_seasonal_naive(spark, d):
 
 
 @register("resample_quantiles", FC_COLS, ["quantile", "value"],
-          O.with_(O.hourly() + O.split() + O.npts(EVAL_QS), "SELECT * FROM np"))
+          O.with_(O.hourly() + O.split() + O.resample(EVAL_QS), "SELECT * FROM np"))
 def q_resample_quantiles(spark, d):
     """Kernel-weighted same-phase resampling, quantiles 0.1/0.5/0.9 + mean."""
     hist = S.train_part(_grid(spark, d), H)
@@ -372,7 +374,7 @@ def _leaderboard_models():
     return {
         "seasonal_naive_24": lambda h, n: naive.seasonal_naive(h, n, 24, "1 hour", LB_QS),
         "seasonal_naive_168": lambda h, n: naive.seasonal_naive(h, n, 168, "1 hour", LB_QS),
-        "npts": _npts(LB_QS),
+        "resample": _resample(LB_QS),
         "mean": lambda h, n: naive.context_mean(h, n, CTX, "1 hour", LB_QS),
     }
 
@@ -380,7 +382,7 @@ def _leaderboard_models():
 @register("leaderboard", ["model"] + POINT_COLS, POINT_DOUBLES,
           O.with_(O.hourly() + O.split() + [O.seasonal_naive(24, name="sn24"),
                                             O.seasonal_naive(168, name="sn168")]
-                  + O.npts(LB_QS) + [O.context_mean(),
+                  + O.resample(LB_QS) + [O.context_mean(),
                                      ("fc", "SELECT * FROM sn24 UNION ALL SELECT * FROM sn168 UNION ALL "
                                             "SELECT * FROM np UNION ALL SELECT * FROM cm"),
                                      O.paired("fc")], O.summed()))
@@ -431,7 +433,7 @@ def q_metric_histogram(spark, d):
 
 @register("prediction_intervals", ["model", "item_id", "step", "ts", "median", "lo50", "hi50", "lo90", "hi90"],
           ["median", "lo50", "hi50", "lo90", "hi90"],
-          O.with_(O.hourly() + O.split() + O.npts(INTERVAL_QS),
+          O.with_(O.hourly() + O.split() + O.resample(INTERVAL_QS),
                   "SELECT model, item_id, step, ts, max(CASE WHEN quantile = 0.5 THEN value END) AS median, "
                   "max(CASE WHEN quantile = 0.25 THEN value END) AS lo50, max(CASE WHEN quantile = 0.75 THEN value END) AS hi50, "
                   "max(CASE WHEN quantile = 0.05 THEN value END) AS lo90, max(CASE WHEN quantile = 0.95 THEN value END) AS hi90 "
@@ -475,7 +477,7 @@ def q_describe_forecast(spark, d):
 # ----------------------------------------------------------------------------- E1–E9
 
 def _eval_backtest(spark, d, qs=MSIS_QS):
-    return backtest(_grid(spark, d), _npts(qs), H)
+    return backtest(_grid(spark, d), _resample(qs), H)
 
 
 @register("seasonal_error", ["item_id", "seasonal_error"], ["seasonal_error"],
@@ -485,7 +487,7 @@ def q_seasonal_error(spark, d):
     return M.seasonal_error(S.train_part(_grid(spark, d), H), M_SEASON)
 
 
-_EVAL = O.hourly() + O.split() + O.npts(MSIS_QS) + O.item_metrics_sql("np")
+_EVAL = O.hourly() + O.split() + O.resample(MSIS_QS) + O.item_metrics_sql("np")
 
 
 @register("item_metrics", IM_COLS, IM_COLS[2:], O.with_(_EVAL, "SELECT * FROM im"))
@@ -583,14 +585,14 @@ def q_ar_forecast(spark, d):
 @register("choose_model", FC_COLS, ["quantile", "value"],
           O.with_(O.hourly() + O.split() + [O.seasonal_naive(24, name="sn24"),
                                             O.seasonal_naive(168, name="sn168")]
-                  + O.npts(LB_QS) + [O.context_mean(),
+                  + O.resample(LB_QS) + [O.context_mean(),
                                      ("fc", "SELECT * FROM sn24 UNION ALL SELECT * FROM sn168 UNION ALL "
                                             "SELECT * FROM np UNION ALL SELECT * FROM cm")],
-                  "SELECT * FROM fc WHERE model = 'npts'"))
+                  "SELECT * FROM fc WHERE model = 'resample'"))
 def q_choose_model(spark, d):
     """Pick one predictor's forecast by name out of the multi-model backtest."""
     bt = backtest_all(_grid(spark, d), _leaderboard_models(), H)
-    return choose(bt.forecast, "npts")
+    return choose(bt.forecast, "resample")
 
 
 @register("ar2_forecast", FC_COLS, ["quantile", "value"])

@@ -15,7 +15,7 @@ from tidecast.operators.metrics import HISTOGRAM_EDGES
 from tidecast.operators.models.fourier import gram_pairs
 
 H, M, C = 72, 24, 168          # notebook preset: horizon, season, context
-NPTS_DECAY = 0.5
+RESAMPLE_DECAY = 0.5
 
 
 def with_(ctes: Sequence[tuple[str, str]], final: str) -> str:
@@ -80,8 +80,8 @@ def context_mean(c: int = C, h: int = H, name: str = "cm", model: str = "mean")
             f"WHERE a.item_id = l.item_id")
 
 
-def npts(quantiles: Sequence[float], h: int = H, c: int = C, m: int = M, decay: float = NPTS_DECAY,
-         model: str = "npts", name: str = "np") -> list[tuple[str, str]]:
+def resample(quantiles: Sequence[float], h: int = H, c: int = C, m: int = M, decay: float = RESAMPLE_DECAY,
+         model: str = "resample", name: str = "np") -> list[tuple[str, str]]:
     """Kernel-weighted same-phase resampling; one row per (step, quantile) + mean."""
     qcols = ", ".join(f"min(CASE WHEN cum_w >= {float(q)!r} * tot_w THEN target END) AS v_{i}"
                       for i, q in enumerate(quantiles))
