@@ -362,15 +362,16 @@ def join_covariates(series: DataFrame, cov: DataFrame, n_features: int,
 def static_categories(df: DataFrame, category: str, cat_index: int = 0) -> DataFrame:
     """``(item_id, cat_index, category INT)``: dense index of a categorical column.
 
-    Category columns are low-cardinality by nature (17 in the workload), so ranking
-    their distinct values in one window is bounded; the item table is then joined to
-    that small dictionary.
+    Category columns are low-cardinality by nature (17 in the workload): their distinct
+    values are ranked in one small window, and the item table is joined to that
+    dictionary.  The join carries no broadcast hint — AQE broadcasts it only when its
+    measured size is under the threshold, so a high-cardinality column stays correct.
     """
     values = df.select(category).distinct()
     dictionary = values.select(category, (F.dense_rank().over(Window.orderBy(category)) - 1)
                                .cast("int").alias("category_code"))
     pairs = df.select("item_id", category).distinct()
-    return (pairs.join(F.broadcast(dictionary), category)
+    return (pairs.join(dictionary, category)
                  .select("item_id", F.lit(cat_index).alias("cat_index"),
                          F.col("category_code").alias("category")))
 

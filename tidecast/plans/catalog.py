@@ -229,6 +229,21 @@ def q_feature_channels(spark, d):
     return S.join_covariates(grid.select("item_id", "ts", "target"), back, 2)
 
 
+@register("covariate_join", ["item_id", "ts", "target", "feat_0", "feat_1", "cat_index", "category"],
+          ["target", "feat_0", "feat_1"],
+          O.with_(O.hourly() + [("cats", "SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) "
+                                         "AS category FROM (SELECT DISTINCT item_id FROM series)")],
+                  "SELECT s.item_id, s.ts, s.target, CAST(hour(s.ts) AS DOUBLE) AS feat_0, "
+                  "CAST(isodow(s.ts) - 1 AS DOUBLE) AS feat_1, 0 AS cat_index, c.category "
+                  "FROM series s LEFT JOIN cats c USING (item_id)"))
+def q_covariate_join(spark, d):
+    """Dynamic features (pivoted channels) and the static category on every point."""
+    grid = _grid(spark, d)
+    cats = S.static_categories(grid, "item_id")
+    out = S.join_covariates(grid.select("item_id", "ts", "target"), S.calendar_covariates(grid), 2, cats)
+    return out.withColumn("cat_index", F.col("cat_index").cast("int"))
+
+
 @register("feature_mean", ["ts", "feat_index", "value"], ["value"],
           O.with_(O.hourly() + [("keep", f"SELECT item_id FROM series GROUP BY 1 HAVING count(*) >= {H}")],
                   "SELECT ts, feat_index, sum(v) / (SELECT count(DISTINCT item_id) FROM series) AS value FROM ("
