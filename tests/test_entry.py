@@ -47,6 +47,10 @@ def test_query_matches_duckdb_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows([tuple(r) for r in df.collect()], df.columns) == _rows(cur.fetchall(), dcols)
+    # same Arrow types column by column (INT vs BIGINT, DATE vs TIMESTAMP …)
+    s_types = {f.name: str(f.type) for f in df.toArrow().schema}
+    d_types = {f.name: str(f.type) for f in duck.sql(E.oracle_sql()[name]).arrow().schema}
+    assert s_types == d_types
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))

@@ -254,7 +254,7 @@ def metric_histogram(item_metrics_df: DataFrame, metric: str,
     buckets = spark.createDataFrame(
         [(i, float(edges[i]), float(edges[i + 1])) for i in range(len(edges) - 1)],
         "bucket INT, lo DOUBLE, hi DOUBLE")
-    return (F.broadcast(buckets).join(counts, "bucket", "left")
+    return (buckets.join(F.broadcast(counts), "bucket", "left")
             .select("bucket", "lo", "hi", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
