@@ -97,3 +97,38 @@ def test_gaps_become_nulls_and_shift_nothing(spark):
     g = S.regularise(series_df(spark, rows), "1 hour").orderBy("step").collect()
     assert [r.target for r in g] == [1.0, None, None, None, None, 6.0]
     assert g[-1].ts == T0 + timedelta(hours=5)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(min_value=0, max_value=30),
+                          st.integers(min_value=-5, max_value=5)),
+                min_size=1, max_size=40, unique_by=lambda t: (t[0], t[1])),
+       st.integers(min_value=1, max_value=8))
+def test_grid_and_splits_match_python(spark, pts, horizon):
+    from datetime import timedelta
+    from conftest import T0
+    rows = [(i, T0 + timedelta(hours=h), float(v)) for i, h, v in pts]
+    g = S.regularise(series_df(spark, rows), "1 hour", fill=0.0)
+    got = {(r.item_id, r.step): r.target for r in g.collect()}
+    want = {}
+    for item in {i for i, _, _ in pts}:
+        hours = {h: float(v) for i, h, v in pts if i == item}
+        lo, hi = min(hours), max(hours)
+        for k in range(hi - lo + 1):
+            want[(item, k)] = hours.get(lo + k, 0.0)
+    assert got == want
+    # holdout = last `horizon` grid points, train = the rest (slicing semantics)
+    split = {(r.item_id, r.ts): r.split for r in S.holdout_split(g, horizon).collect()}
+    raw = {(r.item_id, r.ts): r.split for r in S.holdout_split(series_df(spark, rows), horizon).collect()}
+    for item in {i for i, _, _ in pts}:
+        ts_grid = sorted(t for (i, t) in split if i == item)
+        assert [split[(item, t)] for t in ts_grid] == ["train"] * max(len(ts_grid) - horizon, 0) + \
+            ["holdout"] * min(horizon, len(ts_grid))
+        ts_raw = sorted(t for (i, t) in raw if i == item)
+        assert [raw[(item, t)] for t in ts_raw] == ["train"] * max(len(ts_raw) - horizon, 0) + \
+            ["holdout"] * min(horizon, len(ts_raw))
+    ctx = S.context(g, 3, horizon).collect()
+    for item in {i for i, _, _ in pts}:
+        n = sum(1 for (i, _) in want if i == item)
+        steps = sorted(r.step for r in ctx if r.item_id == item)
+        assert steps == list(range(max(n - horizon - 3, 0), max(n - horizon, 0)))
