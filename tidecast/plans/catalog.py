@@ -678,3 +678,18 @@ def q_global_ar_scheduled(spark, d):
     grid = materialize(D.orders_daily(spark, d), "orders_daily", REUSE)
     hist = S.train_part(grid, 168)
     return global_ar.global_ar_forecast(hist, 168, "1 day", EVAL_QS, None, DAILY_M)
+
+
+# ----------------------------------------------------------------------------- R1
+
+@register("incremental_cells", ["item_id", "ts", "target"], ["target"],
+          O.with_([O.cells()], "SELECT item_id, ts, target FROM cells"))
+def q_incremental_cells(spark, d):
+    """Events ingested by an availableNow file stream (progress checkpointed in the
+    shared folder), each micro-batch appended as hourly cents totals, the table read
+    back.  A rerun sees no new file and returns the same table."""
+    import hashlib
+    import os
+    from tidecast.streaming.ingest import ingest_cells
+    name = "events_" + hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
+    return ingest_cells(spark, d, "events", name, "1 hour")

@@ -60,3 +60,42 @@ def append_to_table(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("batch_id").format(fmt).save(path))
     return run
+
+
+def stream_root(spark: SparkSession) -> str:
+    """Shared folder for stream state and tables: ``spark.checkpoint.dir``; when a session
+    has none, the session's (shared) warehouse location."""
+    try:
+        return checkpoint_root(spark).rstrip("/")
+    except RuntimeError:
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidecast_streams"
+
+
+def stream_parquet_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Streaming read of ``<folder>/<table>*.parquet`` (new files are picked up as they land)."""
+    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    return spark.readStream.schema(schema).option("basePath", folder).parquet(f"{folder}/{table}*.parquet")
+
+
+def cells_batch_writer(path: str, freq: str, item: str, ts: str, value: str):
+    """``foreachBatch`` handler: sum each micro-batch into ``(item, cell)`` cents totals and
+    write them under ``batch_id=<epoch>`` (a replayed batch overwrites only itself)."""
+    from tidecast.functions.time import bucket
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        cells = (batch.groupBy(F.col(item).cast("string").alias("item_id"), bucket(ts, freq).alias("ts"))
+                      .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("cents")))
+        append_to_table(path)(cells, epoch)
+    return run
+
+
+def ingest_cells(spark: SparkSession, folder: str, table: str, name: str, freq: str = "1 hour",
+                 item: str = "event_type", ts: str = "ts", value: str = "value") -> DataFrame:
+    """R1 end to end: ingest whatever is new in ``folder/table*``, append its cells, and
+    return the whole cell table (cells summed over every batch so far, exactly)."""
+    base = f"{stream_root(spark)}/tidecast-ingest/{name}"
+    stream = stream_parquet_table(spark, folder, table)
+    ingest_available(spark, stream, name, cells_batch_writer(f"{base}/table", freq, item, ts, value),
+                     f"{base}/checkpoint")
+    return (spark.read.parquet(f"{base}/table")
+                 .groupBy("item_id", "ts").agg(F.sum("cents").cast("double").alias("target")))
