@@ -175,3 +175,13 @@ def test_ar_p1_general_equals_closed_form(spark):
     a = values(autoreg.ar_forecast(g, 30, 24, quantiles=(0.5,)))
     b = values(autoreg.ar_p_forecast(g, 30, 1, 24, quantiles=(0.5,)))
     assert a == pytest.approx(b, rel=1e-6, abs=1e-6)
+
+
+def test_residual_pool_is_exact_nearest_rank(spark):
+    vals = [float((i * 7) % 24) + (i // 24) for i in range(24 * 5)]
+    g = grid_df(spark, hourly_rows("a", vals))
+    pool = samples.residual_pool(g, 24, levels=10).first().pool
+    import numpy as np
+    res = sorted(vals[i] - vals[i - 24] for i in range(24, len(vals)))
+    want = [res[int(np.round((len(res) - 1) * ((k + 0.5) / 10)))] for k in range(10)]
+    assert pool == want

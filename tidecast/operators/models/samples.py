@@ -1,7 +1,6 @@
 """Sample paths (M6): point forecast + residuals drawn by hash, not by a random stream.
 
-Each series' residuals are summarised into ``levels`` evenly spaced quantiles with
-``percentile_approx`` (a mergeable sketch — a long series never sits in one task),
+Each series' residuals are summarised into ``levels`` evenly spaced exact quantiles,
 and sample ``s`` of step ``h`` takes residual number
 ``pmod(xxhash64(item_id, h, s, seed), levels)``.  The draw depends only on the row's
 own keys, so the samples are identical however the data is partitioned or re-run
@@ -18,12 +17,28 @@ from tidecast.schema import SAMPLES
 
 
 def residual_pool(history: DataFrame, season_length: int = 24, levels: int = 100) -> DataFrame:
-    """``(item_id, pool ARRAY<DOUBLE>)``: quantiles of in-sample seasonal differences."""
+    """``(item_id, pool ARRAY<DOUBLE>)``: ``levels`` exact nearest-rank quantiles (at
+    ``(k+½)/levels``) of each series' in-sample seasonal differences.
+
+    Exact and deterministic (no sketch whose merge order could vary on a retry); the
+    ranking window holds one series' residuals — at most its grid length — and the
+    pool array holds ``levels`` values.
+    """
     w = Window.partitionBy("item_id").orderBy("step")
-    r = history.select("item_id", (F.col("target") - F.lag("target", season_length).over(w)).alias("r"))
-    probs = [(i + 0.5) / levels for i in range(levels)]
-    return (r.filter(F.col("r").isNotNull())
-             .groupBy("item_id").agg(F.percentile_approx("r", probs, 10000).alias("pool")))
+    r = (history.select("item_id", "step", (F.col("target") - F.lag("target", season_length).over(w)).alias("r"))
+                .filter(F.col("r").isNotNull()))
+    wr = Window.partitionBy("item_id").orderBy("r", "step")
+    ranked = r.select("item_id", "r", (F.row_number().over(wr) - 1).alias("rank"),
+                      F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n"))
+    wanted = (ranked.filter(F.col("rank") == 0)
+                    .select("item_id", "n", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("k"))
+                    .select("item_id", "k",
+                            F.bround((F.col("n") - 1).cast("double") * ((F.col("k") + 0.5) / levels), 0)
+                             .cast("long").alias("rank")))
+    picked = wanted.join(ranked.select("item_id", "rank", "r"), ["item_id", "rank"])
+    return (picked.groupBy("item_id")
+                  .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "r"))), lambda x: x["r"])
+                       .alias("pool")))
 
 
 def sample_paths(point: DataFrame, pool: DataFrame, num_samples: int = 100, seed: int = 42,
