@@ -77,9 +77,10 @@ def test_point_metrics_match_numpy(spark, ys, data):
        st.sampled_from([0.1, 0.3, 0.5, 0.7, 0.9]))
 def test_nearest_rank_matches_sorted_index(spark, xs, q):
     df = spark.createDataFrame([("a", x) for x in xs], "item_id STRING, value DOUBLE")
-    got = M.summarise_samples(df, ["item_id"], "value", (q,)).first()
     idx = int(np.round((len(xs) - 1) * q))
-    assert got[f"q{int(round(q * 100)):02d}"] == sorted(xs)[idx]
+    for bins in (None, 4):
+        got = M.summarise_samples(df, ["item_id"], "value", (q,), bins=bins).first()
+        assert got[f"q{int(round(q * 100)):02d}"] == sorted(xs)[idx]
 
 
 def test_one_series_and_nan_input(spark):

@@ -297,20 +297,40 @@ def prediction_intervals(forecast: DataFrame, levels: Sequence[float] = INTERVAL
 
 
 def summarise_samples(samples: DataFrame, keys: Sequence[str], value: str = "value",
-                      quantiles: Sequence[float] = (0.1, 0.5, 0.7, 0.9)) -> DataFrame:
+                      quantiles: Sequence[float] = (0.1, 0.5, 0.7, 0.9),
+                      bins: int | None = None) -> DataFrame:
     """Nearest-rank quantiles ``sorted[round_half_even((n−1)·q)]``, mean, count.
 
-    No group is collected: values are first counted per ``(keys, value)`` (a partial
-    aggregate, so duplicates collapse before the shuffle), then a running count over
-    the *distinct* values of each group locates every rank.  A group costs one row per
-    distinct value (at most ``num_samples`` for sample paths).
+    Exact, and no group is collected: values are first counted per ``(keys, value)`` (a
+    partial aggregate — duplicates collapse before the shuffle), then a running count
+    over the sorted distinct values locates every rank.
+
+    bins: split each group's value range into ``bins`` ordered bins at approximate
+    quantiles (``percentile_approx``, a mergeable sketch).  Bin totals give every bin's
+    exact rank offset, and the running count runs per ``(group, bin)``, so a hot group is
+    ranked by ``bins`` tasks instead of one.  Without it a group is ranked in one task —
+    right when its distinct values are bounded (sample paths, quantised amounts).
     """
     keys = list(keys)
     counted = samples.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value)
-    cum = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    tot = F.sum("_c").over(Window.partitionBy(*keys))
-    ranked = counted.select(*keys, value, "_c", cum.alias("_cum"), tot.alias("_n"))
+    if bins and bins > 1:
+        probs = [i / bins for i in range(1, bins)]
+        edges = samples.groupBy(*keys).agg(F.percentile_approx(value, probs, 10000).alias("_edges"))
+        # bin b holds (edge[b-1], edge[b]]: the number of edges below the value
+        counted = (counted.join(edges, keys)
+                          .withColumn("_bin", F.size(F.filter("_edges", lambda e: e < F.col(value))))
+                          .drop("_edges"))
+    else:
+        counted = counted.withColumn("_bin", F.lit(0))
+    totals = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"))
+    wb = Window.partitionBy(*keys).orderBy("_bin")
+    totals = totals.select(*keys, "_bin",
+                           F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                      F.lit(0)).alias("_off"),
+                           F.sum("_bc").over(Window.partitionBy(*keys)).alias("_n"))
+    w = Window.partitionBy(*keys, "_bin").orderBy(value)
+    cum = F.col("_off") + F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counted.join(totals, keys + ["_bin"]).select(*keys, value, "_c", cum.alias("_cum"), "_n")
     cols = []
     for q in quantiles:
         r = F.bround((F.col("_n") - 1).cast("double") * F.lit(float(q)), 0)

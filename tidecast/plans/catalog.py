@@ -472,7 +472,7 @@ def q_sample_quantiles(spark, d):
     """Nearest-rank quantiles and mean of event values per type and hour of day."""
     ev = D.table(spark, d, "events").select(F.col("event_type").alias("item_id"),
                                            F.hour("ts").cast("int").alias("hour"), "value")
-    return M.summarise_samples(ev, ["item_id", "hour"], "value", (0.1, 0.5, 0.7, 0.9))
+    return M.summarise_samples(ev, ["item_id", "hour"], "value", (0.1, 0.5, 0.7, 0.9), bins=16)
 
 
 @register("describe_forecast", ["model", "item_id", "num_samples", "horizon", "start_date", "n_values"], [],
