@@ -185,3 +185,22 @@ def test_residual_pool_is_exact_nearest_rank(spark):
     res = sorted(vals[i] - vals[i - 24] for i in range(24, len(vals)))
     want = [res[int(np.round((len(res) - 1) * ((k + 0.5) / 10)))] for k in range(10)]
     assert pool == want
+
+
+def test_global_model_beats_mean_forecast_on_seasonal_series(spark):
+    import math
+    import random
+    from tidecast.operators.metrics import point_metrics
+    from tidecast.plans.backtest import backtest_all
+    rnd = random.Random(9)
+    rows = []
+    for item, level in (("a", 10.0), ("b", 30.0), ("c", 60.0)):
+        vals = [level * (1.0 + 0.5 * math.sin(2 * math.pi * i / 24)) + rnd.gauss(0, 0.5) for i in range(24 * 14)]
+        rows += hourly_rows(item, vals)
+    g = grid_df(spark, rows)
+    bt = backtest_all(g, {
+        "global": lambda h, n: global_ar.global_ar_forecast(h, n, quantiles=(0.5,)),
+        "mean": lambda h, n: naive.context_mean(h, n, 168),
+    }, 24)
+    mae = {r.model: r.mae for r in point_metrics(bt.paired(None), ("model",)).collect()}
+    assert mae["global"] < 0.5 * mae["mean"]
