@@ -671,6 +671,18 @@ def q_orders_daily_backtest(spark, d):
     return M.point_metrics(bt.paired(TARGET_Q))
 
 
+@register("user_hourly_backtest", ["model"] + POINT_COLS, POINT_DOUBLES,
+          O.with_([O.cells("hour", "user_id")] + O.grid("hour") + O.split() + [O.seasonal_naive(), O.paired("sn")],
+                  O.summed()))
+def q_user_hourly_backtest(spark, d):
+    """B1/A11 over many series: every user's hourly value series (full grid, empty hours
+    0), a 72-hour seasonal-naive backtest, scored on the series summed over users."""
+    cells = D.events_cells(spark, d, "1 hour", "user_id")
+    grid = materialize(S.regularise(cells, "1 hour", fill=0.0, span="global"), "user_hourly", REUSE)
+    bt = backtest(grid, _sn, H)
+    return M.summed_series_metrics(bt.paired(TARGET_Q))
+
+
 @register("global_ar_scheduled", FC_COLS, ["quantile", "value"])
 def q_global_ar_scheduled(spark, d):
     """M5 with the scheduled preset (168 steps ahead) on the long daily order series:
