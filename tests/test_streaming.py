@@ -20,3 +20,38 @@ def test_second_run_sees_only_new_file(spark, tmp_path):
     ingest_available(spark, stream_series_csv(spark, str(src), schema), "t1", on_batch, ck)
     assert sum(got) == 1
     assert spark.read.parquet(out).count() == 3
+
+
+def test_ingest_cells_accumulates_exactly_across_arrivals(spark, tmp_path):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from tidecast.operators.series import aggregate_cells
+    from tidecast.plans.datasets import events_as_series
+    from tidecast.streaming.ingest import ingest_cells, stream_root
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    land = tmp_path / "landing"
+    land.mkdir()
+    for label, part in (("a", 0), ("b", 1)):
+        ev.filter(F.col("event_id") % 2 == part).coalesce(1).write.parquet(str(tmp_path / f"staging_{label}"))
+
+    def arrive(label):
+        f = next(p for p in (tmp_path / f"staging_{label}").iterdir() if p.name.startswith("part-"))
+        f.rename(land / f"events_{label}.parquet")
+
+    stream_name = f"arrivals_{uuid.uuid4().hex[:8]}"  # state lives in the session's shared folder
+    arrive("a")
+    first = ingest_cells(spark, str(land), "events", stream_name)
+    half = ev.filter(F.col("event_id") % 2 == 0).select(
+        F.col("event_type").alias("item_id"), "ts", F.col("value").alias("target"))
+    assert first.exceptAll(aggregate_cells(half, "1 hour", "exact_sum")).count() == 0
+
+    arrive("b")
+    both = ingest_cells(spark, str(land), "events", stream_name)
+    want = aggregate_cells(events_as_series(spark, SF_SMALL), "1 hour", "exact_sum")
+    assert both.exceptAll(want).count() == 0 and want.exceptAll(both).count() == 0
+    table = spark.read.parquet(f"{stream_root(spark)}/tidecast-ingest/{stream_name}/table")
+    assert table.select("batch_id").distinct().count() == 2  # one batch per arrival

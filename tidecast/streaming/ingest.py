@@ -73,7 +73,7 @@ def stream_root(spark: SparkSession) -> str:
 
 def stream_parquet_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Streaming read of ``<folder>/<table>*.parquet`` (new files are picked up as they land)."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
+    schema = spark.read.parquet(f"{folder}/{table}*.parquet").schema
     return spark.readStream.schema(schema).option("basePath", folder).parquet(f"{folder}/{table}*.parquet")
 
 
