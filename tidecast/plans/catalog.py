@@ -161,7 +161,7 @@ def q_holdout_split(spark, d):
           f"(PARTITION BY user_id ORDER BY ts DESC, value DESC) <= 10 THEN 'holdout' ELSE 'train' END AS split "
           f"FROM events")
 def q_holdout_split_raw(spark, d):
-    """P6/W1 on ungridded series: the window path (last 10 events per user)."""
+    """P6/W1 on ungridded series: the salted two-phase top-n path (last 10 events per user)."""
     return S.holdout_split(_users(spark, d), 10)
 
 
