@@ -250,10 +250,12 @@ def metric_histogram(item_metrics_df: DataFrame, metric: str,
         b = F.when(cond, F.lit(i)) if b is None else b.when(cond, F.lit(i))
     counts = (item_metrics_df.select(b.alias("bucket")).filter(F.col("bucket").isNotNull())
                              .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    spark = item_metrics_df.sparkSession
-    buckets = spark.createDataFrame(
-        [(i, float(edges[i]), float(edges[i + 1])) for i in range(len(edges) - 1)],
-        "bucket INT, lo DOUBLE, hi DOUBLE")
+    lows = F.array(*[F.lit(float(e)) for e in edges[:-1]])
+    highs = F.array(*[F.lit(float(e)) for e in edges[1:]])
+    buckets = (item_metrics_df.sparkSession.range(len(edges) - 1)
+               .select(F.col("id").cast("int").alias("bucket"))
+               .select("bucket", F.element_at(lows, F.col("bucket") + 1).alias("lo"),
+                       F.element_at(highs, F.col("bucket") + 1).alias("hi")))
     return (buckets.join(F.broadcast(counts), "bucket", "left")
             .select("bucket", "lo", "hi", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 

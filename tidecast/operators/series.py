@@ -400,8 +400,12 @@ def group_multivariate(series: DataFrame, max_dim: int = 96, freq: str = "1 hour
     overall time grid; a missing time takes the mean of that series' observed values
     (``exact_money``: values have two decimals, so the sum is taken exactly first).
     """
+    from tidecast.session import materialize
     dims = (series.select("item_id").distinct().orderBy("item_id").limit(max_dim)
                   .withColumn("dim", (F.row_number().over(Window.orderBy("item_id")) - 1).cast("int")))
+    # the ≤ max_dim-row dimension table feeds five branches: keep it instead of
+    # re-running the top-k for each
+    dims = materialize(dims, "multivariate_dims", "persist")
     kept = series.join(F.broadcast(dims), "item_id")
     mean = (exact_sum("target") / F.count("target")) if exact_money else F.avg("target")
     means = kept.groupBy("item_id").agg(mean.alias("fill"))
