@@ -204,3 +204,21 @@ def test_global_model_beats_mean_forecast_on_seasonal_series(spark):
     }, 24)
     mae = {r.model: r.mae for r in point_metrics(bt.paired(None), ("model",)).collect()}
     assert mae["global"] < 0.5 * mae["mean"]
+
+
+def test_global_model_uses_dynamic_covariates(spark):
+    import random
+    from datetime import timedelta
+    from conftest import T0
+    rnd = random.Random(4)
+    n, h = 24 * 12, 24
+    feat = [float(rnd.choice([0, 1])) for _ in range(n)]          # a known-ahead on/off driver
+    vals = [20.0 + 15.0 * x + rnd.gauss(0, 0.3) for x in feat]
+    g = grid_df(spark, hourly_rows("a", vals))
+    cov = spark.createDataFrame([("a", T0 + timedelta(hours=i), 0, x) for i, x in enumerate(feat)],
+                                "item_id STRING, ts TIMESTAMP_NTZ, feat_index INT, value DOUBLE")
+    hist = S.train_part(g, h)
+    with_cov = values(global_ar.global_ar_forecast(hist, h, quantiles=(0.5,), covariates=cov, n_covariates=1))
+    without = values(global_ar.global_ar_forecast(hist, h, quantiles=(0.5,)))
+    err = lambda f: sum(abs(a - b) for a, b in zip(f, vals[-h:])) / h
+    assert err(with_cov) < 1.0 < err(without)

@@ -7,6 +7,7 @@ series at once, on
   history and all steps score in one pass, no recursion),
 * calendar fields (hour of day, day of week) one-hot encoded,
 * a static category per series, one-hot encoded,
+* optional dynamic covariates (COVARIATE rows known over the horizon too),
 
 with each series scaled by its mean absolute value.  Quantiles are the point forecast
 plus pooled residual quantiles (``percentile_approx``, a mergeable sketch), rescaled.
@@ -47,6 +48,7 @@ class GlobalARParams:
     reg_param: float = 1e-3
     max_iter: int = 50
     model_name: str = "global_ar"
+    n_covariates: int = 0
     extra: dict = field(default_factory=dict)
 
     def resolved_lags(self) -> tuple[int, ...]:
@@ -65,8 +67,29 @@ def _features(frame: DataFrame, lags: Sequence[int]) -> DataFrame:
                  .withColumn("dow", F.weekday("ts").cast("double")))
 
 
+def _covariate_columns(n: int) -> list[str]:
+    return [f"cov_{i}" for i in range(n)]
+
+
+def _with_covariates(frame: DataFrame, covariates: DataFrame | None, n: int) -> DataFrame:
+    """Attach COVARIATE rows (``item_id, ts, feat_index, value``) as ``cov_<i>`` columns.
+
+    Covariates are dynamic features known ahead (calendar effects, planned events …):
+    they must cover the future rows too; a missing value counts as 0.
+    """
+    if not n:
+        return frame
+    if covariates is None:
+        return frame.withColumns({c: F.lit(0.0) for c in _covariate_columns(n)})
+    wide = (covariates.groupBy("item_id", "ts").pivot("feat_index", list(range(n)))
+                      .agg(F.first("value")))
+    wide = wide.withColumnsRenamed({str(i): f"cov_{i}" for i in range(n)})
+    out = frame.join(wide, ["item_id", "ts"], "left")
+    return out.na.fill(0.0, _covariate_columns(n))
+
+
 def _extended(history: DataFrame, params: GlobalARParams, scale: DataFrame,
-              categories: DataFrame | None) -> DataFrame:
+              categories: DataFrame | None, covariates: DataFrame | None = None) -> DataFrame:
     """History rows (with target) + H future rows (target NULL), one frame per series."""
     hist = history.select("item_id", "ts", "step", "target", F.lit(False).alias("future"))
     fut = future_steps(history, params.horizon, params.freq)
@@ -79,7 +102,8 @@ def _extended(history: DataFrame, params: GlobalARParams, scale: DataFrame,
                            "item_id", "left")
     else:
         frame = frame.withColumn("cat", F.lit(0.0))
-    return frame.withColumn("cat", F.coalesce("cat", F.lit(0.0)))
+    frame = frame.withColumn("cat", F.coalesce("cat", F.lit(0.0)))
+    return _with_covariates(frame, covariates, params.n_covariates)
 
 
 def series_scale(history: DataFrame) -> DataFrame:
@@ -97,10 +121,10 @@ class GlobalARModel:
     # ------------------------------------------------------------------ fit
     @classmethod
     def fit(cls, history: DataFrame, params: GlobalARParams,
-            categories: DataFrame | None = None) -> "GlobalARModel":
+            categories: DataFrame | None = None, covariates: DataFrame | None = None) -> "GlobalARModel":
         lags = params.resolved_lags()
         scale = series_scale(history)
-        frame = _features(_extended(history, params, scale, categories), lags)
+        frame = _features(_extended(history, params, scale, categories, covariates), lags)
         train = frame.filter(~F.col("future") & F.col("target").isNotNull())
         for k in lags:
             train = train.filter(F.col(f"lag_{k}").isNotNull())
@@ -109,7 +133,8 @@ class GlobalARModel:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         enc = OneHotEncoder(inputCols=["hour", "dow", "cat"], outputCols=["hour_v", "dow_v", "cat_v"],
                             handleInvalid="keep")
-        asm = VectorAssembler(inputCols=[f"lag_{k}" for k in lags] + ["hour_v", "dow_v", "cat_v"],
+        asm = VectorAssembler(inputCols=[f"lag_{k}" for k in lags] + ["hour_v", "dow_v", "cat_v"]
+                              + _covariate_columns(params.n_covariates),
                               outputCol="features")
         lr = LinearRegression(featuresCol="features", labelCol="y_scaled", predictionCol="pred",
                               regParam=params.reg_param, elasticNetParam=0.0, maxIter=params.max_iter,
@@ -123,12 +148,13 @@ class GlobalARModel:
         return cls(params, model, rq)
 
     # ------------------------------------------------------------------ predict
-    def forecast(self, history: DataFrame, categories: DataFrame | None = None) -> DataFrame:
+    def forecast(self, history: DataFrame, categories: DataFrame | None = None,
+                 covariates: DataFrame | None = None) -> DataFrame:
         """Forecast the H steps after the end of every series in ``history``."""
         p = self.params
         lags = p.resolved_lags()
         scale = series_scale(history)
-        frame = _features(_extended(history, p, scale, categories), lags)
+        frame = _features(_extended(history, p, scale, categories, covariates), lags)
         n_hist = history.groupBy("item_id").agg(F.max("step").alias("last_step"))
         fut = (frame.filter(F.col("future")).join(n_hist, "item_id")
                     .withColumn("h", (F.col("step") - F.col("last_step")).cast("int"))
@@ -164,8 +190,10 @@ class GlobalARModel:
 
 def global_ar_forecast(history: DataFrame, horizon: int, freq: str = "1 hour",
                        quantiles: Sequence[float] = (0.1, 0.5, 0.9),
-                       categories: DataFrame | None = None, season_length: int = 24) -> DataFrame:
+                       categories: DataFrame | None = None, season_length: int = 24,
+                       covariates: DataFrame | None = None, n_covariates: int = 0) -> DataFrame:
     """Fit on ``history`` and forecast its next ``horizon`` steps (one call)."""
     params = GlobalARParams(horizon=horizon, freq=freq, season_length=season_length,
-                            quantiles=tuple(quantiles))
-    return GlobalARModel.fit(history, params, categories).forecast(history, categories)
+                            quantiles=tuple(quantiles), n_covariates=n_covariates)
+    model = GlobalARModel.fit(history, params, categories, covariates)
+    return model.forecast(history, categories, covariates)
