@@ -132,6 +132,10 @@ def test_sample_paths_do_not_depend_on_partitioning(spark):
     p2 = samples.sample_paths(point.repartition(5), pool.repartition(3), 50, seed=7)
     assert p1.count() == 24 * 50
     assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
+    from tidecast.operators.metrics import describe_forecast
+    d = describe_forecast(p1).first()
+    assert (d.num_samples, d.horizon, d.n_values) == (50, 24, 24 * 50)
+    assert d.start_date == T0 + (24 * 4) * (T0.replace(hour=1) - T0)
 
 
 def test_m7_configure_hook_replaces_by_name(spark):
