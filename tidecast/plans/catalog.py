@@ -590,7 +590,7 @@ def q_fourier_forecast(spark, d):
     return fourier.fourier_forecast(hist, H, "1 hour", quantiles=EVAL_QS)
 
 
-@register("ar_forecast", FC_COLS, ["quantile", "value"])
+@register("ar_forecast", FC_COLS, ["quantile", "value"], O.ar1_forecast_sql(EVAL_QS))
 def q_ar_forecast(spark, d):
     """M4: seasonal AR(1) roll-forward, closed form."""
     hist = S.train_part(_grid(spark, d), H)

@@ -229,3 +229,39 @@ def orders_daily() -> list[tuple[str, str]]:
 
 def lineitem_daily() -> list[tuple[str, str]]:
     return [table_cells("lineitem", "l_returnflag", "l_shipdate", "l_quantity")] + grid_series_span("day")
+
+
+def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
+                     model: str = "seasonal_ar1") -> str:
+    """Seasonal AR(1): closed-form difference forecast summed over seasons, Gaussian rows."""
+    from statistics import NormalDist
+    zs = [("CAST(NULL AS DOUBLE)", "0.0")] + [(f"CAST({float(q)!r} AS DOUBLE)", repr(NormalDist().inv_cdf(q)))
+                                              for q in quantiles]
+    z_rows = " UNION ALL ".join(f"SELECT {q} AS quantile, CAST({z} AS DOUBLE) AS z" for q, z in zs)
+    return with_(hourly() + split(h) + [
+        ("dd", f"SELECT item_id, step, target - lag(target, {m}) OVER w AS d_t, "
+               f"lag(target, 1) OVER w - lag(target, {m + 1}) OVER w AS d_prev FROM hist "
+               f"WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
+        ("fit", "SELECT item_id, coalesce(regr_slope(d_t, d_prev), 0.0) AS phi, "
+                "coalesce(regr_intercept(d_t, d_prev), 0.0) AS c, regr_count(d_t, d_prev) AS n, "
+                "regr_sxx(d_t, d_prev) AS sxx, regr_syy(d_t, d_prev) AS syy, regr_sxy(d_t, d_prev) AS sxy "
+                "FROM dd GROUP BY 1"),
+        ("fit2", "SELECT item_id, phi, c, CASE WHEN n > 2 AND sxx > 0 THEN "
+                 "sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2)) END AS sigma FROM fit"),
+        ("dlast", "SELECT d.item_id, coalesce(d.d_t, 0.0) AS d_last FROM dd d JOIN hist x "
+                  "ON x.item_id = d.item_id AND x.step = d.step WHERE d.step = x.n_steps - 1"),
+        ("base", f"SELECT item_id, step - (n_steps - {m}) AS p, target AS y_base, "
+                 f"CAST(ts + to_hours(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
+                 f"WHERE n_steps >= {m} AND step >= n_steps - {m}"),
+        ("hs", f"SELECT *, unnest(range(p + 1, {h + 1}, {m})) AS hh FROM base WHERE p + 1 <= {h}"),
+        ("terms", f"SELECT hs.item_id, hs.hh, hs.y_base, hs.t_end, hs.p, f.phi, f.c, f.sigma, dl.d_last, "
+                  f"unnest(range(0, CAST(floor((hs.hh - hs.p - 1) / {m}) AS BIGINT) + 1)) AS j "
+                  f"FROM hs JOIN fit2 f USING (item_id) JOIN dlast dl USING (item_id)"),
+        ("dh", f"SELECT *, CAST(hh - j * {m} AS DOUBLE) AS k FROM terms"),
+        ("pt", "SELECT item_id, hh, y_base, t_end, p, max(sigma) AS sigma, "
+               "sum(CASE WHEN abs(phi - 1.0) < 1e-12 THEN c * k ELSE c * (1.0 - pow(phi, k)) / (1.0 - phi) END "
+               "+ pow(phi, k) * d_last) AS dsum FROM dh GROUP BY 1, 2, 3, 4, 5"),
+        ("zq", z_rows),
+    ], f"SELECT '{model}' AS model, item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_hours(hh) AS TIMESTAMP) AS ts, "
+       f"zq.quantile, y_base + dsum + zq.z * coalesce(sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
+       f"AS value FROM pt CROSS JOIN zq")
