@@ -610,7 +610,7 @@ def q_choose_model(spark, d):
     return choose(bt.forecast, "resample")
 
 
-@register("ar2_forecast", FC_COLS, ["quantile", "value"])
+@register("ar2_forecast", FC_COLS, ["quantile", "value"], O.ar2_forecast_sql(EVAL_QS))
 def q_ar2_forecast(spark, d):
     """M4 with p = 2: seasonal AR(2) from Gram sums, rolled forward in the JVM."""
     hist = S.train_part(_grid(spark, d), H)

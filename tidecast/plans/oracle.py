@@ -265,3 +265,49 @@ def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
     ], f"SELECT '{model}' AS model, item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_hours(hh) AS TIMESTAMP) AS ts, "
        f"zq.quantile, y_base + dsum + zq.z * coalesce(sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
        f"AS value FROM pt CROSS JOIN zq")
+
+
+def ar2_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M, ridge: float = 1e-8,
+                     model: str = "seasonal_ar2") -> str:
+    """Seasonal AR(2): 3×3 ridge normal equations solved by Cramer's rule, differences
+    rolled forward by a recursive CTE, then integrated over seasons; Gaussian rows."""
+    from statistics import NormalDist
+    zs = [("CAST(NULL AS DOUBLE)", "0.0")] + [(f"CAST({float(q)!r} AS DOUBLE)", repr(NormalDist().inv_cdf(q)))
+                                              for q in quantiles]
+    z_rows = " UNION ALL ".join(f"SELECT {q} AS quantile, CAST({z} AS DOUBLE) AS z" for q, z in zs)
+    r = repr(ridge)
+    det = ("(a00*(a11*a22 - a12*a12) - a01*(a01*a22 - a12*a02) + a02*(a01*a12 - a11*a02))")
+    return with_(hourly() + split(h) + [
+        ("d0", f"SELECT item_id, step, n_steps, target - lag(target, {m}) OVER w AS d FROM hist "
+               f"WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
+        ("d1", "SELECT *, lag(d, 1) OVER w AS l1, lag(d, 2) OVER w AS l2 FROM d0 "
+               "WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
+        ("g", f"SELECT item_id, count(*) + {r} AS a00, sum(l1) AS a01, sum(l2) AS a02, sum(l1 * l1) + {r} AS a11, "
+              f"sum(l1 * l2) AS a12, sum(l2 * l2) + {r} AS a22, sum(d) AS b0, sum(l1 * d) AS b1, sum(l2 * d) AS b2, "
+              f"sum(d * d) AS yy, count(*) AS n FROM d1 WHERE d IS NOT NULL AND l1 IS NOT NULL AND l2 IS NOT NULL "
+              f"GROUP BY 1"),
+        ("sol", f"SELECT item_id, n, yy, b0, b1, b2, a00 - {r} AS g00, a01, a02, a11 - {r} AS g11, a12, a22 - {r} AS g22, "
+                f"(b0*(a11*a22 - a12*a12) - a01*(b1*a22 - a12*b2) + a02*(b1*a12 - a11*b2)) / {det} AS c, "
+                f"(a00*(b1*a22 - a12*b2) - b0*(a01*a22 - a12*a02) + a02*(a01*b2 - b1*a02)) / {det} AS p1, "
+                f"(a00*(a11*b2 - b1*a12) - a01*(a01*b2 - b1*a02) + b0*(a01*a12 - a11*a02)) / {det} AS p2 FROM g"),
+        ("fit", "SELECT item_id, c, p1, p2, sqrt(greatest(yy - 2*(c*b0 + p1*b1 + p2*b2) + "
+                "(c*c*g00 + p1*p1*g11 + p2*p2*g22 + 2*(c*p1*a01 + c*p2*a02 + p1*p2*a12)), 0.0) / "
+                "greatest(n - 3, 1)) AS sigma FROM sol"),
+        ("last2", "SELECT item_id, max(CASE WHEN step = n_steps - 1 THEN d END) AS dl1, "
+                  "max(CASE WHEN step = n_steps - 2 THEN d END) AS dl2 FROM d0 GROUP BY 1"),
+        ("roll", "WITH RECURSIVE r(item_id, k, x1, x2) AS ("
+                 "SELECT f.item_id, 1, f.c + f.p1 * l.dl1 + f.p2 * l.dl2, l.dl1 FROM fit f JOIN last2 l USING (item_id) "
+                 "WHERE l.dl1 IS NOT NULL AND l.dl2 IS NOT NULL "
+                 f"UNION ALL SELECT r.item_id, r.k + 1, f.c + f.p1 * r.x1 + f.p2 * r.x2, r.x1 FROM r JOIN fit f "
+                 f"USING (item_id) WHERE r.k < {h}) SELECT item_id, k, x1 AS dhat FROM r"),
+        ("base", f"SELECT item_id, step - (n_steps - {m}) AS p, target AS y_base, "
+                 f"CAST(ts + to_hours(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
+                 f"WHERE n_steps >= {m} AND step >= n_steps - {m}"),
+        ("hs", f"SELECT *, unnest(range(p + 1, {h + 1}, {m})) AS hh FROM base WHERE p + 1 <= {h}"),
+        ("terms", f"SELECT hs.*, unnest(range(0, CAST(floor((hs.hh - hs.p - 1) / {m}) AS BIGINT) + 1)) AS j FROM hs"),
+        ("pt", f"SELECT t.item_id, t.hh, t.y_base, t.t_end, t.p, sum(r.dhat) AS dsum FROM terms t "
+               f"JOIN roll r ON r.item_id = t.item_id AND r.k = t.hh - t.j * {m} GROUP BY 1, 2, 3, 4, 5"),
+        ("zq", z_rows),
+    ], f"SELECT '{model}' AS model, pt.item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_hours(hh) AS TIMESTAMP) AS ts, "
+       f"zq.quantile, y_base + dsum + zq.z * coalesce(f.sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
+       f"AS value FROM pt JOIN fit f USING (item_id) CROSS JOIN zq")
