@@ -56,3 +56,9 @@ def test_query_matches_duckdb_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF_SMALL).count() > 0
+
+
+def test_bench_headline_names_are_registered():
+    import bench
+    assert set(bench.HEADLINE) <= set(E.queries())
+    assert "backtest_metrics" in bench.HEADLINE
