@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality, substring_dedup, suffix_dedup, token_store, warc
+from . import ann, decontaminate, neardup, quality, substring_dedup, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op2_warc": (warc.op2_warc, warc.ORACLE_SQL),
@@ -10,5 +10,7 @@ QUERIES = {
     "op4_suffix_dedup": (suffix_dedup.op4_suffix_dedup, None),
     "op6_token_store": (token_store.op6_token_store, None),
     "op7_benchmark_decontamination": (decontaminate.op7_benchmark_decontamination, None),
+    "op8_multi_index_ann": (ann.op8_multi_index_ann, None),
+    "op9_neardup": (neardup.op9_neardup, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
 }
