@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, neardup, quality, substring_dedup, suffix_dedup, token_store, warc
+from . import ann, decontaminate, neardup, pieces, quality, substring_dedup, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op2_warc": (warc.op2_warc, warc.ORACLE_SQL),
     "op3_quality_rules": (quality.op3_quality_rules, None),
     "op4_suffix_dedup": (suffix_dedup.op4_suffix_dedup, None),
+    "op5_sentencepiece": (pieces.op5_sentencepiece, None),
     "op6_token_store": (token_store.op6_token_store, None),
     "op7_benchmark_decontamination": (decontaminate.op7_benchmark_decontamination, None),
     "op8_multi_index_ann": (ann.op8_multi_index_ann, None),
