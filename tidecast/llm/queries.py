@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, neardup, pieces, quality, substring_dedup, suffix_dedup, token_store, warc
+from . import ann, decontaminate, neardup, pieces, pii, quality, substring_dedup, suffix_dedup, token_store, warc
 
 QUERIES = {
+    "op1_pii": (pii.op1_pii, None),
     "op2_warc": (warc.op2_warc, warc.ORACLE_SQL),
     "op3_quality_rules": (quality.op3_quality_rules, None),
     "op4_suffix_dedup": (suffix_dedup.op4_suffix_dedup, None),
