@@ -184,7 +184,7 @@ def _scan_joined(docs: DataFrame, text: str | Column, grams: DataFrame, keep: li
     near = win.join(grams, ["hash", "words"])
     # the words are compared: the normalised text of the window must equal the gram
     cut = F.substring(F.encode("_text_", "UTF-8"), F.col("start") + 1, F.col("end") - F.col("start"))
-    words = F.regexp_replace(F.translate(F.decode(cut, F.lit("UTF-8")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
+    words = F.regexp_replace(F.translate(F.decode(cut, "UTF-8"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
                              r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
     hits = (near.join(rows.select("_row_", "_text_"), "_row_").filter(F.encode(words, "UTF-8") == F.col("gram"))
             .groupBy("_row_").agg(F.array_sort(F.collect_list(F.struct("word", "words", "start", "end", "items"))).alias("hits")))
@@ -223,7 +223,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_text: str = "text", ite
                        lambda s, h: F.struct(F.greatest(s["at"], h["end"]).alias("at"),
                                              F.when(h["start"] > s["at"], F.concat(s["kept"], F.array(F.struct(s["at"].alias("a"), h["start"].alias("b"))))).otherwise(s["kept"]).alias("kept")))
     spans = F.concat(F.col("_g_.kept"), F.array(F.struct(F.col("_g_.at").alias("a"), F.length("_raw_").alias("b"))))
-    cut = F.array_join(F.transform(spans, lambda s: F.decode(F.substring(F.col("_raw_"), s["a"] + 1, s["b"] - s["a"]), F.lit("UTF-8"))), "")
+    cut = F.array_join(F.transform(spans, lambda s: F.decode(F.substring(F.col("_raw_"), s["a"] + 1, s["b"] - s["a"]), "UTF-8")), "")
     return (found.withColumn("_raw_", raw).withColumn("_g_", gaps)
             .withColumn("_cut_", F.when(F.size("hits") > 0, cut).otherwise(F.col(f"_doc_.`{doc_text}`")))
             .select(*[(F.col("_cut_") if c == doc_text else F.col(f"_doc_.`{c}`")).alias(c) for c in docs.columns]))

@@ -15,8 +15,8 @@
 
 ``decode`` joins pieces and bytes to the text again.
 
-Defined results: a null or empty text has no ids and decodes to the empty text; characters
-without a piece become byte pieces, or the unknown id in a model without them; text that looks
+Defined results: a null or empty text has no ids and decodes to the empty text; a ``▁``
+in a text comes back as a space, as from the library; characters without a piece become byte pieces, or the unknown id in a model without them; text that looks
 like a control piece is ordinary text; repeated rows are encoded alike; an empty table gives no
 rows; other columns are kept (``encode``).
 """
@@ -299,10 +299,11 @@ def _shared(docs: DataFrame, text: str, model: Pieces, limit: int):
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", name: str = "ids", table_words: int = TABLE_WORDS) -> DataFrame:
-    """``docs`` without its text and with its ids, an array of ints."""
+    """``docs`` without its text and with its ids, an array of ints, in place of a column of that
+    name."""
     S.prepare(docs.sparkSession)
     shared = _shared(docs, text, Pieces(model_path), table_words)
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c not in (text, name)]
 
     def run(batches):
         encoder = Encoder(shared.value)
@@ -329,7 +330,7 @@ def decode(encoded: DataFrame, model_path: str, ids: str = "ids", name: str = "t
     """``encoded`` without its ids and with the text they stand for."""
     S.prepare(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(Pieces(model_path))
-    keep = [c for c in encoded.columns if c != ids]
+    keep = [c for c in encoded.columns if c not in (ids, name)]
 
     def run(batches):
         decoder = Decoder(shared.value)

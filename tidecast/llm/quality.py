@@ -19,6 +19,7 @@ columns are kept (``with_score``).
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -121,20 +122,26 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = S.table(with_statistics(rows).select("_id_", F.col("_y_").cast("double").alias("label"), "_s_").coalesce(4), "quality-sample").select("*", vector.alias("features"))
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("good")).first()
     if size["good"] in (0, size["n"]):
-        p = (size["good"] + 1) / (size["n"] + 2)
-        import math
-        return Rules([], [], math.log(p / (1 - p)))
+        return _prior(size)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=7, featureSubsetStrategy="onethird", minInstancesPerNode=5).fit(rows.select("label", "features"))
     rules = sorted({p for t in forest.trees for p in _paths(t)})
+    if not rules:   # no statistic tells the classes apart
+        return _prior(size)
     fired = rows.select("label", array_to_vector(F.array(*[Rules.column(r).cast("double") for r in rules])).alias("features")).persist()
     model = LogisticRegression(regParam=LASSO, elasticNetParam=1.0, maxIter=60, standardization=True).fit(fired)
     fired.unpersist()
     return Rules(rules, [float(w) for w in model.coefficients], float(model.intercept))
 
 
+def _prior(size) -> Rules:
+    p = (size["good"] + 1) / (size["n"] + 2)
+    return Rules([], [], math.log(p / (1 - p)))
+
+
 def with_score(docs: DataFrame, rules: Rules, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score, 0 to 1; higher: a good label is likelier."""
-    scored = with_statistics(docs, text).withColumn("_score_", rules.score_column()).drop("_s_")
+    """``docs`` with the score, 0 to 1 (higher: a good label is likelier), in place of a column
+    that has its name."""
+    scored = with_statistics(docs.drop(name), text).withColumn("_score_", rules.score_column()).drop("_s_")
     return scored.withColumnRenamed("_score_", name)
 
 
@@ -148,4 +155,4 @@ def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Contract rows of op3 over the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rules = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return with_score(docs, rules).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return with_score(docs.select("doc_id", "text"), rules).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
