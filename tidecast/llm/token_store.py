@@ -19,7 +19,9 @@ and no row; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -32,7 +34,7 @@ from . import _shared as S
 CHUNK_BITS = 8
 _BLOCK = 512
 #: Distinct words whose ids a worker remembers at one time.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 INDEX_SCHEMA = "doc_id long, shard int, at long, n_tokens long"
 
@@ -131,40 +133,62 @@ class Dac:
 _TOKENIZERS: dict[int, tuple] = {}
 
 
+#: A sign after a letter is a token boundary of its own; the apostrophe may start a suffix.
+_SIGN_AFTER_LETTER = re.compile(rb"(?<=[A-Za-z])(?=[.,!?;:|%$&*#])")
+
+
 def word_ids(tokenizer_json: str):
-    """A function from a text's bytes to its ids as little-endian u32 bytes.
+    """A function from texts' bytes to their ids as little-endian u32 bytes.
 
-    Only for tokenizers that drop white space and never join over it: the parts between ASCII
-    white space are encoded by the library each on its own, and a worker remembers the ids of
-    the parts it has seen (``CACHE_WORDS`` at most)."""
+    Only for tokenizers for which ``splits_words`` holds: they lower-case, drop white space and
+    never join over it, nor a letter and a following sign.  The parts between are encoded by the
+    library each on its own, and a worker remembers those it met last (``CACHE_WORDS`` at most).
+    Texts in which a special token may be written are encoded whole."""
     key = hash(tokenizer_json)
     if key not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _TOKENIZERS[key] = (Tokenizer.from_str(tokenizer_json), {})
-    tok, cache = _TOKENIZERS[key]
+        tok = Tokenizer.from_str(tokenizer_json)
+        special = [x["content"].lower().encode() for x in json.loads(tokenizer_json).get("added_tokens", ())]
+        _TOKENIZERS[key] = (tok, special, {}, {})
+    tok, special, young, old = _TOKENIZERS[key]
+
+    def library(texts: list[bytes]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        parts = [t.split() for t in texts]
-        new = list({w for p in parts for w in p if w not in cache})
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list({w for p in parts for w in p})
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(cache.__getitem__, p)) for p in parts]
+        parts = []
+        for t in texts:
+            low = t.lower()
+            parts.append(None if any(x in low for x in special) else _SIGN_AFTER_LETTER.sub(b" ", low).split())
+        seen = set().union(*(p for p in parts if p is not None))
+        new = list(seen.difference(young))
+        if len(young) + len(new) > CACHE_WORDS // 2:
+            old.clear()
+            old.update(young)
+            young.clear()
+            new = list(seen)
+        learn = []
+        for w in new:
+            if (ids := old.get(w)) is None:
+                learn.append(w)
+            else:
+                young[w] = ids
+        for i in range(0, len(learn), 20_000):
+            young.update(zip(learn[i:i + 20_000], library(learn[i:i + 20_000]), strict=True))
+        return [library([t])[0] if p is None else b"".join(map(young.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
 
     return encode
 
 
-def drops_white_space(tokenizer_json: str) -> bool:
+def splits_words(tokenizer_json: str) -> bool:
     """Whether texts may be encoded part by part, as far as a probe shows."""
     from tokenizers import Tokenizer
     tok = Tokenizer.from_str(tokenizer_json)
     ids = lambda t: tok.encode(t, add_special_tokens=False).ids
-    return all(ids(f"{a}{s}{b}") == ids(a) + ids(b) and ids(s) == [] for s in (" ", "\n", " \t ", "\r\n") for a, b in (("ab", "cd"), ("1", "2"), ("é.", "'s"), ("--", "-")))
+    spaces = all(ids(f"{a}{s}{b}") == ids(a) + ids(b) and ids(s) == [] for s in (" ", "\n", " \t ", "\r\n") for a, b in (("ab", "cd"), ("1", "2"), ("é.", "'s"), ("--", "-")))
+    signs = all(ids(f"the{s}{t}") == ids("the") + ids(f"{s}{t}") for s in ".,!?;:|%$&*#" for t in ("", "!!", "a", "1", "'s", "é"))
+    return spaces and signs and ids("AbC É") == ids("abc É") == ids("abc é")
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, partitions: int | None = None) -> DataFrame:
@@ -174,7 +198,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     S.prepare(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()
-    shared, by_part = spark.sparkContext.broadcast(model), drops_white_space(model)
+    shared, by_part = spark.sparkContext.broadcast(model), splits_words(model)
     end = struct.pack("<I", end_id)
 
     def write(batches):
@@ -208,8 +232,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     # the text's hash splits the rows of a doc_id that repeats very often
     keys = [F.col("doc_id"), F.xxhash64("text")]
     cut = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
-    cut.sortWithinPartitions("doc_id", F.xxhash64("text"), "text").mapInArrow(write, INDEX_SCHEMA).write.parquet(f"{folder}/index")
-    S.release(spark)
+    S.write(cut.sortWithinPartitions("doc_id", F.xxhash64("text"), "text").mapInArrow(write, INDEX_SCHEMA), f"{folder}/index")
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{folder}/index")
 
 
