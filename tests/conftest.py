@@ -16,10 +16,9 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", app_name="tidecast-tests", shuffle_partitions=8,
-                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidecast-wh-")})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # tests only: the cluster names the shared folder; here a scratch one stands in
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidecast-ck-"))
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidecast-wh-"),
+                           # tests only: the cluster names the shared folder; here a scratch one stands in
+                           "spark.checkpoint.dir": os.environ.get("TIDECAST_TEST_CHECKPOINT") or tempfile.mkdtemp(prefix="tidecast-ck-")})
     yield s
 
 

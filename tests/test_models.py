@@ -181,14 +181,39 @@ def test_ar_p1_general_equals_closed_form(spark):
     assert a == pytest.approx(b, rel=1e-6, abs=1e-6)
 
 
-def test_residual_pool_is_exact_nearest_rank(spark):
-    vals = [float((i * 7) % 24) + (i // 24) for i in range(24 * 5)]
+def test_residual_pool_holds_every_residual_in_time_order(spark):
+    vals = [float((i * 7) % 24) + (i // 24) ** 2 for i in range(24 * 5)]
     g = grid_df(spark, hourly_rows("a", vals))
-    pool = samples.residual_pool(g, 24, levels=10).first().pool
-    import numpy as np
-    res = sorted(vals[i] - vals[i - 24] for i in range(24, len(vals)))
-    want = [res[int(np.round((len(res) - 1) * ((k + 0.5) / 10)))] for k in range(10)]
-    assert pool == want
+    pool = samples.residual_pool(g, 24).first().pool
+    assert pool == [vals[i] - vals[i - 24] for i in range(24, len(vals))]
+
+
+def test_path_quantiles_equal_those_of_the_exploded_paths(spark):
+    from tidecast.operators.metrics import summarise_samples
+    g = grid_df(spark, hourly_rows("a", [float(i % 7) + i / 9 for i in range(24 * 4)]))
+    point, pool = naive.seasonal_naive(g, 30, 24), samples.residual_pool(g, 24)
+    a = summarise_samples(samples.sample_paths(point, pool), ["model", "item_id", "step"], "value", (0.1, 0.5, 0.7, 0.9))
+    b = samples.path_quantiles(point, pool, (0.1, 0.5, 0.7, 0.9))
+    rows = lambda df: {r.step: [round(r[c], 9) for c in ("q10", "q50", "q70", "q90", "mean", "n")] for r in df.collect()}
+    assert rows(a) == rows(b)
+
+
+def test_ar1_keeps_the_drift_of_a_linear_trend(spark):
+    g = grid_df(spark, hourly_rows("a", [2.0 * i for i in range(200)]))
+    assert values(autoreg.ar_forecast(g, 30, 24, quantiles=())) == pytest.approx([2.0 * (200 + h) for h in range(30)])
+
+
+def test_every_model_forecasts_every_step_of_short_series(spark):
+    import math
+    rows = hourly_rows("short", [1.0, 3.0] * 5) + hourly_rows("one", [4.0]) + hourly_rows("gap", [None] * 3 + [5.0] + [None] * 30) + hourly_rows("long", [float(i % 24) for i in range(240)])
+    g = grid_df(spark, rows)
+    for fc in (naive.seasonal_naive(g, 24, 24), naive.kernel_resample(g, 24, 168, 24), autoreg.ar_forecast(g, 24, 24), autoreg.ar_p_forecast(g, 24, 2, 24), naive.context_mean(g, 24, 168)):
+        got = fc.filter(F.col("quantile").isNull()).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r.item_id, {})[r.step] = r.value
+        assert {k: sorted(v) for k, v in by.items()} == {k: list(range(1, 25)) for k in ("short", "one", "gap", "long")}
+        assert by["one"][1] == 4.0 and math.isclose(by["short"][1], 2.0)
 
 
 def test_global_model_beats_mean_forecast_on_seasonal_series(spark):

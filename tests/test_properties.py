@@ -18,7 +18,7 @@ from tidecast.plans.backtest import backtest
 
 
 def _metrics_of(spark, events):
-    cells = S.aggregate_cells(events, "1 hour", "exact_sum")
+    cells = S.aggregate_cells(events, "1 hour", "exact_sum", 2)
     grid = S.regularise(cells, "1 hour", fill=0.0, span="global")
     bt = backtest(grid, lambda h, n: naive.seasonal_naive(h, n, 24), 72)
     return sorted(tuple(r) for r in M.point_metrics(bt.paired(None)).collect())

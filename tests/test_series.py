@@ -101,7 +101,7 @@ def test_label_boundaries(spark):
 
 def test_group_multivariate_fills_with_series_mean(spark):
     rows = [("a", T0, 1.0), ("a", T0 + timedelta(hours=2), 3.0), ("b", T0 + timedelta(hours=1), 5.0)]
-    mv = S.group_multivariate(series_df(spark, rows), 96, "1 hour")
+    mv = S.group_multivariate(series_df(spark, rows), "1 hour")
     vec = {r.ts: r.target for r in S.to_vectors(mv).collect()}
     assert vec[T0] == [1.0, 5.0] and vec[T0 + timedelta(hours=1)] == [2.0, 5.0]
 
@@ -125,3 +125,46 @@ def test_describe_and_first_series(spark):
     assert (d.n_series, d.n_points, d.min_length, d.max_length) == (2, 5, 2, 3)
     assert {r.item_id for r in S.first_series(s).collect()} == {"a"}
     assert S.series_start(s).filter(F.col("item_id") == "a").first().start == T0
+
+
+def test_group_multivariate_has_no_cap(spark):
+    import pytest
+    rows = [(f"i{k:03d}", T0 + timedelta(hours=k % 3), float(k)) for k in range(150)]
+    mv = S.group_multivariate(series_df(spark, rows), "1 hour")
+    assert {(r.item_id, r.dim) for r in mv.select("item_id", "dim").distinct().collect()} == {(f"i{k:03d}", k) for k in range(150)}
+    assert mv.count() == 450
+    with pytest.raises(Exception, match="more than 96 dimensions"):
+        S.to_vectors(mv).collect()
+    assert len(S.to_vectors(mv, 150).first().target) == 150
+
+
+def test_readings_beside_the_grid_fail(spark):
+    import pytest
+    rows = [("a", T0, 1.0), ("a", T0 + timedelta(minutes=90), 2.0), ("a", T0 + timedelta(hours=3), 3.0)]
+    with pytest.raises(Exception, match="no grid place for item a at 2024-01-01 01:30"):
+        S.regularise(series_df(spark, rows), "1 hour").collect()
+    with pytest.raises(Exception, match="no grid place"):
+        S.regularise(series_df(spark, [rows[0], rows[2]]), "1 hour", end=T0 + timedelta(hours=2)).collect()
+
+
+def test_last_rows_with_ties(spark):
+    rows = [("a", T0, 1.0)] * 3 + [("a", T0 - timedelta(hours=1), 5.0), ("b", T0, 2.0)]
+    raw = series_df(spark, rows)
+    assert S.tail(raw, 1).count() == 2 and S.tail(raw, 2).count() == 3
+    split = S.holdout_split(raw, 2).groupBy("item_id", "split").count().collect()
+    assert {(r.item_id, r.split): r["count"] for r in split} == {("a", "holdout"): 2, ("a", "train"): 2, ("b", "holdout"): 1}
+
+
+def test_cells_are_plain_sums_by_default(spark):
+    import pytest
+    rows = [("a", T0, 0.004), ("a", T0, 0.004), ("b", T0, 1e17)]
+    got = {r.item_id: r.target for r in S.aggregate_cells(series_df(spark, rows), "1 hour").collect()}
+    assert got == {"a": 0.008, "b": 1e17}
+    with pytest.raises(ValueError):
+        S.aggregate_cells(series_df(spark, rows), "1 hour", "exact_sum")
+
+
+def test_to_series_takes_a_column_as_item(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 1.5, "x")], "at STRING, v DOUBLE, k STRING")
+    r = S.to_series(df, "at", item_id=F.upper("k")).first()
+    assert (r.item_id, r.target) == ("X", 1.5)

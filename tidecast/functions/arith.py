@@ -39,14 +39,13 @@ def ratio(num, den, on_zero: str = "ieee") -> Column:
     return F.when(den == 0, zero).otherwise(num / den)
 
 
-def exact_sum(col) -> Column:
-    """Sum money-like values exactly: DECIMAL(18,2) inside, DOUBLE once at the end.
-
-    The result then does not depend on the order rows are added in, so it is the same
-    on any partitioning and in any engine.
+def exact_sum(col, scale: int) -> Column:
+    """Sum of values with ``scale`` decimals (money), exact: DECIMAL inside, DOUBLE once at the
+    end, so it does not depend on the order rows are added in.  Values with more decimals are
+    rounded; use a plain sum for them.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
 
 
 def positive_part(x) -> Column:

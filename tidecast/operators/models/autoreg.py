@@ -18,26 +18,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.time import add_steps
-from tidecast.operators.models.base import gaussian_rows, last_ts
+from tidecast.operators.models.base import gaussian_rows, last_ts, mean_steps
 
 
 def differenced(history: DataFrame, season_length: int = 24,
                 trunc_length: int | None = None) -> DataFrame:
-    """``(item_id, step, d_t, d_prev)`` over the (truncated) history of each series."""
+    """``(item_id, step, n_steps, d_t, d_prev)`` over the (truncated) history of each series."""
     h = history
     if trunc_length:
         h = h.filter(F.col("step") >= F.col("n_steps") - trunc_length)
     m = season_length
     w = Window.partitionBy("item_id").orderBy("step")
     y = F.col("target")
-    return h.select("item_id", "step",
+    return h.select("item_id", "step", "n_steps",
                     (y - F.lag(y, m).over(w)).alias("d_t"),
                     (F.lag(y, 1).over(w) - F.lag(y, m + 1).over(w)).alias("d_prev"))
 
 
 def fit_ar1(history: DataFrame, season_length: int = 24,
             trunc_length: int | None = None) -> DataFrame:
-    """Per series: ``phi``, ``intercept``, residual ``sigma``, pair count ``n``."""
+    """Per series: ``phi``, ``intercept``, residual ``sigma``, pair count ``n``, mean difference
+    ``d_mean`` and last difference ``d_last``."""
     d = differenced(history, season_length, trunc_length)
     sse = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
     return (d.groupBy("item_id")
@@ -46,8 +47,10 @@ def fit_ar1(history: DataFrame, season_length: int = 24,
                   F.regr_count("d_t", "d_prev").alias("n"),
                   F.regr_sxx("d_t", "d_prev").alias("sxx"),
                   F.regr_syy("d_t", "d_prev").alias("syy"),
-                  F.regr_sxy("d_t", "d_prev").alias("sxy"))
-             .select("item_id", "phi", "intercept", "n",
+                  F.regr_sxy("d_t", "d_prev").alias("sxy"),
+                  F.avg("d_t").alias("d_mean"),
+                  F.max(F.when(F.col("step") == F.col("n_steps") - 1, F.col("d_t"))).alias("d_last"))
+             .select("item_id", "phi", "intercept", "n", "d_mean", "d_last",
                      F.when((F.col("n") > 2) & (F.col("sxx") > 0),
                             F.sqrt(F.greatest(sse, F.lit(0.0)) / (F.col("n") - 2)))
                       .alias("sigma")))
@@ -62,20 +65,18 @@ def _dhat(k: Column, c: Column, phi: Column, d_last: Column) -> Column:
 def ar_forecast(history: DataFrame, horizon: int, season_length: int = 24,
                 trunc_length: int | None = None, freq: str = "1 hour",
                 quantiles: Sequence[float] = (0.1, 0.5, 0.9), model: str = "seasonal_ar1") -> DataFrame:
+    """Seasonal AR(1).  Where the lagged differences do not vary there is no slope: the drift
+    is then the mean difference.  A series shorter than a season is forecast by its mean."""
     m = season_length
     fit = fit_ar1(history, m, trunc_length)
-    d = differenced(history, m, trunc_length)
-    d_last = (d.join(history.select("item_id", "step", "n_steps"), ["item_id", "step"])
-               .filter(F.col("step") == F.col("n_steps") - 1)
-               .select("item_id", F.col("d_t").alias("d_last")))
     n, step = F.col("n_steps"), F.col("step")
     base = (history.filter((n >= m) & (step >= n - m))
                    .withColumn("p", step - (n - m)).filter(F.col("p") + 1 <= horizon)
                    .select("item_id", "p", F.col("target").alias("y_base"), last_ts(freq).alias("t_end")))
-    j = (base.join(fit, "item_id").join(d_last, "item_id")
+    j = (base.join(fit.drop("n"), "item_id")
              .select("item_id", "y_base", "t_end", "p",
                      F.coalesce("phi", F.lit(0.0)).alias("phi"),
-                     F.coalesce("intercept", F.lit(0.0)).alias("c"),
+                     F.coalesce("intercept", "d_mean", F.lit(0.0)).alias("c"),
                      F.coalesce("d_last", F.lit(0.0)).alias("d_last"), "sigma",
                      F.explode(F.sequence(F.col("p") + 1, F.lit(horizon), F.lit(m))).alias("h")))
     n_terms = F.floor((F.col("h") - F.col("p") - 1) / F.lit(m)).cast("int")
@@ -86,7 +87,8 @@ def ar_forecast(history: DataFrame, horizon: int, season_length: int = 24,
                    add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"),
                    (F.col("y_base") + summed).alias("value"),
                    (F.col("sigma") * F.sqrt((n_terms + 1).cast("double"))).alias("sigma"))
-    return gaussian_rows(out, model, quantiles)
+    short = mean_steps(history.filter(n < m), horizon, freq).withColumn("sigma", F.lit(None).cast("double"))
+    return gaussian_rows(out.unionByName(short), model, quantiles)
 
 
 # ----------------------------------------------------------------------------- AR(p)
@@ -126,7 +128,7 @@ def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: i
     last = (d.filter((F.col("step") >= F.col("n_steps") - p) & F.col("d").isNotNull())
              .groupBy("item_id")
              .agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "d"))), lambda x: x["d"]).alias("w0")))
-    per = fit.join(last, "item_id").filter(F.size("w0") == p)
+    per = fit.join(last, "item_id").filter((F.size("w0") == p) & F.col("beta").isNotNull())
     phis = F.slice(F.col("beta"), 2, p)
     c = F.col("beta")[0]
     init = F.struct(F.col("w0").alias("w"), F.array().cast("array<double>").alias("out"))
@@ -153,4 +155,6 @@ def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: i
     out = j.select("item_id", F.col("h").alias("step"), add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"),
                    (F.col("y_base") + summed).alias("value"),
                    (F.col("sigma") * F.sqrt((n_terms + 1).cast("double"))).alias("sigma"))
-    return gaussian_rows(out, model, quantiles)
+    # too short a history, or gaps at its end: the mean
+    other = mean_steps(history.join(dh.select("item_id"), "item_id", "left_anti"), horizon, freq)
+    return gaussian_rows(out.unionByName(other.withColumn("sigma", F.lit(None).cast("double"))), model, quantiles)

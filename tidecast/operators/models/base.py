@@ -62,3 +62,10 @@ def future_steps(history: DataFrame, horizon: int, freq: str) -> DataFrame:
                         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
                 .select("item_id", F.col("h").alias("step"), "n_steps",
                         add_steps(F.col("ts"), F.col("h"), freq).alias("ts")))
+
+
+def mean_steps(history: DataFrame, horizon: int, freq: str) -> DataFrame:
+    """``(item_id, step 1..H, ts, value)`` with the mean of each history for every step."""
+    return (history.groupBy("item_id").agg(F.avg("target").alias("value"), F.max(last_ts(freq)).alias("t_end"))
+                   .select("item_id", "value", "t_end", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
+                   .select("item_id", F.col("h").alias("step"), add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"), "value"))

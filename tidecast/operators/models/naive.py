@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.time import add_steps
-from tidecast.operators.models.base import future_steps, last_ts, point_rows
+from tidecast.operators.models.base import future_steps, last_ts, mean_steps, point_rows
 from tidecast.schema import FORECAST_COLUMNS
 
 
@@ -31,13 +31,7 @@ def seasonal_naive(history: DataFrame, horizon: int, season_length: int = 24,
                       .select("item_id", F.col("h").alias("step"),
                               add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"),
                               F.col("target").alias("value")))
-    short = history.filter(n < m)
-    mean = (short.groupBy("item_id").agg(F.avg("target").alias("value"),
-                                         F.max(last_ts(freq)).alias("t_end"))
-                 .select("item_id", "value", "t_end",
-                         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
-                 .select("item_id", F.col("h").alias("step"),
-                         add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"), "value"))
+    mean = mean_steps(history.filter(n < m), horizon, freq)
     return point_rows(seasonal.unionByName(mean), model, quantiles)
 
 
@@ -62,7 +56,7 @@ def kernel_resample(history: DataFrame, horizon: int, context_length: int = 168,
     (``position mod m``); a candidate ``a`` whole seasons old has weight
     ``exp(−decay·a)``.  Quantile ``q`` = smallest candidate whose cumulative weight
     (ordered by value, then time) reaches ``q·total``; the mean row is the weighted
-    mean.  Candidate sets hold at most ``ceil(context/m)`` rows, so the window per
+    mean.  A phase without a candidate is forecast by the mean of the history.  Candidate sets hold at most ``ceil(context/m)`` rows, so the window per
     ``(item, phase)`` is small whatever the data size.
     """
     m = season_length
@@ -80,9 +74,13 @@ def kernel_resample(history: DataFrame, horizon: int, context_length: int = 168,
                     .alias(f"v_{i}"))
     per_phase = cand.groupBy("item_id", "phase").agg(
         F.max("n_steps").alias("n_steps"), F.max("t_end").alias("t_end"), *cols)
-    # forecast step h sits at position n_steps-1+h, so its phase is (n_steps-1+h) mod m
-    first_h = F.pmod(F.col("phase") - (F.col("n_steps") - 1) - 1, F.lit(m)) + 1
-    per_phase = per_phase.withColumn("h0", first_h).filter(F.col("h0") <= horizon)
+    # forecast step h sits at position n_steps-1+h, so its phase is (n_steps-1+h) mod m; every
+    # phase that a step needs is there, with candidates or without
+    ends = (history.groupBy("item_id").agg(F.avg("target").alias("mean"), F.max("n_steps").alias("n_steps"), F.max(last_ts(freq)).alias("t_end"))
+                   .withColumn("h0", F.explode(F.sequence(F.lit(1), F.lit(min(m, horizon)))))
+                   .withColumn("phase", F.pmod(F.col("n_steps") - 1 + F.col("h0"), F.lit(m))))
+    per_phase = (ends.join(per_phase.drop("n_steps", "t_end"), ["item_id", "phase"], "left")
+                     .withColumns({c: F.coalesce(c, "mean") for c in ["v_mean", *[f"v_{i}" for i in range(len(quantiles))]]}))
     entries = [F.struct(F.lit(None).cast("double").alias("quantile"), F.col("v_mean").alias("value"))]
     entries += [F.struct(F.lit(float(q)).alias("quantile"), F.col(f"v_{i}").alias("value"))
                 for i, q in enumerate(quantiles)]

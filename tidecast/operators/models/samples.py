@@ -1,58 +1,62 @@
 """Sample paths (M6): point forecast + residuals drawn by hash, not by a random stream.
 
-Each series' residuals are summarised into ``levels`` evenly spaced exact quantiles,
-and sample ``s`` of step ``h`` takes residual number
-``pmod(xxhash64(item_id, h, s, seed), levels)``.  The draw depends only on the row's
-own keys, so the samples are identical however the data is partitioned or re-run
-after an executor loss.
+Sample ``s`` of step ``h`` takes residual number ``hash(item_id, h, s, seed) mod n`` of the
+series' ``n`` in-sample seasonal differences, in time order.  The draw depends only on the
+row's own keys, so the samples are identical however the data is partitioned or re-run after
+an executor loss; the hash (the first 32 bits of MD5) is one that other engines have too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidecast.schema import SAMPLES
 
 
-def residual_pool(history: DataFrame, season_length: int = 24, levels: int = 100) -> DataFrame:
-    """``(item_id, pool ARRAY<DOUBLE>)``: ``levels`` exact nearest-rank quantiles (at
-    ``(k+½)/levels``) of each series' in-sample seasonal differences.
-
-    Exact and deterministic (no sketch whose merge order could vary on a retry); the
-    ranking window holds one series' residuals — at most its grid length — and the
-    pool array holds ``levels`` values.
-    """
+def residual_pool(history: DataFrame, season_length: int = 24) -> DataFrame:
+    """``(item_id, pool ARRAY<DOUBLE>)``: all seasonal differences of each series in time order;
+    the array is bounded by the series' grid length."""
     w = Window.partitionBy("item_id").orderBy("step")
     r = (history.select("item_id", "step", (F.col("target") - F.lag("target", season_length).over(w)).alias("r"))
                 .filter(F.col("r").isNotNull()))
-    wr = Window.partitionBy("item_id").orderBy("r", "step")
-    ranked = r.select("item_id", "r", (F.row_number().over(wr) - 1).alias("rank"),
-                      F.count(F.lit(1)).over(Window.partitionBy("item_id")).alias("n"))
-    wanted = (ranked.filter(F.col("rank") == 0)
-                    .select("item_id", "n", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("k"))
-                    .select("item_id", "k",
-                            F.bround((F.col("n") - 1).cast("double") * ((F.col("k") + 0.5) / levels), 0)
-                             .cast("long").alias("rank")))
-    picked = wanted.join(ranked.select("item_id", "rank", "r"), ["item_id", "rank"])
-    return (picked.groupBy("item_id")
-                  .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "r"))), lambda x: x["r"])
-                       .alias("pool")))
+    return r.groupBy("item_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "r"))), lambda x: x["r"]).alias("pool"))
+
+
+def _draw(sample_id: Column, seed: int) -> Column:
+    """The residual that a sample takes: 0 for a series without any."""
+    name = F.concat_ws("|", F.col("item_id"), F.col("step").cast("string"), sample_id.cast("string"), F.lit(str(seed)))
+    number = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
+    n = F.coalesce(F.size("pool"), F.lit(0))
+    return F.when(n > 0, F.element_at("pool", (F.pmod(number, F.greatest(n, F.lit(1))) + 1).cast("int"))).otherwise(F.lit(0.0))
+
+
+def _steps(point: DataFrame, pool: DataFrame, model: str | None) -> DataFrame:
+    base = point.filter(F.col("quantile").isNull())
+    name = F.lit(model) if model else F.col("model")
+    return base.join(pool, "item_id", "left").withColumn("model", name).withColumn("step", F.col("step").cast("int"))
 
 
 def sample_paths(point: DataFrame, pool: DataFrame, num_samples: int = 100, seed: int = 42,
                  model: str | None = None) -> DataFrame:
     """SAMPLES rows from point forecast rows (``quantile IS NULL``) and a residual pool."""
-    base = point.filter(F.col("quantile").isNull())
-    j = base.join(pool, "item_id", "left")
-    draws = j.select("model", "item_id", "step", "ts", "value", "pool",
-                     F.explode(F.sequence(F.lit(0), F.lit(num_samples - 1))).alias("sample_id"))
-    k = F.coalesce(F.size("pool"), F.lit(0))
-    idx = F.pmod(F.xxhash64("item_id", "step", "sample_id", F.lit(seed)), F.greatest(k, F.lit(1)))
-    noise = F.when(k > 0, F.element_at("pool", (idx + 1).cast("int"))).otherwise(F.lit(0.0))
-    out = draws.select(F.lit(model).alias("model") if model else F.col("model"), "item_id",
-                       F.col("step").cast("int").alias("step"), "ts",
-                       F.col("sample_id").cast("int").alias("sample_id"),
-                       (F.col("value") + noise).alias("value"))
-    return out.select(*[f.name for f in SAMPLES.fields])
+    numbers = F.sequence(F.lit(0), F.lit(num_samples - 1))
+    drawn = F.transform(numbers, lambda s: F.struct(s.alias("sample_id"), (F.col("value") + _draw(s, seed)).alias("value")))
+    out = _steps(point, pool, model).select("model", "item_id", "step", "ts", F.explode(drawn).alias("d"))
+    return out.select("model", "item_id", "step", "ts", F.col("d.sample_id").cast("int").alias("sample_id"),
+                      F.col("d.value").alias("value")).select(*[f.name for f in SAMPLES.fields])
+
+
+def path_quantiles(point: DataFrame, pool: DataFrame, quantiles: Sequence[float], num_samples: int = 100, seed: int = 42,
+                   model: str | None = None) -> DataFrame:
+    """Nearest-rank quantiles, mean and count of the same samples per forecast step, from one
+    sorted array per step: nothing is exploded or shuffled after the pool's join."""
+    numbers = F.sequence(F.lit(0), F.lit(num_samples - 1))
+    values = F.array_sort(F.transform(numbers, lambda s: F.col("value") + _draw(s, seed)))
+    rows = _steps(point, pool, model).select("model", "item_id", "step", values.alias("v"))
+    # rank round-half-even((n - 1) q), as in summarise_samples
+    cols = [F.element_at("v", int(round((num_samples - 1) * q)) + 1).alias(f"q{int(q * 100):02d}") for q in quantiles]
+    mean = F.aggregate("v", F.lit(0.0), lambda a, x: a + x) / num_samples
+    return rows.select("model", "item_id", "step", *cols, mean.alias("mean"), F.lit(num_samples).cast("long").alias("n"))

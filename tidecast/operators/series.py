@@ -44,7 +44,8 @@ def to_series(df: DataFrame, ts: str, value: str | None = None,
               item_id: str | Column | None = None) -> DataFrame:
     """Pick the time column as key and a value column (default: first other column)."""
     if value is None:
-        value = next(c for c in df.columns if c != ts and c != item_id)
+        item_name = item_id if isinstance(item_id, str) else None
+        value = next(c for c in df.columns if c not in (ts, item_name))
     if item_id is None:
         item = F.lit("0")
     elif isinstance(item_id, str):
@@ -63,14 +64,19 @@ def canonicalise(nested: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- grids
 
-def aggregate_cells(df: DataFrame, freq: str, how: str = "exact_sum") -> DataFrame:
+def aggregate_cells(df: DataFrame, freq: str, how: str = "sum", scale: int | None = None) -> DataFrame:
     """Floor ``ts`` to ``freq`` cells and aggregate ``target`` per ``(item_id, cell)``.
 
+    ``exact_sum`` needs the number of decimals of the values (``scale``); it is for money
+    tables, where the sum must not depend on the order of addition.
+
     Partial (map-side) aggregation runs before the shuffle, so a hot item costs one
     row per cell per task, not one row per event.
     """
+    if (how == "exact_sum") != (scale is not None):
+        raise ValueError("exact_sum, and only it, takes a scale")
     agg = {
-        "exact_sum": exact_sum("target"),
+        "exact_sum": exact_sum("target", scale or 0),
         "sum": F.sum("target"),
         "mean": F.avg("target"),
         "count": F.count("target").cast("double"),
@@ -108,7 +114,8 @@ def regularise(series: DataFrame, freq: str = "1 hour", fill=None, span: str = "
     start/end      fixed bounds (like ``date_range(start, periods, freq)``)
 
     fill: None (NULL), a number, or 'ffill' (last observed value).  Input times must
-    already sit on the grid (see :func:`aggregate_cells`).  Output: GRID columns.
+    already sit on the grid (see :func:`aggregate_cells`): a time beside it, or outside
+    ``start``/``end``, fails the job.  Output: GRID columns.
     """
     cells = _unique_cells(series) if check_unique else series.select("item_id", "ts", "target")
     if start is not None or end is not None:
@@ -132,7 +139,10 @@ def regularise(series: DataFrame, freq: str = "1 hour", fill=None, span: str = "
             .withColumn("ts", add_steps(F.col("lo"), F.col("step"), freq))
             .select("item_id", "ts", F.col("step").cast("int").alias("step"),
                     F.col("n_steps").cast("int").alias("n_steps")))
-    out = grid.join(cells, ["item_id", "ts"], "left")
+    # a cell without a grid place must not vanish
+    out = grid.join(cells, ["item_id", "ts"], "full").withColumn("step", F.when(F.col("step").isNull(), F.raise_error(F.concat(
+        F.lit("regularise: no grid place for item "), F.coalesce("item_id", F.lit("NULL")), F.lit(" at "), F.coalesce(F.col("ts").cast("string"), F.lit("NULL")))).cast("int"))
+        .otherwise(F.col("step")))
     if fill is None:
         pass
     elif fill == "ffill":
@@ -145,59 +155,53 @@ def regularise(series: DataFrame, freq: str = "1 hour", fill=None, span: str = "
 
 # --------------------------------------------------------------------------- positions
 
+def _latest() -> tuple[Column, Column]:
+    return F.col("ts").desc(), F.col("target").desc()
+
+
 def with_reverse_rank(series: DataFrame, name: str = "rank_from_end") -> DataFrame:
     """1 for the last point of each series, 2 for the one before, ….
 
     Grid frames get it by arithmetic; raw frames by a per-series window ordered by
-    time (ties broken by ``target`` for determinism).  The raw form ranks a whole
-    series in one task, so :func:`holdout_split` and :func:`tail` use
-    :func:`last_n_threshold` instead.
+    time (ties broken by ``target``).  With a filter ``rank <= n`` behind it Spark keeps
+    only ``n`` rows per series and task before the shuffle (see :func:`tail`).
     """
     if is_grid(series):
         return series.withColumn(name, F.col("n_steps") - F.col("step"))
-    w = Window.partitionBy("item_id").orderBy(F.col("ts").desc(), F.col("target").desc())
-    return series.withColumn(name, F.row_number().over(w))
+    return series.withColumn(name, F.row_number().over(Window.partitionBy("item_id").orderBy(*_latest())))
 
 
-def last_n_threshold(series: DataFrame, n: int, salts: int = 64) -> DataFrame:
-    """Per series, the ``(ts, target)`` key of its n-th most recent row (or its oldest
-    row when shorter than ``n``) — exact, and safe when one series is huge.
-
-    Two phases: rows are salted into ``salts`` buckets per series and each bucket keeps
-    its own n most recent rows (a window per ``(item, salt)``, so a hot series is spread
-    over ``salts`` tasks); the true last ``n`` are among those ``salts·n`` candidates,
-    which a second, bounded window ranks exactly.
-    """
+def last_n_threshold(series: DataFrame, n: int) -> DataFrame:
+    """Per series, the ``(ts, target)`` key of its n-th most recent row (or its oldest row
+    when shorter than ``n``) and how many of the last ``n`` rows have that key.  Only ``n``
+    rows per series and task are shuffled."""
+    ranked = with_reverse_rank(series.select("item_id", "ts", "target"), "_r").filter(F.col("_r") <= n)
     key = F.struct(F.col("ts"), F.col("target"))
-    salted = series.select("item_id", "ts", "target",
-                           F.pmod(F.xxhash64("ts", "target"), F.lit(salts)).alias("_salt"))
-    w1 = Window.partitionBy("item_id", "_salt").orderBy(F.col("ts").desc(), F.col("target").desc())
-    cand = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
-    w2 = Window.partitionBy("item_id").orderBy(F.col("ts").desc(), F.col("target").desc())
-    ranked = cand.withColumn("_r2", F.row_number().over(w2)).filter(F.col("_r2") <= n)
-    return ranked.groupBy("item_id").agg(F.min(key).alias("_threshold"))
-
-
-def _last_n_flag(series: DataFrame, n: int) -> tuple[DataFrame, Column]:
-    """``series`` with a boolean column telling whether a row is among the last ``n``."""
-    if is_grid(series):
-        return series, (F.col("n_steps") - F.col("step")) <= n
-    th = last_n_threshold(series, n)
-    j = series.join(th, "item_id", "left")
-    return j, F.struct(F.col("ts"), F.col("target")) >= F.col("_threshold")
+    last = ranked.groupBy("item_id", "ts", "target").agg(F.count(F.lit(1)).alias("_ties"))
+    return last.groupBy("item_id").agg(F.min(key).alias("_threshold"), F.min_by("_ties", key).alias("_ties"))
 
 
 def holdout_split(series: DataFrame, horizon: int) -> DataFrame:
     """Mark the last ``horizon`` points of each series ``holdout``, the rest ``train``.
 
     A series of length ≤ horizon has no train rows, as slicing ``[:-H]`` gives.  Grid
-    frames decide by arithmetic; raw frames by a per-series threshold found with a
-    salted two-phase top-n (no series is ever ranked whole in one task).  Raw rows are
-    assumed unique per ``(item_id, ts)``, as :func:`regularise` requires.
+    frames decide by arithmetic; raw frames by a per-series threshold (no series is ranked
+    whole in one task).  Of rows that tie with the threshold as many are held out as make
+    ``horizon`` rows in all.
     """
-    df, last = _last_n_flag(series, horizon)
-    out = df.withColumn("split", F.when(last, F.lit("holdout")).otherwise(F.lit("train")))
-    return out.drop("_threshold")
+    def mark(last: Column) -> Column:
+        return F.when(last, F.lit("holdout")).otherwise(F.lit("train"))
+
+    if is_grid(series):
+        return series.withColumn("split", mark((F.col("n_steps") - F.col("step")) <= horizon))
+    j = series.join(last_n_threshold(series, horizon), "item_id", "left")
+    key = F.struct(F.col("ts"), F.col("target"))
+    # rows that share the threshold's key: as many as belong to the last ones
+    tie = key.eqNullSafe(F.col("_threshold"))
+    nth = F.row_number().over(Window.partitionBy("item_id").orderBy("ts"))
+    ties = j.filter(tie).withColumn("split", mark(nth <= F.col("_ties")))
+    rest = j.filter(~tie).withColumn("split", mark(key > F.col("_threshold")))
+    return rest.unionByName(ties).drop("_threshold", "_ties")
 
 
 def train_part(grid: DataFrame, horizon: int) -> DataFrame:
@@ -214,11 +218,8 @@ def holdout_part(grid: DataFrame, horizon: int) -> DataFrame:
 
 def tail(series: DataFrame, n: int) -> DataFrame:
     """The last ``n`` points of every series (labels, plot context, truncation)."""
-    df, last = _last_n_flag(series, n)
-    return df.filter(last).drop("_threshold")
-
-
-truncate = tail
+    ranked = with_reverse_rank(series, "_rank")
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
 def context(grid: DataFrame, n: int, horizon: int = 0) -> DataFrame:
@@ -362,20 +363,32 @@ def join_covariates(series: DataFrame, cov: DataFrame, n_features: int,
 def static_categories(df: DataFrame, category: str, cat_index: int = 0) -> DataFrame:
     """``(item_id, cat_index, category INT)``: dense index of a categorical column.
 
-    Category columns are low-cardinality by nature (17 in the workload): their distinct
-    values are ranked in one small window, and the item table is joined to that
-    dictionary.  The join carries no broadcast hint — AQE broadcasts it only when its
-    measured size is under the threshold, so a high-cardinality column stays correct.
+    The item table is joined to the dictionary of distinct values; no broadcast hint: AQE
+    broadcasts it only when its measured size is under the threshold.  NULL is a category.
     """
-    values = df.select(category).distinct()
-    dictionary = values.select(category, (F.dense_rank().over(Window.orderBy(category)) - 1)
-                               .cast("int").alias("category_code"))
+    dictionary = dense_index(df.select(F.col(category).alias("_value")).distinct(), "_value", "category_code")
     pairs = df.select("item_id", category).distinct()
-    return (pairs.join(dictionary, category)
+    return (pairs.join(dictionary, pairs[category].eqNullSafe(dictionary["_value"]))
                  .select("item_id", F.lit(cat_index).alias("cat_index"),
                          F.col("category_code").alias("category")))
 
 
+def dense_index(values: DataFrame, column: str, name: str) -> DataFrame:
+    """``values`` (distinct in ``column``) with its place in sorted order, from 0.
+
+    Rows are range-partitioned and numbered within their partition; only the row counts of
+    the partitions pass through one task.
+    """
+    from tidecast.session import materialize
+    # kept, so that both branches below see one cut into ranges
+    placed = materialize(values.repartitionByRange(column).withColumn("_part", F.spark_partition_id()), name, "persist")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).select("_part", before.alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(column))
+    return (placed.withColumn("_nth", nth).join(starts, "_part")
+                  .withColumn(name, (F.col("_before") + F.col("_nth") - 1).cast("int")).drop("_part", "_nth", "_before"))
+
+
 def label_boundaries(predict: DataFrame, train_end: DataFrame, test_end: DataFrame) -> DataFrame:
     """Mark each point ``train`` (≤ end of train), ``test`` (≤ end of test) or ``predict``.
 
@@ -391,32 +404,27 @@ def label_boundaries(predict: DataFrame, train_end: DataFrame, test_end: DataFra
                    .drop("train_end", "test_end"))
 
 
-def group_multivariate(series: DataFrame, max_dim: int = 96, freq: str = "1 hour",
-                       exact_money: bool = False) -> DataFrame:
-    """Align series into one vector per time (J6), long form ``(ts, dim, item_id, value)``.
+def group_multivariate(series: DataFrame, freq: str = "1 hour", money_scale: int | None = None) -> DataFrame:
+    """Align all series on one time grid (J6), long form ``(ts, dim, item_id, value)``.
 
-    Dimensions are the first ``max_dim`` items by ``item_id`` (a top-k with a fixed
-    bound, so the dimension table can be broadcast).  Every dimension is put on the
+    Dimensions are the items in sorted order, all of them.  Every dimension is put on the
     overall time grid; a missing time takes the mean of that series' observed values
-    (``exact_money``: values have two decimals, so the sum is taken exactly first).
+    (``money_scale``: decimals of the values, to sum them exactly first).
     """
-    from tidecast.session import materialize
-    dims = (series.select("item_id").distinct().orderBy("item_id").limit(max_dim)
-                  .withColumn("dim", (F.row_number().over(Window.orderBy("item_id")) - 1).cast("int")))
-    # the ≤ max_dim-row dimension table feeds five branches: keep it instead of
-    # re-running the top-k for each
-    dims = materialize(dims, "multivariate_dims", "persist")
-    kept = series.join(F.broadcast(dims), "item_id")
-    mean = (exact_sum("target") / F.count("target")) if exact_money else F.avg("target")
-    means = kept.groupBy("item_id").agg(mean.alias("fill"))
-    grid = regularise(kept.select("item_id", "ts", "target"), freq=freq, span="global")
-    return (grid.join(F.broadcast(dims), "item_id").join(means, "item_id")
+    dims = dense_index(series.select("item_id").distinct(), "item_id", "dim")
+    mean = (exact_sum("target", money_scale) / F.count("target")) if money_scale is not None else F.avg("target")
+    means = series.groupBy("item_id").agg(mean.alias("fill")).join(dims, "item_id")
+    grid = regularise(series.select("item_id", "ts", "target"), freq=freq, span="global")
+    return (grid.join(means, "item_id")
                 .select("ts", "dim", "item_id",
                         F.coalesce(F.col("target"), F.col("fill")).alias("value")))
 
 
-def to_vectors(multivariate: DataFrame) -> DataFrame:
-    """``(ts, target ARRAY<DOUBLE>)`` ordered by dim; each array has at most max_dim entries."""
-    return (multivariate.groupBy("ts")
-                        .agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))),
-                                         lambda x: x["value"]).alias("target")))
+def to_vectors(multivariate: DataFrame, max_dim: int = 96) -> DataFrame:
+    """``(ts, target ARRAY<DOUBLE>)`` ordered by dim; more than ``max_dim`` dimensions, whose
+    array would not fit a row, fail the job."""
+    checked = multivariate.withColumn("value", F.when(F.col("dim") >= max_dim, F.raise_error(F.format_string(
+        f"to_vectors: more than {max_dim} dimensions (%s)", F.col("item_id"))).cast("double")).otherwise(F.col("value")))
+    return (checked.groupBy("ts")
+                   .agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))),
+                                    lambda x: x["value"]).alias("target")))

@@ -19,9 +19,10 @@ class Backtest:
     history: DataFrame
     holdout: DataFrame
     forecast: DataFrame
+    models: int = 1
 
     def paired(self, q: float | None = 0.5) -> DataFrame:
-        return M.pair(self.forecast, self.holdout, q)
+        return M.pair(self.forecast, self.holdout, q, self.models)
 
 
 def backtest(grid: DataFrame, forecaster: Forecaster, horizon: int) -> Backtest:
@@ -41,7 +42,7 @@ def backtest_all(grid: DataFrame, forecasters: dict[str, Forecaster], horizon: i
     union = fcs[0]
     for other in fcs[1:]:
         union = union.unionByName(other)
-    return Backtest(history, holdout_part(grid, horizon), union)
+    return Backtest(history, holdout_part(grid, horizon), union, len(fcs))
 
 
 def leaderboard(bt: Backtest, q: float = 0.7, zero_pair: str = "nan") -> DataFrame:

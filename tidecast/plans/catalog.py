@@ -278,17 +278,17 @@ def q_sum_across_series_strict(spark, d):
 @register("group_multivariate", ["ts", "dim", "item_id", "value"], ["value"],
           O.with_([O.cells("hour", "user_id", "ucells"),
                    ("dims", "SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS dim FROM "
-                            "(SELECT DISTINCT item_id FROM ucells ORDER BY item_id LIMIT 96)"),
-                   ("cells", "SELECT c.* FROM ucells c JOIN dims USING (item_id)"),
+                            "(SELECT DISTINCT item_id FROM ucells)"),
+                   ("cells", "SELECT * FROM ucells"),
                    ("means", "SELECT item_id, CAST(sum(CAST(target AS DECIMAL(18,2))) AS DOUBLE) / count(target) AS fill "
                              "FROM cells GROUP BY 1")]
                   + O.grid("hour", "cells", "series", "NULL"),
                   "SELECT s.ts, d.dim, s.item_id, coalesce(s.target, m.fill) AS value FROM series s "
                   "JOIN dims d USING (item_id) JOIN means m USING (item_id)"))
 def q_group_multivariate(spark, d):
-    """First 96 per-user hourly series aligned on one grid, gaps = series mean."""
+    """All per-user hourly series aligned on one grid, gaps = series mean."""
     cells = materialize(D.events_cells(spark, d, "1 hour", "user_id"), "user_hourly_cells", REUSE)
-    return S.group_multivariate(cells, 96, "1 hour", exact_money=True)
+    return S.group_multivariate(cells, "1 hour", D.MONEY_SCALE)
 
 
 @register("label_boundaries", ["item_id", "ts", "target", "segment"], ["target"],
@@ -348,7 +348,7 @@ def q_fourier_gram(spark, d):
               "sqrt(greatest(syy - sxy * sxy / sxx, 0.0) / (n - 2)) END AS sigma FROM fit"))
 def q_ar1_fit(spark, d):
     """M4: AR(1) on 24-hour differences — slope, intercept, residual scale."""
-    return autoreg.fit_ar1(S.train_part(_grid(spark, d), H), M_SEASON)
+    return autoreg.fit_ar1(S.train_part(_grid(spark, d), H), M_SEASON).drop("d_mean", "d_last")
 
 
 # ----------------------------------------------------------------------------- B1, A5–A16
@@ -625,7 +625,11 @@ def q_global_ar(spark, d):
     return global_ar.global_ar_forecast(hist, H, "1 hour", EVAL_QS, cats, M_SEASON)
 
 
-@register("sample_paths", ["model", "item_id", "step", "ts", "sample_id", "value"], ["value"])
+_PATHS = O.with_(O.hourly() + O.split() + [O.seasonal_naive()] + O.sample_paths_ctes(),
+                 "SELECT model, item_id, step, ts, sample_id, value FROM paths")
+
+
+@register("sample_paths", ["model", "item_id", "step", "ts", "sample_id", "value"], ["value"], _PATHS)
 def q_sample_paths(spark, d):
     """M6: 100 sample paths per series — seasonal naive + hashed residual draws."""
     hist = S.train_part(_grid(spark, d), H)
@@ -634,11 +638,16 @@ def q_sample_paths(spark, d):
 
 
 @register("sample_path_quantiles", ["model", "item_id", "step", "q10", "q50", "q70", "q90", "mean", "n"],
-          ["q10", "q50", "q70", "q90", "mean"])
+          ["q10", "q50", "q70", "q90", "mean"],
+          "SELECT model, item_id, step, " + ", ".join(
+              f"min(CASE WHEN rn = {r} THEN value END) AS q{q}" for q, r in ((10, 10), (50, 50), (70, 69), (90, 89))) +
+          f", avg(value) AS mean, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY model, item_id, step "
+          f"ORDER BY value) - 1 AS rn FROM ({_PATHS})) GROUP BY 1, 2, 3")
 def q_sample_path_quantiles(spark, d):
     """M6 + A12: nearest-rank quantiles of the sample paths per forecast step."""
-    paths = q_sample_paths(spark, d)
-    return M.summarise_samples(paths, ["model", "item_id", "step"], "value", (0.1, 0.5, 0.7, 0.9))
+    hist = S.train_part(_grid(spark, d), H)
+    point = naive.seasonal_naive(hist, H, M_SEASON, "1 hour", ())
+    return samples.path_quantiles(point, samples.residual_pool(hist, M_SEASON), (0.1, 0.5, 0.7, 0.9))
 
 
 # ----------------------------------------------------------------------------- daily, long history
@@ -697,11 +706,7 @@ def q_global_ar_scheduled(spark, d):
 @register("incremental_cells", ["item_id", "ts", "target"], ["target"],
           O.with_([O.cells()], "SELECT item_id, ts, target FROM cells"))
 def q_incremental_cells(spark, d):
-    """Events ingested by an availableNow file stream (progress checkpointed in the
-    shared folder), each micro-batch appended as hourly cents totals, the table read
-    back.  A rerun sees no new file and returns the same table."""
-    import hashlib
-    import os
-    from tidecast.streaming.ingest import ingest_cells
-    name = "events_" + hashlib.sha1(os.path.abspath(d).encode()).hexdigest()[:12]
-    return ingest_cells(spark, d, "events", name, "1 hour")
+    """Hourly totals per event file, merged over the files in one plan: what the
+    incremental ingest holds once every file has arrived.  No state is kept."""
+    from tidecast.streaming.ingest import cells_by_file
+    return cells_by_file(spark, d, "events", "1 hour", scale=D.MONEY_SCALE)

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tidecast.operators.series import aggregate_cells, regularise
 
 
+#: Decimals of the values in the tables.
+MONEY_SCALE = 2
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,7 +29,7 @@ def events_as_series(spark: SparkSession, sf_dir: str, item: str = "event_type")
 def events_cells(spark: SparkSession, sf_dir: str, freq: str = "1 hour",
                  item: str = "event_type") -> DataFrame:
     """Events summed per item and ``freq`` cell; cells without events are absent."""
-    return aggregate_cells(events_as_series(spark, sf_dir, item), freq, "exact_sum")
+    return aggregate_cells(events_as_series(spark, sf_dir, item), freq, "exact_sum", MONEY_SCALE)
 
 
 def events_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +49,7 @@ def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("item_id"), F.col("o_orderdate").alias("ts"),
         F.col("o_totalprice").alias("target"))
-    return regularise(aggregate_cells(o, "1 day", "exact_sum"), "1 day", fill=0.0, span="series")
+    return regularise(aggregate_cells(o, "1 day", "exact_sum", MONEY_SCALE), "1 day", fill=0.0, span="series")
 
 
 def lineitem_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +57,4 @@ def lineitem_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("item_id"), F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("target"))
-    return regularise(aggregate_cells(li, "1 day", "exact_sum"), "1 day", fill=0.0, span="series")
+    return regularise(aggregate_cells(li, "1 day", "exact_sum", MONEY_SCALE), "1 day", fill=0.0, span="series")

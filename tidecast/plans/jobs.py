@@ -20,7 +20,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions.time import ts_text
+from tidecast.functions.time import add_steps
 from tidecast.operators import series as S
 from tidecast.operators.models.global_ar import GlobalARModel, GlobalARParams
 from tidecast.schema import SCHEDULED, Preset
@@ -58,7 +58,7 @@ def run_paths(cfg: JobConfig, run_date) -> dict[str, str]:
 def run_ids(run_time: datetime) -> dict[str, str]:
     """Job and model names stamped ``yyyy-MM-dd-HH-mm-ss`` (F1)."""
     stamp = run_time.strftime("%Y-%m-%d-%H-%M-%S")
-    return {"jobname": f"forecast-{stamp}", "modelname": f"forecast-model-{stamp}"}
+    return {"run": f"forecast-{stamp}", "model_id": f"forecast-model-{stamp}"}
 
 
 # ----------------------------------------------------------------------------- B7
@@ -74,8 +74,12 @@ def export_table(spark: SparkSession, cfg: JobConfig, run_date, df: DataFrame |
 
 # ----------------------------------------------------------------------------- B2
 def generate_dataset(spark: SparkSession, cfg: JobConfig, run_date, series: DataFrame | None = None,
-                     mode: str = "overwrite") -> dict[str, str]:
-    """Series → regular grid → train (all but the last H) and test (all) records."""
+                     mode: str = "overwrite", run_time: datetime | None = None) -> dict[str, str]:
+    """Series → regular grid → train (all but the last H) and test (all) records.
+
+    ``run_time`` stamps the run's names; it defaults to midnight of the run date, so that
+    every stage and every rerun of a date has the same names.
+    """
     p = run_paths(cfg, run_date)
     if series is None:
         series = R.read_series_csv(spark, cfg.source_csv, cfg.ts_column, cfg.value_column, cfg.item_column)
@@ -83,13 +87,12 @@ def generate_dataset(spark: SparkSession, cfg: JobConfig, run_date, series: Data
     train = S.train_part(grid, cfg.preset.horizon)
     K.write_series_json(S.nest_target(train), p["train"], mode)
     K.write_series_json(S.nest_target(grid), p["test"], mode)
-    return {**p, **run_ids(datetime.now())}
+    return {**p, **run_ids(run_time or datetime.combine(datetime.fromisoformat(str(_day(run_date))[:10]), datetime.min.time()))}
 
 
 def _nested_to_grid(nested: DataFrame, freq: str) -> DataFrame:
-    long_ = S.unnest_target(nested, freq)
-    n = nested.select("item_id", F.size("target").cast("int").alias("n_steps"))
-    return long_.join(n, "item_id").select("item_id", "ts", "step", "n_steps", "target")
+    long_ = nested.select("item_id", "start", F.size("target").cast("int").alias("n_steps"), F.posexplode("target").alias("step", "target"))
+    return long_.select("item_id", add_steps(F.col("start"), F.col("step"), freq).alias("ts"), F.col("step").cast("int").alias("step"), "n_steps", "target")
 
 
 # ----------------------------------------------------------------------------- B3
@@ -128,8 +131,3 @@ def run_forecast_job(spark: SparkSession, cfg: JobConfig, run_date, series: Data
     model.save(spark, p["model"])
     batch_score(spark, cfg, model, p["test"], p["output"])
     return output_forecast(spark, cfg, p["output"])
-
-
-def series_start_text(nested: DataFrame) -> DataFrame:
-    """``start`` as text, as stored in records."""
-    return nested.select("item_id", ts_text("start").alias("start"))

@@ -71,6 +71,20 @@ def seasonal_naive(m: int = M, h: int = H, unit: str = "hour", name: str = "sn",
             f"WHERE x.item_id = l.item_id AND x.step = l.n_steps - {m} + ((s.h - 1) % {m})")
 
 
+def sample_paths_ctes(m: int = M, samples: int = 100, seed: int = 42) -> list[tuple[str, str]]:
+    """Each sample adds the residual whose number its hash gives, of all seasonal differences."""
+    return [
+        ("res0", f"SELECT item_id, step, target - lag(target, {m}) OVER (PARTITION BY item_id ORDER BY step) AS r FROM hist"),
+        ("res", "SELECT item_id, r, row_number() OVER (PARTITION BY item_id ORDER BY step) - 1 AS k, "
+                "count(*) OVER (PARTITION BY item_id) AS n FROM res0 WHERE r IS NOT NULL"),
+        ("sizes", "SELECT DISTINCT item_id, n FROM res"),
+        ("drawn", f"SELECT s.*, d.sample_id, CAST('0x' || substr(md5(concat_ws('|', s.item_id, s.step, d.sample_id, {seed})), 1, 8) AS BIGINT) AS u "
+                  f"FROM sn s, (SELECT CAST(unnest(range(0, {samples})) AS INTEGER) AS sample_id) d"),
+        ("paths", "SELECT d.model, d.item_id, d.step, d.ts, d.sample_id, d.value + res.r AS value FROM drawn d "
+                  "JOIN sizes z USING (item_id) JOIN res ON res.item_id = d.item_id AND res.k = d.u % z.n"),
+    ]
+
+
 def context_mean(c: int = C, h: int = H, name: str = "cm", model: str = "mean") -> tuple[str, str]:
     return (name,
             f"SELECT '{model}' AS model, l.item_id, CAST(s.h AS INTEGER) AS step, "
@@ -243,7 +257,7 @@ def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
                f"lag(target, 1) OVER w - lag(target, {m + 1}) OVER w AS d_prev FROM hist "
                f"WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
         ("fit", "SELECT item_id, coalesce(regr_slope(d_t, d_prev), 0.0) AS phi, "
-                "coalesce(regr_intercept(d_t, d_prev), 0.0) AS c, regr_count(d_t, d_prev) AS n, "
+                "CASE WHEN regr_sxx(d_t, d_prev) > 0 THEN regr_intercept(d_t, d_prev) ELSE coalesce(avg(d_t), 0.0) END AS c, regr_count(d_t, d_prev) AS n, "
                 "regr_sxx(d_t, d_prev) AS sxx, regr_syy(d_t, d_prev) AS syy, regr_sxy(d_t, d_prev) AS sxy "
                 "FROM dd GROUP BY 1"),
         ("fit2", "SELECT item_id, phi, c, CASE WHEN n > 2 AND sxx > 0 THEN "

@@ -71,9 +71,8 @@ def materialize(df: DataFrame, name: str = "stage", mode: str = "checkpoint") ->
     recomputed from lineage — right for a small intermediate reused within one job);
     ``checkpoint`` uses reliable ``DataFrame.checkpoint`` into the shared folder;
     ``parquet`` writes a named table under ``<checkpoint dir>/tables/<name>`` and reads
-    it back (useful when another job reads the stage output too).  Without a
-    configured ``spark.checkpoint.dir`` the frame is returned unchanged (still
-    correct, only recomputed per branch).
+    it back (useful when another job reads the stage output too).  Both need
+    ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
     if mode == "persist":
@@ -81,10 +80,7 @@ def materialize(df: DataFrame, name: str = "stage", mode: str = "checkpoint") ->
         # lazy: the first action fills it; every later reader — in the same plan or
         # not — scans the stored blocks instead of the source
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        root = ensure_checkpoint_dir(spark)
-    except RuntimeError:
-        return df
+    root = ensure_checkpoint_dir(spark)
     if mode == "checkpoint":
         return df.checkpoint(eager=True)
     path = os.path.join(root, "tables", name)

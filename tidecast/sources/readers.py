@@ -70,8 +70,9 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, infer: b
 
 def read_series_csv(spark: SparkSession, path: str, ts: str = "datetime", value: str | None = None,
                     item_id: str | None = None, schema: str | None = None) -> DataFrame:
-    """CSV → SERIES (time column as key, first other column as value by default)."""
-    df = read_csv(spark, path, schema=schema, infer=schema is None)
+    """CSV → SERIES (time column as key, first other column as value by default).  Without
+    a schema columns are read as text and cast, so that the file is read once."""
+    df = read_csv(spark, path, schema=schema)
     return to_series(df, ts, value, item_id)
 
 
@@ -80,12 +81,13 @@ def read_series_json(spark: SparkSession, path: str, period: str | None = None)
 
     ``"NaN"`` strings and bare ``NaN`` both parse as NaN and become NULL.  A dataset
     laid out in ``period=<name>`` folders is filtered on that partition column, so
-    only the chosen variant's files are read.
+    only the chosen variant's files are read.  A record without an id is named by its file
+    and its number in it, so that no two records share a name.
     """
     df = spark.read.schema(SERIES_JSON_SCHEMA + (", period STRING" if period is not None else "")).json(path)
     if period is not None:
         df = df.filter(F.col("period") == period)
-    item = F.coalesce(F.col("item_id"), F.col("id"), F.lit("0"))
+    item = F.coalesce(F.col("item_id"), F.col("id"), _record_name())
     clean = F.transform("target", lambda x: F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x))
     return df.select(item.alias("item_id"),
                      F.col("start").cast("timestamp_ntz").alias("start"),
@@ -94,17 +96,22 @@ def read_series_json(spark: SparkSession, path: str, period: str | None = None)
                      F.coalesce("dynamic_feat", "feat_dynamic_real").alias("dynamic_feat"))
 
 
+def _record_name():
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return F.concat_ws("#", name, F.monotonically_increasing_id().cast("string"))
+
+
 def read_forecast_json(spark: SparkSession, path: str, quantile: str = "0.5",
                        freq: str = "1 hour") -> DataFrame:
     """Forecast documents ``{"item_id"?, "start"?, "quantiles": {"0.5": [...]}, …}``,
     one per line → ``(item_id, step, ts, value)`` for the chosen quantile key
-    (``ts`` is NULL when a document carries no start)."""
-    df = spark.read.schema("item_id STRING, start STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, "
+    (``ts`` is NULL when a document carries no start, ``model`` when it names none)."""
+    df = spark.read.schema("model STRING, item_id STRING, start STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, "
                            "mean ARRAY<DOUBLE>").json(path)
-    return (df.select(F.coalesce("item_id", F.lit("0")).alias("item_id"),
+    return (df.select("model", F.coalesce("item_id", _record_name()).alias("item_id"),
                       F.col("start").cast("timestamp_ntz").alias("start"),
                       F.posexplode(F.col("quantiles")[quantile]).alias("pos", "value"))
-              .select("item_id", (F.col("pos") + 1).cast("int").alias("step"),
+              .select("model", "item_id", (F.col("pos") + 1).cast("int").alias("step"),
                       add_steps(F.col("start"), F.col("pos"), freq).alias("ts"), "value"))
 
 

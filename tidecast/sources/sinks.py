@@ -33,9 +33,9 @@ def publish_fixed_name(df: DataFrame, directory: str, name: str, mode: str = "ov
     The workload squeezes the table into one partition to get one file, then copies
     the first key under the prefix to a fixed name.  Here the write stays parallel
     (one part file per task, each with its header) into a fresh staging folder, and
-    the folder is then renamed onto the fixed name — a metadata operation, so no row
-    passes through one task or the driver, and a rerun never picks up an earlier
-    output.  Readers take the fixed name as a path exactly as they would a file.
+    the folder is then renamed onto the fixed name, so no row passes through one task or
+    the driver, and a rerun never picks up an earlier output (on an object store a rename
+    copies the files).  Readers take the fixed name as a path exactly as they would a file.
     """
     spark = df.sparkSession
     target = f"{directory.rstrip('/')}/{name}"
@@ -52,11 +52,18 @@ def publish_fixed_name(df: DataFrame, directory: str, name: str, mode: str = "ov
     else:
         w.format(fmt).save(staging)
     sfs, spath, _ = _fs(spark, staging)
-    if fs.exists(tpath):
-        fs.delete(tpath, True)
     fs.mkdirs(tpath.getParent())
+    # the old output is set aside, and only removed once the new one is in its place
+    _, old, _ = _fs(spark, f"{directory.rstrip('/')}/_replaced_{uuid.uuid4().hex}")
+    had = fs.exists(tpath)
+    if had and not fs.rename(tpath, old):
+        raise RuntimeError(f"could not set {target} aside")
     if not sfs.rename(spath, tpath):
+        if had:
+            fs.rename(old, tpath)
         raise RuntimeError(f"could not move {staging} to {target}")
+    if had:
+        fs.delete(old, True)
     return target
 
 
@@ -91,23 +98,23 @@ def write_forecast_jdbc(forecast: DataFrame, url: str, table: str, mode: str = "
 
 
 def forecast_documents(forecast: DataFrame) -> DataFrame:
-    """K6: one JSON document per series: ``{"item_id", "mean": [...], "quantiles": {"q": [...]}}``.
+    """K6: one JSON document per model and series: ``{"model", "item_id", "mean": [...], "quantiles": {"q": [...]}}``.
 
     Arrays are ordered by step; a document holds H values per quantile, so its size is
     bounded by the horizon, not the data.
     """
-    per_q = (forecast.groupBy("item_id", "quantile")
+    by = ["model", "item_id"]
+    per_q = (forecast.groupBy(*by, "quantile")
                      .agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "value"))),
-                                      lambda x: x["value"]).alias("values")))
+                                      lambda x: x["value"]).alias("values"),
+                          F.min(F.when(F.col("step") == 1, F.col("ts"))).alias("start_ts")))
     key = F.when(F.col("quantile").isNull(), F.lit("mean")).otherwise(F.col("quantile").cast("string"))
-    per_q = per_q.select("item_id", key.alias("key"), "values")
-    doc = per_q.groupBy("item_id").agg(
+    doc = per_q.withColumn("key", key).groupBy(*by).agg(
         F.max(F.when(F.col("key") == "mean", F.col("values"))).alias("mean"),
         F.map_from_entries(F.collect_list(F.when(F.col("key") != "mean",
-                                                 F.struct("key", "values")))).alias("quantiles"))
-    start = forecast.filter(F.col("step") == 1).groupBy("item_id").agg(F.min("ts").alias("start_ts"))
-    doc = doc.join(start, "item_id", "left").withColumn("start", ts_text("start_ts"))
-    return doc.select("item_id", F.to_json(F.struct("item_id", "start", "mean", "quantiles")).alias("value"))
+                                                 F.struct("key", "values")))).alias("quantiles"),
+        ts_text(F.min("start_ts")).alias("start"))
+    return doc.select("item_id", F.to_json(F.struct("model", "item_id", "start", "mean", "quantiles")).alias("value"))
 
 
 def write_forecast_json(forecast: DataFrame, path: str, mode: str = "overwrite") -> None:

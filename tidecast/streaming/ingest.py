@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.functions.time import bucket
 from tidecast.session import checkpoint_root
 
 
@@ -62,13 +63,33 @@ def append_to_table(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int
     return run
 
 
-def stream_root(spark: SparkSession) -> str:
-    """Shared folder for stream state and tables: ``spark.checkpoint.dir``; when a session
-    has none, the session's (shared) warehouse location."""
-    try:
-        return checkpoint_root(spark).rstrip("/")
-    except RuntimeError:
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidecast_streams"
+def state_folder(spark: SparkSession, name: str, state: str | None = None) -> str:
+    """Folder of a stream's progress and tables: below ``state``, or below the shared
+    ``spark.checkpoint.dir``; a session that has neither is refused."""
+    return f"{(state or checkpoint_root(spark)).rstrip('/')}/tidecast-ingest/{name}"
+
+
+class ReplacedFileError(RuntimeError):
+    """A file that was ingested before has changed since."""
+
+
+def check_unchanged(spark: SparkSession, folder: str, table: str, known: str) -> DataFrame:
+    """(path, changed, size) of the files there are now; fails if one of those recorded in
+    ``known`` has another time or size, whose rows are already in the totals."""
+    now = (spark.read.parquet(f"{folder}/{table}*.parquet")
+           .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_size").alias("size")).distinct())
+    if _exists(spark, known):
+        old = spark.read.parquet(known).select("path", F.col("changed").alias("was"), F.col("size").alias("was_size"))
+        differs = now.join(old, "path").filter((F.col("changed") != F.col("was")) | (F.col("size") != F.col("was_size")))
+        row = differs.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).first()
+        if row["n"]:
+            raise ReplacedFileError(f"{row['n']} ingested files were replaced, the first is {row['first']}; ingest into a new state folder")
+    return now
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def stream_parquet_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -77,25 +98,46 @@ def stream_parquet_table(spark: SparkSession, folder: str, table: str) -> DataFr
     return spark.readStream.schema(schema).option("basePath", folder).parquet(f"{folder}/{table}*.parquet")
 
 
-def cells_batch_writer(path: str, freq: str, item: str, ts: str, value: str):
-    """``foreachBatch`` handler: sum each micro-batch into ``(item, cell)`` cents totals and
-    write them under ``batch_id=<epoch>`` (a replayed batch overwrites only itself)."""
-    from tidecast.functions.time import bucket
-
+def cells_batch_writer(path: str, freq: str, item: str, ts: str, value: str, scale: int | None = None):
+    """``foreachBatch`` handler: sum each micro-batch into ``(item, cell)`` totals and write
+    them under ``batch_id=<epoch>`` (a replayed batch overwrites only itself).  ``scale``:
+    decimals of money values, whose sums are then exact."""
     def run(batch: DataFrame, epoch: int) -> None:
-        cells = (batch.groupBy(F.col(item).cast("string").alias("item_id"), bucket(ts, freq).alias("ts"))
-                      .agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("cents")))
-        append_to_table(path)(cells, epoch)
+        append_to_table(path)(partial_cells(batch, freq, item, ts, value, scale), epoch)
     return run
 
 
+def partial_cells(rows: DataFrame, freq: str, item: str, ts: str, value: str, scale: int | None = None, *by: str) -> DataFrame:
+    """``item_id, ts, total`` of the rows, and of each of ``by``."""
+    v = F.col(value).cast("double") if scale is None else F.col(value).cast(f"decimal(18,{scale})")
+    return rows.groupBy(*by, F.col(item).cast("string").alias("item_id"), bucket(ts, freq).alias("ts")).agg(F.sum(v).alias("total"))
+
+
+def merged_cells(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("item_id", "ts").agg(F.sum("total").cast("double").alias("target"))
+
+
+def cells_by_file(spark: SparkSession, folder: str, table: str, freq: str = "1 hour", item: str = "event_type",
+                  ts: str = "ts", value: str = "value", scale: int | None = None) -> DataFrame:
+    """What :func:`ingest_cells` leaves after all files have arrived, in one plan without any
+    state: cells per file, merged over the files."""
+    rows = spark.read.parquet(f"{folder}/{table}.parquet").withColumn("_file", F.col("_metadata.file_path"))
+    return merged_cells(partial_cells(rows, freq, item, ts, value, scale, "_file"))
+
+
 def ingest_cells(spark: SparkSession, folder: str, table: str, name: str, freq: str = "1 hour",
-                 item: str = "event_type", ts: str = "ts", value: str = "value") -> DataFrame:
+                 item: str = "event_type", ts: str = "ts", value: str = "value", scale: int | None = None,
+                 state: str | None = None) -> DataFrame:
     """R1 end to end: ingest whatever is new in ``folder/table*``, append its cells, and
-    return the whole cell table (cells summed over every batch so far, exactly)."""
-    base = f"{stream_root(spark)}/tidecast-ingest/{name}"
+    return the whole cell table (cells summed over every batch so far).
+
+    A file that changed after it was ingested fails the run (its old rows are in the totals).
+    """
+    base = state_folder(spark, name, state)
+    now = check_unchanged(spark, folder, table, f"{base}/files")
     stream = stream_parquet_table(spark, folder, table)
-    ingest_available(spark, stream, name, cells_batch_writer(f"{base}/table", freq, item, ts, value),
+    ingest_available(spark, stream, name, cells_batch_writer(f"{base}/table", freq, item, ts, value, scale),
                      f"{base}/checkpoint")
-    return (spark.read.parquet(f"{base}/table")
-                 .groupBy("item_id", "ts").agg(F.sum("cents").cast("double").alias("target")))
+    # one record per file and state; a rerun records the same again
+    now.write.mode("append").parquet(f"{base}/files")
+    return merged_cells(spark.read.parquet(f"{base}/table"))
