@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import uuid
 
@@ -45,20 +44,21 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage,
     so a lost executor costs no earlier stage, and lets Spark drop the shuffle files
     behind it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    del df
-    release(spark)
-    return out
+    path = shared_dir(df.sparkSession, name)
+    write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Spark removes shuffle files once the driver's garbage collection finds their plan
-    unreachable; ask for one after a finished stage instead of keeping them on disk."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def write(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet; Spark drops the shuffle files of this execution at its end
+    instead of whenever the driver collects its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(key, before)
 
 
 def filesystem(uri: str):
@@ -140,6 +140,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    return _powers(n)[1]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of a 64-bit hash (an invertible finaliser)."""
     h = h ^ (h >> np.uint64(30))
@@ -165,5 +169,14 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.BinaryArray:
+    """data[start:end] of each span as bytes, in one copy."""
+    size = end - start
+    before = np.cumsum(size) - size
+    at = np.repeat(start - before, size) + np.arange(int(size.sum()))
+    bounds = np.append(before, size.sum()) * data.itemsize
+    return pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data[at].tobytes())])
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)

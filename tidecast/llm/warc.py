@@ -105,8 +105,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, level: int = 6
                 names=["page_id", "url", "digest", "record_type", "refers_to", "file", "offset", "length"])
 
     rows = with_record_types(pages, least)
-    rows.mapInArrow(write, INDEX_SCHEMA).write.parquet(f"{folder}/index")
-    S.release(spark)
+    S.write(rows.mapInArrow(write, INDEX_SCHEMA), f"{folder}/index")
     return spark.read.schema(INDEX_SCHEMA).parquet(f"{folder}/index")
 
 
