@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.compute import list_value_length, take
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import _shared as S
@@ -34,7 +35,7 @@ from . import _shared as S
 #: Text bytes whose phrases a task reduces together before the shuffle.
 FLUSH_BYTES = 24 << 20
 #: Payload bytes that ``resolve`` gets at one time, in whole context groups.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 
 
 @dataclass
@@ -48,12 +49,12 @@ class Phrases:
     content: np.ndarray
 
 
-def runs_of(values: np.ndarray, row: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last + 1 of the runs of equal values inside a row, where ``ok``."""
+def runs_of(values: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 of the runs of equal values where ``ok``."""
     if not len(values):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1]) | (ok[1:] != ok[:-1])
+    new[1:] = (values[1:] != values[:-1]) | (ok[1:] != ok[:-1])
     a = np.flatnonzero(new)
     b = np.append(a[1:], len(values))
     return a[ok[a]], b[ok[a]]
@@ -237,27 +238,22 @@ CUT_SCHEMA = "context long, key long, doc long, first int, windows int, position
 
 
 def _cut(cutter):
-    """One row per context group of each phrase.  ``cutter(text)`` gives, for (first unit,
-    windows), the rows (context hash, first window of the part, its windows, payload)."""
+    """One row per context group of each phrase.  ``cutter(off, data, row, at, windows)`` gives for
+    the phrases of a chunk (row, first unit in it, windows) the arrays phrase, context hash,
+    first window of the part, its windows, payload."""
 
     def run(batches):
         for b in batches:
-            key, text, phrases = (b.column(c) for c in range(3))
-            out = []
-            for k, t, ps in zip(key.to_pylist(), text, phrases, strict=True):
-                cut = cutter(t.as_buffer())
-                for p in ps.as_py():
-                    at = p["positions"][0]
-                    out += [(context, k, p["doc"], first - at, n, p["positions"], payload) for context, first, n, payload in cut(at, p["windows"])]
-                if len(out) > 20_000:
-                    yield batch(out)
-                    out = []
-            if out:
-                yield batch(out)
-
-    def batch(out):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["context", "key", "doc", "first", "windows", "positions", "payload"])
+            for i, j, off, data in S.chunks(b.column(1)):
+                lists = b.column(2).slice(i, j - i)
+                row = np.repeat(np.arange(j - i), list_value_length(lists).to_numpy(zero_copy_only=False))
+                doc, windows, positions = lists.flatten().flatten()
+                at = positions.values.to_numpy()[positions.offsets.to_numpy()[:-1]].astype(np.int64)
+                phrase, context, first, n, payload = cutter(off, data, row, at, windows.to_numpy().astype(np.int64))
+                key = b.column(0).slice(i, j - i).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(context), pa.array(key[row[phrase]]), take(doc, pa.array(phrase)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), take(positions, pa.array(phrase)), payload],
+                    names=["context", "key", "doc", "first", "windows", "positions", "payload"])
 
     return run
 
@@ -266,58 +262,56 @@ def _resolve(resolve, length: int):
     """Marks of the phrases, from rows sorted by context.  ``resolve(payloads, docs, windows)``
     gives for distinct payloads the smallest document of each of their windows, flat."""
 
-    def settle(rows):
-        context, key, doc, first, windows, positions, payload = zip(*rows, strict=True)
-        doc = np.array(doc, np.int64)
-        spot: dict[bytes, int] = {}
-        which = np.array([spot.setdefault(x, len(spot)) for x in payload])
-        low = np.full(len(spot), np.iinfo(np.int64).max)
+    def settle(t: pa.Table):
+        new = group_starts(t["context"].to_numpy())
+        head = np.flatnonzero(new)
+        doc = t["doc"].to_numpy()
+        several = np.minimum.reduceat(doc, head) < np.maximum.reduceat(doc, head)
+        stay = np.flatnonzero(several[np.cumsum(new) - 1])
+        if not len(stay):
+            return
+        t = take(t, pa.array(stay)).combine_chunks()
+        doc, key = doc[stay], t["key"].to_numpy()
+        n, first = t["windows"].to_numpy().astype(np.int64), t["first"].to_numpy().astype(np.int64)
+        kinds = t["payload"].combine_chunks().dictionary_encode()
+        which = kinds.indices.to_numpy()
+        low = np.full(len(kinds.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(low, which, doc)
-        count = np.zeros(len(spot), np.int64)
-        count[which] = windows
-        best = resolve(list(spot), low, count)
-        base = np.cumsum(count) - count
-        n = np.array(windows, np.int64)
-        flat = np.repeat(base[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        hit = best[flat] < np.repeat(doc, n)
-        at = np.flatnonzero(hit)
-        row = np.repeat(np.arange(len(n)), n)[at]
-        offset = at - (np.cumsum(n) - n)[row] + np.array(first, np.int64)[row]
+        count = np.zeros(len(low), np.int64)
+        count[which] = n
+        best = resolve(kinds.dictionary.to_pylist(), low, count)
+        base, before = np.cumsum(count) - count, np.cumsum(n) - n
+        row = np.repeat(np.arange(len(n)), n)
+        window = np.arange(len(row)) - before[row]
+        at = np.flatnonzero(best[base[which[row]] + window] < doc[row])
         if not len(at):
-            return None
+            return
         # the spans of each phrase, then at each of its places
-        r, s, e = merged(row, offset, offset + length)
-        places = [positions[i] for i in r.tolist()]
-        many = np.array([len(x) for x in places])
-        base0 = np.array([x[0] for x in places])
-        place = np.concatenate([np.array(x, np.int64) for x in places])
-        keys = np.repeat(np.array(key, np.int64)[r], many)
-        return merged(keys, place + np.repeat(s, many), place + np.repeat(e, many)) if len(base0) else None
+        offset = window[at] + first[row[at]]
+        r, s, e = merged(row[at], offset, offset + length)
+        places = t["positions"].combine_chunks()
+        bounds, values = places.offsets.to_numpy().astype(np.int64), places.values.to_numpy().astype(np.int64)
+        many = (bounds[1:] - bounds[:-1])[r]
+        spot = values[np.repeat(bounds[r] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+        yield _hits(*merged(np.repeat(key[r], many), spot + np.repeat(s, many), spot + np.repeat(e, many)))
 
     def run(batches):
-        held, size, last = [], 0, None
-        group, group_docs = [], set()
-
-        def close():
-            nonlocal size
-            if len(group_docs) > 1:
-                held.extend(group)
-                size += sum(len(x[6]) for x in group)
-
+        held, size = [], 0
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[0] != last:
-                    close()
-                    group, group_docs, last = [], set(), row[0]
-                    if size >= SHARD_BYTES:
-                        if (m := settle(held)) is not None:
-                            yield _hits(*m)
-                        held, size = [], 0
-                group.append(row)
-                group_docs.add(row[2])
-        close()
-        if held and (m := settle(held)) is not None:
-            yield _hits(*m)
+            if not b.num_rows:
+                continue
+            held.append(b)
+            size += b.column(6).nbytes
+            if size >= SHARD_BYTES:
+                t = pa.Table.from_batches(held)
+                context = t["context"].to_numpy()
+                whole = int(np.searchsorted(context, context[-1]))      # the last group may go on
+                if whole:
+                    yield from settle(t.slice(0, whole))
+                    held = t.slice(whole).combine_chunks().to_batches()
+                    size = sum(x.column(6).nbytes for x in held)
+        if held:
+            yield from settle(pa.Table.from_batches(held))
 
     return run
 
@@ -358,10 +352,10 @@ def remove_repeats(docs: DataFrame, doc_id: str, text: str, keep: list[str], *,
     found = S.table(found, f"{name}-marks")
 
     marks = met.filter(F.col("start").isNotNull()).select("key", "start", "end").unionByName(found)
-    spans = marks.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    columns = [F.col(f"`{c}`") for c in keep]
+    spans = marks.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("_spans_"))
+    columns = [F.col(f"`{c}`") for c in keep if c not in ("n_units", "n_removed", "n_spans", "kept")]
     whole = docs.select(F.xxhash64(doc, body).alias("_key_"), F.encode(body, "UTF-8").alias("_text_"), *columns)
-    joined = whole.join(spans.withColumnRenamed("key", "_key_"), "_key_", "left").select("_key_", "_text_", "spans", *columns)
+    joined = whole.join(spans.withColumnRenamed("key", "_key_"), "_key_", "left").select("_key_", "_text_", "_spans_", *columns)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema), "n_units long, n_removed long, n_spans long, kept binary"])
     return joined.mapInArrow(_remove(remover), schema)
 

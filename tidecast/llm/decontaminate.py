@@ -14,10 +14,9 @@ whatever name, are kept (``decontaminate``) or ignored (``scan``).
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+from pyarrow.compute import take
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import _shared as S
@@ -73,7 +72,7 @@ def ngrams(items: DataFrame, item_id: str | Column, text: str | Column, n: int =
                 for k in range(1, n + 1):
                     at, h = w.windows(k, exact_rows=k < n)
                     row = np.searchsorted(w.row, at, "right") - 1
-                    out["item"] += b.column(0).slice(i, j - i).take(pa.array(row)).to_pylist()
+                    out["item"] += take(b.column(0).slice(i, j - i), pa.array(row)).to_pylist()
                     out["hash"] += S.signed(h).tolist()
                     out["words"] += [k] * len(at)
                     out["gram"] += [w.text(a, k) for a in at]
@@ -169,7 +168,7 @@ def _scan_joined(docs: DataFrame, text: str | Column, grams: DataFrame, keep: li
                     for s in range(0, len(at), 100_000):
                         a, r = at[s:s + 100_000], row[s:s + 100_000]
                         yield pa.RecordBatch.from_arrays(
-                            [b.column(0).slice(i, j - i).take(pa.array(r)), pa.array(S.signed(h[s:s + 100_000])), pa.array(np.full(len(a), k, np.int32)),
+                            [take(b.column(0).slice(i, j - i), pa.array(r)), pa.array(S.signed(h[s:s + 100_000])), pa.array(np.full(len(a), k, np.int32)),
                              pa.array((a - w.row[r]).astype(np.int32)), pa.array((w.start[a] - off[r]).astype(np.int32)), pa.array((w.end[a + k - 1] - off[r]).astype(np.int32))],
                             names=["_row_", "hash", "words", "word", "start", "end"])
 

@@ -111,19 +111,18 @@ def parse(off: np.ndarray, data: np.ndarray) -> R.Phrases:
     return R.Phrases(row[w], w - first[row[w]], n, name[a], S.span_hash(S.prefix(names), w, w + n + WINDOW - 1))
 
 
-def cutter(text):
-    data = np.frombuffer(text, np.uint8)
-    start, end, _ = words(np.array([0, len(data)]), data)
+def cutter(off: np.ndarray, data: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray):
+    """The phrases' names of words, by the REACH words that all their windows hold on both sides
+    of the anchor."""
+    start, end, first = words(off, data)
     names = S.span_hash(S.prefix(S.BYTE_VALUE[data]), start, end)
     sums = S.prefix(names)
-    at, _, s, e, _ = anchors(names, np.zeros(len(names), np.int64), np.full(len(names), len(names)))
-
-    def cut(first: int, windows: int):
-        # every window holds REACH words on both sides of the anchor
-        context = S.signed(S.span_hash(sums, s[first:first + 1] - REACH, e[first:first + 1] + REACH))[0]
-        return [(int(context), first, windows, names[first:first + windows + WINDOW - 1].tobytes())]
-
-    return cut
+    count = np.diff(first)
+    place, _, s, e, _ = anchors(names, np.repeat(np.arange(len(count)), count), np.repeat(first[1:], count))
+    begin = first[row] + at
+    spot = np.searchsorted(place, begin)
+    context = S.signed(S.span_hash(sums, s[spot] - REACH, e[spot] + REACH))
+    return np.arange(len(at)), context, np.zeros(len(at), np.int64), windows, S.gather(names, begin, begin + windows + WINDOW - 1)
 
 
 def resolve(payloads: list[bytes], docs: np.ndarray, windows: np.ndarray) -> np.ndarray:

@@ -22,8 +22,6 @@ Equal phrases and windows are told by 64-bit hashes of their bytes within one an
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -54,45 +52,45 @@ def parse(off: np.ndarray, data: np.ndarray) -> R.Phrases:
     if n < LENGTH:
         return R.Phrases(none, none, none, none.astype(np.uint64), none.astype(np.uint64))
     sums = S.prefix(S.BYTE_VALUE[data])
-    place = np.arange(n - ANCHOR + 1)
-    grams = S.span_hash(sums, place, place + ANCHOR)
+    grams = _grams(sums, slice(0, n - ANCHOR + 1), slice(ANCHOR, n + 1))
     # the place in the low half: of equal upper halves the rightmost wins, wherever the text lies
-    best = _slide_min((grams & ~LOW) | (LOW - place.astype(np.uint64)), _SPAN)
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))[:len(best)]
-    ok = off[row + 1] - np.arange(len(best)) >= LENGTH
-    a, b = R.runs_of(best, row, ok)
-    anchor = grams[(LOW - (best[a] & LOW)).astype(np.int64)]
-    return R.Phrases(row[a], a - off[row[a]], b - a, anchor, S.span_hash(sums, a, b + LENGTH - 1))
-
-
-def cutter(text):
-    """Parts of a phrase by the side on which all their windows have SIDE bytes beside the anchor."""
-    data = np.frombuffer(text, np.uint8)
-    raw = data.tobytes()
-
-    def cut(at: int, windows: int):
-        piece = data[at:at + windows + LENGTH - 1]
-        sums = S.prefix(S.BYTE_VALUE[piece])
-        place = np.arange(len(piece) - ANCHOR + 1)
-        grams = S.span_hash(sums, place, place + ANCHOR)
-        inside = grams[windows - 1:_SPAN]     # the strings that every window holds
-        # the same choice as in parse: smallest upper half, rightmost
-        upper = inside & ~LOW
-        spot = windows - 1 + len(inside) - 1 - int(np.argmin(upper[::-1]))
-        # windows from at + spot + ANCHOR + SIDE - LENGTH on have SIDE bytes to the right of the anchor
-        split = min(max(spot + ANCHOR + SIDE - LENGTH, 0), windows)
-        out = []
-        for side, first, last in ((0, 0, split), (1, split, windows)):
-            if first >= last:
-                continue
-            s, e = (spot - SIDE, spot + ANCHOR) if side == 0 else (spot, spot + ANCHOR + SIDE)
-            if s < 0 or e > len(piece):
-                raise AssertionError("a window without its context")
-            context = S.signed(S.span_hash(sums, np.array([s]), np.array([e])) ^ np.uint64(side))[0]
-            out.append((int(context), at + first, last - first, raw[at + first:at + last + LENGTH - 1]))
-        return out
-
-    return cut
+    best = _slide_min((grams & ~LOW) | (LOW - np.arange(len(grams), dtype=np.uint64)), _SPAN)
+    # the last windows of a row cross its end, so no run goes on in the next row
+    ok = np.repeat(off[1:], np.diff(off))[:len(best)] - np.arange(len(best)) >= LENGTH
+    a, b = R.runs_of(best, ok)
+    anchor = S.mix(grams[(LOW - (best[a] & LOW)).astype(np.int64)])
+    row = np.searchsorted(off, a, "right") - 1
+    return R.Phrases(row, a - off[row], b - a, anchor, S.span_hash(sums, a, b + LENGTH - 1))
+
+
+def _grams(sums: np.ndarray, start, end) -> np.ndarray:
+    """Hashes of the ANCHOR-byte strings; only their upper halves are well spread."""
+    return (sums[end] - sums[start]) * S.inverse_powers(len(sums))[start]
+
+
+def cutter(off: np.ndarray, data: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray):
+    """Parts of the phrases by the side on which all their windows have SIDE bytes beside the
+    anchor."""
+    sums = S.prefix(S.BYTE_VALUE[data])
+    begin = off[row] + at
+    spot = np.empty(len(at), np.int64)
+    for i in range(0, len(at), 20_000):
+        # the strings that every window of the phrase holds; the same choice as in parse
+        place = np.arange(_SPAN)
+        inside = place >= windows[i:i + 20_000, None] - 1
+        start = (begin[i:i + 20_000, None] + place).ravel()
+        upper = np.where(inside, _grams(sums, start, start + ANCHOR).reshape(inside.shape) & ~LOW, ~np.uint64(0))
+        spot[i:i + 20_000] = _SPAN - 1 - np.argmin(upper[:, ::-1], axis=1)
+    # windows from here on have SIDE bytes to the right of the anchor, those before to its left
+    split = np.clip(spot + ANCHOR + SIDE - LENGTH, 0, windows)
+    left, right = np.flatnonzero(split > 0), np.flatnonzero(split < windows)
+    anchor = begin + spot
+    context = np.concatenate([S.span_hash(sums, anchor[left] - SIDE, anchor[left] + ANCHOR) ^ np.uint64(1), S.span_hash(sums, anchor[right], anchor[right] + ANCHOR + SIDE)])
+    phrase = np.concatenate([left, right])
+    first = np.concatenate([np.zeros(len(left), np.int64), split[right]])
+    count = np.concatenate([split[left], (windows - split)[right]])
+    start = begin[phrase] + first
+    return phrase, S.signed(context), first, count, S.gather(data, start, start + count + LENGTH - 1)
 
 
 class RunLengthIndex:
