@@ -284,11 +284,13 @@ def nest_features(cov: DataFrame) -> DataFrame:
                                         lambda x: x["values"]).alias("dynamic_feat")))
 
 
-def unnest_target(nested: DataFrame, freq: str = "1 hour") -> DataFrame:
-    """``start + k·freq`` for every element of ``target`` (P12); long form with ``step``."""
-    return (nested.select("item_id", "start", F.posexplode("target").alias("step", "target"))
+def unnest_target(nested: DataFrame, freq: str = "1 hour", keep: dict[str, Column] | None = None) -> DataFrame:
+    """``start + k·freq`` for every element of ``target`` (P12); long form with ``step`` and the
+    record's ``keep`` columns."""
+    keep = keep or {}
+    return (nested.select("item_id", "start", *[c.alias(n) for n, c in keep.items()], F.posexplode("target").alias("step", "target"))
                   .select("item_id", add_steps(F.col("start"), F.col("step"), freq).alias("ts"),
-                          F.col("step").cast("int").alias("step"), "target"))
+                          F.col("step").cast("int").alias("step"), "target", *keep))
 
 
 def unnest_feature(nested: DataFrame, feat_index: int | None = None,

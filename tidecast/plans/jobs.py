@@ -20,7 +20,6 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.functions.time import add_steps
 from tidecast.operators import series as S
 from tidecast.operators.models.global_ar import GlobalARModel, GlobalARParams
 from tidecast.schema import SCHEDULED, Preset
@@ -91,8 +90,7 @@ def generate_dataset(spark: SparkSession, cfg: JobConfig, run_date, series: Data
 
 
 def _nested_to_grid(nested: DataFrame, freq: str) -> DataFrame:
-    long_ = nested.select("item_id", "start", F.size("target").cast("int").alias("n_steps"), F.posexplode("target").alias("step", "target"))
-    return long_.select("item_id", add_steps(F.col("start"), F.col("step"), freq).alias("ts"), F.col("step").cast("int").alias("step"), "n_steps", "target")
+    return S.unnest_target(nested, freq, {"n_steps": F.size("target").cast("int")}).select(*S.GRID_COLUMNS)
 
 
 # ----------------------------------------------------------------------------- B3

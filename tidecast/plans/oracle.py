@@ -245,19 +245,22 @@ def lineitem_daily() -> list[tuple[str, str]]:
     return [table_cells("lineitem", "l_returnflag", "l_shipdate", "l_quantity")] + grid_series_span("day")
 
 
-def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
-                     model: str = "seasonal_ar1") -> str:
-    """Seasonal AR(1): closed-form difference forecast summed over seasons, Gaussian rows."""
+def ar1_ctes(quantiles: Sequence[float], h: int = H, m: int = M, unit: str = "hour",
+             model: str = "seasonal_ar1", name: str = "ar1") -> list[tuple[str, str]]:
+    """Seasonal AR(1): closed-form difference forecast summed over seasons, Gaussian rows.
+    Without variation in the lagged differences the drift is the mean difference; a history
+    shorter than a season is forecast by its mean."""
     from statistics import NormalDist
     zs = [("CAST(NULL AS DOUBLE)", "0.0")] + [(f"CAST({float(q)!r} AS DOUBLE)", repr(NormalDist().inv_cdf(q)))
                                               for q in quantiles]
     z_rows = " UNION ALL ".join(f"SELECT {q} AS quantile, CAST({z} AS DOUBLE) AS z" for q, z in zs)
-    return with_(hourly() + split(h) + [
+    return [
         ("dd", f"SELECT item_id, step, target - lag(target, {m}) OVER w AS d_t, "
                f"lag(target, 1) OVER w - lag(target, {m + 1}) OVER w AS d_prev FROM hist "
                f"WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
-        ("fit", "SELECT item_id, coalesce(regr_slope(d_t, d_prev), 0.0) AS phi, "
-                "CASE WHEN regr_sxx(d_t, d_prev) > 0 THEN regr_intercept(d_t, d_prev) ELSE coalesce(avg(d_t), 0.0) END AS c, regr_count(d_t, d_prev) AS n, "
+        ("fit", "SELECT item_id, CASE WHEN regr_sxx(d_t, d_prev) > 0 THEN regr_slope(d_t, d_prev) ELSE 0.0 END AS phi, "
+                "CASE WHEN regr_sxx(d_t, d_prev) > 0 THEN regr_intercept(d_t, d_prev) ELSE coalesce(avg(d_t), 0.0) END AS c, "
+                "regr_count(d_t, d_prev) AS n, "
                 "regr_sxx(d_t, d_prev) AS sxx, regr_syy(d_t, d_prev) AS syy, regr_sxy(d_t, d_prev) AS sxy "
                 "FROM dd GROUP BY 1"),
         ("fit2", "SELECT item_id, phi, c, CASE WHEN n > 2 AND sxx > 0 THEN "
@@ -265,7 +268,7 @@ def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
         ("dlast", "SELECT d.item_id, coalesce(d.d_t, 0.0) AS d_last FROM dd d JOIN hist x "
                   "ON x.item_id = d.item_id AND x.step = d.step WHERE d.step = x.n_steps - 1"),
         ("base", f"SELECT item_id, step - (n_steps - {m}) AS p, target AS y_base, "
-                 f"CAST(ts + to_hours(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
+                 f"CAST(ts + to_{unit}s(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
                  f"WHERE n_steps >= {m} AND step >= n_steps - {m}"),
         ("hs", f"SELECT *, unnest(range(p + 1, {h + 1}, {m})) AS hh FROM base WHERE p + 1 <= {h}"),
         ("terms", f"SELECT hs.item_id, hs.hh, hs.y_base, hs.t_end, hs.p, f.phi, f.c, f.sigma, dl.d_last, "
@@ -276,9 +279,42 @@ def ar1_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M,
                "sum(CASE WHEN abs(phi - 1.0) < 1e-12 THEN c * k ELSE c * (1.0 - pow(phi, k)) / (1.0 - phi) END "
                "+ pow(phi, k) * d_last) AS dsum FROM dh GROUP BY 1, 2, 3, 4, 5"),
         ("zq", z_rows),
-    ], f"SELECT '{model}' AS model, item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_hours(hh) AS TIMESTAMP) AS ts, "
-       f"zq.quantile, y_base + dsum + zq.z * coalesce(sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
-       f"AS value FROM pt CROSS JOIN zq")
+        (name, f"SELECT '{model}' AS model, item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_{unit}s(hh) AS TIMESTAMP) AS ts, "
+               f"zq.quantile, y_base + dsum + zq.z * coalesce(sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
+               f"AS value FROM pt CROSS JOIN zq UNION ALL "
+               f"SELECT '{model}', l.item_id, CAST(s.h AS INTEGER), CAST(l.t_end + to_{unit}s(s.h) AS TIMESTAMP), zq.quantile, a.v "
+               f"FROM lastrow l, (SELECT unnest(range(1, {h + 1})) AS h) s, (SELECT item_id, avg(target) AS v FROM hist GROUP BY 1) a, zq "
+               f"WHERE a.item_id = l.item_id AND l.n_steps < {m}"),
+    ]
+
+
+def ar1_forecast_sql(quantiles: Sequence[float]) -> str:
+    return with_(hourly() + split() + ar1_ctes(quantiles), "SELECT * FROM ar1")
+
+
+def short_series_ctes(q: float, h: int, m: int, c: int) -> list[tuple[str, str]]:
+    """Daily totals per user, each on its own span, split off their last ``h`` days; the same
+    forecasts as the library's models, histories below ``m`` days included."""
+    steps = f"(SELECT unnest(range(1, {h + 1})) AS h)"
+    mean = "(SELECT item_id, avg(target) AS v FROM hist GROUP BY 1)"
+    at = "CAST(l.t_end + to_days(s.h) AS TIMESTAMP)"
+    return [cells("day", "user_id")] + grid_series_span("day") + split(h) + [
+        ("sn", f"SELECT 'seasonal_naive' AS model, l.item_id, CAST(s.h AS INTEGER) AS step, {at} AS ts, CAST(NULL AS DOUBLE) AS quantile, "
+               f"CASE WHEN l.n_steps >= {m} THEN x.target ELSE a.v END AS value FROM lastrow l JOIN {mean} a USING (item_id) CROSS JOIN {steps} s "
+               f"LEFT JOIN hist x ON x.item_id = l.item_id AND x.step = l.n_steps - {m} + ((s.h - 1) % {m})"),
+        ("cm", f"SELECT 'mean' AS model, l.item_id, CAST(s.h AS INTEGER) AS step, {at} AS ts, CAST(NULL AS DOUBLE) AS quantile, a.v AS value "
+               f"FROM lastrow l JOIN (SELECT item_id, avg(target) AS v FROM hist WHERE step >= n_steps - {c} GROUP BY 1) a USING (item_id) CROSS JOIN {steps} s"),
+        ("cand", f"SELECT item_id, ts, target, step % {m} AS phase, exp(-0.5 * floor((n_steps - 1 - step) / {m})) AS w FROM hist WHERE step >= n_steps - {c}"),
+        ("cw", "SELECT *, sum(w) OVER (PARTITION BY item_id, phase ORDER BY target, ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_w, "
+               "sum(w) OVER (PARTITION BY item_id, phase) AS tot_w FROM cand"),
+        ("ph", f"SELECT item_id, phase, min(CASE WHEN cum_w >= {q!r} * tot_w THEN target END) AS v FROM cw GROUP BY 1, 2"),
+        ("np", f"SELECT 'resample' AS model, l.item_id, CAST(s.h AS INTEGER) AS step, {at} AS ts, CAST({q!r} AS DOUBLE) AS quantile, coalesce(p.v, a.v) AS value "
+               f"FROM lastrow l JOIN {mean} a USING (item_id) CROSS JOIN {steps} s "
+               f"LEFT JOIN ph p ON p.item_id = l.item_id AND p.phase = (l.n_steps - 1 + s.h) % {m}"),
+    ] + ar1_ctes((q,), h, m, "day") + [
+        ("fc", f"SELECT * FROM sn UNION ALL SELECT * FROM cm UNION ALL SELECT * FROM np UNION ALL SELECT * FROM ar1 WHERE quantile = {q!r}"),
+        ("paired", "SELECT f.model, f.item_id, f.step, f.ts, h.target AS y, f.value AS f FROM fc f JOIN hold h ON h.item_id = f.item_id AND h.h = f.step"),
+    ]
 
 
 def ar2_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M, ridge: float = 1e-8,
