@@ -39,26 +39,26 @@ def test_period_variant_is_a_partition(spark, tmp_path):
 
 
 def test_csv_series_and_overrides(spark, tmp_path):
-    p = tmp_path / "hour.csv"
-    p.write_text("datetime,elec_value\n2024-01-01 01:00:00,2.5\n2024-01-01 00:00:00,1.5\n")
+    p = tmp_path / "meter.csv"
+    p.write_text("datetime,kwh\n2024-01-01 01:00:00,2.5\n2024-01-01 00:00:00,1.5\n")
     s = R.read_series_csv(spark, str(p)).orderBy("ts").collect()
     assert [r.target for r in s] == [1.5, 2.5] and s[0].item_id == "0"
-    df = R.read_csv(spark, str(p), infer=False, overrides={"elec_value": "double"})
-    assert dict(df.dtypes)["elec_value"] == "double"
+    df = R.read_csv(spark, str(p), infer=False, overrides={"kwh": "double"})
+    assert dict(df.dtypes)["kwh"] == "double"
 
 
 def test_publish_fixed_name_is_idempotent_and_parallel(spark, tmp_path):
     df = spark.range(100).repartition(4)
-    out = K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv")
-    out2 = K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv")
+    out = K.publish_fixed_name(df, str(tmp_path / "exp"), "readings.csv")
+    out2 = K.publish_fixed_name(df, str(tmp_path / "exp"), "readings.csv")
     assert out == out2 and os.path.isdir(out)
-    assert [f for f in os.listdir(tmp_path / "exp") if not f.startswith(".")] == ["hour_elec.csv"]
+    assert [f for f in os.listdir(tmp_path / "exp") if not f.startswith(".")] == ["readings.csv"]
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 4  # written by four tasks, not funnelled through one
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 100 and back.columns == ["id"]
     with pytest.raises(FileExistsError):
-        K.publish_fixed_name(df, str(tmp_path / "exp"), "hour_elec.csv", mode="error")
+        K.publish_fixed_name(df, str(tmp_path / "exp"), "readings.csv", mode="error")
 
 
 def test_forecast_documents_roundtrip(spark, tmp_path):

@@ -23,6 +23,8 @@ from tidecast.plans import datasets as D
 from tidecast.plans import oracle as O
 from tidecast.plans.backtest import backtest, backtest_all, choose, leaderboard
 from tidecast.session import materialize
+from tidecast.sources import readers as R
+from tidecast.sources import sinks as K
 
 # Fixed values of the workload: 72-hour horizon, 24-hour season, one week of context,
 # scored at the 0.7 quantile, evaluator quantiles 0.1/0.5/0.9, 100 sample paths.
@@ -390,6 +392,8 @@ def _leaderboard_models():
         "seasonal_naive_168": lambda h, n: naive.seasonal_naive(h, n, 168, "1 hour", LB_QS),
         "resample": _resample(LB_QS),
         "mean": lambda h, n: naive.context_mean(h, n, CTX, "1 hour", LB_QS),
+        "seasonal_ar1": lambda h, n: autoreg.ar_forecast(h, n, M_SEASON, None, "1 hour", LB_QS),
+        "seasonal_ar2": lambda h, n: autoreg.ar_p_forecast(h, n, 2, M_SEASON, None, "1 hour", LB_QS),
     }
 
 
@@ -398,10 +402,12 @@ def _leaderboard_models():
                                             O.seasonal_naive(168, name="sn168")]
                   + O.resample(LB_QS) + [O.context_mean(),
                                      ("fc", "SELECT * FROM sn24 UNION ALL SELECT * FROM sn168 UNION ALL "
-                                            "SELECT * FROM np UNION ALL SELECT * FROM cm"),
+                                            "SELECT * FROM np UNION ALL SELECT * FROM cm UNION ALL "
+                                            f"SELECT * FROM ({O.ar1_forecast_sql(LB_QS)}) UNION ALL "
+                                            f"SELECT * FROM ({O.ar2_forecast_sql(LB_QS)})"),
                                      O.paired("fc")], O.summed()))
 def q_leaderboard(spark, d):
-    """Four models backtested on one split, summed metrics per model."""
+    """Six models backtested on one split, summed metrics per model."""
     bt = backtest_all(_grid(spark, d), _leaderboard_models(), H)
     return leaderboard(bt, TARGET_Q)
 
@@ -700,6 +706,54 @@ def q_global_ar_scheduled(spark, d):
     return global_ar.global_ar_forecast(hist, 168, "1 day", EVAL_QS, None, DAILY_M)
 
 
+# ----------------------------------------------------------------------------- records
+
+@register("series_json_lines", ["item_id", "ts", "step", "target"], ["target"],
+          O.with_([O.cells()] + O.grid("hour", "cells", "series", "NULL"), "SELECT item_id, ts, step, target FROM series"))
+def q_series_json_lines(spark, d):
+    """Hourly series with gaps as JSON records (gaps as NaN text), parsed back
+    and exploded."""
+    grid = materialize(S.regularise(D.events_cells(spark, d), "1 hour", span="global"), "gappy_hourly", REUSE)
+    back = R.parse_series_lines(K.series_lines(S.nest_target(grid)))
+    return S.unnest_target(back, "1 hour")
+
+
+@register("forecast_documents", ["model", "item_id", "step", "ts", "value"], ["value"],
+          O.with_(O.hourly() + O.split() + [O.seasonal_naive()] + O.resample(EVAL_QS),
+                  "SELECT model, item_id, step, ts, value FROM sn UNION ALL "
+                  "SELECT model, item_id, step, ts, value FROM np WHERE quantile = 0.5"))
+def q_forecast_documents(spark, d):
+    """Two models' forecasts as JSON documents per model and series, the median
+    looked up in the parsed quantile map."""
+    hist = S.train_part(_grid(spark, d), H)
+    fc = naive.seasonal_naive(hist, H, M_SEASON, "1 hour", EVAL_QS).unionByName(_resample(EVAL_QS)(hist, H))
+    return R.parse_forecast_documents(K.forecast_documents(fc), "0.5", "1 hour")
+
+
+@register("drop_zero_actuals", ["model", "item_id", "mpe", "mape"], ["mpe", "mape"],
+          O.with_(_UD[:-1], "SELECT model, item_id, avg(CASE WHEN y <> 0 THEN (f - y) / y END) AS mpe, "
+                            "avg(CASE WHEN y <> 0 THEN abs(f - y) / abs(y) END) AS mape FROM paired GROUP BY 1, 2"))
+def q_drop_zero_actuals(spark, d):
+    """P10: the percent errors of the daily user backtest without zero actuals."""
+    bt = backtest(materialize(D.events_user_daily(spark, d), "events_user_daily", REUSE),
+                  lambda h, n: naive.seasonal_naive(h, n, 7, "1 day", (TARGET_Q,)), 7)
+    return M.point_metrics(bt.paired(TARGET_Q), drop_zero_actuals=True).select("model", "item_id", "mpe", "mape")
+
+
+@register("agg_metrics_json", ["model", "metric", "value"], ["value"],
+          O.with_(O.hourly() + O.split() + [O.seasonal_naive(), O.paired("sn")],
+                  "SELECT model, unnest(['MAE', 'RMSE']) AS metric, unnest([avg(abs(f - y)), sqrt(avg((f - y) * (f - y)))]) AS value "
+                  "FROM paired GROUP BY 1"))
+def q_agg_metrics_json(spark, d):
+    """K9: a model's metrics as one JSON document, parsed back."""
+    paired = backtest(_grid(spark, d), _sn, H).paired(TARGET_Q)
+    e = F.col("f") - F.col("y")
+    long = (paired.groupBy("model").agg(F.avg(F.abs(e)).alias("MAE"), F.sqrt(F.avg(e * e)).alias("RMSE"))
+                  .select("model", F.explode(F.create_map(F.lit("MAE"), "MAE", F.lit("RMSE"), "RMSE")).alias("metric", "value")))
+    docs = M.agg_metrics_json(long)
+    return docs.select("model", F.explode(F.from_json("json", "map<string,double>")).alias("metric", "value"))
+
+
 SHORT_H, SHORT_M, SHORT_CTX = 14, 14, 28
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.time import add_steps
@@ -87,7 +87,18 @@ def read_series_json(spark: SparkSession, path: str, period: str | None = None)
     df = spark.read.schema(SERIES_JSON_SCHEMA + (", period STRING" if period is not None else "")).json(path)
     if period is not None:
         df = df.filter(F.col("period") == period)
-    item = F.coalesce(F.col("item_id"), F.col("id"), _record_name())
+    return series_records(df, _record_name())
+
+
+def parse_series_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The same from a text column holding one record per row."""
+    df = lines.select(F.from_json(column, SERIES_JSON_SCHEMA).alias("r")).select("r.*")
+    return series_records(df, F.lit(None).cast("string"))
+
+
+def series_records(df: DataFrame, unnamed: Column) -> DataFrame:
+    """Parsed records with canonical names, NaN as NULL; ``unnamed`` names those without an id."""
+    item = F.coalesce(F.col("item_id"), F.col("id"), unnamed)
     clean = F.transform("target", lambda x: F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x))
     return df.select(item.alias("item_id"),
                      F.col("start").cast("timestamp_ntz").alias("start"),
@@ -106,9 +117,20 @@ def read_forecast_json(spark: SparkSession, path: str, quantile: str = "0.5",
     """Forecast documents ``{"item_id"?, "start"?, "quantiles": {"0.5": [...]}, …}``,
     one per line → ``(item_id, step, ts, value)`` for the chosen quantile key
     (``ts`` is NULL when a document carries no start, ``model`` when it names none)."""
-    df = spark.read.schema("model STRING, item_id STRING, start STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, "
-                           "mean ARRAY<DOUBLE>").json(path)
-    return (df.select("model", F.coalesce("item_id", _record_name()).alias("item_id"),
+    return document_rows(spark.read.schema(DOCUMENT_SCHEMA).json(path), _record_name(), quantile, freq)
+
+
+DOCUMENT_SCHEMA = "model STRING, item_id STRING, start STRING, quantiles MAP<STRING, ARRAY<DOUBLE>>, mean ARRAY<DOUBLE>"
+
+
+def parse_forecast_documents(lines: DataFrame, quantile: str = "0.5", freq: str = "1 hour", column: str = "value") -> DataFrame:
+    """The same from a text column holding one document per row."""
+    df = lines.select(F.from_json(column, DOCUMENT_SCHEMA).alias("r")).select("r.*")
+    return document_rows(df, F.lit(None).cast("string"), quantile, freq)
+
+
+def document_rows(df: DataFrame, unnamed: Column, quantile: str, freq: str) -> DataFrame:
+    return (df.select("model", F.coalesce("item_id", unnamed).alias("item_id"),
                       F.col("start").cast("timestamp_ntz").alias("start"),
                       F.posexplode(F.col("quantiles")[quantile]).alias("pos", "value"))
               .select("model", "item_id", (F.col("pos") + 1).cast("int").alias("step"),

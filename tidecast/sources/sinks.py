@@ -71,13 +71,19 @@ def nan_for_null(arr_col: str = "target"):
     return F.transform(arr_col, lambda x: F.coalesce(x, F.lit(float("nan"))))
 
 
-def write_series_json(nested: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K3: JSON-lines series records; NULL → NaN, which Spark writes as ``"NaN"``."""
+def _series_columns(nested: DataFrame) -> list:
     cols = [F.col("item_id"), ts_text("start").alias("start"), nan_for_null("target").alias("target")]
-    for extra in ("cat", "dynamic_feat"):
-        if extra in nested.columns:
-            cols.append(F.col(extra))
-    nested.select(*cols).write.mode(mode).json(path)
+    return cols + [F.col(extra) for extra in ("cat", "dynamic_feat") if extra in nested.columns]
+
+
+def series_lines(nested: DataFrame) -> DataFrame:
+    """K3: one JSON record per series as text (``value``); NULL → NaN, written ``"NaN"``."""
+    return nested.select(F.to_json(F.struct(*_series_columns(nested))).alias("value"))
+
+
+def write_series_json(nested: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K3: the same records as JSON-lines files."""
+    nested.select(*_series_columns(nested)).write.mode(mode).json(path)
 
 
 def write_forecast_jdbc(forecast: DataFrame, url: str, table: str, mode: str = "append",
