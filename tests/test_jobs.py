@@ -35,3 +35,25 @@ def test_run_ids():
     from datetime import datetime
     ids = jobs.run_ids(datetime(2024, 1, 2, 3, 4, 5))
     assert ids["model_id"].endswith("2024-01-02-03-04-05")
+
+
+def test_covariates_and_categories_reach_the_model(spark, tmp_path):
+    import random
+    from datetime import timedelta
+    from conftest import T0
+    rnd = random.Random(3)
+    rows, cov = [], []
+    for item in ("a", "b", "c"):
+        for i in range(24 * 12 + 24):
+            x = float(rnd.random() < 0.3)
+            cov.append((item, T0 + timedelta(hours=i), 0, x))
+            if i < 24 * 12:
+                rows.append((item, T0 + timedelta(hours=i), 10.0 + 50.0 * x))
+    series = spark.createDataFrame(rows, "item_id STRING, ts TIMESTAMP_NTZ, target DOUBLE")
+    covariates = spark.createDataFrame(cov, "item_id STRING, ts TIMESTAMP_NTZ, feat_index INT, value DOUBLE")
+    cats = spark.createDataFrame([("a", 0), ("b", 1), ("c", 1)], "item_id STRING, category INT")
+    cfg = jobs.JobConfig(base=str(tmp_path / "runs"), preset=Preset(horizon=24, context_length=168))
+    got = jobs.run_forecast_job(spark, cfg, "2024-02-01", series, cats, covariates).collect()
+    want = {(i, t): 10.0 + 50.0 * x for i, t, _, x in cov}
+    assert len(got) == 3 * 24
+    assert all(abs(r.value - want[r.item_id, r.ts]) < 5 for r in got)

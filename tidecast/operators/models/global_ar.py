@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -49,7 +49,6 @@ class GlobalARParams:
     max_iter: int = 50
     model_name: str = "global_ar"
     n_covariates: int = 0
-    extra: dict = field(default_factory=dict)
 
     def resolved_lags(self) -> tuple[int, ...]:
         lags = tuple(self.lags) or default_lags(self.horizon, self.season_length)
@@ -92,9 +91,10 @@ def _extended(history: DataFrame, params: GlobalARParams, scale: DataFrame,
               categories: DataFrame | None, covariates: DataFrame | None = None) -> DataFrame:
     """History rows (with target) + H future rows (target NULL), one frame per series."""
     hist = history.select("item_id", "ts", "step", "target", F.lit(False).alias("future"))
+    hist = hist.withColumn("h", F.lit(None).cast("int"))
     fut = future_steps(history, params.horizon, params.freq)
     fut = fut.select("item_id", "ts", (F.col("n_steps") - 1 + F.col("step")).cast("int").alias("step"),
-                     F.lit(None).cast("double").alias("target"), F.lit(True).alias("future"))
+                     F.lit(None).cast("double").alias("target"), F.lit(True).alias("future"), F.col("step").cast("int").alias("h"))
     frame = hist.unionByName(fut).join(scale, "item_id")
     frame = frame.withColumn("y_scaled", F.col("target") / F.col("scale"))
     if categories is not None:
@@ -107,9 +107,10 @@ def _extended(history: DataFrame, params: GlobalARParams, scale: DataFrame,
 
 
 def series_scale(history: DataFrame) -> DataFrame:
+    """Per series: ``scale``, the mean absolute value, and ``level``, the mean on that scale."""
     m = F.avg(F.abs("target"))
-    return history.groupBy("item_id").agg(
-        F.when(m.isNull() | (m == 0), F.lit(1.0)).otherwise(m).alias("scale"))
+    scale = F.when(m.isNull() | (m == 0), F.lit(1.0)).otherwise(m)
+    return history.groupBy("item_id").agg(scale.alias("scale"), (F.coalesce(F.avg("target"), F.lit(0.0)) / scale).alias("level"))
 
 
 @dataclass
@@ -138,7 +139,7 @@ class GlobalARModel:
                               outputCol="features")
         lr = LinearRegression(featuresCol="features", labelCol="y_scaled", predictionCol="pred",
                               regParam=params.reg_param, elasticNetParam=0.0, maxIter=params.max_iter,
-                              solver="normal")
+                              solver="auto")    # normal equations up to 4096 features, L-BFGS beyond
         model = Pipeline(stages=[enc, asm, lr]).fit(train)
         resid = model.transform(train).select((F.col("y_scaled") - F.col("pred")).alias("r"))
         qs = [float(q) for q in params.quantiles]
@@ -150,15 +151,15 @@ class GlobalARModel:
     # ------------------------------------------------------------------ predict
     def forecast(self, history: DataFrame, categories: DataFrame | None = None,
                  covariates: DataFrame | None = None) -> DataFrame:
-        """Forecast the H steps after the end of every series in ``history``."""
+        """Forecast the H steps after the end of every series in ``history``.  Only the rows that
+        a lag reaches are windowed; a lag before a series' start, or in a gap, takes the
+        series' mean."""
         p = self.params
         lags = p.resolved_lags()
         scale = series_scale(history)
-        frame = _features(_extended(history, p, scale, categories, covariates), lags)
-        n_hist = history.groupBy("item_id").agg(F.max("step").alias("last_step"))
-        fut = (frame.filter(F.col("future")).join(n_hist, "item_id")
-                    .withColumn("h", (F.col("step") - F.col("last_step")).cast("int"))
-                    .na.fill(0.0, [f"lag_{k}" for k in lags]))
+        recent = history.filter(F.col("step") >= F.col("n_steps") - max(lags))
+        frame = _features(_extended(recent, p, scale, categories, covariates), lags)
+        fut = frame.filter(F.col("future")).withColumns({f"lag_{k}": F.coalesce(f"lag_{k}", "level") for k in lags})
         scored = self.pipeline.transform(fut)
         entries = [F.struct(F.lit(None).cast("double").alias("q"), F.lit(0.0).alias("r"))]
         entries += [F.struct(F.lit(float(q)).alias("q"), F.lit(float(r)).alias("r"))

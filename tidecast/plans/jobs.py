@@ -73,9 +73,13 @@ def export_table(spark: SparkSession, cfg: JobConfig, run_date, df: DataFrame |
 
 # ----------------------------------------------------------------------------- B2
 def generate_dataset(spark: SparkSession, cfg: JobConfig, run_date, series: DataFrame | None = None,
-                     mode: str = "overwrite", run_time: datetime | None = None) -> dict[str, str]:
+                     mode: str = "overwrite", run_time: datetime | None = None,
+                     categories: DataFrame | None = None, covariates: DataFrame | None = None) -> dict[str, str]:
     """Series → regular grid → train (all but the last H) and test (all) records.
 
+    ``categories`` (``item_id, category``) become ``cat``; ``covariates`` (COVARIATE rows from each
+    series' start on, and over the horizon to be scored) become ``dynamic_feat``.
+
     ``run_time`` stamps the run's names; it defaults to midnight of the run date, so that
     every stage and every rerun of a date has the same names.
     """
@@ -84,29 +88,46 @@ def generate_dataset(spark: SparkSession, cfg: JobConfig, run_date, series: Data
         series = R.read_series_csv(spark, cfg.source_csv, cfg.ts_column, cfg.value_column, cfg.item_column)
     grid = S.regularise(S.aggregate_cells(series, cfg.preset.freq, "sum"), cfg.preset.freq)
     train = S.train_part(grid, cfg.preset.horizon)
-    K.write_series_json(S.nest_target(train), p["train"], mode)
-    K.write_series_json(S.nest_target(grid), p["test"], mode)
+    K.write_series_json(_record(S.nest_target(train), categories, covariates), p["train"], mode)
+    K.write_series_json(_record(S.nest_target(grid), categories, covariates), p["test"], mode)
     return {**p, **run_ids(run_time or datetime.combine(datetime.fromisoformat(str(_day(run_date))[:10]), datetime.min.time()))}
 
 
+def _record(nested: DataFrame, categories: DataFrame | None, covariates: DataFrame | None) -> DataFrame:
+    if categories is not None:
+        cat = categories.groupBy("item_id").agg(F.array(F.min(F.col("category").cast("int"))).alias("cat"))
+        nested = nested.join(cat, "item_id", "left")
+    if covariates is not None:
+        own = covariates.join(nested.select("item_id", "start"), "item_id").filter(F.col("ts") >= F.col("start"))
+        nested = nested.join(S.nest_features(own.drop("start")), "item_id", "left")
+    return nested
+
+
+def _static(nested: DataFrame) -> DataFrame:
+    return nested.select("item_id", F.coalesce(F.get("cat", F.lit(0)), F.lit(0)).alias("category"))
+
+
 def _nested_to_grid(nested: DataFrame, freq: str) -> DataFrame:
     return S.unnest_target(nested, freq, {"n_steps": F.size("target").cast("int")}).select(*S.GRID_COLUMNS)
 
 
 # ----------------------------------------------------------------------------- B3
 def fit(spark: SparkSession, cfg: JobConfig, train_path: str) -> GlobalARModel:
-    grid = _nested_to_grid(R.read_series_json(spark, train_path), cfg.preset.freq)
-    params = GlobalARParams(horizon=cfg.preset.horizon, freq=cfg.preset.freq,
-                            season_length=cfg.preset.season_length, quantiles=tuple(cfg.quantiles))
-    return GlobalARModel.fit(grid, params)
+    """Pooled model over all records, with their category and dynamic features where given."""
+    nested = R.read_series_json(spark, train_path)
+    channels = nested.agg(F.max(F.size("dynamic_feat")).alias("n")).first()["n"]
+    params = GlobalARParams(horizon=cfg.preset.horizon, freq=cfg.preset.freq, season_length=cfg.preset.season_length,
+                            quantiles=tuple(cfg.quantiles), n_covariates=max(channels or 0, 0))
+    return GlobalARModel.fit(_nested_to_grid(nested, cfg.preset.freq), params, _static(nested),
+                             S.unnest_feature(nested, None, cfg.preset.freq))
 
 
 # ----------------------------------------------------------------------------- B4
 def batch_score(spark: SparkSession, cfg: JobConfig, model: GlobalARModel, test_path: str,
                 out_path: str, mode: str = "overwrite") -> DataFrame:
     """Forecast past the end of every full series; one document line per series."""
-    grid = _nested_to_grid(R.read_series_json(spark, test_path), cfg.preset.freq)
-    fc = model.forecast(grid)
+    nested = R.read_series_json(spark, test_path)
+    fc = model.forecast(_nested_to_grid(nested, cfg.preset.freq), _static(nested), S.unnest_feature(nested, None, cfg.preset.freq))
     K.write_forecast_json(fc, out_path, mode)
     return fc
 
@@ -121,10 +142,11 @@ def output_forecast(spark: SparkSession, cfg: JobConfig, doc_path: str) -> DataF
 
 
 # ----------------------------------------------------------------------------- B6
-def run_forecast_job(spark: SparkSession, cfg: JobConfig, run_date, series: DataFrame | None = None) -> DataFrame:
+def run_forecast_job(spark: SparkSession, cfg: JobConfig, run_date, series: DataFrame | None = None,
+                     categories: DataFrame | None = None, covariates: DataFrame | None = None) -> DataFrame:
     """All stages for one run date (the date is fixed once for every stage)."""
     day = _day(run_date)
-    p = generate_dataset(spark, cfg, day, series)
+    p = generate_dataset(spark, cfg, day, series, categories=categories, covariates=covariates)
     model = fit(spark, cfg, p["train"])
     model.save(spark, p["model"])
     batch_score(spark, cfg, model, p["test"], p["output"])
