@@ -42,7 +42,7 @@ class Words:
         self.row = np.searchsorted(self.start, off)     # first word of each row
         sums = S.prefix(S.BYTE_VALUE[self.data])
         self.hash = S.span_hash(sums, self.start, self.end)
-        self._sums = S.prefix(self.hash)
+        self.sums = S.prefix(self.hash)
 
     def windows(self, n: int, exact_rows: bool = False):
         """(first word, hash) of every window of n words inside one row; with
@@ -54,7 +54,7 @@ class Words:
             at = np.arange(max(0, len(self.start) - n + 1))
             row_end = np.repeat(last, last - first)
             at = at[row_end[at] - at >= n]
-        return at, S.span_hash(self._sums, at, at + n)
+        return at, S.span_hash(self.sums, at, at + n)
 
     def text(self, at: int, n: int) -> bytes:
         return b" ".join(self.data[self.start[i]:self.end[i]].tobytes() for i in range(at, at + n))

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.compute import take
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import _repeats as R, _shared as S
@@ -51,7 +52,7 @@ def shingles(w: Words, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.concatenate([[0], np.cumsum(count)])
     row = np.repeat(np.arange(len(size)), count)
     at = first[row] + np.arange(bounds[-1]) - bounds[row]
-    return S.span_hash(w._sums, at, np.minimum(at + n, last[row])), bounds
+    return S.span_hash(w.sums, at, np.minimum(at + n, last[row])), bounds
 
 
 def labelled(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -157,7 +158,7 @@ def _keys(doc_id: str, text: str) -> list:
 def _node(w: Words) -> np.ndarray:
     """Hash of all words of each row, 0 for none."""
     first, last = w.row[:-1], w.row[1:]
-    return np.where(last > first, S.span_hash(w._sums, first, last), np.uint64(0))
+    return np.where(last > first, S.span_hash(w.sums, first, last), np.uint64(0))
 
 
 def sketches(src: DataFrame) -> DataFrame:
@@ -202,7 +203,7 @@ def _verify(pairs: DataFrame, least: float) -> DataFrame:
                     last, seq = left[i], _sequence(texts_a[i])
                 if aligned(seq, _sequence(texts_b[i]), least) >= least:
                     out.append(i)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(out, pa.int64())), b.column(1).take(pa.array(out, pa.int64()))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([take(b.column(0), pa.array(out, pa.int64())), take(b.column(1), pa.array(out, pa.int64()))], names=["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -235,7 +236,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between different nodes; ``nodes`` has node and keys."""
-    texts = _texts(src)
+    text = None
     members = nodes.select("node", F.explode("keys").alias("key"))
     found = None
     for turn in range(ROUNDS + 1):
@@ -253,11 +254,12 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
         pairs = S.table(pairs, "pairs")
         if not pairs.limit(1).count():
             break
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        # one text per node, for the nodes of some pair
-        text = S.table(texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
-        both = (pairs.join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-                .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
+        if text is None:
+            # one text per node, for the nodes of some pair; later rounds have no other nodes
+            wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+        both = (pairs.hint("merge").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+                .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").select("a", "b", "text_a", "text_b"))
         good = _verify(both, least)
         found = S.table(good if found is None else good.unionByName(found), "verified")
         if turn == ROUNDS:
