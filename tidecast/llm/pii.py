@@ -233,7 +233,7 @@ def mask(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: str
     some = found.filter((F.size("base") > 0) | (F.size("added") > 0)).select(F.col("row").alias("_row_"), _ordered(F.concat("base", "added")).alias("_spans_")).dropDuplicates(["_row_"])
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     columns = docs.columns
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc_"), F.xxhash64(body).alias("_row_")).join(some, "_row_", "left")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc_"), F.xxhash64(body).alias("_row_")).join(some.hint("merge"), "_row_", "left")
     t = F.col(f"_doc_.`{text}`")
     # (place, text so far), over the spans in order
     cut = F.aggregate("_spans_", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(
