@@ -5,8 +5,9 @@ name pairs of neighbours (a name of class L followed by one of class R), as in r
 a name depends only on the words it stands for, so equal passages get equal symbols in all
 tasks and documents.  A symbol's bounds depend on at most ``REACH`` words around them, so every
 window of ``WINDOW`` words has inner symbols that are equal wherever the window occurs.  The
-smallest of them is the window's anchor; phrases with equal anchors meet (``_repeats``), and
-each window that they share is verified through the names of its words.
+smallest of them is the window's anchor; phrases whose anchors and ``REACH`` words beside them
+are equal meet (``_repeats``), and each window that they share is verified through the names of
+its words.
 
 Words are the runs of characters other than space and U+0009 to U+000D, unchanged.  A word goes
 if a window that covers it also starts in a document with a smaller doc_id.
@@ -103,12 +104,15 @@ def parse(off: np.ndarray, data: np.ndarray) -> R.Phrases:
     count = np.diff(first)
     row = np.repeat(np.arange(len(count)), count)
     last = np.repeat(first[1:], count)
-    at, best, _, _, name = anchors(names, row, last)
+    at, best, s, e, _ = anchors(names, row, last)
     new = R.group_starts(row[at], best)
     a = np.flatnonzero(new)
     n = np.diff(np.append(a, len(at)))
     w = at[a]
-    return R.Phrases(row[w], w - first[row[w]], n, name[a], S.span_hash(S.prefix(names), w, w + n + WINDOW - 1))
+    # phrases meet by the symbol and the REACH words that all their windows hold on both sides
+    # of it: a short symbol alone would bring phrases together by chance
+    sums = S.prefix(names)
+    return R.Phrases(row[w], w - first[row[w]], n, S.span_hash(sums, s[a] - REACH, e[a] + REACH), S.span_hash(sums, w, w + n + WINDOW - 1))
 
 
 def cutter(off: np.ndarray, data: np.ndarray, row: np.ndarray, at: np.ndarray, windows: np.ndarray):
