@@ -35,11 +35,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from . import _shared as S
 
 SPACE = "▁"
-TABLE_WORDS, WORD_CHARS = 500_000, 32
+TABLE_WORDS, WORD_CHARS = 300_000, 32
 #: The piece table is broadcast up to this many pieces, beyond it the join shuffles.
 BROADCAST_PIECES = 1_000_000
 #: Distinct words that a task counts before it hands them on; ids a worker remembers.
-COUNT_WORDS, CACHE_WORDS = 200_000, 200_000
+COUNT_WORDS, CACHE_WORDS = 150_000, 100_000
 
 
 class Pieces:
