@@ -14,9 +14,9 @@ connected components of the links.
 
 Texts with equal words are one node of that graph, so copies cost one row each.  In a bucket
 every node is compared with two leaders, the smallest and the largest node hash; what neither
-links stays for ``ROUNDS`` further rounds with other leaders.  Pairs grow with the rows, not
-with a bucket's square.  Leaders differ from bucket to bucket, so two similar texts that their
-leaders separate in one bucket still meet in others.
+links stays for ``ROUNDS`` further rounds with other leaders.  What still shares a bucket then
+(different texts around one template) is joined by its rarest shingles, an exact prefix filter
+(``candidates``), and compared with all it can be similar to.
 
 Defined results: a document without words (null, empty, signs only) is a class of its own
 doc_id; repeated rows and copies are one class; a class id is its smallest doc_id (null ids count
@@ -39,7 +39,11 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: a probability below 1e-7.
 SKETCHES, MINIMA = 16, 2
 ROUNDS = 2
+#: Groups of shingles whose numbers order them from rare to common; few groups order them less
+#: well, which costs candidates and no links.
+SLOTS = 1 << 18
 
+_SLACK = 1e-6   # against rounding, in shingles
 _LOW = np.uint64((1 << 32) - 1)
 _NULL = -(1 << 63)
 
@@ -234,11 +238,70 @@ def components(links: DataFrame) -> DataFrame:
         seen = now
 
 
+def _compare(pairs: DataFrame, text: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of at least that similarity; ``text`` has node and text."""
+    both = (pairs.hint("merge").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").select("a", "b", "text_a", "text_b"))
+    return _verify(both, least)
+
+
+def _commonness(text: DataFrame) -> np.ndarray:
+    """How many labelled shingles of all texts fall into each of SLOTS groups."""
+
+    def run(batches):
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for _, _, off, data in S.chunks(b.column(1)):
+                total += np.bincount((labelled(*shingles(Words(off, data))) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+
+    got = text.select("node", "text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(SLOTS, np.int64)
+    count[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    return count
+
+
+def _prefixes(text: DataFrame, least: float) -> DataFrame:
+    """(shingle, node, n, at, early): the rarest labelled shingles of each text, ``at`` their place
+    in the order from rare to common and n the size of the text."""
+    count = _commonness(text)
+
+    def run(batches):
+        for b in batches:
+            for i, j, off, data in S.chunks(b.column(1)):
+                h, bounds = shingles(Words(off, data))
+                names = labelled(h, bounds)
+                row = np.repeat(np.arange(j - i), np.diff(bounds))
+                names = names[np.lexsort((names, count[(names % np.uint64(SLOTS)).astype(np.int64)], row))]
+                at, n = np.arange(len(row)) - bounds[row], np.diff(bounds)[row]
+                some = np.flatnonzero(at <= n - np.ceil(least * n - _SLACK))
+                early = at <= n - np.ceil(2 * least / (1 + least) * n - _SLACK)
+                yield pa.RecordBatch.from_arrays([pa.array(S.signed(names[some])), take(b.column(0).slice(i, j - i), pa.array(row[some])), pa.array(n[some]), pa.array(at[some]), pa.array(early[some])],
+                                                 names=["shingle", "node", "n", "at", "early"])
+
+    return text.select("node", "text").mapInArrow(run, "shingle long, node long, n long, at long, early boolean")
+
+
+def candidates(text: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """All pairs (a, b) of ``text`` (node, text) that can have that similarity, and some others.
+
+    Texts of n <= m shingles share at least least / (1 + least) * (n + m) of them.  In one order of
+    all shingles the first they share is then among the first of the shorter text (``early``) and
+    of the longer, with as many behind it in both.  The order is from rare to common, so that a
+    passage of very many texts is in few of these prefixes."""
+    p = S.table(_prefixes(text, least), "prefixes")
+    x, y = (p.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "at", "early")]) for k in "xy")
+    left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    met = x.filter("early_x").join(y, (x["shingle"] == y["shingle"]) & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y"))))
+                                   & (left >= least / (1 + least) * (F.col("n_x") + F.col("n_y")) - _SLACK))
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
 def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between different nodes; ``nodes`` has node and keys."""
-    text = None
     members = nodes.select("node", F.explode("keys").alias("key"))
-    found = None
+    text = found = tried = None
     for turn in range(ROUNDS + 1):
         # other leaders in every round
         rank = F.xxhash64(F.lit(turn), F.col("node"))
@@ -249,21 +312,18 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
             met = S.table(met, "buckets")
         pairs = (met.select(F.explode(F.array("lo", "hi")).alias("a"), F.col("node").alias("b")).filter("a != b")
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = S.table(pairs, "pairs")
-        if not pairs.limit(1).count():
-            break
         if text is None:
+            if not pairs.limit(1).count():
+                return pairs
             # one text per node, for the nodes of some pair; later rounds have no other nodes
             wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
-        both = (pairs.hint("merge").join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-                .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").select("a", "b", "text_a", "text_b"))
-        good = _verify(both, least)
+        good = _compare(pairs, text, least)
         found = S.table(good if found is None else good.unionByName(found), "verified")
-        if turn == ROUNDS:
-            break
+        tried = pairs if tried is None else tried.unionByName(pairs)
         # what no leader of its bucket links stays in the bucket
         linked = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
         tie = lambda c: linked.select(F.col("a").alias("node"), F.col("b").alias(c), F.lit(True).alias(f"with_{c}"))
@@ -271,8 +331,14 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
                 .filter("with_lo IS NULL AND with_hi IS NULL").select("node", "key"))
         members = S.table(rest, "rest")
         if not members.limit(1).count():
-            break
-    return found if found is not None else src.sparkSession.createDataFrame([], "a long, b long")
+            return found
+    # whoever shares a bucket with another still is compared with all it can be similar to
+    shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key")
+    left = S.table(members.join(shared, "key").select("node").distinct(), "left")
+    if not left.limit(1).count():
+        return found
+    pairs = S.table(candidates(text.join(left.hint("merge"), "node", "left_semi"), least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    return S.table(_compare(pairs, text, least).unionByName(found), "verified")
 
 
 def with_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
