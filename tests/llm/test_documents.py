@@ -174,6 +174,31 @@ def test_near_duplicates_around_a_template(spark, tmp_path):
     assert got == want
 
 
+def test_near_duplicates_linked_nodes_stay_partners(spark):
+    """In one bucket: a star's texts in steps of 0.83 and more, whose ends are below 0.8."""
+    rnd = random.Random(33)
+    rows = []
+    for chain in range(12):
+        w = babble(rnd, 120, 10**6).split()
+        for step in range(12):
+            rows.append((100 * chain + step, " ".join(w)))
+            w = w[8:] + babble(rnd, 8, 10**6).split()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = neardup.sketches(neardup._source(docs, "doc_id", "text")).select("doc", "node")
+    doc = {r["node"]: r["doc"] for r in nodes.collect()}
+    one = nodes.select("node", F.array(F.floor(F.col("doc") / 100)).alias("keys"))
+    found = neardup.links(neardup._source(docs, "doc_id", "text"), one)
+    root = {r["node"]: r["root"] for r in neardup.components(found).collect()}
+    got = collections.defaultdict(set)
+    for n in doc:
+        got[root.get(n, n)].add(doc[n])
+    want, _ = brute_classes(rows)
+    classes = collections.defaultdict(set)
+    for i, c in want.items():
+        classes[c].add(i)
+    assert len(classes) == 12 and sorted(map(sorted, got.values())) == sorted(map(sorted, classes.values()))
+
+
 def test_prefix_candidates_hold_all_similar_pairs(spark):
     rnd = random.Random(32)
     rows = [(i, t) for i, t in planted_copies() if len(words(t)) > 4][:200]

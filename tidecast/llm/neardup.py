@@ -13,10 +13,12 @@ threshold, similarity A / (n + m - A).  At 0.8 and above they are linked; the cl
 connected components of the links.
 
 Texts with equal words are one node of that graph, so copies cost one row each.  In a bucket
-every node is compared with two leaders, the smallest and the largest node hash; what neither
-links stays for ``ROUNDS`` further rounds with other leaders.  What still shares a bucket then
-(different texts around one template) is joined by its rarest shingles, an exact prefix filter
-(``candidates``), and compared with all it can be similar to.
+every node is compared with two leaders, the smallest and the largest node by a hash of bucket
+and node, unless they are in one component already; then the leaders leave.  While a bucket has
+several components its nodes stay, linked or not, for ``ROUNDS`` further rounds with other
+leaders.  What is left then (different texts around one template) is joined by its rarest
+shingles, an exact prefix filter (``candidates``), and compared with all it can be similar to.
+So the classes are those of all pairs that share a bucket.
 
 Defined results: a document without words (null, empty, signs only) is a class of its own
 doc_id; repeated rows and copies are one class; a class id is its smallest doc_id (null ids count
@@ -300,18 +302,19 @@ def candidates(text: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between different nodes; ``nodes`` has node and keys."""
-    members = nodes.select("node", F.explode("keys").alias("key"))
+    members = nodes.select("node", F.explode("keys").alias("key"), F.col("node").alias("root"))
     text = found = tried = None
     for turn in range(ROUNDS + 1):
-        # other leaders in every round
-        rank = F.xxhash64(F.lit(turn), F.col("node"))
-        ranked = members.select("key", F.struct(rank.alias("r"), F.col("node").alias("n")).alias("x"))
-        lead = ranked.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo.n != hi.n").select("key", F.col("lo.n").alias("lo"), F.col("hi.n").alias("hi"))
+        # other leaders in every round and bucket
+        rank = F.xxhash64(F.lit(turn), F.col("key"), F.col("node"))
+        ranked = members.select("key", F.struct(rank.alias("r"), F.col("node").alias("n"), F.col("root").alias("c")).alias("x"))
+        lead = (ranked.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo.n != hi.n")
+                .select("key", *[F.col(f"{x}.{f}").alias(f"{x}{g}") for x in ("lo", "hi") for f, g in (("n", ""), ("c", "_root"))]))
         met = members.join(lead, "key")
         if turn:
             met = S.table(met, "buckets")
-        pairs = (met.select(F.explode(F.array("lo", "hi")).alias("a"), F.col("node").alias("b")).filter("a != b")
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = (met.select("node", "root", F.explode(F.array(F.struct(F.col("lo").alias("n"), F.col("lo_root").alias("c")), F.struct(F.col("hi").alias("n"), F.col("hi_root").alias("c")))).alias("x"))
+                 .filter("x.c != root").select(F.least("x.n", "node").alias("a"), F.greatest("x.n", "node").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = S.table(pairs, "pairs")
@@ -324,20 +327,21 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
         good = _compare(pairs, text, least)
         found = S.table(good if found is None else good.unionByName(found), "verified")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        # what no leader of its bucket links stays in the bucket
-        linked = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tie = lambda c: linked.select(F.col("a").alias("node"), F.col("b").alias(c), F.lit(True).alias(f"with_{c}"))
-        rest = (met.filter("node != lo AND node != hi").join(tie("lo"), ["node", "lo"], "left").join(tie("hi"), ["node", "hi"], "left")
-                .filter("with_lo IS NULL AND with_hi IS NULL").select("node", "key"))
-        members = S.table(rest, "rest")
+        # a leader has met its whole bucket; of the others all stay, linked or not, while the bucket
+        # has several components
+        rest = (met.filter("node != lo AND node != hi").select("node", "key").join(components(found), "node", "left")
+                .select("node", "key", F.coalesce("root", "node").alias("root")))
+        rest = S.table(rest, "rest")
+        several = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+        members = S.table(rest.join(several, "key"), "rest")
         if not members.limit(1).count():
             return found
-    # whoever shares a bucket with another still is compared with all it can be similar to
-    shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key")
-    left = S.table(members.join(shared, "key").select("node").distinct(), "left")
-    if not left.limit(1).count():
-        return found
-    pairs = S.table(candidates(text.join(left.hint("merge"), "node", "left_semi"), least).join(tried, ["a", "b"], "left_anti"), "pairs")
+    # whoever shares a bucket with another component still is compared with all it can be similar to
+    left = S.table(members.select("node", "root").distinct(), "left")
+    pairs = candidates(text.join(left.hint("merge"), "node", "left_semi"), least).join(tried, ["a", "b"], "left_anti")
+    for x in ("a", "b"):
+        pairs = pairs.join(left.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x)
+    pairs = S.table(pairs.filter("root_a != root_b").select("a", "b"), "pairs")
     return S.table(_compare(pairs, text, least).unionByName(found), "verified")
 
 
