@@ -329,6 +329,17 @@ def test_pii_rows_and_discovered_identifiers(spark, tmp_path):
     assert not any(found[200 + i] or found[300 + i] for i in range(40))
 
 
+def test_pii_values_of_tokens_without_spaces():
+    def found(t):
+        return [(t[s:e], v, [p for p in q if p.startswith("key")]) for s, e, v, q, seed in pii.instances(t, pii.base_spans(t)) if seed != 1]
+
+    text = '{"empa":"EMP-4001x","empb":"EMP-4002x","empc":"EMP-4003x"}'
+    assert found(text) == [(f"EMP-400{k}x", f"EMP-400{k}x", [f"key emp{c}"]) for k, c in ((1, "a"), (2, "b"), (3, "c"))]
+    assert [v for _, v, _ in found("https://x.org/a?user=USR-1234&team=TEAM-567;n=" + "z" * 300)] == ["USR-1234", "TEAM-567"]
+    assert [v for _, v, _ in found("EMP-4001x,bob@mail.example.com,EMP-4002x")] == ["EMP-4001x", "EMP-4002x"]
+    assert found(f"x {'k=EMP-4001x,' * 2000}") == [("EMP-4001x", "EMP-4001x", ["key k"])] * 2000
+
+
 def test_pii_mask(spark, tmp_path):
     rows = pii_rows()
     d = documents(spark, rows, tmp_path)

@@ -3,7 +3,8 @@
 Base rules find e-mail addresses, IP addresses, card and phone numbers (``base_spans``).  They are
 the seeds of the bootstrap: every identifier-shaped token of the corpus is an instance, and
 the lexical patterns around it (the word or two before it, a key before ``=`` or ``:``, its
-leading letters) are linked to it in a graph.  ``bootstrap`` scores both sides in rounds, with
+leading letters; a token is cut at signs, and its later values have the key or else the value
+before them) are linked to it in a graph.  ``bootstrap`` scores both sides in rounds, with
 Spark aggregations over the edges:
 
 * a pattern's precision is the mean score of its distinct instances, seeds counting 1 and
@@ -95,6 +96,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 #: Tokens of these characters only, or with an @, are for the base rules to judge.
 _BASE_FORM = re.compile(r"[0-9 ().+-]+|.*@.*")
 _EDGE = ".,;:!?()[]{}<>\"'`|"
+#: Values of a token without spaces (JSON, CSV, URL queries, logs), and what ends a key.
+_PIECE = re.compile(r"""[^=:,;&?|()\[\]{}<>"'`]+""")
+_KEY_SIGN = re.compile(r"[=:]")
 _WORD_BEFORE = re.compile(r"(\S{1,40})\s+(\S{1,40})\s*\Z|(\S{1,40})\s*\Z")
 
 
@@ -104,7 +108,7 @@ def instances(text: str, base: list[tuple[int, int, str]]):
     out = []
     covered, at = [(s, e) for s, e, _ in base], 0
     for s, e, _ in base:
-        out.append((s, e, text[s:e], _patterns(text, s, text[s:e]), 1.0))
+        out.append((s, e, text[s:e], _patterns(text[max(0, s - 90):s], text[s:e]), 1.0))
     upto = 0
     for m in _DIGIT.finditer(text):
         if m.start() < upto:
@@ -116,31 +120,36 @@ def instances(text: str, base: list[tuple[int, int, str]]):
         while e < len(text) and not text[e].isspace():
             e += 1
         upto = e
-        value = text[s:e]
-        if len(value) > 2 * CHARS[1]:
-            continue
-        # a key before the value belongs to the context
-        cut = max(value.rfind("="), value.rfind(":")) + 1
-        a, b = s + cut, e
-        while a < b and text[a] in _EDGE:
-            a += 1
-        while b > a and text[b - 1] in _EDGE:
-            b -= 1
-        value = text[a:b]
-        if not CHARS[0] <= len(value) <= CHARS[1] or len(_DIGIT.findall(value)) < DIGITS:
-            continue
-        while at < len(covered) and covered[at][1] <= a and covered[at][1] <= s:
-            at += 1
-        if any(x < e and y > s for x, y in covered[at:at + 8]):
-            continue
-        out.append((a, b, value, _patterns(text, a, value, key=text[s:a]), 0.0 if _BASE_FORM.fullmatch(value) else None))
+        # a token is cut into values; a key before a value belongs to the context
+        left, last = None, ""
+        for i, piece in enumerate(_PIECE.finditer(text, s, e)):
+            key = last if left is not None and _KEY_SIGN.search(text, left, piece.start()) else ""
+            before = text[max(0, s - 90):s] if i == 0 or i == 1 and key else "" if key else last
+            left, last = piece.end(), piece[0][-40:]
+            a, b = piece.span()
+            while a < b and text[a] in _EDGE:
+                a += 1
+            while b > a and text[b - 1] in _EDGE:
+                b -= 1
+            if not CHARS[0] <= b - a <= CHARS[1]:
+                continue
+            value = text[a:b]
+            if len(_DIGIT.findall(value)) < DIGITS:
+                continue
+            while at < len(covered) and covered[at][1] <= a:
+                at += 1
+            k = at
+            while k < len(covered) and covered[k][0] < b and covered[k][1] <= a:
+                k += 1
+            if k < len(covered) and covered[k][0] < b:
+                continue
+            out.append((a, b, value, _patterns(before, value, key), 0.0 if _BASE_FORM.fullmatch(value) else None))
     return out
 
 
-def _patterns(text: str, start: int, value: str, key: str = "") -> list[str]:
+def _patterns(before: str, value: str, key: str = "") -> list[str]:
     found = []
-    key = key.strip("=:\"' ").lower()
-    before = text[max(0, start - len(key) - 90):start - (len(key) + 1 if key else 0)]
+    key = key.lower()
     m = _WORD_BEFORE.search(before)
     if m:
         near = (m[2] or m[3]).lower().strip(_EDGE)
@@ -148,7 +157,7 @@ def _patterns(text: str, start: int, value: str, key: str = "") -> list[str]:
         if m[1]:
             found.append(f"words {m[1].lower().strip(_EDGE)} {near}")
     if key:
-        found.append(f"key {key[:40]}")
+        found.append(f"key {key}")
     lead = re.match(r"[A-Za-z]{3,8}", value)
     if lead:
         found.append(f"lead {lead[0][:4]}")
