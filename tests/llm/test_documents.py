@@ -340,6 +340,16 @@ def test_pii_values_of_tokens_without_spaces():
     assert found(f"x {'k=EMP-4001x,' * 2000}") == [("EMP-4001x", "EMP-4001x", ["key k"])] * 2000
 
 
+def test_pii_rounds_go_on_until_nothing_is_added(spark):
+    """Pattern p0 has seeds; each other pattern is vouched for by what the one before makes known."""
+    edges = [(f"p{k}", f"s{i}", 1.0) for k in range(7) for i in range(40)]
+    edges += [(f"p{p}", f"v{k}-{i}", None) for k in range(7) for i in range(9) for p in (k, k + 1) if p < 7]
+    rows = [([(0, 1, v, [p], s)],) for p, v, s in edges]
+    docs = spark.createDataFrame(rows, "instances array<struct<start:int,end:int,value:string,patterns:array<string>,seed:double>>")
+    got = {r["value"] for r in pii.bootstrap(docs).collect()}
+    assert got == {f"v{k}-{i}" for k in range(7) for i in range(9)}
+
+
 def test_pii_mask(spark, tmp_path):
     rows = pii_rows()
     d = documents(spark, rows, tmp_path)

@@ -11,7 +11,9 @@ Spark aggregations over the edges:
   unknown instances what they have earned so far; it is trusted from ``MIN_PRECISION`` and
   ``MIN_SUPPORT`` known instances on;
 * an unknown instance scores the mean precision of its trusted patterns, and is known from
-  ``MIN_SCORE`` on, so that in the next round it vouches for further patterns.
+  ``MIN_SCORE`` on, so that in the next round it vouches for further patterns; it keeps the
+  greatest score it has had, and the rounds end when neither the known instances nor the sum of
+  their scores (to 6 places each) change.
 
 Tokens in the form of a base rule that fail its check (a card number that breaks Luhn's rule, an
 address part over 255) are negative seeds: they score 0 throughout and count against their
@@ -36,7 +38,6 @@ KINDS = ("email", "ip", "card", "phone")
 ADDED = "id"
 MASK = "[{}]"
 
-ROUNDS = 3
 MIN_PRECISION, MIN_SUPPORT, MIN_SCORE = 0.7, 5, 0.6
 #: Shape of an instance: its characters, and of them at least so many digits.
 CHARS, DIGITS = (6, 64), 2
@@ -191,7 +192,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     return src.mapInArrow(run, f"doc long, row long, {SCAN_SCHEMA}")
 
 
-def bootstrap(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(scanned: DataFrame) -> DataFrame:
     """(value, score) of the discovered identifiers, from the pattern-instance graph of all rows.
 
     Edges are distinct (pattern, value) pairs, so copies of a text add nothing; both sides are
@@ -200,16 +201,23 @@ def bootstrap(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
              .groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
     edges = S.table(edges, "pii-edges")
     seeds = edges.filter("seed IS NOT NULL").groupBy("value").agg(F.max("seed").alias("score"))
-    known, found = seeds, None
-    for _ in range(rounds):
+    known, found, seen = seeds, None, None
+    while True:
         scored = edges.join(known, "value", "left")
         patterns = (scored.groupBy("pattern").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("precision"), F.sum((F.coalesce("score", F.lit(0.0)) > 0).cast("int")).alias("support"))
                     .filter((F.col("precision") >= MIN_PRECISION) & (F.col("support") >= MIN_SUPPORT)).select("pattern", "precision"))
         found = (edges.filter("seed IS NULL").join(patterns, "pattern").groupBy("value").agg(F.avg("precision").alias("score"))
                  .filter(F.col("score") >= MIN_SCORE).join(seeds.select("value"), "value", "left_anti"))
-        found = S.table(found.select("value", "score"), "pii-found")
+        found = found.select("value", "score")
+        if known is not seeds:
+            # scores only rise, so the rounds come to an end
+            found = found.unionByName(known.join(seeds.select("value"), "value", "left_anti")).groupBy("value").agg(F.max("score").alias("score"))
+        found = S.table(found, "pii-found")
         known = seeds.unionByName(found)
-    return found
+        now = found.agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(18,6)"))).first()
+        if now == seen or not now[0]:
+            return found
+        seen = now
 
 
 def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
