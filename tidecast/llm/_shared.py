@@ -61,6 +61,11 @@ def write(df: DataFrame, path: str) -> None:
         conf.set(key, before)
 
 
+def arrow_schema(spark: SparkSession, fields: str) -> pa.Schema:
+    """The Arrow schema that Spark uses for the given columns."""
+    return spark.createDataFrame([], fields).toArrow().schema
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path in it) of a folder that every executor can reach."""
     from pyarrow import fs

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, neardup, pieces, pii, quality, substring_dedup, suffix_dedup, token_store, warc
+from . import ann, conversations, decontaminate, neardup, pieces, pii, quality, substring_dedup, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_pii": (pii.op1_pii, None),
@@ -15,4 +15,5 @@ QUERIES = {
     "op8_multi_index_ann": (ann.op8_multi_index_ann, None),
     "op9_neardup": (neardup.op9_neardup, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
+    "op11_conversation_repair": (conversations.op11_conversation_repair, conversations.ORACLE_SQL),
 }
