@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, conversations, decontaminate, neardup, pieces, pii, quality, substring_dedup, suffix_dedup, token_store, variants, warc
+from . import ann, conversations, decontaminate, fingerprints, neardup, pieces, pii, quality, substring_dedup, suffix_dedup, token_store, variants, warc
 
 QUERIES = {
     "op1_pii": (pii.op1_pii, None),
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_neardup": (neardup.op9_neardup, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
     "op11_conversation_repair": (conversations.op11_conversation_repair, conversations.ORACLE_SQL),
+    "op12_document_fingerprints": (fingerprints.op12_document_fingerprints, fingerprints.ORACLE_SQL),
     "op13_spelling_variants": (variants.op13_spelling_variants, variants.ORACLE_SQL),
 }
