@@ -125,10 +125,7 @@ def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: i
     model = model or f"seasonal_ar{p}"
     fit = fit_ar(history, p, m, trunc_length)
     d = lagged_differences(history, p, m, trunc_length)
-    last = (d.filter((F.col("step") >= F.col("n_steps") - p) & F.col("d").isNotNull())
-             .groupBy("item_id")
-             .agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "d"))), lambda x: x["d"]).alias("w0")))
-    per = fit.join(last, "item_id").filter((F.size("w0") == p) & F.col("beta").isNotNull())
+    per = fit.join(last_differences(d, p), "item_id").filter(F.col("beta").isNotNull())
     phis = F.slice(F.col("beta"), 2, p)
     c = F.col("beta")[0]
     init = F.struct(F.col("w0").alias("w"), F.array().cast("array<double>").alias("out"))
@@ -142,6 +139,15 @@ def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: i
     dh = per.select("item_id", "sigma",
                     F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step,
                                 lambda acc: acc["out"]).alias("dhat"))
+    return integrated(history, dh, horizon, m, freq, quantiles, model)
+
+
+def integrated(history: DataFrame, dh: DataFrame, horizon: int, season_length: int, freq: str,
+               quantiles: Sequence[float], model: str) -> DataFrame:
+    """FORECAST rows from forecast differences ``dh`` (``item_id, sigma, dhat ARRAY`` of H): the
+    seasonal-naive base plus the differences of the seasons passed.  A series that ``dh``
+    lacks (too short, or gaps at its end) is forecast by its mean."""
+    m = season_length
     n, stp = F.col("n_steps"), F.col("step")
     base = (history.filter((n >= m) & (stp >= n - m))
                    .withColumn("p", stp - (n - m)).filter(F.col("p") + 1 <= horizon)
@@ -155,6 +161,13 @@ def ar_p_forecast(history: DataFrame, horizon: int, p: int = 2, season_length: i
     out = j.select("item_id", F.col("h").alias("step"), add_steps(F.col("t_end"), F.col("h"), freq).alias("ts"),
                    (F.col("y_base") + summed).alias("value"),
                    (F.col("sigma") * F.sqrt((n_terms + 1).cast("double"))).alias("sigma"))
-    # too short a history, or gaps at its end: the mean
     other = mean_steps(history.join(dh.select("item_id"), "item_id", "left_anti"), horizon, freq)
     return gaussian_rows(out.unionByName(other.withColumn("sigma", F.lit(None).cast("double"))), model, quantiles)
+
+
+def last_differences(d: DataFrame, p: int) -> DataFrame:
+    """``(item_id, w0 ARRAY)``: the last ``p`` differences in time order, of series that have them all."""
+    last = (d.filter((F.col("step") >= F.col("n_steps") - p) & F.col("d").isNotNull())
+             .groupBy("item_id")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "d"))), lambda x: x["d"]).alias("w0")))
+    return last.filter(F.size("w0") == p)

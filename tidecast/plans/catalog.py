@@ -18,7 +18,7 @@ from tidecast.functions.features import add_lags
 from tidecast.functions.time import format_run_id, ts_text
 from tidecast.operators import metrics as M
 from tidecast.operators import series as S
-from tidecast.operators.models import autoreg, fourier, global_ar, naive, samples
+from tidecast.operators.models import arma, autoreg, fourier, global_ar, naive, samples
 from tidecast.plans import datasets as D
 from tidecast.plans import oracle as O
 from tidecast.plans.backtest import backtest, backtest_all, choose, leaderboard
@@ -588,7 +588,7 @@ def q_median_forecast(spark, d):
 
 # ----------------------------------------------------------------------------- rows-only
 
-@register("fourier_forecast", FC_COLS, ["quantile", "value"])
+@register("fourier_forecast", FC_COLS, ["quantile", "value"], O.fourier_forecast_sql(EVAL_QS))
 def q_fourier_forecast(spark, d):
     """M3: ridge trend + daily/weekly Fourier forecast with Gaussian quantiles."""
     hist = S.train_part(_grid(spark, d), H)
@@ -655,6 +655,30 @@ def q_sample_path_quantiles(spark, d):
     return samples.path_quantiles(point, samples.residual_pool(hist, M_SEASON), (0.1, 0.5, 0.7, 0.9))
 
 
+@register("ancestral_paths", ["model", "item_id", "step", "ts", "sample_id", "value"], ["value"],
+          O.with_(O.hourly() + O.split() + O.ancestral_ctes(), "SELECT model, item_id, step, ts, sample_id, value FROM ancestral"))
+def q_ancestral_paths(spark, d):
+    """M6: 100 paths per series whose steps depend on one another: every path feeds its own
+    draws back through the seasonal AR(2)."""
+    return samples.ancestral_paths(S.train_part(_grid(spark, d), H), H, 2, M_SEASON, "1 hour", 100, 42)
+
+
+@register("arma_orders", ["item_id", "p", "q", "bic", "intercept", "phi1", "phi2", "theta1", "theta2", "sigma", "n"],
+          ["bic", "intercept", "phi1", "phi2", "theta1", "theta2", "sigma"],
+          O.with_(O.hourly() + O.split() + O.arma_ctes(), "SELECT item_id, p, q, bic, beta[1] AS intercept, beta[2] AS phi1, beta[3] AS phi2, "
+                                                          "beta[4] AS theta1, beta[5] AS theta2, sigma, n FROM arma"))
+def q_arma_orders(spark, d):
+    """M4: the orders with the least information criterion and their coefficients."""
+    fit = arma.fit_arma(arma.innovation_rows(S.train_part(_grid(spark, d), H), season_length=M_SEASON))
+    return fit.select("*", *[F.col("beta")[k].alias(name) for k, name in enumerate(("intercept", "phi1", "phi2", "theta1", "theta2"))])
+
+
+@register("arma_forecast", FC_COLS, ["quantile", "value"], O.arma_forecast_sql(EVAL_QS))
+def q_arma_forecast(spark, d):
+    """M4 with moving-average terms: the chosen ARMA of each series rolled forward."""
+    return arma.arma_forecast(S.train_part(_grid(spark, d), H), H, M_SEASON, "1 hour", EVAL_QS)
+
+
 # ----------------------------------------------------------------------------- daily, long history
 
 @register("orders_daily_series", ["item_id", "ts", "step", "n_steps", "target"], ["target"],

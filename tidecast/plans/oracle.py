@@ -8,13 +8,16 @@ its Spark twin in ``tidecast.plans.catalog``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-
-from tidecast.functions.features import DEFAULT_SEASONALITIES
-from tidecast.operators.metrics import HISTOGRAM_EDGES
-from tidecast.operators.models.fourier import gram_pairs
+from statistics import NormalDist
 
 H, M, C = 72, 24, 168          # notebook preset: horizon, season, context
+
+# Fixed values, stated here again so that a change in the library shows as a difference:
+# right-closed histogram edges; (name, period in days, Fourier order, prior scale).
+HISTOGRAM_EDGES = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 2.0)
+SEASONALITIES = (("daily", 1.0, 4, 10.0), ("weekly", 7.0, 3, 0.1))
 RESAMPLE_DECAY = 0.5
 
 
@@ -179,18 +182,68 @@ def wql_sql() -> tuple[str, str]:
                   "JOIN (SELECT model, sum(abs_target_sum) AS den FROM im GROUP BY 1) d ON d.model = q.model")
 
 
-def fourier_design(freq_days: float = 1.0 / 24) -> list[tuple[str, str]]:
-    import math
+def fourier_design(freq_days: float = 1.0 / 24, seasonalities=SEASONALITIES) -> list[tuple[str, str]]:
     t = "(epoch_us(ts) / 86400000000.0)"
     cols = [("const", "1.0"), ("trend", f"CAST(step AS DOUBLE) * {freq_days!r}")]
-    for s in DEFAULT_SEASONALITIES:
-        for k in range(1, s.order + 1):
-            a = 2.0 * math.pi * k / s.period
-            cols.append((f"{s.name}_sin{k}", f"sin({a!r} * {t})"))
-            cols.append((f"{s.name}_cos{k}", f"cos({a!r} * {t})"))
+    for name, period, order, _ in seasonalities:
+        for k in range(1, order + 1):
+            a = 2.0 * math.pi * k / period
+            cols.append((f"{name}_sin{k}", f"sin({a!r} * {t})"))
+            cols.append((f"{name}_cos{k}", f"cos({a!r} * {t})"))
     return cols
 
 
+def fourier_penalties(seasonalities=SEASONALITIES) -> list[float]:
+    return [1e-6, 1e-6] + [1.0 / (prior * prior) for _, _, order, prior in seasonalities for _ in range(2 * order)]
+
+
+def gram_pairs(names: Sequence[str]) -> list[tuple[str, str]]:
+    """Every unordered pair of the names in their order, each with y, and y with itself."""
+    return [(names[i], names[j]) for i in range(len(names)) for j in range(i, len(names))] + [(n, "y") for n in names] + [("y", "y")]
+
+
+def elimination(name: str, src: str, k: int, keys: str) -> list[tuple[str, str]]:
+    """Gauss-Jordan elimination of the ``k x (k+1)`` matrices ``m`` of ``src``, a row of which is left
+    per ``keys``: column k+1 then holds the solution, ``beta``."""
+    return [(name + "_steps", f"WITH RECURSIVE e AS (SELECT {keys}, 1 AS k, m FROM {src} UNION ALL "
+                              f"SELECT {keys}, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / m[k][k]) "
+                              f"ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM e WHERE k <= {k}) "
+                              f"SELECT * FROM e WHERE k = {k + 1}"),
+            (name, f"SELECT {keys}, list_transform(m, lambda r: r[{k + 1}]) AS beta FROM {name}_steps")]
+
+
+def gaussian_z(quantiles: Sequence[float]) -> str:
+    rows = [("CAST(NULL AS DOUBLE)", "0.0")] + [(f"CAST({float(q)!r} AS DOUBLE)", repr(NormalDist().inv_cdf(q))) for q in quantiles]
+    return " UNION ALL ".join(f"SELECT {q} AS quantile, CAST({z} AS DOUBLE) AS z" for q, z in rows)
+
+
+def fourier_ctes(quantiles: Sequence[float], h: int = H, unit: str = "hour", freq_days: float = 1.0 / 24, model: str = "fourier",
+                 name: str = "ff", z: str = "zf", seasonalities=SEASONALITIES) -> list[tuple[str, str]]:
+    """Trend + Fourier ridge on y / mean|y|, solved by elimination; residuals summed row by row."""
+    d = fourier_design(freq_days, seasonalities)
+    k = len(d)
+    vector = "[" + ", ".join(e for _, e in d) + "]"
+    pen = "[" + ", ".join(repr(p) for p in fourier_penalties(seasonalities)) + "]"
+    return [
+        ("fscale", "SELECT item_id, CASE WHEN avg(abs(target)) > 0 THEN avg(abs(target)) ELSE 1.0 END AS s FROM hist GROUP BY 1"),
+        ("fx", f"SELECT item_id, target / s AS y, {vector} AS v FROM hist JOIN fscale USING (item_id) WHERE target IS NOT NULL"),
+        ("fg", f"SELECT item_id, i, list(g ORDER BY j) AS r FROM (SELECT item_id, i, j, CASE WHEN j > {k} THEN sum(v[i] * y) ELSE sum(v[i] * v[j]) + "
+               f"CASE WHEN i = j THEN {pen}[i] ELSE 0.0 END END AS g FROM fx, (SELECT unnest(range(1, {k + 1})) AS i), (SELECT unnest(range(1, {k + 2})) AS j) GROUP BY 1, 2, 3) GROUP BY 1, 2"),
+        ("fm", "SELECT item_id, list(r ORDER BY i) AS m FROM fg GROUP BY 1"),
+    ] + elimination("fbeta", "fm", k, "item_id") + [
+        ("fres", "SELECT item_id, sqrt(avg(power(y - list_dot_product(v, beta), 2))) AS sigma FROM fx JOIN fbeta USING (item_id) GROUP BY 1"),
+        ("ffut", f"SELECT l.item_id, CAST(q.h AS INTEGER) AS h, CAST(l.t_end + to_{unit}s(q.h) AS TIMESTAMP) AS ts, l.n_steps - 1 + q.h AS step "
+                 f"FROM lastrow l, (SELECT unnest(range(1, {h + 1})) AS h) q"),
+        (z, gaussian_z(quantiles)),
+        (name, f"SELECT '{model}' AS model, item_id, h AS step, ts, {z}.quantile, s * (list_dot_product({vector}, beta) + {z}.z * sigma) AS value "
+               f"FROM ffut JOIN fbeta USING (item_id) JOIN fres USING (item_id) JOIN fscale USING (item_id) CROSS JOIN {z}"),
+    ]
+
+
+def fourier_forecast_sql(quantiles: Sequence[float]) -> str:
+    return with_(hourly() + split() + fourier_ctes(quantiles), "SELECT * FROM ff")
+
+
 def fourier_gram_sql() -> str:
     d = fourier_design()
     names = [n for n, _ in d]
@@ -319,15 +372,39 @@ def short_series_ctes(q: float, h: int, m: int, c: int) -> list[tuple[str, str]]
 
 def ar2_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M, ridge: float = 1e-8,
                      model: str = "seasonal_ar2") -> str:
-    """Seasonal AR(2): 3×3 ridge normal equations solved by Cramer's rule, differences
-    rolled forward by a recursive CTE, then integrated over seasons; Gaussian rows."""
-    from statistics import NormalDist
-    zs = [("CAST(NULL AS DOUBLE)", "0.0")] + [(f"CAST({float(q)!r} AS DOUBLE)", repr(NormalDist().inv_cdf(q)))
-                                              for q in quantiles]
-    z_rows = " UNION ALL ".join(f"SELECT {q} AS quantile, CAST({z} AS DOUBLE) AS z" for q, z in zs)
+    """Seasonal AR(2): the differences rolled forward by a recursive CTE, then integrated over
+    seasons; Gaussian rows."""
+    return with_(hourly() + split(h) + ar2_fit_ctes(m, ridge) + [
+        ("roll", "WITH RECURSIVE r(item_id, k, x1, x2) AS ("
+                 "SELECT f.item_id, 1, f.c + f.p1 * l.dl1 + f.p2 * l.dl2, l.dl1 FROM fit f JOIN last2 l USING (item_id) "
+                 "WHERE l.dl1 IS NOT NULL AND l.dl2 IS NOT NULL "
+                 f"UNION ALL SELECT r.item_id, r.k + 1, f.c + f.p1 * r.x1 + f.p2 * r.x2, r.x1 FROM r JOIN fit f "
+                 f"USING (item_id) WHERE r.k < {h}) SELECT item_id, k, x1 AS dhat FROM r"),
+        ("zq", gaussian_z(quantiles)),
+    ] + integrated_ctes("fit", model, "ar2", h, m), "SELECT * FROM ar2")
+
+
+def integrated_ctes(fit: str, model: str, name: str, h: int = H, m: int = M, unit: str = "hour") -> list[tuple[str, str]]:
+    """The season before plus the differences ``roll`` of the seasons passed; sigma from ``fit``."""
+    return [
+        ("base", f"SELECT item_id, step - (n_steps - {m}) AS p, target AS y_base, "
+                 f"CAST(ts + to_{unit}s(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
+                 f"WHERE n_steps >= {m} AND step >= n_steps - {m}"),
+        ("hs", f"SELECT *, unnest(range(p + 1, {h + 1}, {m})) AS hh FROM base WHERE p + 1 <= {h}"),
+        ("terms", f"SELECT hs.*, unnest(range(0, CAST(floor((hs.hh - hs.p - 1) / {m}) AS BIGINT) + 1)) AS j FROM hs"),
+        ("pt", f"SELECT t.item_id, t.hh, t.y_base, t.t_end, t.p, sum(r.dhat) AS dsum FROM terms t "
+               f"JOIN roll r ON r.item_id = t.item_id AND r.k = t.hh - t.j * {m} GROUP BY 1, 2, 3, 4, 5"),
+        (name, f"SELECT '{model}' AS model, pt.item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_{unit}s(hh) AS TIMESTAMP) AS ts, "
+               f"zq.quantile, y_base + dsum + zq.z * coalesce(f.sigma * sqrt(CAST(floor((hh - pt.p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
+               f"AS value FROM pt JOIN {fit} f USING (item_id) CROSS JOIN zq"),
+    ]
+
+
+def ar2_fit_ctes(m: int = M, ridge: float = 1e-8) -> list[tuple[str, str]]:
+    """3×3 ridge normal equations solved by Cramer's rule."""
     r = repr(ridge)
     det = ("(a00*(a11*a22 - a12*a12) - a01*(a01*a22 - a12*a02) + a02*(a01*a12 - a11*a02))")
-    return with_(hourly() + split(h) + [
+    return [
         ("d0", f"SELECT item_id, step, n_steps, target - lag(target, {m}) OVER w AS d FROM hist "
                f"WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
         ("d1", "SELECT *, lag(d, 1) OVER w AS l1, lag(d, 2) OVER w AS l2 FROM d0 "
@@ -345,19 +422,68 @@ def ar2_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M, ridge:
                 "greatest(n - 3, 1)) AS sigma FROM sol"),
         ("last2", "SELECT item_id, max(CASE WHEN step = n_steps - 1 THEN d END) AS dl1, "
                   "max(CASE WHEN step = n_steps - 2 THEN d END) AS dl2 FROM d0 GROUP BY 1"),
-        ("roll", "WITH RECURSIVE r(item_id, k, x1, x2) AS ("
-                 "SELECT f.item_id, 1, f.c + f.p1 * l.dl1 + f.p2 * l.dl2, l.dl1 FROM fit f JOIN last2 l USING (item_id) "
-                 "WHERE l.dl1 IS NOT NULL AND l.dl2 IS NOT NULL "
-                 f"UNION ALL SELECT r.item_id, r.k + 1, f.c + f.p1 * r.x1 + f.p2 * r.x2, r.x1 FROM r JOIN fit f "
-                 f"USING (item_id) WHERE r.k < {h}) SELECT item_id, k, x1 AS dhat FROM r"),
-        ("base", f"SELECT item_id, step - (n_steps - {m}) AS p, target AS y_base, "
-                 f"CAST(ts + to_hours(n_steps - 1 - step) AS TIMESTAMP) AS t_end FROM hist "
-                 f"WHERE n_steps >= {m} AND step >= n_steps - {m}"),
-        ("hs", f"SELECT *, unnest(range(p + 1, {h + 1}, {m})) AS hh FROM base WHERE p + 1 <= {h}"),
-        ("terms", f"SELECT hs.*, unnest(range(0, CAST(floor((hs.hh - hs.p - 1) / {m}) AS BIGINT) + 1)) AS j FROM hs"),
-        ("pt", f"SELECT t.item_id, t.hh, t.y_base, t.t_end, t.p, sum(r.dhat) AS dsum FROM terms t "
-               f"JOIN roll r ON r.item_id = t.item_id AND r.k = t.hh - t.j * {m} GROUP BY 1, 2, 3, 4, 5"),
-        ("zq", z_rows),
-    ], f"SELECT '{model}' AS model, pt.item_id, CAST(hh AS INTEGER) AS step, CAST(t_end + to_hours(hh) AS TIMESTAMP) AS ts, "
-       f"zq.quantile, y_base + dsum + zq.z * coalesce(f.sigma * sqrt(CAST(floor((hh - p - 1) / {m}) AS DOUBLE) + 1.0), 0.0) "
-       f"AS value FROM pt JOIN fit f USING (item_id) CROSS JOIN zq")
+    ]
+
+
+def ancestral_ctes(m: int = M, h: int = H, samples: int = 100, seed: int = 42) -> list[tuple[str, str]]:
+    """Paths of the AR(2) with drawn residuals, step by step: a path's state is its last two
+    differences and its last season of values."""
+    return ar2_fit_ctes(m) + [
+        ("inn", "SELECT d.item_id, d.step, d.d - f.c - f.p1 * d.l1 - f.p2 * d.l2 AS r FROM d1 d JOIN fit f USING (item_id)"),
+        ("pool", "SELECT item_id, list(r ORDER BY step) AS pool FROM inn WHERE r IS NOT NULL GROUP BY 1"),
+        ("season", f"SELECT item_id, list(target ORDER BY step) AS ys FROM hist WHERE step >= n_steps - {m} GROUP BY 1"),
+        ("walk", f"WITH RECURSIVE w(item_id, sample_id, k, x1, x2, ys) AS ("
+                 f"SELECT l.item_id, CAST(s.sample_id AS INTEGER), 0, l.dl1, l.dl2, y.ys FROM last2 l JOIN season y USING (item_id), (SELECT unnest(range(0, {samples})) AS sample_id) s "
+                 f"UNION ALL SELECT item_id, sample_id, k, d, x1, list_append(ys[2:], ys[1] + d) FROM ("
+                 f"SELECT w.item_id, w.sample_id, w.k + 1 AS k, w.x1, w.ys, f.c + f.p1 * w.x1 + f.p2 * w.x2 + p.pool[CAST('0x' || substr(md5(concat_ws('|', w.item_id, w.k + 1, w.sample_id, {seed})), 1, 8) AS BIGINT) % len(p.pool) + 1] AS d "
+                 f"FROM w JOIN fit f USING (item_id) JOIN pool p USING (item_id) WHERE w.k < {h})) "
+                 f"SELECT item_id, sample_id, k, ys[{m}] AS value FROM w WHERE k > 0"),
+        ("ancestral", "SELECT 'ancestral_ar2' AS model, w.item_id, CAST(w.k AS INTEGER) AS step, CAST(l.t_end + to_hours(w.k) AS TIMESTAMP) AS ts, w.sample_id, w.value "
+                      "FROM walk w JOIN lastrow l USING (item_id)"),
+    ]
+
+
+def _gram_list(name: str, src: str, k: int, keys: str = "item_id") -> list[tuple[str, str]]:
+    """``m``: the k x (k+1) normal equations of ``src`` (vector v, value y) as a list of rows."""
+    return [(name + "_r", f"SELECT {keys}, i, list(g ORDER BY j) AS r FROM (SELECT {keys}, i, j, sum(v[i] * (CASE WHEN j > {k} THEN y ELSE v[j] END)) AS g "
+                          f"FROM {src}, (SELECT unnest(range(1, {k + 1})) AS i), (SELECT unnest(range(1, {k + 2})) AS j) GROUP BY ALL) GROUP BY ALL"),
+            (name, f"SELECT {keys}, list(r ORDER BY i) AS m FROM {name}_r GROUP BY ALL")]
+
+
+def arma_ctes(m: int = M, max_p: int = 2, max_q: int = 2, long_order: int = 6, ridge: float = 1e-8) -> list[tuple[str, str]]:
+    """Both regressions by elimination, residual sums row by row, every order's criterion."""
+    k = 1 + max_p + max_q
+    lags = ", ".join(f"lag(d, {i}) OVER w AS l{i}" for i in range(1, long_order + 1))
+    long_v = ", ".join(["1.0", *[f"l{i}" for i in range(1, long_order + 1)]])
+    short = ["1.0", *[f"l{i}" for i in range(1, max_p + 1)], *[f"e{i}" for i in range(1, max_q + 1)]]
+    diag = f"list_transform(m, lambda r, i: list_transform(r, lambda v, j: CASE WHEN i = j THEN v + {ridge!r} ELSE v END))"
+    used = lambda i: f"({i} = 1 OR ({i} >= 2 AND {i} <= p + 1) OR ({i} >= {max_p + 2} AND {i} <= {max_p + 1} + q))"
+    return [
+        ("sd", f"SELECT item_id, step, n_steps, target - lag(target, {m}) OVER (PARTITION BY item_id ORDER BY step) AS d FROM hist"),
+        ("sl", f"SELECT *, {lags} FROM sd WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
+        ("lx", f"SELECT item_id, d AS y, [{long_v}] AS v FROM sl WHERE d IS NOT NULL AND l{long_order} IS NOT NULL"),
+    ] + _gram_list("lg", "lx", long_order + 1) + [("lgr", f"SELECT item_id, {diag} AS m FROM lg")] + elimination("lb", "lgr", long_order + 1, "item_id") + [
+        ("en", f"SELECT s.*, CASE WHEN l{long_order} IS NOT NULL THEN d - list_dot_product([{long_v}], beta) END AS e FROM sl s JOIN lb USING (item_id)"),
+        ("el", "SELECT *, " + ", ".join(f"lag(e, {i}) OVER w AS e{i}" for i in range(1, max_q + 1)) + " FROM en WINDOW w AS (PARTITION BY item_id ORDER BY step)"),
+        ("ax", f"SELECT item_id, d AS y, [{', '.join(short)}] AS v FROM el WHERE d IS NOT NULL AND e{max_q} IS NOT NULL AND l{max_p} IS NOT NULL"),
+    ] + _gram_list("ag", "ax", k) + [
+        ("ao", f"SELECT item_id, CAST(p AS INTEGER) AS p, CAST(q AS INTEGER) AS q, list_transform(m, lambda r, i: list_transform(r, lambda v, j: "
+               f"CASE WHEN {used('i')} AND (j = {k + 1} OR {used('j')}) THEN (CASE WHEN i = j THEN v + {ridge!r} ELSE v END) WHEN i = j THEN 1.0 ELSE 0.0 END)) AS m "
+               f"FROM ag, (SELECT unnest(range(0, {max_p + 1})) AS p), (SELECT unnest(range(0, {max_q + 1})) AS q)"),
+    ] + elimination("ab", "ao", k, "item_id, p, q") + [
+        ("ar", "SELECT item_id, p, q, beta, count(*) AS n, sum(power(y - list_dot_product(v, beta), 2)) AS rss FROM ax JOIN ab USING (item_id) GROUP BY ALL"),
+        ("ac", "SELECT *, n * ln(rss / n) + (1 + p + q) * ln(n) AS bic FROM ar"),
+        ("arma", "SELECT item_id, p, q, bic, beta, sqrt(rss / greatest(n - 1 - p - q, 1)) AS sigma, n FROM "
+                 "(SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY bic, p, q) AS place FROM ac) WHERE place = 1"),
+    ]
+
+
+def arma_forecast_sql(quantiles: Sequence[float], h: int = H, m: int = M) -> str:
+    return with_(hourly() + split(h) + arma_ctes(m) + [
+        ("ends", "SELECT item_id, max(CASE WHEN step = n_steps - 1 THEN d END) AS d1, max(CASE WHEN step = n_steps - 2 THEN d END) AS d2, "
+                 "max(CASE WHEN step = n_steps - 1 THEN e END) AS e1, max(CASE WHEN step = n_steps - 2 THEN e END) AS e2 FROM en GROUP BY 1"),
+        ("roll", "WITH RECURSIVE r(item_id, k, x1, x2, e1, e2) AS (SELECT item_id, 0, d1, d2, e1, e2 FROM ends "
+                 "UNION ALL SELECT r.item_id, r.k + 1, a.beta[1] + a.beta[2] * r.x1 + a.beta[3] * r.x2 + a.beta[4] * r.e1 + a.beta[5] * r.e2, r.x1, 0.0, r.e1 "
+                 f"FROM r JOIN arma a USING (item_id) WHERE r.k < {h}) SELECT item_id, k, x1 AS dhat FROM r WHERE k > 0"),
+        ("zq", gaussian_z(quantiles)),
+    ] + integrated_ctes("arma", "seasonal_arma", "fc", h, m), "SELECT * FROM fc")
