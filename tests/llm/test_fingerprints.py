@@ -20,7 +20,7 @@ def md5_60(x):
 def elements(text):
     pars = []
     for line in text.split("\n"):
-        pars += [line] if len(line) <= 200 else re.sub("([.!?]) ", "\\1\n", line).split("\n")
+        pars += [line] if len(line) <= 400 else re.sub("([.!?]) ([A-C])", "\\1\n\\2", line).split("\n")
     return {md5_60(p) if n == 1 else md5_60(f"{md5_60(p)}:{n}") for p, n in collections.Counter(p for p in pars if p).items()}
 
 
@@ -46,7 +46,7 @@ def results(df):
 
 
 def prose(rnd, lines, words=12, size=300):
-    return "\n".join(" ".join(rnd.choice(["é", "w", "ß"]) + str(rnd.randrange(size)) for _ in range(rnd.randrange(1, words))) + rnd.choice([".", ". ", "", "! x. "]) * 3 for _ in range(lines))
+    return "\n".join(" ".join(rnd.choice(["é", "w", "ß"]) + str(rnd.randrange(size)) for _ in range(rnd.randrange(1, words))) + rnd.choice([".", ". ", "", "! x. ", "! Ab. Cd "]) * 3 for _ in range(lines))
 
 
 @pytest.mark.parametrize("bucket_chars", [32_000_000, 3_000])

@@ -2,7 +2,8 @@
 alone (no Python in the tasks).
 
 A text's paragraphs are its non-empty lines; a line of more than ``LONG_LINE`` code points is cut
-after sentence ends.  An element is a paragraph's digest with the number of its occurrences, so a
+before sentences that begin with A to C, about every sixth (the cuts depend on the words around them
+alone, so an edit moves none elsewhere).  An element is a paragraph's digest with the number of its occurrences, so a
 text is a set.  A sketch has three tables of ``CELLS`` cells; an element falls into one cell of each,
 which counts its elements and holds the XOR of their digests and of their check values.  The
 fingerprint is that sketch in hexadecimal.
@@ -10,7 +11,7 @@ fingerprint is that sketch in hexadecimal.
 Two sketches are subtracted cell by cell, which cancels what the versions share; a cell of one element
 (its check value fits) is peeled: the element is recovered with its sign and leaves its other cells.
 If cells remain, the difference is too large for the sketch and a larger one is tried: further bits of
-the digest choose one of 4, 16, ... sketches of the same size, up to ``ROW_LEVELS`` times in the row
+the digest choose one of 4, 16, ... sketches of the same size, ``ROW_LEVELS`` times in the row
 itself.  What is larger still is exploded, a sketch a row, so that a long document's sketches are
 spread over the tasks, and only sketches that fail are split again.  So the recovered difference is
 exact whatever its size, and the likeness is the Jaccard similarity of the two sets.
@@ -34,14 +35,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from . import _shared as S
 
-LONG_LINE = 200
+LONG_LINE = 400
 #: Cells of each of the three tables, a power of two.
-CELLS = 8
+CELLS = 16
 TABLES = 3
 ROUNDS = 16
-#: Larger sketches tried in the row: 4 and 16 times as large.
-ROW_LEVELS = 2
-BUCKET_CHARS = 32_000_000
+#: Larger sketches tried in the row, each four times as large as the one before.
+ROW_LEVELS = 1
+BUCKET_CHARS = 4_000_000
 MOST_BUCKETS = 65_536
 
 _CELL_BITS = CELLS.bit_length() - 1
@@ -69,7 +70,7 @@ def _long(value) -> Column:
 def paragraphs(text: Column) -> Column:
     """The paragraphs of a text, in order."""
     lines = F.filter(F.split(text, "\n"), lambda x: x != "")
-    sentences = lambda x: F.filter(F.split(F.regexp_replace(x, "([.!?]) ", "$1\n"), "\n"), lambda y: y != "")
+    sentences = lambda x: F.filter(F.split(F.regexp_replace(x, "([.!?]) ([A-C])", "$1\n$2"), "\n"), lambda y: y != "")
     return F.flatten(F.transform(lines, lambda x: F.when(F.length(x) > LONG_LINE, sentences(x)).otherwise(F.array(x))))
 
 
@@ -86,7 +87,7 @@ def elements(text: Column) -> Column:
             i - F.when(j == 0, -1).otherwise(F.get(e, j - 1)),
             lambda n: F.when(n == 1, F.get(d, i)).otherwise(digest(F.concat_ws(":", F.get(d, i).cast("string"), n.cast("string")))))))
 
-    return _let(F.array_sort(F.transform(paragraphs(text), digest)),
+    return _let(F.sort_array(F.transform(paragraphs(text), digest)),
                 lambda d: F.when(F.size(d) == 0, F.array().cast("array<bigint>")).otherwise(counted(d)))
 
 
@@ -101,21 +102,39 @@ def _place(k: Column, table: int) -> Column:
 
 # ---------------------------------------------------------------- sketches
 
-def sketch(elems: Column) -> Column:
-    """The cells of the elements."""
-    def cells(placed: Column) -> Column:
-        def cell(table: int):
-            def one(j: Column) -> Column:
-                return _let(F.filter(placed, lambda e: e[f"i{table}"] == j), lambda m: F.struct(
-                    F.size(m).cast("bigint").alias("n"),
-                    F.aggregate(m, _long(0), lambda a, e: a.bitwiseXOR(e["k"])).alias("k"),
-                    F.aggregate(m, _long(0), lambda a, e: a.bitwiseXOR(e["c"])).alias("c")))
-            return one
+def _signed(elems: Column, sign: int = 1) -> Column:
+    """Elements with their check value and sign, as a sketch takes them."""
+    return F.transform(elems, lambda k: F.struct(k.alias("k"), check(k).alias("c"), _long(sign).alias("n")))
+
+
+def _cells(items: Column) -> Column:
+    """The cells of elements (k, c, n): each table sorts them by their place and sums the runs."""
+    def table(t: int) -> Column:
+        def runs(placed: Column) -> Column:
+            def cells(up: Column, down: Column) -> Column:
+                def cell(j: Column) -> Column:
+                    begin = F.array_position(up, j)
+                    size = F.size(up) - F.array_position(down, j) + 2 - begin
+                    return F.when(begin > 0, _let(F.slice(placed, begin.cast("int"), size.cast("int")), summed)).otherwise(nothing)
+
+                return F.transform(F.sequence(_long(0), _long(CELLS - 1)), cell)
+
+            return _let(placed["i"], lambda up: _let(F.reverse(up), lambda down: cells(up, down)))
+
+        return _let(F.sort_array(F.transform(items, lambda e: F.struct(_place(e["k"], t).alias("i"), e["k"].alias("k"), e["c"].alias("c"), e["n"].alias("n")))), runs)
 
-        return F.concat(*(F.transform(F.sequence(_long(0), _long(CELLS - 1)), cell(t)) for t in range(TABLES)))
+    def summed(run: Column) -> Column:
+        xor = lambda name: F.aggregate(run[name], _long(0), lambda a, x: a.bitwiseXOR(x))
+        return F.when(F.size(run) == 1, F.struct(run["n"][0].alias("n"), run["k"][0].alias("k"), run["c"][0].alias("c"))).otherwise(
+            F.struct(F.aggregate(run["n"], _long(0), lambda a, x: a + x).alias("n"), xor("k").alias("k"), xor("c").alias("c")))
 
-    placed = F.transform(elems, lambda k: F.struct(k.alias("k"), check(k).alias("c"), *(_place(k, t).alias(f"i{t}") for t in range(TABLES))))
-    return _let(placed, cells)
+    nothing = F.struct(_long(0).alias("n"), _long(0).alias("k"), _long(0).alias("c"))
+    return F.concat(*(table(t) for t in range(TABLES)))
+
+
+def sketch(elems: Column) -> Column:
+    """The cells of the elements (longs)."""
+    return _let(_signed(elems), _cells)
 
 
 def as_text(cells: Column) -> Column:
@@ -132,20 +151,16 @@ def peeled(cells: Column) -> Column:
     """The recovered elements of a difference, with sign n (1: only in the first, -1: only in the
     second); null if the sketch was too small."""
     def pure(cells: Column) -> Column:
-        good = F.filter(cells, lambda x: (F.abs(x["n"]) == 1) & (check(x["k"]) == x["c"]))
-        return F.array_distinct(F.transform(good, lambda x: F.struct(
-            x["k"].alias("k"), x["n"].alias("n"), x["c"].alias("c"), *((_place(x["k"], t) + t * CELLS).alias(f"i{t}") for t in range(TABLES)))))
-
-    def without(cells: Column, ps: Column) -> Column:
-        return F.transform(cells, lambda x, i: F.aggregate(
-            F.filter(ps, lambda p: reduce(Column.__or__, (p[f"i{t}"] == i for t in range(TABLES)))), x,
-            lambda a, p: F.struct((a["n"] - p["n"]).alias("n"), a["k"].bitwiseXOR(p["k"]).alias("k"), a["c"].bitwiseXOR(p["c"]).alias("c"))))
+        good = F.filter(cells, lambda x: ((x["n"] == 1) | (x["n"] == -1)) & (check(x["k"]) == x["c"]))
+        return F.array_distinct(F.transform(good, lambda x: F.struct(x["k"].alias("k"), x["c"].alias("c"), x["n"].alias("n"))))
 
     def turn(s: Column, _: Column) -> Column:
-        return F.when(s["live"], _let(pure(s["cells"]), lambda ps: F.struct(
-            without(s["cells"], ps).alias("cells"),
-            F.concat(s["found"], F.transform(ps, lambda p: F.struct(p["k"].alias("k"), p["n"].alias("n")))).alias("found"),
-            (F.size(ps) > 0).alias("live")))).otherwise(s)
+        def peel(ps: Column) -> Column:
+            found = F.concat(s["found"], F.transform(ps, lambda p: F.struct(p["k"].alias("k"), p["n"].alias("n"))))
+            return F.when(F.size(ps) == 0, F.struct(s["cells"].alias("cells"), s["found"].alias("found"), F.lit(False).alias("live"))).otherwise(
+                F.struct(subtract(s["cells"], _cells(ps)).alias("cells"), found.alias("found"), F.lit(True).alias("live")))
+
+        return F.when(s["live"], _let(pure(s["cells"]), peel)).otherwise(s)
 
     start = F.struct(cells.cast(f"array<{_CELL}>").alias("cells"), F.array().cast(_FOUND).alias("found"), F.lit(True).alias("live"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn,
@@ -158,13 +173,16 @@ def _bucket(k: Column, level: int) -> Column:
 
 def difference(a: Column, b: Column, cells_a: Column, cells_b: Column, levels: int = ROW_LEVELS) -> Column:
     """The elements in one of ``a`` and ``b`` only, recovered from their sketches and, where these
-    are too small, from up to ``levels`` larger ones; null if all were."""
+    are too small, from up to ``levels`` larger ones (a size is passed over if the sets together
+    have more elements than it has cells); null if all were too small."""
     def larger(level: int) -> Column:
-        def one(i: Column) -> Column:
+        def one(found: Column, i: Column) -> Column:
+            # concat with null is null: after one failure the other parts are not looked at
             part = lambda e: F.filter(e, lambda k: _bucket(k, level) == i)
-            return peeled(subtract(sketch(part(a)), sketch(part(b))))
+            return F.when(found.isNotNull(), F.concat(found, peeled(subtract(sketch(part(a)), sketch(part(b))))))
 
-        return _let(F.transform(F.sequence(_long(0), _long(4 ** level - 1)), one), lambda found: F.when(F.forall(found, lambda f: f.isNotNull()), F.flatten(found)))
+        return F.when(F.size(a) + F.size(b) <= TABLES * CELLS * 4 ** level,
+                      F.aggregate(F.sequence(_long(0), _long(4 ** level - 1)), F.array().cast(_FOUND), one))
 
     return F.coalesce(peeled(subtract(cells_a, cells_b)), *(larger(n) for n in range(1, levels + 1)))
 
@@ -244,21 +262,21 @@ def fingerprints(docs: DataFrame, bucket_chars: int = BUCKET_CHARS) -> DataFrame
 
 def larger_differences(pairs: DataFrame, level: int = ROW_LEVELS + 1) -> DataFrame:
     """(row, which, differing): the size of the difference of the element sets ``a`` and ``b`` of each
-    pair (row, which), by sketches of 4^level tables in rows of their own, those that fail split by
-    four again until none does."""
+    pair (row, which), by 4^level sketches in rows of their own, those that fail split by 16 again
+    until none does."""
     done: list[DataFrame] = []
     rows, width = pairs, 4 ** level
     while True:
-        if not done:
-            place = lambda k: _bucket(k, level)
-        else:
-            place = lambda k: F.shiftright(k, _CELL_BITS * TABLES + 2 * (level - 1)).bitwiseAND(3)
-        parts = rows.withColumn("i", F.explode(F.sequence(_long(0), _long(width - 1)))).select(
-            "row", "which", F.filter("a", lambda k: place(k) == F.col("i")).alias("a"), F.filter("b", lambda k: place(k) == F.col("i")).alias("b"))
-        solved = S.table(parts.repartition("row", "which", "a").select(
-            "row", "which", "a", "b", _number(peeled(subtract(sketch(F.col("a")), sketch(F.col("b"))))).alias("d")), "fingerprint-differences")
+        # the elements once, each dealt to its part: no pass over the sets per part
+        shift = _CELL_BITS * TABLES + (0 if not done else 2 * (level - 2))
+        entry = lambda side, sign: F.transform(side, lambda k: F.struct(F.shiftright(k, shift).bitwiseAND(width - 1).alias("i"), k.alias("k"), F.lit(sign).alias("first")))
+        exploded = rows.select("row", "which", *(["part"] if done else [F.lit(0).cast("bigint").alias("part")]), F.explode(F.concat(entry(F.col("a"), True), entry(F.col("b"), False))).alias("e"))
+        side = lambda first: F.collect_list(F.when(F.col("e.first") == first, F.col("e.k")))
+        parts = exploded.groupBy("row", "which", (F.col("part") * width + F.col("e.i")).alias("part")).agg(side(True).alias("a"), side(False).alias("b"))
+        solved = S.table(parts.select(
+            "row", "which", "part", "a", "b", _number(peeled(subtract(sketch(F.col("a")), sketch(F.col("b"))))).alias("d")), "fingerprint-differences")
         done.append(solved.filter("d is not null").select("row", "which", "d"))
-        rows, width, level = solved.filter("d is null").select("row", "which", "a", "b"), 4, level + 1
+        rows, width, level = solved.filter("d is null").select("row", "which", "part", "a", "b"), 16, level + 2
         if rows.isEmpty():
             return reduce(DataFrame.unionByName, done).groupBy("row", "which").agg(F.sum("d").alias("differing"))
 
@@ -274,7 +292,7 @@ WITH docs AS (SELECT row_number() OVER w AS r, doc_id, coalesce(text, '') AS tex
 versions AS (SELECT r, 0 AS v, text FROM docs
   UNION ALL SELECT r, 1, left(text, length(text) - length(text) // 2) || left(following, length(text) // 2) FROM docs),
 lines AS (SELECT r, v, unnest(string_split(text, chr(10))) AS line FROM versions),
-pars AS (SELECT r, v, unnest(CASE WHEN length(line) > {LONG_LINE} THEN string_split(regexp_replace(line, '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) ELSE [line] END) AS p FROM lines),
+pars AS (SELECT r, v, unnest(CASE WHEN length(line) > {LONG_LINE} THEN string_split(regexp_replace(line, '([.!?]) ([A-C])', '\\1' || chr(10) || '\\2', 'g'), chr(10)) ELSE [line] END) AS p FROM lines),
 digests AS (SELECT r, v, ('0x' || left(md5(p), 15))::BIGINT AS d, count(*) AS times FROM pars WHERE p <> '' GROUP BY ALL),
 elems AS MATERIALIZED (SELECT r, v, CASE WHEN times = 1 THEN d ELSE ('0x' || left(md5(d::VARCHAR || ':' || times::VARCHAR), 15))::BIGINT END AS k FROM digests),
 cells AS (SELECT r, v, t * {CELLS} + ((k >> ({_CELL_BITS} * t)) & {CELLS - 1}) AS i, format('{{:x}}.{{:x}}.{{:x}}', count(*), bit_xor(k),
