@@ -812,3 +812,16 @@ def q_incremental_cells(spark, d):
     incremental ingest holds once every file has arrived.  No state is kept."""
     from tidecast.streaming.ingest import cells_by_file
     return cells_by_file(spark, d, "events", "1 hour", scale=D.MONEY_SCALE)
+
+
+@register("incremental_refresh", FC_COLS, ["quantile", "value"],
+          O.with_([O.cells()] + O.grid_series_span("hour") + [
+              ("hist", "SELECT * FROM series"), ("lastrow", "SELECT item_id, n_steps, ts AS t_end FROM hist WHERE step = n_steps - 1")]
+              + O.fourier_ctes(EVAL_QS, model="refresh", seasonalities=O.REFRESH_SEASONALITIES), "SELECT * FROM ff"))
+def q_incremental_refresh(spark, d):
+    """The refreshed forecasts after every week of every event file has arrived as a
+    contribution of its own: merged moments give what a full refit gives."""
+    from tidecast.streaming.refresh import RefreshSpec, forecast_by_parts
+    rows = D.table(spark, d, "events").withColumn(
+        "arrival", F.concat_ws("#", F.col("_metadata.file_path"), F.date_trunc("week", "ts").cast("string")))
+    return forecast_by_parts(rows, "arrival", RefreshSpec(scale=D.MONEY_SCALE, horizon=H, quantiles=EVAL_QS))

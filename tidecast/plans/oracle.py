@@ -18,6 +18,7 @@ H, M, C = 72, 24, 168          # notebook preset: horizon, season, context
 # right-closed histogram edges; (name, period in days, Fourier order, prior scale).
 HISTOGRAM_EDGES = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 2.0)
 SEASONALITIES = (("daily", 1.0, 4, 10.0), ("weekly", 7.0, 3, 0.1))
+REFRESH_SEASONALITIES = (("daily", 1.0, 2, 10.0), ("weekly", 7.0, 1, 0.1))
 RESAMPLE_DECAY = 0.5
 
 
