@@ -9,8 +9,11 @@ series at once, on
 * a static category per series, one-hot encoded,
 * optional dynamic covariates (COVARIATE rows known over the horizon too),
 
-with each series scaled by its mean absolute value.  Quantiles are the point forecast
-plus pooled residual quantiles (``percentile_approx``, a mergeable sketch), rescaled.
+with each series scaled by its mean absolute value.  Quantiles are fitted by the check loss on
+the point forecast, the lags, the series' own spread and the time of day
+(``quantile_method="check_loss"``, see :mod:`pinball`), so that they differ by series and step and
+never cross; ``"residual"`` takes the point forecast plus pooled residual quantiles
+(``percentile_approx``, a mergeable sketch) instead, one offset for all.
 MLlib's normal-equation solver aggregates over partitions with ``treeAggregate``; no
 series or group is ever gathered into one task.
 """
@@ -18,6 +21,7 @@ series or group is ever gathered into one task.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -28,6 +32,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidecast.operators.models import pinball
 from tidecast.operators.models.base import future_steps
 from tidecast.schema import FORECAST_COLUMNS
 
@@ -49,6 +54,7 @@ class GlobalARParams:
     max_iter: int = 50
     model_name: str = "global_ar"
     n_covariates: int = 0
+    quantile_method: str = "check_loss"
 
     def resolved_lags(self) -> tuple[int, ...]:
         lags = tuple(self.lags) or default_lags(self.horizon, self.season_length)
@@ -107,10 +113,22 @@ def _extended(history: DataFrame, params: GlobalARParams, scale: DataFrame,
 
 
 def series_scale(history: DataFrame) -> DataFrame:
-    """Per series: ``scale``, the mean absolute value, and ``level``, the mean on that scale."""
+    """Per series: ``scale``, the mean absolute value, and on that scale ``level``, the mean, and
+    ``spread``, the standard deviation."""
     m = F.avg(F.abs("target"))
     scale = F.when(m.isNull() | (m == 0), F.lit(1.0)).otherwise(m)
-    return history.groupBy("item_id").agg(scale.alias("scale"), (F.coalesce(F.avg("target"), F.lit(0.0)) / scale).alias("level"))
+    return history.groupBy("item_id").agg(scale.alias("scale"), (F.coalesce(F.avg("target"), F.lit(0.0)) / scale).alias("level"),
+                                          (F.coalesce(F.stddev_pop("target"), F.lit(0.0)) / scale).alias("spread"))
+
+
+def quantile_terms(lags: Sequence[int]) -> list[str]:
+    """Terms of the quantiles' regressions: ``with_quantile_terms`` makes those that are no column yet."""
+    return ["const", "pred", "spread", *[f"lag_{k}" for k in lags], "hour_sin", "hour_cos"]
+
+
+def with_quantile_terms(frame: DataFrame) -> DataFrame:
+    angle = F.col("hour") * F.lit(2.0 * math.pi / 24.0)
+    return frame.withColumns({"const": F.lit(1.0), "hour_sin": F.sin(angle), "hour_cos": F.cos(angle)})
 
 
 @dataclass
@@ -118,6 +136,7 @@ class GlobalARModel:
     params: GlobalARParams
     pipeline: PipelineModel
     residual_quantiles: list
+    quantile_fit: pinball.PinballFit | None = None
 
     # ------------------------------------------------------------------ fit
     @classmethod
@@ -145,8 +164,16 @@ class GlobalARModel:
         qs = [float(q) for q in params.quantiles]
         row = resid.agg(F.percentile_approx("r", qs, 10000).alias("rq")).first()
         rq = list(row["rq"]) if row and row["rq"] is not None else [0.0] * len(qs)
+        fitted = None
+        if params.quantile_method == "check_loss" and qs:
+            names = quantile_terms(lags)
+            # the pooled residual quantiles are where the rounds start from, so they never end behind them
+            start = [[r, 1.0] + [0.0] * (len(names) - 2) for r in rq]
+            z = with_quantile_terms(model.transform(train)).select(*names, "y_scaled").persist(StorageLevel.MEMORY_AND_DISK)
+            fitted = pinball.fit(z, names, "y_scaled", qs, start)
+            z.unpersist()
         train.unpersist()
-        return cls(params, model, rq)
+        return cls(params, model, rq, fitted)
 
     # ------------------------------------------------------------------ predict
     def forecast(self, history: DataFrame, categories: DataFrame | None = None,
@@ -161,13 +188,15 @@ class GlobalARModel:
         frame = _features(_extended(recent, p, scale, categories, covariates), lags)
         fut = frame.filter(F.col("future")).withColumns({f"lag_{k}": F.coalesce(f"lag_{k}", "level") for k in lags})
         scored = self.pipeline.transform(fut)
-        entries = [F.struct(F.lit(None).cast("double").alias("q"), F.lit(0.0).alias("r"))]
-        entries += [F.struct(F.lit(float(q)).alias("q"), F.lit(float(r)).alias("r"))
-                    for q, r in zip(p.quantiles, self.residual_quantiles)]
-        return (scored.select("item_id", "h", "ts", "pred", "scale", F.explode(F.array(*entries)).alias("e"))
+        entries = [F.struct(F.lit(None).cast("double").alias("q"), F.col("pred").alias("v"))]
+        if self.quantile_fit is not None:
+            scored = with_quantile_terms(scored).withColumn("qv", pinball.predictions(quantile_terms(lags), self.quantile_fit))
+            entries += [F.struct(F.lit(q).alias("q"), F.get("qv", i).alias("v")) for i, q in enumerate(sorted(self.quantile_fit.quantiles))]
+        else:
+            entries += [F.struct(F.lit(float(q)).alias("q"), (F.col("pred") + F.lit(float(r))).alias("v")) for q, r in zip(p.quantiles, self.residual_quantiles)]
+        return (scored.select("item_id", "h", "ts", "scale", F.explode(F.array(*entries)).alias("e"))
                       .select(F.lit(p.model_name).alias("model"), "item_id", F.col("h").alias("step"), "ts",
-                              F.col("e.q").alias("quantile"),
-                              ((F.col("pred") + F.col("e.r")) * F.col("scale")).alias("value"))
+                              F.col("e.q").alias("quantile"), (F.col("e.v") * F.col("scale")).alias("value"))
                       .select(*FORECAST_COLUMNS))
 
     # ------------------------------------------------------------------ persistence
@@ -175,7 +204,8 @@ class GlobalARModel:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         meta = {"params": {**self.params.__dict__, "lags": list(self.params.resolved_lags()),
                            "quantiles": list(self.params.quantiles)},
-                "residual_quantiles": self.residual_quantiles}
+                "residual_quantiles": self.residual_quantiles,
+                "quantile_fit": self.quantile_fit.__dict__ if self.quantile_fit else None}
         spark.createDataFrame([(json.dumps(meta),)], "meta STRING").coalesce(1) \
              .write.mode("overwrite").text(f"{path}/meta")
 
@@ -185,16 +215,21 @@ class GlobalARModel:
         prm = meta["params"]
         prm["lags"] = tuple(prm["lags"])
         prm["quantiles"] = tuple(prm["quantiles"])
-        return cls(GlobalARParams(**prm), PipelineModel.load(f"{path}/pipeline"),
-                   list(meta["residual_quantiles"]))
+        fitted = meta.get("quantile_fit")
+        if fitted:
+            fitted = pinball.PinballFit(**{**fitted, "quantiles": tuple(fitted["quantiles"])})
+        elif "quantile_method" not in prm:      # saved before quantiles were fitted
+            prm["quantile_method"] = "residual"
+        return cls(GlobalARParams(**prm), PipelineModel.load(f"{path}/pipeline"), list(meta["residual_quantiles"]), fitted or None)
 
 
 def global_ar_forecast(history: DataFrame, horizon: int, freq: str = "1 hour",
                        quantiles: Sequence[float] = (0.1, 0.5, 0.9),
                        categories: DataFrame | None = None, season_length: int = 24,
-                       covariates: DataFrame | None = None, n_covariates: int = 0) -> DataFrame:
+                       covariates: DataFrame | None = None, n_covariates: int = 0,
+                       quantile_method: str = "check_loss") -> DataFrame:
     """Fit on ``history`` and forecast its next ``horizon`` steps (one call)."""
-    params = GlobalARParams(horizon=horizon, freq=freq, season_length=season_length,
-                            quantiles=tuple(quantiles), n_covariates=n_covariates)
+    params = GlobalARParams(horizon=horizon, freq=freq, season_length=season_length, quantiles=tuple(quantiles),
+                            n_covariates=n_covariates, quantile_method=quantile_method)
     model = GlobalARModel.fit(history, params, categories, covariates)
     return model.forecast(history, categories, covariates)
