@@ -34,7 +34,7 @@ from . import _shared as S
 CHUNK_BITS = 8
 _BLOCK = 512
 #: Distinct words whose ids a worker remembers at one time.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 INDEX_SCHEMA = "doc_id long, shard int, at long, n_tokens long"
 
@@ -156,26 +156,36 @@ def word_ids(tokenizer_json: str):
     def library(texts: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
+    def known(words) -> list[bytes]:
+        """Those of ``words`` that the caches lack; what the old one has moves to the young one."""
+        lack = []
+        for w in words:
+            if (ids := old.get(w)) is None:
+                lack.append(w)
+            else:
+                young[w] = ids
+        return lack
+
     def encode(texts: list[bytes]) -> list[bytes]:
         parts = []
         for t in texts:
             low = t.lower()
-            parts.append(None if any(x in low for x in special) else _SIGN_AFTER_LETTER.sub(b" ", low).split())
+            parts.append(None if any(x in low for x in special) else low.split())
         seen = set().union(*(p for p in parts if p is not None))
-        new = list(seen.difference(young))
+        new = seen.difference(young)
         if len(young) + len(new) > CACHE_WORDS // 2:
             old.clear()
             old.update(young)
             young.clear()
-            new = list(seen)
-        learn = []
-        for w in new:
-            if (ids := old.get(w)) is None:
-                learn.append(w)
-            else:
-                young[w] = ids
+            new = seen
+        # only words met for the first time are cut at their signs; their parts are mostly known
+        cut = {w: _SIGN_AFTER_LETTER.sub(b" ", w).split() for w in known(new)}
+        learn = known({x for xs in cut.values() for x in xs}.difference(young))
         for i in range(0, len(learn), 20_000):
             young.update(zip(learn[i:i + 20_000], library(learn[i:i + 20_000]), strict=True))
+        for w, xs in cut.items():
+            if len(xs) > 1:
+                young[w] = b"".join(map(young.__getitem__, xs))
         return [library([t])[0] if p is None else b"".join(map(young.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
 
     return encode
