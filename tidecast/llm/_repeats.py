@@ -33,9 +33,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import _shared as S
 
 #: Text bytes whose phrases a task reduces together before the shuffle.
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 12 << 20
+#: Text bytes for each bucket in which phrases of one anchor meet.
+BUCKET_BYTES = 4 << 20
 #: Payload bytes that ``resolve`` gets at one time, in whole context groups.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 
 
 @dataclass
@@ -339,7 +341,9 @@ def remove_repeats(docs: DataFrame, doc_id: str, text: str, keep: list[str], *,
     S.prepare(spark)
     doc = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-(1 << 63)))
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucket's phrases are held by one task: their number follows the bytes, not the settings
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0)).alias("b")).first()["b"]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
     src = docs.select(doc.alias("doc"), F.xxhash64(doc, body).alias("key"), F.encode(body, "UTF-8").alias("text"))
     packed = src.mapInArrow(_parse_batches(parse, length, buckets), "bucket int, kind byte, payload binary")
