@@ -34,7 +34,7 @@ from . import _shared as S
 CHUNK_BITS = 8
 _BLOCK = 512
 #: Distinct words whose ids a worker remembers at one time.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 1_300_000
 
 INDEX_SCHEMA = "doc_id long, shard int, at long, n_tokens long"
 
