@@ -31,19 +31,21 @@ def pick_quantile(forecast: DataFrame, q: float | None) -> DataFrame:
     return forecast.filter(F.col("quantile") == F.lit(float(q)))
 
 
-def pair(forecast: DataFrame, holdout: DataFrame, q: float | None = 0.5, models: int = 1) -> DataFrame:
+def pair(forecast: DataFrame, holdout: DataFrame, q: float | None = 0.5, models: Sequence[str] | None = None) -> DataFrame:
     """Forecast at quantile ``q`` next to the actual, matched on ``(item_id, step)``.
 
     ``holdout`` is ``holdout_part`` output (its ``h`` is the forecast step).  Every actual needs
-    the forecast of each of the ``models``: a missing one fails the job, so that no model is
-    scored on fewer points than another.
+    the forecast of each of the ``models`` (without names: one): a missing one fails the job, so
+    that no model is scored on fewer points than another.
     """
     act = holdout.select("item_id", F.col("h").alias("step"), F.col("target").alias("y"))
-    fc = pick_quantile(forecast, q).select("model", "item_id", "step", "ts", F.col("value").alias("f"))
-    found = F.count("model").over(Window.partitionBy("item_id", "step"))
+    fc = pick_quantile(forecast, q).select("model", "item_id", "step", "ts", F.col("value").alias("f"), F.lit(True).alias("_found"))
+    on = ["item_id", "step"]
+    if models is not None:
+        act, on = act.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models]))), [*on, "model"]
     missing = F.raise_error(F.concat(F.lit("pair: a forecast is missing for item "), F.col("item_id"), F.lit(" step "), F.col("step").cast("string")))
-    return (act.join(fc, ["item_id", "step"], "left").withColumn("_n", found)
-               .withColumn("f", F.when(F.col("_n") < models, missing.cast("double")).otherwise(F.col("f")))
+    return (act.join(fc, on, "left")
+               .withColumn("f", F.when(F.col("_found").isNull(), missing.cast("double")).otherwise(F.col("f")))
                .select("item_id", "step", "model", "ts", "f", "y"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.arith import exact_sum
-from tidecast.functions.time import add_steps, bucket, steps_between
+from tidecast.functions.time import add_steps, bucket, freq_micros, steps_between, to_micros
 
 GRID_COLUMNS = ["item_id", "ts", "step", "n_steps", "target"]
 
@@ -118,31 +118,36 @@ def regularise(series: DataFrame, freq: str = "1 hour", fill=None, span: str = "
     ``start``/``end``, fails the job.  Output: GRID columns.
     """
     cells = _unique_cells(series) if check_unique else series.select("item_id", "ts", "target")
+    phase = F.pmod(to_micros("ts"), F.lit(freq_micros(freq)))
+    seen = cells.groupBy("item_id").agg(
+        F.min("ts").alias("first"), F.max("ts").alias("last"), F.min(phase).alias("low_phase"), F.max(phase).alias("high_phase"),
+        F.min_by("ts", phase).alias("low_at"), F.max_by("ts", phase).alias("high_at"), F.max(F.col("ts").isNull()).alias("no_time"))
     if start is not None or end is not None:
-        lo = F.lit(start).cast("timestamp_ntz") if start is not None else None
-        hi = F.lit(end).cast("timestamp_ntz") if end is not None else None
-        b = cells.groupBy("item_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-        bounds = b.select("item_id", (lo if lo is not None else F.col("lo")).alias("lo"),
-                          (hi if hi is not None else F.col("hi")).alias("hi"))
+        lo = F.lit(start).cast("timestamp_ntz") if start is not None else F.col("first")
+        hi = F.lit(end).cast("timestamp_ntz") if end is not None else F.col("last")
     elif span == "global":
-        lo = cells.agg(F.min("ts")).scalar()
-        hi = cells.agg(F.max("ts")).scalar()
-        bounds = cells.select("item_id").distinct().select("item_id", lo.alias("lo"), hi.alias("hi"))
+        lo, hi = cells.agg(F.min("ts")).scalar(), cells.agg(F.max("ts")).scalar()
     elif span == "series":
-        bounds = cells.groupBy("item_id").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+        lo, hi = F.col("first"), F.col("last")
     else:
         raise ValueError("span must be 'series' or 'global'")
-
+    bounds = seen.withColumns({"lo": lo, "hi": hi}).withColumn("phase", F.pmod(to_micros("lo"), F.lit(freq_micros(freq))))
+
+    # a cell without a place on the grid must not vanish: the phases and the ends of a series'
+    # times tell whether there is one, so no cell is compared with the grid
+    beside = (F.when(F.col("no_time") | F.col("lo").isNull(), F.lit("NULL")).when(F.col("first") < F.col("lo"), F.col("first").cast("string"))
+              .when(F.col("last") > F.col("hi"), F.col("last").cast("string")).when(F.col("low_phase") != F.col("phase"), F.col("low_at").cast("string"))
+              .when(F.col("high_phase") != F.col("phase"), F.col("high_at").cast("string")).when(F.col("item_id").isNull(), F.col("first").cast("string")))
+    n_steps = F.when(beside.isNotNull(), F.raise_error(F.concat(
+        F.lit("regularise: no grid place for item "), F.coalesce("item_id", F.lit("NULL")), F.lit(" at "), beside)).cast("int")).otherwise(
+        steps_between("lo", "hi", freq) + 1)
     grid = (bounds
-            .withColumn("n_steps", steps_between("lo", "hi", freq) + 1)
+            .withColumn("n_steps", n_steps)
             .withColumn("step", F.explode(F.sequence(F.lit(0), F.col("n_steps") - 1)))
             .withColumn("ts", add_steps(F.col("lo"), F.col("step"), freq))
             .select("item_id", "ts", F.col("step").cast("int").alias("step"),
                     F.col("n_steps").cast("int").alias("n_steps")))
-    # a cell without a grid place must not vanish
-    out = grid.join(cells, ["item_id", "ts"], "full").withColumn("step", F.when(F.col("step").isNull(), F.raise_error(F.concat(
-        F.lit("regularise: no grid place for item "), F.coalesce("item_id", F.lit("NULL")), F.lit(" at "), F.coalesce(F.col("ts").cast("string"), F.lit("NULL")))).cast("int"))
-        .otherwise(F.col("step")))
+    out = grid.join(cells, ["item_id", "ts"], "left")
     if fill is None:
         pass
     elif fill == "ffill":

@@ -19,7 +19,7 @@ class Backtest:
     history: DataFrame
     holdout: DataFrame
     forecast: DataFrame
-    models: int = 1
+    models: Sequence[str] | None = None
 
     def paired(self, q: float | None = 0.5) -> DataFrame:
         return M.pair(self.forecast, self.holdout, q, self.models)
@@ -42,7 +42,7 @@ def backtest_all(grid: DataFrame, forecasters: dict[str, Forecaster], horizon: i
     union = fcs[0]
     for other in fcs[1:]:
         union = union.unionByName(other)
-    return Backtest(history, holdout_part(grid, horizon), union, len(fcs))
+    return Backtest(history, holdout_part(grid, horizon), union, list(forecasters))
 
 
 def leaderboard(bt: Backtest, q: float = 0.7, zero_pair: str = "nan") -> DataFrame:
