@@ -57,3 +57,42 @@ def test_covariates_and_categories_reach_the_model(spark, tmp_path):
     want = {(i, t): 10.0 + 50.0 * x for i, t, _, x in cov}
     assert len(got) == 3 * 24
     assert all(abs(r.value - want[r.item_id, r.ts]) < 5 for r in got)
+
+
+def _stages(monkeypatch):
+    ran = []
+    for name in ("generate_dataset", "fit", "batch_score"):
+        real = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda *a, _n=name, _r=real, **k: (ran.append(_n), _r(*a, **k))[1])
+    return ran
+
+
+def test_a_run_goes_on_behind_the_stage_that_ended_and_repeats_only_what_changed(spark, tmp_path, monkeypatch):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").filter("event_type in ('click', 'view')")
+    series = ev.select(F.col("event_type").alias("item_id"), "ts", F.col("value").alias("target"))
+    cfg = jobs.JobConfig(base=str(tmp_path / "runs"), preset=Preset(horizon=24, context_length=168))
+    want = None
+    for crash in ("generate_dataset", "fit", "batch_score", None):
+        with monkeypatch.context() as m:
+            ran = _stages(m)
+            if crash:
+                m.setattr(jobs, crash, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+                try:
+                    jobs.run_forecast_job(spark, cfg, "2024-02-01", series)
+                    raise AssertionError
+                except RuntimeError:
+                    pass
+            else:
+                want = jobs.run_forecast_job(spark, cfg, "2024-02-01", series).count()
+        # a stage that ended is not run again
+        assert ran == {"generate_dataset": [], "fit": ["generate_dataset"], "batch_score": ["fit"], None: ["batch_score"]}[crash]
+    assert want == 2 * 24
+    with monkeypatch.context() as m:
+        ran = _stages(m)
+        jobs.run_forecast_job(spark, cfg, "2024-02-01", series.repartition(5))      # the same rows
+        assert ran == []
+        cfg.quantiles = (0.2, 0.5)
+        jobs.run_forecast_job(spark, cfg, "2024-02-01", series)
+        assert ran == ["fit", "batch_score"]
+        jobs.run_forecast_job(spark, cfg, "2024-02-01", series.filter("target > 1"))
+        assert ran == ["fit", "batch_score", "generate_dataset", "fit", "batch_score"]

@@ -5,7 +5,7 @@ generate_dataset  CSV → series grid → train/test split → JSON-lines record
 fit               train records → pooled global model                        (B3)
 batch_score       test records → forecast past the end → forecast documents  (B4)
 output_forecast   forecast documents → chosen quantile → database rows       (B5)
-run_forecast_job  all stages for one run date, every stage on the same date  (B6)
+run_forecast_job  all stages for one run date, resumable by a ledger of stages (B6)
 
 Stages hand over through files under the run-dated folder, as in the workload, which
 also cuts lineage: a lost executor re-runs at most its own stage.
@@ -13,6 +13,8 @@ also cuts lineage: a lost executor re-runs at most its own stage.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from tidecast.operators import series as S
 from tidecast.operators.models.global_ar import GlobalARModel, GlobalARParams
 from tidecast.schema import SCHEDULED, Preset
+from tidecast.sources import manifest
 from tidecast.sources import readers as R
 from tidecast.sources import sinks as K
 
@@ -142,12 +145,58 @@ def output_forecast(spark: SparkSession, cfg: JobConfig, doc_path: str) -> DataF
 
 
 # ----------------------------------------------------------------------------- B6
+def content_hash(df: DataFrame | None) -> str:
+    """A fingerprint of a frame's rows, whatever their order: one aggregate over the frame."""
+    if df is None:
+        return "none"
+    columns = sorted(df.columns)
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("x"), F.coalesce(F.sum(F.pmod(h, F.lit(1 << 31))), F.lit(0)).alias("s")).first()
+    return json.dumps([df.select(*[f"`{c}`" for c in columns]).schema.simpleString(), row["n"], row["x"], row["s"]])
+
+
+class Ledger:
+    """Which stages of a run are done, with the fingerprint of all that went into each.
+
+    Every finished stage is one manifest entry, created at once, so a run that ends anywhere leaves
+    a stage either done or not.  A stage's fingerprint holds those of the stages before it: when an
+    input or a parameter changes, it and all that depends on it run again, and nothing else does.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.target = spark, f"{root}/ledger"
+
+    def done(self) -> dict[str, str]:
+        out: dict[str, str] = {}
+        for _, entry in manifest.entries(self.spark, self.target):      # newest first
+            out.setdefault(entry["stage"], entry["fingerprint"])
+        return out
+
+    def run(self, stage: str, inputs: Sequence[str], work) -> str:
+        """Do ``work()`` unless it was done with equal ``inputs``; the stage's fingerprint."""
+        fingerprint = hashlib.sha256(json.dumps([stage, list(inputs)]).encode()).hexdigest()
+        if self.done().get(stage) != fingerprint:
+            work()
+            manifest.commit(self.spark, self.target, {"stage": stage, "fingerprint": fingerprint})
+        return fingerprint
+
+
 def run_forecast_job(spark: SparkSession, cfg: JobConfig, run_date, series: DataFrame | None = None,
                      categories: DataFrame | None = None, covariates: DataFrame | None = None) -> DataFrame:
-    """All stages for one run date (the date is fixed once for every stage)."""
+    """All stages for one run date (the date is fixed once for every stage).
+
+    A run that is started again goes on behind the last stage that ended; stages whose inputs or
+    parameters changed run again with those that depend on them.
+    """
     day = _day(run_date)
-    p = generate_dataset(spark, cfg, day, series, categories=categories, covariates=covariates)
-    model = fit(spark, cfg, p["train"])
-    model.save(spark, p["model"])
-    batch_score(spark, cfg, model, p["test"], p["output"])
+    p = run_paths(cfg, day)
+    ledger = Ledger(spark, p["root"])
+    if series is None:
+        series = R.read_series_csv(spark, cfg.source_csv, cfg.ts_column, cfg.value_column, cfg.item_column)
+    grid = [str(cfg.preset.freq), str(cfg.preset.horizon)]
+    data = ledger.run("dataset", [*grid, *map(content_hash, (series, categories, covariates))],
+                      lambda: generate_dataset(spark, cfg, day, series, categories=categories, covariates=covariates))
+    fitted = ledger.run("fit", [data, str(cfg.preset.season_length), str(list(cfg.quantiles))],
+                        lambda: fit(spark, cfg, p["train"]).save(spark, p["model"]))
+    ledger.run("score", [fitted], lambda: batch_score(spark, cfg, GlobalARModel.load(spark, p["model"]), p["test"], p["output"]))
     return output_forecast(spark, cfg, p["output"])
