@@ -41,6 +41,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: a probability below 1e-7.
 SKETCHES, MINIMA = 16, 2
 ROUNDS = 2
+#: Keys of a node whose buckets are looked at before the others.
+FIRST_KEYS = 4
 #: Groups of shingles whose numbers order them from rare to common; few groups order them less
 #: well, which costs candidates and no links.
 SLOTS = 1 << 18
@@ -265,8 +267,8 @@ def _commonness(text: DataFrame) -> np.ndarray:
 
 
 def _prefixes(text: DataFrame, least: float) -> DataFrame:
-    """(shingle, node, n, at, early): the rarest labelled shingles of each text, ``at`` their place
-    in the order from rare to common and n the size of the text."""
+    """(shingle, node, root, n, at, early): the rarest labelled shingles of each text (node, text,
+    root), ``at`` their place in the order from rare to common and n the size of the text."""
     count = _commonness(text)
 
     def run(batches):
@@ -279,32 +281,45 @@ def _prefixes(text: DataFrame, least: float) -> DataFrame:
                 at, n = np.arange(len(row)) - bounds[row], np.diff(bounds)[row]
                 some = np.flatnonzero(at <= n - np.ceil(least * n - _SLACK))
                 early = at <= n - np.ceil(2 * least / (1 + least) * n - _SLACK)
-                yield pa.RecordBatch.from_arrays([pa.array(S.signed(names[some])), take(b.column(0).slice(i, j - i), pa.array(row[some])), pa.array(n[some]), pa.array(at[some]), pa.array(early[some])],
-                                                 names=["shingle", "node", "n", "at", "early"])
+                of = [take(b.column(c).slice(i, j - i), pa.array(row[some])) for c in (0, 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(S.signed(names[some])), *of, pa.array(n[some]), pa.array(at[some]), pa.array(early[some])],
+                                                 names=["shingle", "node", "root", "n", "at", "early"])
 
-    return text.select("node", "text").mapInArrow(run, "shingle long, node long, n long, at long, early boolean")
+    return text.select("node", "text", "root").mapInArrow(run, "shingle long, node long, root long, n long, at long, early boolean")
 
 
 def candidates(text: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """All pairs (a, b) of ``text`` (node, text) that can have that similarity, and some others.
+    """All pairs (a, b) of ``text`` (node, text, and where known root, its component) that can have
+    that similarity and are not in one component, and some others.
 
     Texts of n <= m shingles share at least least / (1 + least) * (n + m) of them.  In one order of
     all shingles the first they share is then among the first of the shorter text (``early``) and
     of the longer, with as many behind it in both.  The order is from rare to common, so that a
     passage of very many texts is in few of these prefixes."""
+    if "root" not in text.columns:
+        text = text.withColumn("root", F.col("node"))
     p = S.table(_prefixes(text, least), "prefixes")
-    x, y = (p.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "at", "early")]) for k in "xy")
+    x, y = (p.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "at", "early")]) for k in "xy")
     left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
-    met = x.filter("early_x").join(y, (x["shingle"] == y["shingle"]) & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y"))))
+    met = x.filter("early_x").join(y, (x["shingle"] == y["shingle"]) & (x["root_x"] != y["root_y"]) & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y"))))
                                    & (left >= least / (1 + least) * (F.col("n_x") + F.col("n_y")) - _SLACK))
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between different nodes; ``nodes`` has node and keys."""
-    members = nodes.select("node", F.explode("keys").alias("key"), F.col("node").alias("root"))
-    text = found = tried = None
-    for turn in range(ROUNDS + 1):
+    every = nodes.select("node", F.posexplode("keys").alias("at", "key"))
+    shared = every.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key")
+    every = S.table(every.join(shared, "key").select("node", "at", "key", F.col("node").alias("root")), "buckets")
+    if every.isEmpty():
+        return every.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    # one text per node, for the nodes of some bucket
+    wanted = every.select("node").distinct()
+    text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    found = tried = None
+    # a few keys first: most of a family is one component before its other buckets are looked at
+    members = every.filter(F.col("at") < FIRST_KEYS).select("node", "key", "root")
+    for turn in range(ROUNDS + 2):
         # other leaders in every round and bucket
         rank = F.xxhash64(F.lit(turn), F.col("key"), F.col("node"))
         ranked = members.select("key", F.struct(rank.alias("r"), F.col("node").alias("n"), F.col("root").alias("c")).alias("x"))
@@ -318,15 +333,13 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = S.table(pairs, "pairs")
-        if text is None:
-            if not pairs.limit(1).count():
-                return pairs
-            # one text per node, for the nodes of some pair; later rounds have no other nodes
-            wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
         good = _compare(pairs, text, least)
         found = S.table(good if found is None else good.unionByName(found), "verified")
         tried = pairs if tried is None else tried.unionByName(pairs)
+        if turn == 0:
+            of = components(found)
+            members = S.table(every.join(of.withColumnRenamed("root", "of"), "node", "left").select("node", "key", F.coalesce("of", "root").alias("root")), "rest")
+            continue
         # a leader has met its whole bucket; of the others all stay, linked or not, while the bucket
         # has several components
         rest = (met.filter("node != lo AND node != hi").select("node", "key").join(components(found), "node", "left")
@@ -338,10 +351,8 @@ def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFr
             return found
     # whoever shares a bucket with another component still is compared with all it can be similar to
     left = S.table(members.select("node", "root").distinct(), "left")
-    pairs = candidates(text.join(left.hint("merge"), "node", "left_semi"), least).join(tried, ["a", "b"], "left_anti")
-    for x in ("a", "b"):
-        pairs = pairs.join(left.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")), x)
-    pairs = S.table(pairs.filter("root_a != root_b").select("a", "b"), "pairs")
+    pairs = candidates(text.join(left.hint("merge"), "node"), least).join(tried, ["a", "b"], "left_anti")
+    pairs = S.table(pairs, "pairs")
     return S.table(_compare(pairs, text, least).unionByName(found), "verified")
 
 
