@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidecast.functions.features import add_lags
 from tidecast.functions.time import format_run_id, ts_text
+from tidecast.operators import blocks
 from tidecast.operators import metrics as M
 from tidecast.operators import series as S
 from tidecast.operators.models import arma, autoreg, fourier, global_ar, naive, samples
@@ -292,6 +293,28 @@ def q_group_multivariate(spark, d):
     return S.group_multivariate(cells, "1 hour", D.MONEY_SCALE)
 
 
+@register("multivariate_gram", ["dim_a", "dim_b", "gram", "covariance", "n"], ["gram", "covariance"],
+          O.with_([O.cells("hour", "user_id", "ucells"),
+                   ("dims", "SELECT item_id, CAST(row_number() OVER (ORDER BY item_id) - 1 AS INTEGER) AS dim FROM "
+                            "(SELECT DISTINCT item_id FROM ucells)"),
+                   ("cells", "SELECT * FROM ucells"),
+                   ("means", "SELECT item_id, CAST(sum(CAST(target AS DECIMAL(18,2))) AS DOUBLE) / count(target) AS fill "
+                             "FROM cells GROUP BY 1")]
+                  + O.grid("hour", "cells", "series", "NULL")
+                  + [("mv", "SELECT s.ts, d.dim, coalesce(s.target, m.fill) AS v FROM series s JOIN dims d USING (item_id) JOIN means m USING (item_id)"),
+                     ("mm", "SELECT dim, avg(v) AS m FROM mv GROUP BY 1")],
+                  "SELECT dim_a, dim_b, round(g, 2) AS gram, round(g / n - a.m * b.m, 4) AS covariance, n FROM (SELECT a.dim AS dim_a, b.dim AS dim_b, sum(a.v * b.v) AS g, count(*) AS n "
+                  "FROM mv a JOIN mv b ON b.ts = a.ts AND b.dim >= a.dim GROUP BY 1, 2) JOIN mm a ON a.dim = dim_a JOIN mm b ON b.dim = dim_b"))
+def q_multivariate_gram(spark, d):
+    """Gram sums and covariances of all pairs of per-user hourly series, from tiles of time by
+    dimension."""
+    cells = materialize(D.events_cells(spark, d, "1 hour", "user_id"), "user_hourly_cells", REUSE)
+    mv = materialize(S.group_multivariate(cells, "1 hour", D.MONEY_SCALE), "user_multivariate", REUSE)
+    means = mv.groupBy("dim").agg(F.avg("value").alias("mean"))
+    out = blocks.covariance(blocks.gram(blocks.tiles(mv)), means)
+    return out.select("dim_a", "dim_b", F.round("gram", 2).alias("gram"), F.round("covariance", 4).alias("covariance"), "n")
+
+
 @register("label_boundaries", ["item_id", "ts", "target", "segment"], ["target"],
           O.with_(O.hourly(), f"SELECT item_id, ts, target, CASE WHEN step < n_steps - {2 * H} THEN 'train' "
                               f"WHEN step < n_steps - {H} THEN 'test' ELSE 'predict' END AS segment FROM series"))
