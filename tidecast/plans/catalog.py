@@ -435,6 +435,18 @@ def q_leaderboard(spark, d):
     return leaderboard(bt, TARGET_Q)
 
 
+@register("leaderboard_fitted", ["model"] + POINT_COLS, POINT_DOUBLES,
+          O.with_(O.hourly() + O.split() + [
+              ("fc", f"SELECT * FROM ({O.fourier_forecast_sql(LB_QS)}) UNION ALL SELECT * FROM ({O.arma_forecast_sql(LB_QS)})"),
+              O.paired("fc")], O.summed()))
+def q_leaderboard_fitted(spark, d):
+    """The models solved per series (trend + Fourier, ARMA with chosen orders) on one split."""
+    bt = backtest_all(_grid(spark, d), {
+        "fourier": lambda h, n: fourier.fourier_forecast(h, n, "1 hour", quantiles=LB_QS),
+        "seasonal_arma": lambda h, n: arma.arma_forecast(h, n, M_SEASON, "1 hour", LB_QS)}, H)
+    return leaderboard(bt, TARGET_Q)
+
+
 def _user_daily_metrics(spark, d):
     bt = backtest(materialize(D.events_user_daily(spark, d), "events_user_daily", REUSE),
                   lambda h, n: naive.seasonal_naive(h, n, 7, "1 day", (TARGET_Q,)), 7)
