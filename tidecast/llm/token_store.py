@@ -34,7 +34,7 @@ from . import _shared as S
 CHUNK_BITS = 8
 _BLOCK = 512
 #: Distinct words whose ids a worker remembers at one time.
-CACHE_WORDS = 1_300_000
+CACHE_WORDS = 1_600_000
 
 INDEX_SCHEMA = "doc_id long, shard int, at long, n_tokens long"
 
@@ -223,7 +223,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
             encode = lambda texts: [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         ids, at, parts = [], 0, []
         for b in batches:
-            for i, j, off, data in S.chunks(b.column(1)):
+            # a word is looked up once a chunk: larger ones look up fewer
+            for i, j, off, data in S.chunks(b.column(1), 2 * S.CHUNK_BYTES):
                 raw = data.tobytes()
                 tokens = [t + end for t in encode([raw[x:y] for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)])]
                 n = np.array([len(t) // 4 for t in tokens], np.int64)
