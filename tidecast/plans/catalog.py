@@ -81,7 +81,7 @@ def _hourly(spark, d):
 
 
 def _grid(spark, d):
-    """The hourly grid, computed once and checkpointed: queries that read it in several
+    """The hourly grid, computed once and kept (``REUSE``): queries that read it in several
     branches (history, holdout, several models) then scan ``events`` only once."""
     return materialize(D.events_hourly(spark, d), "events_hourly", REUSE)
 
@@ -164,7 +164,7 @@ def q_holdout_split(spark, d):
           f"(PARTITION BY user_id ORDER BY ts DESC, value DESC) <= 10 THEN 'holdout' ELSE 'train' END AS split "
           f"FROM events")
 def q_holdout_split_raw(spark, d):
-    """P6/W1 on ungridded series: the salted two-phase top-n path (last 10 events per user)."""
+    """P6/W1 on ungridded series: the per-task top-n path (last 10 events per user)."""
     return S.holdout_split(_users(spark, d), 10)
 
 

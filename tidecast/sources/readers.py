@@ -82,7 +82,7 @@ def read_series_json(spark: SparkSession, path: str, period: str | None = None)
     ``"NaN"`` strings and bare ``NaN`` both parse as NaN and become NULL.  A dataset
     laid out in ``period=<name>`` folders is filtered on that partition column, so
     only the chosen variant's files are read.  A record without an id is named by its file
-    and its number in it, so that no two records share a name.
+    and a number, so that no two records of one read share a name (another read may number anew).
     """
     df = spark.read.schema(SERIES_JSON_SCHEMA + (", period STRING" if period is not None else "")).json(path)
     if period is not None:

@@ -73,9 +73,9 @@ class ReplacedFileError(RuntimeError):
     """A file that was ingested before has changed since."""
 
 
-def check_unchanged(spark: SparkSession, folder: str, table: str, known: str) -> DataFrame:
-    """(path, changed, size) of the files there are now; fails if one of those recorded in
-    ``known`` has another time or size, whose rows are already in the totals."""
+def check_unchanged(spark: SparkSession, folder: str, table: str, known: str) -> None:
+    """Fails if one of the files recorded in ``known`` has another time or size now, whose old rows
+    are already in the totals."""
     now = (spark.read.parquet(f"{folder}/{table}*.parquet")
            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed"), F.col("_metadata.file_size").alias("size")).distinct())
     if _exists(spark, known):
@@ -84,7 +84,6 @@ def check_unchanged(spark: SparkSession, folder: str, table: str, known: str) ->
         row = differs.agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first")).first()
         if row["n"]:
             raise ReplacedFileError(f"{row['n']} ingested files were replaced, the first is {row['first']}; ingest into a new state folder")
-    return now
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -134,10 +133,16 @@ def ingest_cells(spark: SparkSession, folder: str, table: str, name: str, freq:
     A file that changed after it was ingested fails the run (its old rows are in the totals).
     """
     base = state_folder(spark, name, state)
-    now = check_unchanged(spark, folder, table, f"{base}/files")
-    stream = stream_parquet_table(spark, folder, table)
-    ingest_available(spark, stream, name, cells_batch_writer(f"{base}/table", freq, item, ts, value, scale),
-                     f"{base}/checkpoint")
-    # one record per file and state; a rerun records the same again
-    now.write.mode("append").parquet(f"{base}/files")
+    check_unchanged(spark, folder, table, f"{base}/files")
+    version = {"path": F.col("_metadata.file_path"), "changed": F.col("_metadata.file_modification_time"), "size": F.col("_metadata.file_size")}
+    stream = stream_parquet_table(spark, folder, table).withColumns(version)
+    cells = cells_batch_writer(f"{base}/table", freq, item, ts, value, scale)
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        cells(batch, epoch)
+        # the files that this batch read, not those listed before it: one that lands meanwhile is
+        # recorded with the batch that reads it; a batch that runs again records the same again
+        batch.select(*version).distinct().write.mode("overwrite").parquet(f"{base}/files/batch_id={epoch}")
+
+    ingest_available(spark, stream, name, handle, f"{base}/checkpoint")
     return merged_cells(spark.read.parquet(f"{base}/table"))
