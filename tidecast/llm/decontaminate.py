@@ -236,3 +236,20 @@ def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     return (found.withColumn("items", hit_items())
             .select("doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated")))
+
+
+_SQL_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+#: The same by joining the windows' texts.
+ORACLE_SQL = f"""
+WITH iw AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+grams AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS g FROM iw WHERE len(w) > 0),
+dw AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+wins AS (SELECT doc_id, size, x.i AS i, x.g AS g FROM (SELECT doc_id, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: {{'i': i, 'g': array_to_string(w[i:i + size - 1], ' ')}})) AS x
+  FROM dw, (SELECT DISTINCT size FROM grams) WHERE len(w) >= size)),
+hits AS (SELECT doc_id, i, h.size AS size, item_id FROM wins h JOIN grams g ON g.size = h.size AND g.g = h.g),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""

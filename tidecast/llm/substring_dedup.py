@@ -168,3 +168,17 @@ def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract rows of op10 over the whole ``documents`` table."""
     found = remove_repeated_words(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id"])
     return found.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same from every window's text: a word is covered if a repeated window starts at most 49 words
+#: before it.
+ORACLE_SQL = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+u AS (SELECT doc_id, x.j AS j, x.word AS word, x.h AS h FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) + 1), lambda j:
+    {'j': j, 'word': w[j], 'h': CASE WHEN j + 49 <= len(w) THEN hash(array_to_string(w[j:j + 49], ' ')) END})) AS x FROM w)),
+f AS (SELECT h, min(doc_id) AS low FROM u WHERE h IS NOT NULL GROUP BY h),
+m AS (SELECT u.doc_id, j, word, coalesce(max(CASE WHEN low < u.doc_id THEN j END) OVER (PARTITION BY u.doc_id ORDER BY j) >= j - 49, false) AS gone FROM u LEFT JOIN f ON f.h = u.h),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

@@ -211,3 +211,19 @@ def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract rows of op4 over the whole ``documents`` table."""
     found = remove_repeated_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id"])
     return found.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same from every string of 50 bytes, written in hexadecimal: a byte is covered if a repeated
+#: string starts at most 49 bytes before it.
+ORACLE_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+u AS (SELECT doc_id, x.j AS j, x.byte AS byte, x.h AS h FROM (SELECT doc_id, unnest(list_transform(range(1, n + 1), lambda j:
+    {'j': j, 'byte': substr(hx, 2 * j - 1, 2), 'h': CASE WHEN j + 49 <= n THEN hash(substr(hx, 2 * j - 1, 100)) END})) AS x FROM b)),
+f AS (SELECT h, min(doc_id) AS low FROM u WHERE h IS NOT NULL GROUP BY h),
+m AS (SELECT u.doc_id, j, byte, coalesce(max(CASE WHEN low < u.doc_id THEN j END) OVER (PARTITION BY u.doc_id ORDER BY j) >= j - 49, false) AS gone FROM u LEFT JOIN f ON f.h = u.h),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY j), false) AS begins FROM m),
+k AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(byte, '' ORDER BY j) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
