@@ -217,8 +217,9 @@ def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
 #: string starts at most 49 bytes before it.
 ORACLE_SQL = """
 WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-u AS (SELECT doc_id, x.j AS j, x.byte AS byte, x.h AS h FROM (SELECT doc_id, unnest(list_transform(range(1, n + 1), lambda j:
-    {'j': j, 'byte': substr(hx, 2 * j - 1, 2), 'h': CASE WHEN j + 49 <= n THEN hash(substr(hx, 2 * j - 1, 100)) END})) AS x FROM b)),
+c AS (SELECT doc_id, n, k, substr(hx, 512 * k + 1, 512 + 98) AS part FROM (SELECT doc_id, n, hx, unnest(range(0, (n + 255) // 256)) AS k FROM b)),
+u AS (SELECT doc_id, x.j AS j, x.byte AS byte, x.h AS h FROM (SELECT doc_id, unnest(list_transform(range(1, least(256, n - 256 * k) + 1), lambda i:
+    {'j': 256 * k + i, 'byte': substr(part, 2 * i - 1, 2), 'h': CASE WHEN 256 * k + i + 49 <= n THEN hash(substr(part, 2 * i - 1, 100)) END})) AS x FROM c)),
 f AS (SELECT h, min(doc_id) AS low FROM u WHERE h IS NOT NULL GROUP BY h),
 m AS (SELECT u.doc_id, j, byte, coalesce(max(CASE WHEN low < u.doc_id THEN j END) OVER (PARTITION BY u.doc_id ORDER BY j) >= j - 49, false) AS gone FROM u LEFT JOIN f ON f.h = u.h),
 e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY j), false) AS begins FROM m),
