@@ -199,6 +199,24 @@ def test_near_duplicates_linked_nodes_stay_partners(spark):
     assert len(classes) == 12 and sorted(map(sorted, got.values())) == sorted(map(sorted, classes.values()))
 
 
+def test_near_duplicates_compare_a_template_group_once(spark, monkeypatch):
+    """One bucket of different texts around a template: two leaders a node, then only the pairs that
+    rare shingles allow."""
+    rnd, n = random.Random(34), 60
+    template = babble(rnd, 174, 10**6)
+    docs = spark.createDataFrame([(i, f"{template} {babble(rnd, 30, 10**6)}") for i in range(n)], "doc_id long, text string")
+    source, counts, compare = neardup._source(docs, "doc_id", "text"), [], neardup._compare
+
+    def counted(pairs, text, least):
+        counts.append(pairs.count())
+        return compare(pairs, text, least)
+
+    monkeypatch.setattr(neardup, "_compare", counted)
+    nodes = neardup.sketches(source).select("node", F.array(F.lit(1).cast("long")).alias("keys"))
+    assert neardup.links(source, nodes).count() == 0
+    assert sum(counts) <= 2 * n
+
+
 def test_prefix_candidates_hold_all_similar_pairs(spark):
     rnd = random.Random(32)
     rows = [(i, t) for i, t in planted_copies() if len(words(t)) > 4][:200]
@@ -210,6 +228,18 @@ def test_prefix_candidates_hold_all_similar_pairs(spark):
             assert a >= b or (a, b) in got or neardup.aligned(seq[a], seq[b]) < 0.8
 
 
+def test_parity_bits_differ_at_most_in_the_shingles_that_differ():
+    rnd = np.random.default_rng(35)
+    sets = [rnd.choice(5000, size=rnd.integers(0, 900), replace=False).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(40)]
+    bits = neardup.parity(np.concatenate(sets), np.cumsum([0, *map(len, sets)])).view(np.uint64)
+    assert bits.shape == (40, neardup.PARITY // 64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert np.bitwise_count(bits[i] ^ bits[j]).sum() <= len(np.setxor1d(a, b))
+    few = neardup.parity(np.arange(3, dtype=np.uint64), np.array([0, 2, 2, 3])).view(np.uint64)
+    assert [int(np.bitwise_count(x).sum()) for x in few] == [2, 0, 1]
+
+
 def test_near_duplicates_null_ids_and_empty(spark, tmp_path):
     rows = [(None, "a b c d e f g"), (5, "a b c d e f g"), (6, "h i j k l m n"), (6, "o p q r s t u"), (7, None), (7, None)]
     d = documents(spark, rows, tmp_path / "a")

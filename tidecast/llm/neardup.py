@@ -15,10 +15,10 @@ connected components of the links.
 Texts with equal words are one node of that graph, so copies cost one row each.  In a bucket
 every node is compared with two leaders, the smallest and the largest node by a hash of bucket
 and node, unless they are in one component already; then the leaders leave.  While a bucket has
-several components its nodes stay, linked or not, for ``ROUNDS`` further rounds with other
-leaders.  What is left then (different texts around one template) is joined by its rarest
-shingles, an exact prefix filter (``candidates``), and compared with all it can be similar to.
-So the classes are those of all pairs that share a bucket.
+several components its nodes stay, linked or not (different texts around one template).  They are
+joined by their rarest shingles, an exact prefix filter (``candidates``), and compared with all
+they can be similar to: further leaders would compare every node twice more in each bucket and link
+few.  So the classes are those of all pairs that share a bucket.
 
 Defined results: a document without words (null, empty, signs only) is a class of its own
 doc_id; repeated rows and copies are one class; a class id is its smallest doc_id (null ids count
@@ -40,10 +40,11 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity J meets in one sketch with about J^MINIMA: at 0.8 all 16 miss it with
 #: a probability below 1e-7.
 SKETCHES, MINIMA = 16, 2
-ROUNDS = 2
 #: Groups of shingles whose numbers order them from rare to common; few groups order them less
 #: well, which costs candidates and no links.
 SLOTS = 1 << 18
+#: Parity bits of a text's labelled shingles: two texts differ in at least as many shingles as in bits.
+PARITY = 512
 
 _SLACK = 1e-6   # against rounding, in shingles
 _LOW = np.uint64((1 << 32) - 1)
@@ -264,9 +265,19 @@ def _commonness(text: DataFrame) -> np.ndarray:
     return count
 
 
+def parity(names: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(rows, PARITY / 64) words: bit k tells whether an odd number of the row's labelled shingles
+    fall on k."""
+    rows = len(bounds) - 1
+    row = np.repeat(np.arange(rows), np.diff(bounds))
+    odd = np.bincount(row * PARITY + (S.mix(names) % np.uint64(PARITY)).astype(np.int64), minlength=rows * PARITY) & 1
+    return np.packbits(odd.astype(bool).reshape(rows, PARITY), axis=1, bitorder="little").view(np.int64)
+
+
 def _prefixes(text: DataFrame, least: float) -> DataFrame:
-    """(shingle, node, root, n, at, early): the rarest labelled shingles of each text (node, text,
-    root), ``at`` their place in the order from rare to common and n the size of the text."""
+    """(shingle, node, root, n, at, early, bits): the rarest labelled shingles of each text (node,
+    text, root), ``at`` their place in the order from rare to common, n the size of the text and
+    bits its ``parity``."""
     count = _commonness(text)
 
     def run(batches):
@@ -274,16 +285,18 @@ def _prefixes(text: DataFrame, least: float) -> DataFrame:
             for i, j, off, data in S.chunks(b.column(1)):
                 h, bounds = shingles(Words(off, data))
                 names = labelled(h, bounds)
+                bits = parity(names, bounds)
                 row = np.repeat(np.arange(j - i), np.diff(bounds))
                 names = names[np.lexsort((names, count[(names % np.uint64(SLOTS)).astype(np.int64)], row))]
                 at, n = np.arange(len(row)) - bounds[row], np.diff(bounds)[row]
                 some = np.flatnonzero(at <= n - np.ceil(least * n - _SLACK))
                 early = at <= n - np.ceil(2 * least / (1 + least) * n - _SLACK)
                 of = [take(b.column(c).slice(i, j - i), pa.array(row[some])) for c in (0, 2)]
-                yield pa.RecordBatch.from_arrays([pa.array(S.signed(names[some])), *of, pa.array(n[some]), pa.array(at[some]), pa.array(early[some])],
-                                                 names=["shingle", "node", "root", "n", "at", "early"])
+                yield pa.RecordBatch.from_arrays([pa.array(S.signed(names[some])), *of, pa.array(n[some]), pa.array(at[some]), pa.array(early[some]),
+                                                  pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits[row[some]].reshape(-1)))],
+                                                 names=["shingle", "node", "root", "n", "at", "early", "bits"])
 
-    return text.select("node", "text", "root").mapInArrow(run, "shingle long, node long, root long, n long, at long, early boolean")
+    return text.select("node", "text", "root").mapInArrow(run, "shingle long, node long, root long, n long, at long, early boolean, bits array<long>")
 
 
 def candidates(text: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -293,57 +306,48 @@ def candidates(text: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Texts of n <= m shingles share at least least / (1 + least) * (n + m) of them.  In one order of
     all shingles the first they share is then among the first of the shorter text (``early``) and
     of the longer, with as many behind it in both.  The order is from rare to common, so that a
-    passage of very many texts is in few of these prefixes."""
+    passage of very many texts is in few of these prefixes.  The shingles that only one of them
+    has, (1 - least) / (1 + least) * (n + m) at most, are at least as many as the differing bits of
+    ``parity``, which rejects most texts that share a rare shingle and are not similar."""
     if "root" not in text.columns:
         text = text.withColumn("root", F.col("node"))
     p = S.table(_prefixes(text, least), "prefixes")
-    x, y = (p.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "at", "early")]) for k in "xy")
+    x, y = (p.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "at", "early", "bits")]) for k in "xy")
     left = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    differ = sum((F.bit_count(F.col("bits_x")[i].bitwiseXOR(F.col("bits_y")[i])) for i in range(PARITY // 64)), F.lit(0))
     met = x.filter("early_x").join(y, (x["shingle"] == y["shingle"]) & (x["root_x"] != y["root_y"]) & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("node_x") < F.col("node_y"))))
-                                   & (left >= least / (1 + least) * (F.col("n_x") + F.col("n_y")) - _SLACK))
+                                   & (left >= least / (1 + least) * (F.col("n_x") + F.col("n_y")) - _SLACK)
+                                   & (differ <= (1 - least) / (1 + least) * (F.col("n_x") + F.col("n_y")) + _SLACK))
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
 def links(src: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between different nodes; ``nodes`` has node and keys."""
-    members = nodes.select("node", F.explode("keys").alias("key"), F.col("node").alias("root"))
-    text = found = tried = None
-    for turn in range(ROUNDS + 1):
-        # other leaders in every round and bucket
-        rank = F.xxhash64(F.lit(turn), F.col("key"), F.col("node"))
-        ranked = members.select("key", F.struct(rank.alias("r"), F.col("node").alias("n"), F.col("root").alias("c")).alias("x"))
-        lead = (ranked.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo.n != hi.n")
-                .select("key", *[F.col(f"{x}.{f}").alias(f"{x}{g}") for x in ("lo", "hi") for f, g in (("n", ""), ("c", "_root"))]))
-        met = members.join(lead, "key")
-        if turn:
-            met = S.table(met, "buckets")
-        pairs = (met.select("node", "root", F.explode(F.array(F.struct(F.col("lo").alias("n"), F.col("lo_root").alias("c")), F.struct(F.col("hi").alias("n"), F.col("hi_root").alias("c")))).alias("x"))
-                 .filter("x.c != root").select(F.least("x.n", "node").alias("a"), F.greatest("x.n", "node").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = S.table(pairs, "pairs")
-        if text is None:
-            if not pairs.limit(1).count():
-                return pairs
-            # one text per node, for the nodes of some pair; later rounds have no other nodes
-            wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
-        good = _compare(pairs, text, least)
-        found = S.table(good if found is None else good.unionByName(found), "verified")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        # a leader has met its whole bucket; of the others all stay, linked or not, while the bucket
-        # has several components
-        rest = (met.filter("node != lo AND node != hi").select("node", "key").join(components(found), "node", "left")
-                .select("node", "key", F.coalesce("root", "node").alias("root")))
-        rest = S.table(rest, "rest")
-        several = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-        members = S.table(rest.join(several, "key"), "rest")
-        if not members.limit(1).count():
-            return found
+    members = nodes.select("node", F.explode("keys").alias("key"))
+    # other leaders in every bucket
+    ranked = members.select("key", F.struct(F.xxhash64("key", "node").alias("r"), F.col("node").alias("n")).alias("x"))
+    lead = ranked.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo.n != hi.n").select("key", F.col("lo.n").alias("lo"), F.col("hi.n").alias("hi"))
+    met = S.table(members.join(lead, "key"), "buckets")
+    pairs = (met.select("node", F.explode(F.array("lo", "hi")).alias("x")).filter("x != node")
+             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+    tried = S.table(pairs, "pairs")
+    if not tried.limit(1).count():
+        return tried
+    # one text per node, for the nodes of some pair; the later pairs have no other nodes
+    wanted = tried.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    text = S.table(_texts(src).join(wanted.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    found = S.table(_compare(tried, text, least), "verified")
+    # a leader has met its whole bucket; of the others all stay, linked or not, while the bucket
+    # has several components
+    rest = (met.filter("node != lo AND node != hi").select("node", "key").join(components(found), "node", "left")
+            .select("node", "key", F.coalesce("root", "node").alias("root")))
+    rest = S.table(rest, "rest")
+    several = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
+    left = S.table(rest.join(several, "key").select("node", "root").distinct(), "left")
+    if not left.limit(1).count():
+        return found
     # whoever shares a bucket with another component still is compared with all it can be similar to
-    left = S.table(members.select("node", "root").distinct(), "left")
-    pairs = candidates(text.join(left.hint("merge"), "node"), least).join(tried, ["a", "b"], "left_anti")
-    pairs = S.table(pairs, "pairs")
+    pairs = S.table(candidates(text.join(left.hint("merge"), "node"), least).join(tried, ["a", "b"], "left_anti"), "pairs")
     return S.table(_compare(pairs, text, least).unionByName(found), "verified")
 
 
