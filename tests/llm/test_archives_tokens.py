@@ -194,6 +194,26 @@ def test_pieces_equal_the_library():
         assert decoder(ids).decode() == sp.decode(ids) == t.replace("▁", " ")
 
 
+def test_parts_between_spaces_hold_the_words_of_the_text(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_PARTS", 7)
+    m = pieces.Pieces(PIECES)
+    pattern, decoder = pieces.word_pattern(m.signs), pieces.Decoder(m)
+    merger = pieces.Merger(m.ids, {p: m.scores[i] for p, i in m.ids.items()}, m.bytes, m.unknown)
+    encoder = pieces.Encoder(("parts", m, [], np.zeros(0, np.uint32), np.zeros(0, np.int64)))
+    some = [*texts(8, 2000), "a b. c", "a \n b", " a", "a ", "a  b", "a▁ b", "\n", " "]
+    rnd = random.Random(9)
+    some += [" ".join(rnd.choice([x for x in BITS if x not in " ▁"]) + rnd.choice(["", ".", "\n", "a"]) for _ in range(9)) for _ in range(300)]
+    coded, whole = [encoder(t) for t in some], 0
+    for t, ids in zip(some, coded, strict=True):
+        words = pattern.findall(pieces.normalised(t))
+        assert np.frombuffer(ids, "<u4").tolist() == [i for w in words for i in merger(w)], t
+        if (cut := pieces.parts(t)) is not None:
+            whole += 1
+            assert [w for x in cut for w in pattern.findall(pieces.SPACE + x)] == words, t
+    assert whole > 300
+    assert decoder.texts(coded) == [decoder(np.frombuffer(x, "<u4").tolist()) for x in coded] and decoder.texts([b"", b""]) == [b"", b""]
+
+
 def test_encode_and_decode_in_spark(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rows = [(i, t if i % 13 else None, "keep", "x") for i, t in enumerate(texts(9, 200))] + [(None, "the same the same", "k", "x")] * 2 + [(999, "z" * 30_000, "k", "x")]

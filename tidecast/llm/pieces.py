@@ -24,7 +24,9 @@ rows; other columns are kept (``encode``).
 from __future__ import annotations
 
 import heapq
+import math
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -38,8 +40,9 @@ SPACE = "▁"
 TABLE_WORDS, WORD_CHARS = 300_000, 32
 #: The piece table is broadcast up to this many pieces, beyond it the join shuffles.
 BROADCAST_PIECES = 1_000_000
-#: Distinct words that a task counts before it hands them on; ids a worker remembers.
-COUNT_WORDS, CACHE_WORDS = 150_000, 100_000
+#: Distinct parts between spaces that a task counts before it hands on their words; words and parts
+#: whose ids a worker remembers.
+COUNT_PARTS, CACHE_WORDS, CACHE_PARTS = 150_000, 50_000, 100_000
 
 
 class Pieces:
@@ -80,6 +83,14 @@ def normalised(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+def parts(text: str) -> list[str] | None:
+    """The parts of a text between its single spaces: the words of ``normalised(text)`` are those of
+    each part with ``SPACE`` before it.  None where a word's run of ``SPACE`` may be longer."""
+    if not text:
+        return []
+    return None if text[0] == " " or "  " in text or SPACE in text else text.split(" ")
+
+
 # ---------------------------------------------------------------- lattice and folds in Spark
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int, broadcast_pieces: int = BROADCAST_PIECES) -> DataFrame:
@@ -126,16 +137,25 @@ def count_words(docs: DataFrame, text: str, pattern: re.Pattern) -> DataFrame:
     """(word, n): the distinct words of all texts; each task counts its own first."""
 
     def run(batches):
-        seen: Counter = Counter()
+        seen, words = Counter(), Counter()
         for b in batches:
             for t in b.column(0):
-                seen.update(pattern.findall(normalised(t.as_py() or "")))
-                if len(seen) >= COUNT_WORDS:
-                    yield from out(seen)
-                    seen = Counter()
-        yield from out(seen)
-
-    def out(seen):
+                t = t.as_py() or ""
+                if (cut := parts(t)) is None:
+                    words.update(pattern.findall(normalised(t)))
+                else:
+                    seen.update(cut)
+                if len(seen) + len(words) >= COUNT_PARTS:
+                    yield from out(seen, words)
+                    seen, words = Counter(), Counter()
+        yield from out(seen, words)
+
+    def out(cut, seen):
+        # a part is cut into its words once, however often it was met
+        while cut:
+            part, n = cut.popitem()
+            for w in pattern.findall(SPACE + part):
+                seen[w] += n
         # long texts without a break can be long words: bounded batches
         rows, size = [], 0
         for w, n in seen.items():
@@ -198,21 +218,17 @@ class Merger:
         return out
 
     def short(self, parts: list[str]) -> list[str]:
-        get = self.scores.get
-        scores = [get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            best, at = None, -1
-            for i, s in enumerate(scores):
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                return parts
+        get, none = self.scores.get, -math.inf
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > none:
+            at = scores.index(best)     # the leftmost of equals
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
             del scores[at]
             if at < len(scores):
-                scores[at] = get(parts[at] + parts[at + 1])
+                scores[at] = get(parts[at] + parts[at + 1], none)
             if at:
-                scores[at - 1] = get(parts[at - 1] + parts[at])
+                scores[at - 1] = get(parts[at - 1] + parts[at], none)
+        return parts
 
     def long(self, word: str) -> list[str]:
         """The same with a heap, for words of any length."""
@@ -258,22 +274,38 @@ class Encoder:
             raw, bounds = ids.tobytes(), (4 * ends).tolist()
             table = {w: raw[a:b] for w, a, b in zip(words, [0, *bounds], bounds, strict=False)}
             merger = Merger(model.ids, {p: model.scores[i] for p, i in model.ids.items()}, model.bytes, model.unknown)
-            _STATE[key] = (table, merger, word_pattern(model.signs), {})
-        self.table, self.merger, self.pattern, self.cache = _STATE[key]
+            _STATE[key] = (table, merger, word_pattern(model.signs), {}, {})
+        self.table, self.merger, self.pattern, self.cache, self.known = _STATE[key]
 
     def _rest(self, word: str) -> bytes:
         got = self.cache.get(word)
         if got is None:
-            got = np.array(self.merger(word), "<u4").tobytes()
+            ids = self.merger(word)
+            got = struct.pack(f"<{len(ids)}I", *ids)
             if len(word) <= WORD_CHARS:
                 if len(self.cache) >= CACHE_WORDS:
                     self.cache.clear()
                 self.cache[word] = got
         return got
 
-    def __call__(self, text: str) -> bytes:
+    def _words(self, normal: str) -> bytes:
         get, rest = self.table.get, self._rest
-        return b"".join([get(w) or rest(w) for w in self.pattern.findall(normalised(text))])
+        return b"".join([get(w) or rest(w) for w in self.pattern.findall(normal)])
+
+    def _part(self, part: str) -> bytes:
+        """Of a part met for the first time."""
+        got = self._words(SPACE + part)
+        if len(part) <= WORD_CHARS:
+            if len(self.known) >= CACHE_PARTS:
+                self.known.clear()
+            self.known[part] = got
+        return got
+
+    def __call__(self, text: str) -> bytes:
+        if (cut := parts(text)) is None:
+            return self._words(normalised(text))
+        get, new = self.known.get, self._part
+        return b"".join([get(x) or new(x) for x in cut])
 
 
 class Decoder:
@@ -283,6 +315,14 @@ class Decoder:
             self.parts[i] = bytes([value])
         for i in model.control:
             self.parts[i] = b""
+        self.table = pa.array(self.parts, pa.binary())
+
+    def texts(self, ids: list[bytes]) -> list[bytes]:
+        """What the ids (little-endian u32) of several texts stand for, in one look-up."""
+        got = self.table.take(pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        bounds = np.frombuffer(got.buffers()[1], np.int32)[np.cumsum([0, *(len(x) // 4 for x in ids)])].tolist() if len(got) else [0] * (len(ids) + 1)
+        raw = memoryview(got.buffers()[2] or b"")
+        return [bytes(raw[a + (raw[a:a + 1] == b" "):b]) if a < b else b"" for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def __call__(self, ids) -> bytes:
         raw = b"".join(map(self.parts.__getitem__, ids))
@@ -353,12 +393,15 @@ def digests(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str
     def run(batches):
         encoder, decoder = Encoder(shared.value), Decoder(shared.value[1])
         for b in batches:
-            out = []
-            for t in b.column(1):
-                t = t.as_py() or ""
-                ids = encoder(t)
-                back = decoder(np.frombuffer(ids, "<u4").tolist())
-                out.append((len(ids) // 4, zlib.crc32(ids), zlib.crc32(back), back == t.encode()))
+            out, i = [], 0
+            while i < b.num_rows:
+                texts, size = [], 0
+                while i < b.num_rows and size < S.CHUNK_BYTES:
+                    texts.append(b.column(1)[i].as_py() or "")
+                    size += len(texts[-1]) + 1
+                    i += 1
+                ids = [encoder(t) for t in texts]
+                out += [(len(x) // 4, zlib.crc32(x), zlib.crc32(back), back == t.encode()) for t, x, back in zip(texts, ids, decoder.texts(ids), strict=True)]
             n, crc, decoded, same = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(decoded, pa.int64()), pa.array(same, pa.bool_())],
                                              names=["doc_id", "n_tokens", "ids_crc32", "decoded_crc32", "round_trip"])
