@@ -126,6 +126,28 @@ def test_word_memory_is_bounded(monkeypatch):
         assert len(young) <= 20 and len(old) <= 20
 
 
+def test_words_learnt_together_encode_as_each_alone(monkeypatch):
+    """New words reach the library as one text with a special token between them."""
+    with open(BPE) as f:
+        model = f.read() + "\n"
+    tok, calls = Tokenizer.from_str(model), []
+    sign, number = token_store._separator(tok, model)
+    assert number == tok.token_to_id(sign)
+    encode = token_store.word_ids(model)
+    library, *rest = token_store._TOKENIZERS[hash(model)]
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setitem(token_store._TOKENIZERS, hash(model), (Counted(), *rest))
+    words = sorted({w for t in texts(6, 2000) for w in t.lower().split() if "<|" not in w})
+    got = token_store.word_ids(model)([" ".join(words).encode()])[0]
+    assert np.frombuffer(got, "<u4").tolist() == [i for w in words for i in tok.encode(w, add_special_tokens=False).ids]
+    assert set(calls) == {1} and len(calls) < len(words) / 100 + 1 and encode([b""]) == [b""]
+
+
 def token_rows(rows):
     tok, at = Tokenizer.from_file(BPE), 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):

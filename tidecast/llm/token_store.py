@@ -131,6 +131,7 @@ class Dac:
 # ---------------------------------------------------------------- encoding texts
 
 _TOKENIZERS: dict[int, tuple] = {}
+_SEPARATORS: dict[int, tuple[str, int] | None] = {}
 
 
 #: A sign after a letter is a token boundary of its own; the apostrophe may start a suffix.
@@ -151,11 +152,24 @@ def word_ids(tokenizer_json: str):
         tok = Tokenizer.from_str(tokenizer_json)
         special = [x["content"].lower().encode() for x in json.loads(tokenizer_json).get("added_tokens", ())]
         _TOKENIZERS[key] = (tok, special, {}, {})
-    tok, special, young, old = _TOKENIZERS[key]
+        _SEPARATORS[key] = _separator(tok, tokenizer_json)
+    (tok, special, young, old), between = _TOKENIZERS[key], _SEPARATORS[key]
 
     def library(texts: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
+    def one_by_one(words: list[bytes]) -> list[bytes]:
+        """The ids of each word, from one text of all words with a special token between them."""
+        if between is None:
+            return library(words)
+        sign, number = between
+        ids = np.array(tok.encode_batch_fast([sign.join([w.decode() for w in words])], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == number)
+        if len(cuts) != len(words) - 1:
+            return library(words)
+        raw = ids.tobytes()
+        return [raw[x:y] for x, y in zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(raw)], strict=True)]
+
     def known(words) -> list[bytes]:
         """Those of ``words`` that the caches lack; what the old one has moves to the young one."""
         lack = []
@@ -167,30 +181,49 @@ def word_ids(tokenizer_json: str):
         return lack
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        parts = []
+        got, holes, new = [], [], set()
         for t in texts:
             low = t.lower()
-            parts.append(None if any(x in low for x in special) else low.split())
-        seen = set().union(*(p for p in parts if p is not None))
-        new = seen.difference(young)
+            if any(x in low for x in special):
+                got.append(library([t]))
+                continue
+            words = low.split()
+            ids, at = list(map(young.get, words)), -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                holes.append((ids, at, words[at]))
+                new.add(words[at])
+            got.append(ids)
         if len(young) + len(new) > CACHE_WORDS // 2:
             old.clear()
             old.update(young)
             young.clear()
-            new = seen
         # only words met for the first time are cut at their signs; their parts are mostly known
         cut = {w: _SIGN_AFTER_LETTER.sub(b" ", w).split() for w in known(new)}
         learn = known({x for xs in cut.values() for x in xs}.difference(young))
-        for i in range(0, len(learn), 20_000):
-            young.update(zip(learn[i:i + 20_000], library(learn[i:i + 20_000]), strict=True))
+        for i in range(0, len(learn), 1_000):
+            young.update(zip(learn[i:i + 1_000], one_by_one(learn[i:i + 1_000]), strict=True))
         for w, xs in cut.items():
             if len(xs) > 1:
                 young[w] = b"".join(map(young.__getitem__, xs))
-        return [library([t])[0] if p is None else b"".join(map(young.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
+        for ids, at, w in holes:
+            ids[at] = young[w]
+        return list(map(b"".join, got))
 
     return encode
 
 
+def _separator(tok, tokenizer_json: str) -> tuple[str, int] | None:
+    """(text, id) of a special token that keeps what stands before and behind it apart, as far as a
+    probe shows."""
+    ids = lambda t: tok.encode(t, add_special_tokens=False).ids
+    for x in json.loads(tokenizer_json).get("added_tokens", ()):
+        sign, number = x["content"], x["id"]
+        if x.get("special") and not x.get("normalized") and all(ids(f"{a}{sign}{b}") == [*ids(a), number, *ids(b)] for a in ("ab", "é.", "--", "1", "\u0301", "<") for b in ("cd", "'s", "-", "1", "\u0301", ">")):
+            return sign, number
+    return None
+
+
 def splits_words(tokenizer_json: str) -> bool:
     """Whether texts may be encoded part by part, as far as a probe shows."""
     from tokenizers import Tokenizer
@@ -295,13 +328,20 @@ def token_digests(index: DataFrame, folder: str) -> DataFrame:
         held, dac = None, None
         for b in batches:
             doc, start, n, shard, at = (c.to_pylist() for c in b.columns)
-            crc = []
-            for s, a, m in zip(shard, at, n, strict=True):
-                if s != held:
-                    with f.open_input_file(f"{base}/shard-{s:06d}.dac") as source:
+            crc, i = [], 0
+            while i < len(shard):
+                if shard[i] != held:
+                    with f.open_input_file(f"{base}/shard-{shard[i]:06d}.dac") as source:
                         dac = Dac(source.read())
-                    held = s
-                crc.append(zlib.crc32(dac.run(a, a + m).astype("<u4").tobytes()))
+                    held = shard[i]
+                # documents that follow each other in the file are read as one run
+                first, end, j = at[i], at[i], i
+                while j < len(shard) and shard[j] == held and at[j] == end and (j == i or 4 * (end - first) < S.CHUNK_BYTES):
+                    end += n[j]
+                    j += 1
+                ids = dac.run(first, end).astype("<u4")
+                crc += [zlib.crc32(ids[a - first:a - first + m]) for a, m in zip(at[i:j], n[i:j], strict=True)]
+                i = j
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return starts(index).select("doc_id", "start", "n_tokens", "shard", "at").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
