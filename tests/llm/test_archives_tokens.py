@@ -297,3 +297,24 @@ def test_viterbi_equals_brute_force(spark):
             assert ids is None
         else:
             assert "".join(names[i] for i in ids) == w and abs(sum(table[names[i]] for i in ids) - want[0]) < 1e-9
+
+
+def test_plain_words_are_encoded_by_the_model():
+    with open(BPE, encoding="utf-8") as f:
+        model = f.read()
+    tok, rnd, held = Tokenizer.from_str(model), random.Random(31), token_store._PLAIN_LETTERS
+    cut, signs, number = token_store._byte_model(tok)
+    words = ["".join(rnd.choice(held) for _ in range(rnd.randrange(1, 15))) for _ in range(300)]
+    assert [b"".join(number[t.id] for t in cut(w.encode().decode("latin-1").translate(signs))) for w in words] == [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(words, add_special_tokens=False)]
+    assert all(token_store._PLAIN.fullmatch(w.encode()) for w in words) and not any(token_store._PLAIN.fullmatch(w.encode()) for w in ("é.", "É", "a÷", "A", "1", "ā"))
+    # a library that changes plain letters before its model sees them is asked for every word
+    odd = Tokenizer.from_str(model.replace('"type":"NFC"', '"type":"NFD"').replace('"type": "NFC"', '"type": "NFD"'))
+    assert odd.encode("é", add_special_tokens=False).ids != tok.encode("é", add_special_tokens=False).ids and token_store._byte_model(odd) is None
+
+
+def test_a_call_of_the_encoder_looks_a_word_up_once():
+    with open(BPE, encoding="utf-8") as f:
+        model = f.read()
+    tok, encode = Tokenizer.from_str(model), token_store.word_ids(model)
+    many = ["  the\tzoo \n", "", "the zoo. the, <|endoftext|> zoo", " ", "zoo\x0bzöo.a ÉA.b", "the zoo.."] * 3
+    assert encode([t.encode() for t in many]) == [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(many, add_special_tokens=False)]

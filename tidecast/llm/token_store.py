@@ -27,6 +27,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import _shared as S
@@ -132,10 +133,14 @@ class Dac:
 
 _TOKENIZERS: dict[int, tuple] = {}
 _SEPARATORS: dict[int, tuple[str, int] | None] = {}
+_MODELS: dict[int, tuple | None] = {}
 
 
 #: A sign after a letter is a token boundary of its own; the apostrophe may start a suffix.
-_SIGN_AFTER_LETTER = re.compile(rb"(?<=[A-Za-z])(?=[.,!?;:|%$&*#])")
+_SIGN_AFTER_LETTER = re.compile(rb"[.,!?;:|%$&*#](?<=[A-Za-z].)")
+#: Lower-case letters of ASCII and Latin-1: normalising and cutting leave a run of them as it is.
+_PLAIN_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 def word_ids(tokenizer_json: str):
@@ -143,7 +148,8 @@ def word_ids(tokenizer_json: str):
 
     Only for tokenizers for which ``splits_words`` holds: they lower-case, drop white space and
     never join over it, nor a letter and a following sign.  The parts between are encoded by the
-    library each on its own, and a worker remembers those it met last (``CACHE_WORDS`` at most).
+    library each on its own (plain letters by its model alone, ``_byte_model``), and a worker
+    remembers those it met last (``CACHE_WORDS`` at most).
     Texts in which a special token may be written are encoded whole."""
     key = hash(tokenizer_json)
     if key not in _TOKENIZERS:
@@ -153,13 +159,31 @@ def word_ids(tokenizer_json: str):
         special = [x["content"].lower().encode() for x in json.loads(tokenizer_json).get("added_tokens", ())]
         _TOKENIZERS[key] = (tok, special, {}, {})
         _SEPARATORS[key] = _separator(tok, tokenizer_json)
-    (tok, special, young, old), between = _TOKENIZERS[key], _SEPARATORS[key]
+        _MODELS[key] = _byte_model(tok)
+    (tok, special, young, old), between, model = _TOKENIZERS[key], _SEPARATORS[key], _MODELS[key]
 
     def library(texts: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def one_by_one(words: list[bytes]) -> list[bytes]:
-        """The ids of each word, from one text of all words with a special token between them."""
+        """The ids of each word, from the model itself where it is plain letters; of the others from
+        one text with a special token between them."""
+        if model is None:
+            return joined(words)
+        cut, signs, number = model
+        plain, out, rest = _PLAIN.fullmatch, [], []
+        for w in words:
+            if plain(w):
+                out.append(b"".join([number[t.id] for t in cut(w.decode("latin-1").translate(signs))]))
+            else:
+                out.append(None)
+                rest.append(w)
+        if rest:
+            ids = iter(joined(rest))
+            out = [next(ids) if x is None else x for x in out]
+        return out
+
+    def joined(words: list[bytes]) -> list[bytes]:
         if between is None:
             return library(words)
         sign, number = between
@@ -180,35 +204,40 @@ def word_ids(tokenizer_json: str):
                 young[w] = ids
         return lack
 
-    def encode(texts: list[bytes]) -> list[bytes]:
-        got, holes, new = [], [], set()
-        for t in texts:
-            low = t.lower()
-            if any(x in low for x in special):
-                got.append(library([t]))
-                continue
-            words = low.split()
-            ids, at = list(map(young.get, words)), -1
-            for _ in range(ids.count(None)):
-                at = ids.index(None, at + 1)
-                holes.append((ids, at, words[at]))
-                new.add(words[at])
-            got.append(ids)
+    def learnt(words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        ids = list(map(young.get, words))
+        new = [w for w, x in zip(words, ids, strict=True) if x is None]
+        if not new:
+            return ids
         if len(young) + len(new) > CACHE_WORDS // 2:
             old.clear()
             old.update(young)
             young.clear()
         # only words met for the first time are cut at their signs; their parts are mostly known
-        cut = {w: _SIGN_AFTER_LETTER.sub(b" ", w).split() for w in known(new)}
-        learn = known({x for xs in cut.values() for x in xs}.difference(young))
+        lack = known(new)
+        cut = {w: x.split(b" ") for w, x in zip(lack, _SIGN_AFTER_LETTER.sub(rb" \g<0>", b"\n".join(lack)).split(b"\n"), strict=True) if len(w) != len(x)} if lack else {}
+        whole = [w for w in lack if w not in cut]
+        learn = whole + known({x for xs in cut.values() for x in xs}.difference(young, whole))
         for i in range(0, len(learn), 1_000):
             young.update(zip(learn[i:i + 1_000], one_by_one(learn[i:i + 1_000]), strict=True))
         for w, xs in cut.items():
-            if len(xs) > 1:
-                young[w] = b"".join(map(young.__getitem__, xs))
-        for ids, at, w in holes:
-            ids[at] = young[w]
-        return list(map(b"".join, got))
+            young[w] = b"".join(map(young.__getitem__, xs))
+        return [young[w] if x is None else x for w, x in zip(words, ids, strict=True)]
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        low = [t.lower() for t in texts]
+        apart = {i for i, t in enumerate(low) if any(x in t for x in special)}
+        # a word is looked up once a call; the texts' ids are taken from those of their words
+        words = pc.ascii_split_whitespace(pa.array([b"" if i in apart else t for i, t in enumerate(low)], pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(learnt(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
+        off, data = S.buffers(ids)
+        raw, bounds = data.tobytes(), off[words.offsets.to_numpy()].tolist()
+        got = [raw[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+        for i in apart:
+            got[i] = library([texts[i]])[0]
+        return got
 
     return encode
 
@@ -224,6 +253,24 @@ def _separator(tok, tokenizer_json: str) -> tuple[str, int] | None:
     return None
 
 
+def _byte_model(tok) -> tuple | None:
+    """(function from a word in the byte alphabet to its tokens, the alphabet, each id as u32 bytes)
+    for words of ``_PLAIN_LETTERS``, if a probe of each letter, pair and some triples shows that the
+    library hands such a word to its model whole and as it is."""
+    # the byte alphabet of byte-level models: printable bytes stand for themselves, the rest follow 255
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    signs = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in shown)}
+    cut, few = tok.model.tokenize, "aetß" + _PLAIN_LETTERS[-12::3]
+    probe = [*_PLAIN_LETTERS, *(a + b for a in _PLAIN_LETTERS for b in _PLAIN_LETTERS), *(a + b + c for a in few for b in few for c in few), "therefore", "größenwahn", "évènement", _PLAIN_LETTERS]
+    try:
+        got = [[t.id for t in cut(w.encode().decode("latin-1").translate(signs))] for w in probe]
+    except Exception:   # a model that does not know the alphabet
+        return None
+    if got != [e.ids for e in tok.encode_batch_fast(probe, add_special_tokens=False)]:
+        return None
+    return cut, signs, [struct.pack("<I", i) for i in range(1 + max(tok.get_vocab(True).values()))]
+
+
 def splits_words(tokenizer_json: str) -> bool:
     """Whether texts may be encoded part by part, as far as a probe shows."""
     from tokenizers import Tokenizer
