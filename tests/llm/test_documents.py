@@ -534,3 +534,20 @@ def test_queries_are_registered():
     names = set(entry.queries())
     assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "pii", "sentencepiece"]
+
+
+def test_a_round_of_the_bootstrap_joins_twice(spark, monkeypatch):
+    shape = "doc long, row long, " + pii.SCAN_SCHEMA
+    one = lambda i, value, seed, *patterns: (i, i, [], [(0, 9, value, list(patterns), seed)])
+    rows = [one(i, f"known{i}0", 1.0, "word id") for i in range(6)] + [one(10, "new10", None, "word id", "word at"), one(11, "bad11", 0.0, "word at"),
+            one(12, "known20", None, "word at"), one(13, "other9", None, "word at"), one(14, "known20", 1.0, "word at")]
+    table, joins = pii.S.table, []
+
+    def spy(df, name):
+        if name == "pii-found":
+            joins.append(df._jdf.queryExecution().analyzed().toString().count("Join "))
+        return table(df, name)
+
+    monkeypatch.setattr(pii.S, "table", spy)
+    got = {r["value"]: r["score"] for r in pii.bootstrap(spark.createDataFrame(rows, shape)).collect()}
+    assert got == {"new10": 1.0} and max(joins) <= 2

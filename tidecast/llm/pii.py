@@ -200,23 +200,24 @@ def bootstrap(scanned: DataFrame) -> DataFrame:
     edges = (scanned.select(F.explode("instances").alias("x")).select(F.explode("x.patterns").alias("pattern"), F.col("x.value").alias("value"), F.col("x.seed").alias("seed"))
              .groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
     edges = S.table(edges, "pii-edges")
-    seeds = edges.filter("seed IS NOT NULL").groupBy("value").agg(F.max("seed").alias("score"))
-    known, found, seen = seeds, None, None
+    # every edge knows its value's seed, so that no round has to look for the seeds again
+    seeds = edges.filter("seed IS NOT NULL").groupBy("value").agg(F.max("seed").alias("base"))
+    edges = S.table(edges.select("pattern", "value").join(seeds, "value", "left"), "pii-edges")
+    known, seen = None, None
     while True:
-        scored = edges.join(known, "value", "left")
-        patterns = (scored.groupBy("pattern").agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("precision"), F.sum((F.coalesce("score", F.lit(0.0)) > 0).cast("int")).alias("support"))
+        scored = edges if known is None else edges.join(known, "value", "left")
+        score = F.coalesce("base", F.lit(0.0)) if known is None else F.coalesce("base", "score", F.lit(0.0))
+        patterns = (scored.groupBy("pattern").agg(F.avg(score).alias("precision"), F.sum((score > 0).cast("int")).alias("support"))
                     .filter((F.col("precision") >= MIN_PRECISION) & (F.col("support") >= MIN_SUPPORT)).select("pattern", "precision"))
-        found = (edges.filter("seed IS NULL").join(patterns, "pattern").groupBy("value").agg(F.avg("precision").alias("score"))
-                 .filter(F.col("score") >= MIN_SCORE).join(seeds.select("value"), "value", "left_anti"))
-        found = found.select("value", "score")
-        if known is not seeds:
+        found = (edges.filter("base IS NULL").join(patterns, "pattern").groupBy("value").agg(F.avg("precision").alias("score"))
+                 .filter(F.col("score") >= MIN_SCORE))
+        if known is not None:
             # scores only rise, so the rounds come to an end
-            found = found.unionByName(known.join(seeds.select("value"), "value", "left_anti")).groupBy("value").agg(F.max("score").alias("score"))
-        found = S.table(found, "pii-found")
-        known = seeds.unionByName(found)
-        now = found.agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(18,6)"))).first()
+            found = found.unionByName(known).groupBy("value").agg(F.max("score").alias("score"))
+        known = S.table(found, "pii-found")
+        now = known.agg(F.count(F.lit(1)), F.sum(F.col("score").cast("decimal(18,6)"))).first()
         if now == seen or not now[0]:
-            return found
+            return known
         seen = now
 
 
