@@ -318,3 +318,15 @@ def test_a_call_of_the_encoder_looks_a_word_up_once():
     tok, encode = Tokenizer.from_str(model), token_store.word_ids(model)
     many = ["  the\tzoo \n", "", "the zoo. the, <|endoftext|> zoo", " ", "zoo\x0bzöo.a ÉA.b", "the zoo.."] * 3
     assert encode([t.encode() for t in many]) == [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(many, add_special_tokens=False)]
+
+
+def test_words_of_the_table_are_found_without_a_cut():
+    m, lib = pieces.Pieces(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    merger = pieces.Merger(m.ids, {p: m.scores[i] for p, i in m.ids.items()}, m.bytes, m.unknown)
+    words = ["▁und", "und", "&&&", "▁größer", "▁▁x", "▁a_b", "▁"]
+    ids = [merger(w) for w in words]
+    encoder = pieces.Encoder(("table", m, words, np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids])))
+    for t in ["und größer", "und&&& größer.und  x", "größer  x a_b", "a_b ", "▁und", "und ½² x²y", "日本 ßÿund 12und"]:
+        assert np.frombuffer(encoder(t), "<u4").tolist() == lib.encode(t)
+    encoder.pattern = None
+    assert np.frombuffer(encoder("und a_b größer neuesWort"), "<u4").tolist() == lib.encode("und a_b größer neuesWort")

@@ -24,7 +24,9 @@ rows; other columns are kept (``encode``).
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+import operator
 import re
 import struct
 import zlib
@@ -151,25 +153,27 @@ def count_words(docs: DataFrame, text: str, pattern: re.Pattern) -> DataFrame:
         yield from out(seen, words)
 
     def out(cut, seen):
-        # a part is cut into its words once, however often it was met
+        # a part is cut into its words once, however often it was met; letters alone are a word
         while cut:
             part, n = cut.popitem()
-            for w in pattern.findall(SPACE + part):
-                seen[w] += n
+            if part.isalpha():
+                seen[SPACE + part] += n
+            else:
+                for w in pattern.findall(SPACE + part):
+                    seen[w] += n
         # long texts without a break can be long words: bounded batches
-        rows, size = [], 0
-        for w, n in seen.items():
-            rows.append((w, n))
+        words, size = [], 0
+        for w in seen:
+            words.append(w)
             size += len(w)
             if size > S.CHUNK_BYTES:
-                yield batch(rows)
-                rows, size = [], 0
-        if rows:
-            yield batch(rows)
+                yield batch(words, seen)
+                words, size = [], 0
+        if words:
+            yield batch(words, seen)
 
-    def batch(rows):
-        w, n = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
+    def batch(words, seen):
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(map(seen.__getitem__, words), pa.int64())], names=["word", "n"])
 
     found = docs.select(F.col(f"`{text}`").cast("string").alias("text")).filter("text IS NOT NULL AND text != ''").mapInArrow(run, "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n"))
@@ -206,6 +210,9 @@ class Merger:
 
     def __call__(self, word: str) -> list[int]:
         parts = self.short(list(word)) if len(word) <= 64 else self.long(word)
+        out = list(map(self.ids.get, parts))
+        if None not in out:
+            return out
         out = []
         for p in parts:
             i = self.ids.get(p)
@@ -219,7 +226,7 @@ class Merger:
 
     def short(self, parts: list[str]) -> list[str]:
         get, none = self.scores.get, -math.inf
-        scores = [get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        scores = list(map(get, map(operator.add, parts, parts[1:]), itertools.repeat(none)))
         while scores and (best := max(scores)) > none:
             at = scores.index(best)     # the leftmost of equals
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
@@ -265,17 +272,24 @@ _STATE: dict[str, tuple] = {}
 
 
 class Encoder:
-    """Bytes of the ids (little-endian u32) of texts, in a task."""
+    """Bytes of the ids (little-endian u32) of texts, in a task.  A word of the table that starts with
+    ``SPACE`` is cut nowhere when it stands alone, so a part is looked up there before it is cut."""
 
     def __init__(self, shared):
         key, model, words, ids, ends = shared
         if key not in _STATE:
             _STATE.clear()
             raw, bounds = ids.tobytes(), (4 * ends).tolist()
-            table = {w: raw[a:b] for w, a, b in zip(words, [0, *bounds], bounds, strict=False)}
+            # words that start with SPACE are kept without it: a part that is one needs no cutting
+            first, table = {}, {}
+            for w, a, b in zip(words, [0, *bounds], bounds, strict=False):
+                if w[0] == SPACE:
+                    first[w[1:]] = raw[a:b]
+                else:
+                    table[w] = raw[a:b]
             merger = Merger(model.ids, {p: model.scores[i] for p, i in model.ids.items()}, model.bytes, model.unknown)
-            _STATE[key] = (table, merger, word_pattern(model.signs), {}, {})
-        self.table, self.merger, self.pattern, self.cache, self.known = _STATE[key]
+            _STATE[key] = (first, table, merger, word_pattern(model.signs), {}, {})
+        self.first, self.table, self.merger, self.pattern, self.cache, self.known = _STATE[key]
 
     def _rest(self, word: str) -> bytes:
         got = self.cache.get(word)
@@ -289,11 +303,13 @@ class Encoder:
         return got
 
     def _words(self, normal: str) -> bytes:
-        get, rest = self.table.get, self._rest
-        return b"".join([get(w) or rest(w) for w in self.pattern.findall(normal)])
+        first, get, rest = self.first.get, self.table.get, self._rest
+        return b"".join([(first(w[1:]) if w[0] == SPACE else get(w)) or rest(w) for w in self.pattern.findall(normal)])
 
     def _part(self, part: str) -> bytes:
-        """Of a part met for the first time."""
+        """Of a part that is no word of the table, met for the first time."""
+        if part.isalpha():
+            return self._rest(SPACE + part)     # remembered there
         got = self._words(SPACE + part)
         if len(part) <= WORD_CHARS:
             if len(self.known) >= CACHE_PARTS:
@@ -304,8 +320,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if (cut := parts(text)) is None:
             return self._words(normalised(text))
-        get, new = self.known.get, self._part
-        return b"".join([get(x) or new(x) for x in cut])
+        first, get, new = self.first.get, self.known.get, self._part
+        return b"".join([first(x) or get(x) or new(x) for x in cut])
 
 
 class Decoder:
