@@ -530,6 +530,21 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, d).collect() == []
 
 
+def test_a_plan_of_a_round_of_components_joins_once(spark, monkeypatch):
+    plans, table = [], neardup.S.table
+
+    def spy(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return table(df, name)
+
+    monkeypatch.setattr(neardup.S, "table", spy)
+    chain = [(i, i + 1) for i in range(12)] + [(100, i) for i in range(101, 109)]
+    got = {r["node"]: r["root"] for r in neardup.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 13)} | {i: 100 for i in range(101, 109)}
+    # six joins over sixteen scans before
+    assert max(p.count("Join") for p in plans) == 1 and max(p.count("Relation [") for p in plans) <= 4
+
+
 def test_queries_are_registered():
     names = set(entry.queries())
     assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names

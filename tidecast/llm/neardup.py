@@ -229,11 +229,11 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        # in a table of its own: the driver plans the rest of the round anew after each stage
+        large = S.table(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct(), "large")
         # small star: every edge points from the larger node to the smaller
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hop = large.join(low, "u")
-        small = hop.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hop.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
         edges = S.table(small, "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
