@@ -547,7 +547,7 @@ def test_a_plan_of_a_round_of_components_joins_once(spark, monkeypatch):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d+_", n)} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "pii", "sentencepiece"]
 
 
