@@ -479,6 +479,21 @@ def test_few_vectors_are_all_found(spark, tmp_path):
     assert ann.op8_multi_index_ann(spark, vectors(spark, [], tmp_path / "b")).collect() == []
 
 
+def test_queries_reach_every_block_without_the_driver(spark):
+    # a join that Spark took for small broadcast a copy of the queries for every block
+    rnd = np.random.RandomState(5)
+    x = rnd.randn(300, 8)
+    rows = spark.createDataFrame([(i, v.tolist(), i) for i, v in enumerate(x)], "vec_id long, v array<double>, h long")
+    index, queries = ann.blocks(rows, 7, None), ann.blocks(rows.filter("vec_id % 10 = 0"), 3, None)
+    for numbers, there in ((7, index), (40, index.filter("block < 0"))):
+        found = ann._search(there, queries, numbers, None, 4)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "BroadcastExchange" not in plan
+        got = {(r["query_id"], r["rank"]): r["vec_id"] for r in found.collect()}
+        want = {(q, n + 1): int(i) for q in range(0, 300, 10) for n, i in enumerate([i for i in np.argsort(((x - x[q]) ** 2).sum(1), kind="stable") if i != q][:4])}
+        assert got == (want if numbers == 7 else {})
+
+
 def test_probing_finds_every_code_within_the_radius():
     rnd = np.random.RandomState(3)
     code = rnd.randint(0, 256, (2000, 8)).astype(np.uint8)
