@@ -335,7 +335,7 @@ class Decoder:
 
     def texts(self, ids: list[bytes]) -> list[bytes]:
         """What the ids (little-endian u32) of several texts stand for, in one look-up."""
-        got = self.table.take(pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        got = pa.DictionaryArray.from_arrays(pa.array(np.frombuffer(b"".join(ids), "<i4")), self.table).dictionary_decode()
         bounds = np.frombuffer(got.buffers()[1], np.int32)[np.cumsum([0, *(len(x) // 4 for x in ids)])].tolist() if len(got) else [0] * (len(ids) + 1)
         raw = memoryview(got.buffers()[2] or b"")
         return [bytes(raw[a + (raw[a:a + 1] == b" "):b]) if a < b else b"" for a, b in zip(bounds, bounds[1:], strict=False)]

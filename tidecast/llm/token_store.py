@@ -231,7 +231,7 @@ def word_ids(tokenizer_json: str):
         # a word is looked up once a call; the texts' ids are taken from those of their words
         words = pc.ascii_split_whitespace(pa.array([b"" if i in apart else t for i, t in enumerate(low)], pa.large_string()))
         coded = words.flatten().dictionary_encode()
-        ids = pa.array(learnt(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(coded.indices)
+        ids = pa.DictionaryArray.from_arrays(coded.indices, pa.array(learnt(coded.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary())).dictionary_decode()
         off, data = S.buffers(ids)
         raw, bounds = data.tobytes(), off[words.offsets.to_numpy()].tolist()
         got = [raw[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
